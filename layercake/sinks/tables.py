@@ -159,6 +159,8 @@ def evolve_partitioning(spark: SparkSession, name: str, field: str, expr: Column
     spark.sql(f"DROP TABLE {qualified(name)}")
     try:
         spark.sql(f"ALTER TABLE {qualified(staging)} RENAME TO {qualified(name)}")
-    except AnalysisException:
-        raise RuntimeError(f"evolved table left as {staging}; rename it to {name}")
+    except AnalysisException as e:
+        raise RuntimeError(f"evolved table left as {staging}; rename it to {name}") from e
+    # the rename moves the folder; re-register the partitions at their new place
+    spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
     return True
