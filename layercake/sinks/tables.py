@@ -81,8 +81,18 @@ def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
     if mode not in ("static", "dynamic"):
         raise ValueError("mode must be 'static' or 'dynamic'")
     spark = df.sparkSession
-    (_aligned(spark, df, name).write.option("partitionOverwriteMode", mode)
-     .insertInto(name, overwrite=True))
+    aligned = _aligned(spark, df, name)
+    parts = partition_columns(spark, name)
+    if mode == "static" or not parts:
+        aligned.write.insertInto(name, overwrite=True)
+        return
+    # v1 tables ignore a per-write overwrite mode on insertInto; a write to the
+    # table's folder honours it.  Then register new partitions, drop caches.
+    info = table_info(spark, name)
+    (aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .format(info.get("Provider", "parquet")).partitionBy(*parts).save(info["Location"]))
+    spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
 
 
 def append_by_name(df: DataFrame, name: str) -> None:
