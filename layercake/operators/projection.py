@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..names import col, present, resolve
@@ -33,18 +34,30 @@ def drop_pii(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*present(df, columns))
 
 
-def conform(df: DataFrame, schema: T.StructType | Sequence[str]) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType | Sequence[str], *,
+            fill_missing: bool = False) -> DataFrame:
     """Project to a table's column order (by name, case-insensitive).
 
-    A missing column raises rather than being silently filled.
+    A missing column raises, unless ``fill_missing`` (needs a ``StructType``),
+    which adds it as a typed NULL.  Columns of ``df`` outside ``schema`` are
+    rejected when filling, so a misspelt name never vanishes silently.
     """
     names = schema.names if isinstance(schema, T.StructType) else list(schema)
+    types = {f.name: f.dataType for f in schema.fields} if isinstance(schema, T.StructType) else {}
+    if fill_missing:
+        wanted = {n.lower() for n in names}
+        unknown = [c for c in df.columns if c.lower() not in wanted]
+        if unknown:
+            raise ValueError(f"columns {unknown} are not in the target {names}")
     cols = []
     for name in names:
         actual = resolve(df, name)
-        if actual is None:
+        if actual is not None:
+            cols.append(col(actual).alias(name))
+        elif fill_missing and name in types:
+            cols.append(F.lit(None).cast(types[name]).alias(name))
+        else:
             raise ValueError(f"column {name!r} missing; have {df.columns}")
-        cols.append(col(actual).alias(name))
     return df.select(*cols)
 
 

@@ -62,11 +62,11 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _aligned(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _aligned(spark: SparkSession, df: DataFrame, name: str, fill_missing: bool = False
+             ) -> DataFrame:
     """``df`` projected to the table's column order by name, rebalanced on the
     table's partition columns."""
-    target = spark.table(name).columns
-    aligned = conform(df, target)
+    aligned = conform(df, spark.table(name).schema, fill_missing=fill_missing)
     parts = partition_columns(spark, name)
     return aligned.hint("rebalance", *parts) if parts else aligned
 
@@ -95,10 +95,11 @@ def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
     spark.catalog.refreshTable(name)
 
 
-def append_by_name(df: DataFrame, name: str) -> None:
-    """INSERT INTO by name."""
+def append_by_name(df: DataFrame, name: str, *, fill_missing: bool = False) -> None:
+    """INSERT INTO by name; ``fill_missing`` writes NULL to table columns the
+    source lacks (source columns unknown to the table still raise)."""
     spark = df.sparkSession
-    _aligned(spark, df, name).write.insertInto(name, overwrite=False)
+    _aligned(spark, df, name, fill_missing).write.insertInto(name, overwrite=False)
 
 
 def merge_insert_only(source: DataFrame, name: str, keys: Sequence[str]) -> int:
@@ -109,7 +110,9 @@ def merge_insert_only(source: DataFrame, name: str, keys: Sequence[str]) -> int:
     are all inserted.  Where the table format supports MERGE (a row-level
     catalog) the catalog's MERGE runs; otherwise a left-anti join against the
     table's key columns only, then an append by name (single writer assumed).
-    Returns the number of rows inserted (-1 when the catalog MERGE ran).
+    Table columns the source lacks are inserted as NULL (``INSERT *`` by name
+    into a wider landing table).  Returns the number of rows inserted (-1 when
+    the catalog MERGE ran).
     """
     spark = source.sparkSession
     provider = table_info(spark, name).get("Provider", "").lower()
@@ -130,7 +133,7 @@ def merge_insert_only(source: DataFrame, name: str, keys: Sequence[str]) -> int:
         c = source[quote(resolve(source, k) or k)] == tkeys[f"__k{i}"]
         cond = c if cond is None else cond & c
     new_rows, obs = counted(source.join(tkeys, cond, "left_anti"), "merge_inserted")
-    append_by_name(new_rows, name)
+    append_by_name(new_rows, name, fill_missing=True)
     return int(obs.get.get("rows", 0) or 0)
 
 
