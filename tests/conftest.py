@@ -26,6 +26,16 @@ def scratch(tmp_path):
     return str(tmp_path)
 
 
+def plan_text(df):
+    """The formatted physical plan, untruncated."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def rows(df, *cols):
     """Collected rows as tuples, sorted, for order-insensitive asserts."""
     picked = df.select(*cols) if cols else df
