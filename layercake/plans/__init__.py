@@ -2,14 +2,15 @@
 
 from .enrichment import (enrich_employees, enrich_user_service, load_employee_table,
                          load_user_service_table)
+from .geo import build_geo_dimension, country_keys, publish_geo_dimension
 from .landing import clients_view, export_clients, land_mapped_csv, map_columns
 from .medallion import (bronze_from_jdbc, bronze_from_tables, gold_report, latest_report,
                         silver_drop, silver_hash)
 from .tables import evolve_visit_month, export_departments
 
 __all__ = [
-    "bronze_from_jdbc", "bronze_from_tables", "clients_view", "enrich_employees",
+    "bronze_from_jdbc", "bronze_from_tables", "build_geo_dimension", "country_keys", "clients_view", "enrich_employees",
     "enrich_user_service", "evolve_visit_month", "export_clients", "export_departments",
     "gold_report", "land_mapped_csv", "latest_report", "load_employee_table",
-    "load_user_service_table", "map_columns", "silver_drop", "silver_hash",
+    "load_user_service_table", "map_columns", "publish_geo_dimension", "silver_drop", "silver_hash",
 ]

@@ -18,21 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions import (date_path, hash_columns, month_name, new_run, recode, to_double,
-                        year_of)
-from .names import col
+from .functions import date_path, hash_columns, month_name, new_run, recode, year_of
 from .operators import (StarKeys, apply_mapping, conform, distinct_values, drop_pii,
                         first_match, lookup, lookup_fill, order_items_view, preview,
                         status_report, top_n, where_equals)
 from .functions.casts import cast_if_present
-from .plans import clients_view, enrich_user_service
+from .plans import (build_geo_dimension, clients_view, enrich_user_service,
+                    publish_geo_dimension)
+from .schemas import COUNTRY_GEO
 from .plans.landing import map_columns
 from .plans.medallion import bronze_from_tables, gold_report, latest_report, silver_hash
 from .session import scratch_path
+from .streaming import stream_silver
 from .sinks import (add_column, ensure_database, ensure_table, evolve_partitioning,
                     export_by_key, merge_insert_only, overwrite_table, write_layer, write_report)
-from .sinks.tables import qualified
-from .sources import read_csv, read_layer, read_newest, read_table
+from .sources import read_csv, read_layer, read_table
 from .sources.layers import layer_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,6 +364,27 @@ from nation left join (
   from supplier) x on n_nationkey = s_nationkey and rn = 1"""
 
 
+def q_geo_dimension_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation names as the key list, suppliers as ranked candidates; the
+    dimension is published as CSV and read back with its declared schema."""
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    keys = n.select(F.col("n_name").alias("Country"))
+    candidates = s.join(n, s.s_nationkey == n.n_nationkey).select(
+        F.col("n_name").alias("Country"), F.col("s_suppkey").alias("rank"),
+        F.col("s_acctbal").alias("Latitude"), F.col("s_suppkey").cast("double").alias("Longitude"))
+    path = publish_geo_dimension(build_geo_dimension(keys, candidates),
+                                 scratch_path(spark, "geo_dimension"))
+    return read_csv(spark, path, COUNTRY_GEO)
+
+
+GEO_DIMENSION_SQL = """
+select n_name as Country, s_acctbal as Latitude, cast(s_suppkey as double) as Longitude
+from nation left join (
+  select s_nationkey, s_suppkey, s_acctbal,
+         row_number() over (partition by s_nationkey order by s_suppkey) as rn
+  from supplier) x on n_nationkey = s_nationkey and rn = 1"""
+
+
 # ---------------------------------------------------------------- P1 P6 P7 A5 A7 A8
 def q_column_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_mapping(table(spark, sf_dir, "customer"), {
@@ -531,6 +552,18 @@ def q_medallion_silver_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, root, "orderitems", "silver", dt, schema=STAR_SCHEMA)
 
 
+def q_medallion_silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze from the star join, then the streaming silver job drains it."""
+    root = scratch_path(spark, "medallion_stream")
+    bronze_from_tables(*star_tables(spark, sf_dir), root, run=new_run(), columns=STAR_COLUMNS,
+                       keys=STAR_KEYS)
+    query = stream_silver(spark, root, "orderitems", STAR_SCHEMA, f"{root}/_checkpoints/silver",
+                          pii=["c_name"])
+    query.awaitTermination()
+    return spark.read.parquet(layer_root(root, "orderitems", "silver_stream")).select(
+        *STAR_COLUMNS)
+
+
 MEDALLION_SILVER_SQL = STAR_SQL.replace(
     "c_name,", "case when c_name <> '' then sha256(c_name) end as c_name,")
 
@@ -675,6 +708,7 @@ QUERIES: dict[str, Query] = {
     "insert_only_merge": q_insert_only_merge,
     "export_projection": q_export_projection,
     "first_match_lookup": q_first_match_lookup,
+    "geo_dimension_publish": q_geo_dimension_publish,
     "column_mapping": q_column_mapping,
     "conform_projection": q_conform_projection,
     "equality_filter": q_equality_filter,
@@ -691,6 +725,7 @@ QUERIES: dict[str, Query] = {
     "report_roundtrip": q_report_roundtrip,
     "medallion_silver_hash": q_medallion_silver_hash,
     "medallion_gold_report": q_medallion_gold_report,
+    "medallion_silver_stream": q_medallion_silver_stream,
     "user_service_enrich": q_user_service_enrich,
     "mapped_landing": q_mapped_landing,
 }
@@ -710,6 +745,7 @@ ORACLES: dict[str, str] = {
     "insert_only_merge": INSERT_ONLY_MERGE_SQL,
     "export_projection": EXPORT_PROJECTION_SQL,
     "first_match_lookup": FIRST_MATCH_SQL,
+    "geo_dimension_publish": GEO_DIMENSION_SQL,
     "column_mapping": COLUMN_MAPPING_SQL,
     "conform_projection": f"select {', '.join(CONFORM_ORDER)} from customer",
     "equality_filter": "select * from customer where c_mktsegment = 'BUILDING'",
@@ -728,6 +764,7 @@ ORACLES: dict[str, str] = {
     "report_roundtrip": STATUS_REPORT_SQL,
     "medallion_silver_hash": MEDALLION_SILVER_SQL,
     "medallion_gold_report": MEDALLION_GOLD_SQL,
+    "medallion_silver_stream": MEDALLION_SILVER_SQL,
     "user_service_enrich": USER_SERVICE_SQL,
     "mapped_landing": MAPPED_LANDING_SQL,
 }

@@ -135,3 +135,18 @@ def test_mapped_landing_merge(spark, scratch, db):
     assert len(t) == 4 and spark.table(name).count() == 5
     assert t[("1", "Ann")].created_at is not None and t[("2", "Bo")].created_at is None
     assert t[("1", "Ann")].city == "a" and t[("1", "Ann")].middle_name is None
+
+
+def test_geo_dimension_keeps_every_key(spark, scratch):
+    from layercake.plans import build_geo_dimension, country_keys, publish_geo_dimension
+    from layercake.schemas import COUNTRY_GEO
+    keys = country_keys(spark)
+    cands = spark.createDataFrame(
+        [("Peru", 2, -9.0, -75.0), ("Peru", 1, -10.0, -76.0), ("Chad", 1, 15.0, 19.0),
+         ("Atlantis", 1, 0.0, 0.0)],
+        "Country string, rank int, Latitude double, Longitude double")
+    path = publish_geo_dimension(build_geo_dimension(keys, cands), f"{scratch}/geo")
+    back = {r.Country: (r.Latitude, r.Longitude) for r in read_csv(spark, path, COUNTRY_GEO)
+            .collect()}
+    assert len(back) == 195 and "Atlantis" not in back
+    assert back["Peru"] == (-10.0, -76.0) and back["Fiji"] == (None, None)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from layercake.operators import (StarKeys, apply_mapping, conform, distinct_values, drop_pii,
+from layercake.operators import (apply_mapping, conform, distinct_values, drop_pii,
                                  first_match, lookup, lookup_fill, order_items_view, preview,
                                  status_report, top_n, where_equals)
 from layercake.schemas import ORDER_ITEMS_COLUMNS
