@@ -122,3 +122,21 @@ def test_clients_view(spark):
                            "address", "created_at", "updated_at"]
     assert rows(out, "id", "zip_code", "address") == [("1", "10001", "NYC, US, 10001"),
                                                       ("2", None, "")]
+
+
+def test_export_hot_key_is_split_over_tasks(spark, scratch):
+    """A key holding a third of all rows is written by several tasks (AQE
+    splits the skewed rebalance partition), never funnelled into one."""
+    df = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string"))
+        .alias("k"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        assert export_by_key(df, "k", f"{scratch}/skew", fmt="parquet") == 300000
+    finally:
+        spark.conf.set(key, old)
+    hot = [f for f in os.listdir(f"{scratch}/skew/k=hot") if f.startswith("part-")]
+    assert len(hot) > 1
+    assert spark.read.parquet(f"{scratch}/skew").where("k = 'hot'").count() == 100000
