@@ -28,6 +28,9 @@ class RunInfo:
 
 
 def new_run(now: datetime | None = None) -> RunInfo:
-    """A sortable, unique run id: ``20240905T101500Z-<uuid4 hex>``."""
+    """A unique run id that sorts by start time to the microsecond:
+    ``20240905T101500123456Z-<uuid4 hex>``.  Object stores keep modification
+    times to the second, so runs written within one second tie on time; the
+    newest-file choice then breaks the tie by path, i.e. by this id."""
     started = now or datetime.now(timezone.utc)
-    return RunInfo(f"{started:%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex}", started)
+    return RunInfo(f"{started:%Y%m%dT%H%M%S%fZ}-{uuid.uuid4().hex}", started)
