@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..names import col
-from ..schemas import REPORT, REPORT_STATUSES
+from ..schemas import REPORT_STATUSES
 
 
 def status_report(
@@ -27,15 +27,11 @@ def status_report(
     output row never pulls rows into one task.
     """
     s, p = col(status), col(price).try_cast("double")
-    counts = {name: F.count_if(s == value) for name, value in statuses.items()}
-    report = df.agg(
-        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in counts.items()],
+    return df.agg(
+        *[F.count_if(s == value).alias(name) for name, value in statuses.items()],
         F.avg(p).alias("average_price"),
         F.count(F.lit(1)).alias("total_orders"),
     )
-    ordered = [n for n in REPORT.names if n in counts or n in ("average_price", "total_orders")]
-    extra = [n for n in counts if n not in ordered]
-    return report.select(*ordered, *extra)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -15,15 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import blank_fallback, trim_spaces
-from ..names import col
+from ..names import col, quote
 
 
 def _on(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> Column:
-    return left[_q(lkey)] == right[_q(rkey)]
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return left[quote(lkey)] == right[quote(rkey)]
 
 
 @dataclass(frozen=True)
@@ -63,7 +59,7 @@ def lookup(
 ) -> DataFrame:
     """Left-outer lookup; unmatched rows get NULL dimension columns."""
     joined = df.join(dim, _on(df, dim, left_key, right_key), "left_outer")
-    return joined.drop(dim[_q(right_key)]) if drop_right_key else joined
+    return joined.drop(dim[quote(right_key)]) if drop_right_key else joined
 
 
 def lookup_fill(
@@ -111,6 +107,6 @@ def first_match(
         .agg(F.min_by(F.struct(*[col(v) for v in values]),
                       F.struct(*[col(o) for o in order_by])).alias("__best"))
     )
-    joined = keys.join(best, keys[_q(key)] == best["__key"], "left_outer")
-    return joined.select(*[keys[_q(c)] for c in keys.columns],
+    joined = keys.join(best, keys[quote(key)] == best["__key"], "left_outer")
+    return joined.select(*[keys[quote(c)] for c in keys.columns],
                          *[F.col("__best").getField(v).alias(v) for v in values])
