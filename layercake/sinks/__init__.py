@@ -4,10 +4,10 @@ from .files import export_by_key, write_csv, write_layer, write_report
 from .jdbc import write_jdbc
 from .tables import (add_column, append_by_name, ensure_database, ensure_table,
                      evolve_partitioning, merge_insert_only, overwrite_table, partition_columns,
-                     qualified, table_info)
+                     qualified, rows_to_insert, table_info)
 
 __all__ = [
     "add_column", "append_by_name", "ensure_database", "ensure_table", "evolve_partitioning",
     "export_by_key", "merge_insert_only", "overwrite_table", "partition_columns", "qualified",
-    "table_info", "write_csv", "write_jdbc", "write_layer", "write_report",
+    "rows_to_insert", "table_info", "write_csv", "write_jdbc", "write_layer", "write_report",
 ]

@@ -126,15 +126,28 @@ def merge_insert_only(source: DataFrame, name: str, keys: Sequence[str]) -> int:
         finally:
             spark.catalog.dropTempView(view)
         return -1
-    target = spark.table(name)
-    tkeys = target.select(*[col(resolve(target, k) or k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    new_rows, obs = counted(rows_to_insert(source, spark.table(name), keys), "merge_inserted")
+    append_by_name(new_rows, name, fill_missing=True)
+    return int(obs.get.get("rows", 0) or 0)
+
+
+def rows_to_insert(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source rows whose key has no match in ``target`` (left-anti join
+    against the target's key columns only).
+
+    A NULL key never matches, so NULL-key rows are always kept; duplicate
+    source keys are all kept.  When the join is shuffled (a target too big to
+    broadcast), a key holding a third of the source rows (NULL included) makes
+    one skewed partition, which AQE's skew-join handling splits over several
+    tasks (``tests/test_skew.py``).
+    """
+    tkeys = target.select(*[col(resolve(target, k) or k).alias(f"__k{i}")
+                            for i, k in enumerate(keys)])
     cond = None
     for i, k in enumerate(keys):
         c = source[quote(resolve(source, k) or k)] == tkeys[f"__k{i}"]
         cond = c if cond is None else cond & c
-    new_rows, obs = counted(source.join(tkeys, cond, "left_anti"), "merge_inserted")
-    append_by_name(new_rows, name, fill_missing=True)
-    return int(obs.get.get("rows", 0) or 0)
+    return source.join(tkeys, cond, "left_anti")
 
 
 def add_column(spark: SparkSession, name: str, column: str, dtype: str) -> bool:

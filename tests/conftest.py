@@ -1,3 +1,5 @@
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -39,3 +41,28 @@ def rows(df, *cols):
     """Collected rows as tuples, sorted, for order-insensitive asserts."""
     picked = df.select(*cols) if cols else df
     return sorted((tuple(r) for r in picked.collect()), key=repr)
+
+
+@contextlib.contextmanager
+def session_conf(spark, settings):
+    """Set runtime SQL settings for the block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def final_plan(df):
+    """Run ``df`` (collect) and return AQE's final physical plan as text."""
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
