@@ -21,11 +21,17 @@ def local_session(
     app: str = "layercake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    task_retries: int = 0,
 ) -> SparkSession:
-    """A local session for tests and benchmarks: AQE on, UI off, UTC."""
+    """A local session for tests and benchmarks: AQE on, UI off, UTC.
+
+    ``task_retries`` > 0 lets a failed task be retried, as on a cluster
+    (local mode otherwise fails the job on the first task failure).
+    """
     n = os.cpu_count() if cores == "*" else int(cores)
+    master = f"local[{cores},{task_retries + 1}]" if task_retries else f"local[{cores}]"
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.enabled", "true")

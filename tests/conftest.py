@@ -15,7 +15,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", "layercake-tests", 8)
+    s = local_session("*", "layercake-tests", 8, task_retries=1)
     yield s
     s.stop()
 
