@@ -166,7 +166,9 @@ def evolve_partitioning(spark: SparkSession, name: str, field: str, expr: Column
     table is rewritten once into a new table partitioned by the old columns
     plus ``field`` (computed from ``expr`` for every row, which also
     backfills an existing NULL column), then swapped in under the old name.
-    The old table is only dropped after the rewrite committed.
+    The swap is two renames (old -> backup, rewrite -> name) and the backup
+    is dropped last, so a driver lost at any step leaves every row readable
+    under the name, the backup name or the staging name (named in the error).
     Idempotent: False when ``field`` is already a partition column.
     """
     parts = partition_columns(spark, name)
@@ -179,14 +181,17 @@ def evolve_partitioning(spark: SparkSession, name: str, field: str, expr: Column
     rewritten = src.withColumn(field, value)
     data_cols = [c for c in rewritten.columns if c not in parts and c != field]
     rewritten = rewritten.select(*[col(c) for c in data_cols], *[col(c) for c in parts], col(field))
-    staging = f"{name}__evolve_{uuid.uuid4().hex[:8]}"
+    tag = uuid.uuid4().hex[:8]
+    staging, backup = f"{name}__evolve_{tag}", f"{name}__before_{tag}"
     (rewritten.hint("rebalance", *parts, field).write.format(fmt)
      .partitionBy(*parts, field).saveAsTable(staging))
-    spark.sql(f"DROP TABLE {qualified(name)}")
+    spark.sql(f"ALTER TABLE {qualified(name)} RENAME TO {qualified(backup)}")
     try:
         spark.sql(f"ALTER TABLE {qualified(staging)} RENAME TO {qualified(name)}")
     except AnalysisException as e:
-        raise RuntimeError(f"evolved table left as {staging}; rename it to {name}") from e
-    # the rename moves the folder; re-register the partitions at their new place
+        raise RuntimeError(f"evolved table left as {staging}, the old one as {backup}; "
+                           f"rename {staging} to {name}") from e
+    # a rename moves the folder; re-register the partitions at their new place
     spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
+    spark.sql(f"DROP TABLE {qualified(backup)}")
     return True
