@@ -27,7 +27,9 @@ from .plans import (build_geo_dimension, clients_view, enrich_user_service,
                     publish_geo_dimension)
 from .schemas import COUNTRY_GEO
 from .plans.landing import map_columns
-from .plans.medallion import bronze_from_tables, gold_report, latest_report, silver_hash
+from .plans.enrichment import load_employee_table
+from .plans.medallion import (bronze_from_tables, gold_report, latest_report, silver_drop,
+                              silver_hash)
 from .session import scratch_path
 from .streaming import stream_silver
 from .sinks import (add_column, ensure_database, ensure_table, evolve_partitioning,
@@ -552,6 +554,17 @@ def q_medallion_silver_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, root, "orderitems", "silver", dt, schema=STAR_SCHEMA)
 
 
+def q_medallion_silver_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 -> W2: bronze from the star join, then the silver run with PII dropped."""
+    root = scratch_path(spark, "medallion_drop")
+    run = new_run()
+    bronze_from_tables(*star_tables(spark, sf_dir), root, run=run, columns=STAR_COLUMNS,
+                       keys=STAR_KEYS)
+    silver_drop(spark, root, run.dt, pii=["C_NAME", "Email"])
+    kept = T.StructType([f for f in STAR_SCHEMA.fields if f.name != "c_name"])
+    return read_layer(spark, root, "orderitems", "silver", run.dt, schema=kept)
+
+
 def q_medallion_silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bronze from the star join, then the streaming silver job drains it."""
     root = scratch_path(spark, "medallion_stream")
@@ -588,6 +601,67 @@ select count(*) filter (where l_linestatus = 'F') as items_shipped_count,
 from ({STAR_SQL}) s"""
 
 
+# ---------------------------------------------------------------- W6 (whole flow)
+def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer x nation x region as employee rows: segment -> department (two
+    renamed 'R&D' and 'Sales/Ops', which need escaping as folder names),
+    region -> job title, nation -> nationality ('USA'/'UK' for two nations,
+    recoded by the flow), no hire date for a negative balance."""
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    seg, nk = F.col("c_mktsegment"), F.col("c_nationkey")
+    return j.select(
+        F.col("c_custkey").cast("int").alias("employee_id"), F.col("c_name").alias("first_name"),
+        F.col("n_name").alias("last_name"), F.lower("c_name").alias("email"),
+        F.when(seg == "MACHINERY", "R&D").when(seg == "HOUSEHOLD", "Sales/Ops").otherwise(seg)
+         .alias("department"),
+        F.col("r_name").alias("job_title"),
+        F.floor("c_acctbal").cast("int").alias("salary"),
+        F.when(F.col("c_acctbal") >= 0,
+               F.make_date(F.lit(2010) + F.floor(nk / 5).cast("int"),
+                           F.lit(1) + F.floor(nk / 3).cast("int"), F.lit(1) + nk))
+         .alias("hire_date"),
+        F.when(F.col("n_name") == "NATION_0", "USA").when(F.col("n_name") == "NATION_1", "UK")
+         .otherwise(F.col("n_name")).alias("nationality"),
+        (F.lit(20) + nk).alias("age"), F.lit(None).cast("string").alias("gender"),
+        F.lit(None).cast("string").alias("education_level"),
+        (F.col("n_regionkey") + 1).alias("performance_score"),
+        F.lit(None).cast("int").alias("manager_id"))
+
+
+def q_employee_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recode -> hire year -> geo lookup -> table partitioned by
+    department/job title/hire year, overwritten by name; read back."""
+    db = _scratch_db(spark, "employees")
+    name = load_employee_table(spark, employees(spark, sf_dir), geo_dimension(spark, sf_dir), db)
+    return read_table(spark, name)
+
+
+EMPLOYEE_TABLE_SQL = f"""
+with e as (
+  select cast(c_custkey as int) as employee_id, c_name as first_name, n_name as last_name,
+         lower(c_name) as email,
+         case c_mktsegment when 'MACHINERY' then 'R&D' when 'HOUSEHOLD' then 'Sales/Ops'
+                           else c_mktsegment end as department,
+         r_name as job_title, cast(floor(c_acctbal) as int) as salary,
+         case when c_acctbal >= 0
+              then make_date(2010 + c_nationkey // 5, 1 + c_nationkey // 3, 1 + c_nationkey)
+         end as hire_date,
+         {RECODE_SQL.format(c='n_name')} as nationality,
+         20 + c_nationkey as age, cast(null as varchar) as gender,
+         cast(null as varchar) as education_level, n_regionkey + 1 as performance_score,
+         cast(null as int) as manager_id
+  from customer join nation on c_nationkey = n_nationkey
+                join region on n_regionkey = r_regionkey),
+geo as (
+  select {RECODE_SQL.format(c='n_name')} as Country, cast(n_regionkey as double) as Latitude,
+         cast(n_nationkey as double) as Longitude
+  from nation join region on n_regionkey = r_regionkey where r_name <> 'MIDDLE EAST')
+select e.*, cast(year(hire_date) as int) as hire_year, Latitude as latitude,
+       Longitude as longitude
+from e left join geo on e.nationality = geo.Country"""
+
+
 # ---------------------------------------------------------------- W7
 def visit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
@@ -726,6 +800,8 @@ QUERIES: dict[str, Query] = {
     "medallion_silver_hash": q_medallion_silver_hash,
     "medallion_gold_report": q_medallion_gold_report,
     "medallion_silver_stream": q_medallion_silver_stream,
+    "medallion_silver_drop": q_medallion_silver_drop,
+    "employee_table_load": q_employee_table_load,
     "user_service_enrich": q_user_service_enrich,
     "mapped_landing": q_mapped_landing,
 }
@@ -765,6 +841,8 @@ ORACLES: dict[str, str] = {
     "medallion_silver_hash": MEDALLION_SILVER_SQL,
     "medallion_gold_report": MEDALLION_GOLD_SQL,
     "medallion_silver_stream": MEDALLION_SILVER_SQL,
+    "medallion_silver_drop": STAR_SQL.replace(" c_name,", ""),
+    "employee_table_load": EMPLOYEE_TABLE_SQL,
     "user_service_enrich": USER_SERVICE_SQL,
     "mapped_landing": MAPPED_LANDING_SQL,
 }
