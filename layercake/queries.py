@@ -26,7 +26,7 @@ from .functions.casts import cast_if_present
 from .plans import (build_geo_dimension, clients_view, enrich_user_service,
                     publish_geo_dimension)
 from .schemas import COUNTRY_GEO
-from .plans.landing import map_columns
+from .plans.landing import land_mapped_csv, map_columns
 from .plans.enrichment import load_employee_table
 from .plans.medallion import (bronze_from_tables, gold_report, latest_report, silver_drop,
                               silver_hash)
@@ -750,6 +750,26 @@ def q_mapped_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def q_mapped_csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8 end to end: the drop is an all-string CSV with a dotted header, read
+    without a schema, mapped, cast where present and merged insert-only."""
+    db = _scratch_db(spark, "csv_landing")
+    name = f"{db}.app_user_landing"
+    ensure_table(spark, name, LANDING_SCHEMA)
+    c = table(spark, sf_dir, "customer")
+    overwrite_table(where_equals(c, "c_mktsegment", "BUILDING").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.concat("c_name", F.lit(" (old)")).alias("first_name"),
+        F.col("c_name").alias("display_name"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at")), name)
+    drop = scratch_path(spark, "landing_drop")
+    raw_landing(spark, sf_dir).write.option("header", "true").csv(drop)
+    land_mapped_csv(spark, drop, LANDING_MAPPING, name,
+                    casts={"created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"})
+    return read_table(spark, name)
+
+
 MAPPED_LANDING_SQL = """
 with s as (
   select cast(c_custkey as varchar) as id, c_name as first_name, c_name as display_name,
@@ -804,6 +824,7 @@ QUERIES: dict[str, Query] = {
     "employee_table_load": q_employee_table_load,
     "user_service_enrich": q_user_service_enrich,
     "mapped_landing": q_mapped_landing,
+    "mapped_csv_landing": q_mapped_csv_landing,
 }
 
 ORACLES: dict[str, str] = {
@@ -845,6 +866,7 @@ ORACLES: dict[str, str] = {
     "employee_table_load": EMPLOYEE_TABLE_SQL,
     "user_service_enrich": USER_SERVICE_SQL,
     "mapped_landing": MAPPED_LANDING_SQL,
+    "mapped_csv_landing": MAPPED_LANDING_SQL,
 }
 
 
