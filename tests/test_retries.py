@@ -4,7 +4,6 @@ commit protocol discards the dead attempt's files)."""
 
 import uuid
 
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
