@@ -40,11 +40,30 @@ def order_items_view(
     products: DataFrame,
     columns: Sequence[str],
     keys: StarKeys = StarKeys(),
+    *,
+    customers_first: bool = False,
 ) -> DataFrame:
     """Items JOIN orders JOIN customers JOIN products (inner equi-joins),
-    projected to ``columns``.  Key columns are carried only as far as needed."""
-    io = items.join(orders, _on(items, orders, keys.item_order, keys.order_key))
-    ioc = io.join(customers, _on(io, customers, keys.order_customer, keys.customer_key))
+    projected to ``columns``.  Key columns are carried only as far as needed.
+
+    Join order.  By default items meet each table in turn, so every table the
+    planner finds small enough is broadcast and the items stream is never
+    shuffled.  When none of them fits a broadcast (all large, as at 100 TB),
+    that order shuffles the items stream three times (order, customer and
+    product keys).  ``customers_first=True`` joins orders to customers first,
+    so the items stream is shuffled only twice.  It is not the default: without
+    table statistics Spark sizes a join result as the product of its inputs,
+    so a pre-joined orders/customers side never looks broadcastable, and a
+    small items side may be broadcast instead.  Inner joins commute, so both
+    orders give the same rows.
+    """
+    if customers_first:
+        oc = orders.join(customers,
+                         _on(orders, customers, keys.order_customer, keys.customer_key))
+        ioc = items.join(oc, _on(items, oc, keys.item_order, keys.order_key))
+    else:
+        io = items.join(orders, _on(items, orders, keys.item_order, keys.order_key))
+        ioc = io.join(customers, _on(io, customers, keys.order_customer, keys.customer_key))
     full = ioc.join(products, _on(ioc, products, keys.item_product, keys.product_key))
     return full.select(*[col(c) for c in columns])
 
