@@ -14,7 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +25,10 @@ from .operators import (StarKeys, apply_mapping, conform, distinct_values, drop_
 from .functions.casts import cast_if_present
 from .plans import (build_geo_dimension, clients_view, enrich_user_service,
                     publish_geo_dimension)
-from .schemas import COUNTRY_GEO
+from .schemas import COUNTRY_GEO, USER_SERVICE, USER_SERVICE_PII
 from .plans.landing import land_mapped_csv, map_columns
-from .plans.enrichment import load_employee_table
+from .plans.enrichment import load_employee_table, load_user_service_table
+from .plans.tables import evolve_visit_month
 from .plans.medallion import (bronze_from_tables, gold_report, latest_report, silver_drop,
                               silver_hash)
 from .session import scratch_path
@@ -712,6 +713,138 @@ select u.id, u.visit_ts, sha256(u.first_name) as first_name, sha256(u.Email) as
 from u left join z on u.Zipcode = z.Zipcode"""
 
 
+# ---------------------------------------------------------------- W7 + W11 (whole table)
+def _visit_columns() -> list[tuple[str, Callable[[], Column], str]]:
+    """(column, Spark expression builder, DuckDB expression) for the 66
+    user-service columns, derived from orders x customer: names, e-mail, phone
+    and birth date from customer/order values (NULL and '' edge values by
+    order status), a padded or tab-prefixed zip from the nation key, every
+    service/needs double as a multiple of the order total, free-text entries
+    from the priority, and ``New User`` for open orders."""
+    st, bal, seg = (lambda: F.col("o_orderstatus")), (lambda: F.col("c_acctbal")), \
+        (lambda: F.col("c_mktsegment"))
+
+    def nk() -> Column:
+        return F.col("c_nationkey").cast("string")
+
+    def null() -> Column:
+        return F.lit(None).cast("string")
+
+    fixed = {
+        "Everest ID": (lambda: F.col("o_orderkey").cast("string"), "cast(o_orderkey as varchar)"),
+        "Visit Timestamp": (lambda: F.col("o_orderdate").cast("timestamp"), "o_orderdate"),
+        "First Name": (lambda: F.col("c_name"), "c_name"),
+        "Middle Name": (null, "cast(null as varchar)"),
+        "Last Name": (lambda: F.col("o_orderpriority"), "o_orderpriority"),
+        "Preferred Name": (null, "cast(null as varchar)"),
+        "Email": (lambda: F.when(st() == "F", null()).when(st() == "P", F.lit(""))
+                  .otherwise(F.lower("c_name")),
+                  "case when o_orderstatus = 'F' then null when o_orderstatus = 'P' then '' "
+                  "else lower(c_name) end"),
+        "Phone": (nk, "cast(c_nationkey as varchar)"),
+        "Address 1": (seg, "c_mktsegment"),
+        "Address 2": (null, "cast(null as varchar)"),
+        "City": (lambda: F.when(st() == "F", null()).when(st() == "O", F.lit(""))
+                 .otherwise(F.col("o_orderpriority")),
+                 "case when o_orderstatus = 'F' then null when o_orderstatus = 'O' then '' "
+                 "else o_orderpriority end"),
+        "State": (lambda: F.when(bal() < 0, null()).otherwise(seg()),
+                  "case when c_acctbal < 0 then null else c_mktsegment end"),
+        "Zipcode": (lambda: F.when(seg() == "FURNITURE", F.concat(F.lit("\t"), nk()))
+                    .otherwise(F.concat(F.lit("  "), nk(), F.lit(" "))),
+                    "case when c_mktsegment = 'FURNITURE' then chr(9) || cast(c_nationkey as varchar)"
+                    " else '  ' || cast(c_nationkey as varchar) || ' ' end"),
+        "Date of Birth": (lambda: F.col("o_orderdate").cast("date").cast("string"),
+                          "cast(cast(o_orderdate as date) as varchar)"),
+        "New User": (lambda: st() == "O", "o_orderstatus = 'O'"),
+    }
+    out = []
+    for i, f in enumerate(USER_SERVICE.fields):
+        if f.name in fixed:
+            out.append((f.name, *fixed[f.name]))
+        elif isinstance(f.dataType, T.DoubleType):
+            out.append((f.name, lambda k=i + 1: F.col("o_totalprice") * k,
+                        f"o_totalprice * {i + 1}"))
+        else:
+            out.append((f.name, lambda: F.when(st() == "O", F.col("o_orderpriority")),
+                        "case when o_orderstatus = 'O' then o_orderpriority end"))
+    return out
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.select(*[build().alias(n) for n, build, _ in _visit_columns()])
+
+
+def zip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reverse-geocode dimension from nation x region: EUROPE's zips missing
+    (unmatched), AFRICA's listed twice (fan-out)."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey)
+
+    def rows(df: DataFrame, suffix: str) -> DataFrame:
+        return df.select(F.col("r_name").alias("Country"),
+                         F.col("n_regionkey").cast("string").alias("Country_Code"),
+                         F.concat("n_name", F.lit(suffix)).alias("Geo_City"),
+                         F.concat("r_name", F.lit("-state")).alias("Geo_State"),
+                         F.concat(F.lit("S"), F.col("n_nationkey").cast("string"))
+                         .alias("State_Code"),
+                         F.col("n_nationkey").cast("string").alias("Zipcode"))
+    return rows(nr.where(F.col("r_name") != "EUROPE"), "").unionByName(
+        rows(nr.where(F.col("r_name") == "AFRICA"), "-2"))
+
+
+def q_user_service_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 then W11 on the 71-column user-service table: hash the five PII
+    columns, visit year and month name, zip lookup on the trimmed zip with
+    blank City/State filled, table partitioned by visit year/month and
+    overwritten by name; W11 then finds visit_month already a column and a
+    partition (no-op).  ``Visit Timestamp`` is returned as timestamp_ntz so
+    the values do not depend on the session time zone."""
+    db = _scratch_db(spark, "user_service")
+    name = load_user_service_table(spark, visits(spark, sf_dir), zip_table(spark, sf_dir), db)
+    evolve_visit_month(spark, name)
+    back = read_table(spark, name)
+    return back.withColumn("Visit Timestamp", F.col("`Visit Timestamp`").cast("timestamp_ntz"))
+
+
+def _user_service_sql() -> str:
+    def q(name: str) -> str:
+        return '"' + name.replace('"', '""') + '"'
+    cols = _visit_columns()
+    inner = ",\n         ".join(f"{sql} as {q(n)}" for n, _, sql in cols)
+    outer = []
+    for n, _, _ in cols:
+        if n in USER_SERVICE_PII:
+            outer.append(f"sha256(u.{q(n)}) as {q(n)}")
+        elif n in ("City", "State"):
+            geo = "z.Geo_City" if n == "City" else "z.Geo_State"
+            outer.append(f"case when u.{q(n)} is null or u.{q(n)} = '' then {geo} "
+                         f"else u.{q(n)} end as {q(n)}")
+        elif n == "Zipcode":
+            outer.append('trim(u."Zipcode") as "Zipcode"')
+        else:
+            outer.append(f"u.{q(n)}")
+    z = """select r_name as Country, cast(n_regionkey as varchar) as Country_Code,
+         n_name || '{s}' as Geo_City, r_name || '-state' as Geo_State,
+         'S' || cast(n_nationkey as varchar) as State_Code,
+         cast(n_nationkey as varchar) as Zipcode
+  from nation join region on n_regionkey = r_regionkey where r_name {w}"""
+    kept = z.format(s="", w="<> 'EUROPE'")
+    again = z.format(s="-2", w="= 'AFRICA'")
+    return (f"with u as (\n  select {inner}\n  from orders join customer on o_custkey = c_custkey),\n"
+            f"z as (\n  {kept}\n  union all\n  {again})\n"
+            f"select {', '.join(outer)},\n"
+            "       z.Country, z.Country_Code, z.State_Code,\n"
+            '       cast(year(u."Visit Timestamp") as int) as visit_year,\n'
+            '       monthname(u."Visit Timestamp") as visit_month\n'
+            'from u left join z on trim(u."Zipcode") = z.Zipcode')
+
+
+USER_SERVICE_TABLE_SQL = _user_service_sql()
+
+
 # ---------------------------------------------------------------- W8
 LANDING_MAPPING = {"user.id": "id", "name": ["first_name", "display_name"],
                    "created": ["created_at", "updated_at"]}
@@ -823,6 +956,7 @@ QUERIES: dict[str, Query] = {
     "medallion_silver_drop": q_medallion_silver_drop,
     "employee_table_load": q_employee_table_load,
     "user_service_enrich": q_user_service_enrich,
+    "user_service_table_load": q_user_service_table_load,
     "mapped_landing": q_mapped_landing,
     "mapped_csv_landing": q_mapped_csv_landing,
 }
@@ -865,6 +999,7 @@ ORACLES: dict[str, str] = {
     "medallion_silver_drop": STAR_SQL.replace(" c_name,", ""),
     "employee_table_load": EMPLOYEE_TABLE_SQL,
     "user_service_enrich": USER_SERVICE_SQL,
+    "user_service_table_load": USER_SERVICE_TABLE_SQL,
     "mapped_landing": MAPPED_LANDING_SQL,
     "mapped_csv_landing": MAPPED_LANDING_SQL,
 }
