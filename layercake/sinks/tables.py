@@ -63,12 +63,12 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def _aligned(spark: SparkSession, df: DataFrame, name: str, fill_missing: bool = False
-             ) -> DataFrame:
+             ) -> tuple[DataFrame, list[str]]:
     """``df`` projected to the table's column order by name, rebalanced on the
-    table's partition columns."""
+    table's partition columns; and those columns."""
     aligned = conform(df, spark.table(name).schema, fill_missing=fill_missing)
     parts = partition_columns(spark, name)
-    return aligned.hint("rebalance", *parts) if parts else aligned
+    return (aligned.hint("rebalance", *parts) if parts else aligned), parts
 
 
 def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
@@ -81,8 +81,7 @@ def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
     if mode not in ("static", "dynamic"):
         raise ValueError("mode must be 'static' or 'dynamic'")
     spark = df.sparkSession
-    aligned = _aligned(spark, df, name)
-    parts = partition_columns(spark, name)
+    aligned, parts = _aligned(spark, df, name)
     if mode == "static" or not parts:
         aligned.write.insertInto(name, overwrite=True)
         return
@@ -99,7 +98,7 @@ def append_by_name(df: DataFrame, name: str, *, fill_missing: bool = False) -> N
     """INSERT INTO by name; ``fill_missing`` writes NULL to table columns the
     source lacks (source columns unknown to the table still raise)."""
     spark = df.sparkSession
-    _aligned(spark, df, name, fill_missing).write.insertInto(name, overwrite=False)
+    _aligned(spark, df, name, fill_missing)[0].write.insertInto(name, overwrite=False)
 
 
 def merge_insert_only(source: DataFrame, name: str, keys: Sequence[str]) -> int:
