@@ -28,7 +28,7 @@ from .plans import (build_geo_dimension, clients_view, enrich_user_service,
 from .schemas import COUNTRY_GEO, USER_SERVICE, USER_SERVICE_PII
 from .plans.landing import land_mapped_csv, map_columns
 from .plans.enrichment import load_employee_table, load_user_service_table
-from .plans.tables import evolve_visit_month
+from .plans.tables import evolve_visit_month, export_departments
 from .plans.medallion import (bronze_from_tables, gold_report, latest_report, silver_drop,
                               silver_hash)
 from .session import scratch_path
@@ -638,6 +638,19 @@ def q_employee_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def q_department_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 then W10: the employee table is loaded, then exported as one CSV
+    dataset per department in one job (``department=R&D``,
+    ``department=Sales%2FOps`` ...); every export is read back."""
+    db = _scratch_db(spark, "departments")
+    name = load_employee_table(spark, employees(spark, sf_dir), geo_dimension(spark, sf_dir), db)
+    path = scratch_path(spark, "department_export")
+    export_departments(spark, name, path)
+    # the files hold the table's columns in table order, the key in the folder name
+    data = T.StructType([f for f in spark.table(name).schema.fields if f.name != "department"])
+    return read_csv(spark, path, data.add("department", T.StringType()))
+
+
 EMPLOYEE_TABLE_SQL = f"""
 with e as (
   select cast(c_custkey as int) as employee_id, c_name as first_name, n_name as last_name,
@@ -957,6 +970,7 @@ QUERIES: dict[str, Query] = {
     "medallion_silver_stream": q_medallion_silver_stream,
     "medallion_silver_drop": q_medallion_silver_drop,
     "employee_table_load": q_employee_table_load,
+    "department_export": q_department_export,
     "user_service_enrich": q_user_service_enrich,
     "user_service_table_load": q_user_service_table_load,
     "mapped_landing": q_mapped_landing,
@@ -1000,6 +1014,7 @@ ORACLES: dict[str, str] = {
     "medallion_silver_stream": MEDALLION_SILVER_SQL,
     "medallion_silver_drop": STAR_SQL.replace(" c_name,", ""),
     "employee_table_load": EMPLOYEE_TABLE_SQL,
+    "department_export": EMPLOYEE_TABLE_SQL,
     "user_service_enrich": USER_SERVICE_SQL,
     "user_service_table_load": USER_SERVICE_TABLE_SQL,
     "mapped_landing": MAPPED_LANDING_SQL,
