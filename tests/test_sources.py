@@ -93,3 +93,22 @@ def test_jdbc_options():
         jdbc_read_options("jdbc:x")
     with pytest.raises(ValueError):
         jdbc_read_options("jdbc:x", table="t", partition_column="id")
+
+
+def test_read_days_prunes_other_days(spark, scratch):
+    """Every run of every day in one scan; a dt filter prunes the other days'
+    folders (partition filter), and both runs of the kept day are read."""
+    from pyspark.sql import functions as F
+
+    from layercake.sources import read_days
+
+    from .conftest import plan_text
+    for day, n in (("2024-09-04", 5), ("2024-09-05", 7), ("2024-09-05", 3), ("2024-09-06", 11)):
+        write_layer(spark.range(n), scratch, "t", "silver", new_run(), fmt="parquet", dt=day)
+    days = read_days(spark, scratch, "t", "silver")
+    assert sorted(days.columns) == ["dt", "id", "run_id"]
+    one = days.where(F.col("dt") == "2024-09-05")
+    plan = plan_text(one)
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-09-05" in plan
+    assert one.count() == 10
+    assert one.select("run_id").distinct().count() == 2
