@@ -96,3 +96,13 @@ def test_cast_if_present_malformed_to_null(spark):
 def test_run_ids_unique_and_sortable():
     a, b = new_run(datetime(2024, 9, 5, 10, 0)), new_run(datetime(2024, 9, 5, 10, 1))
     assert a.run_id != b.run_id and a.run_id < b.run_id and a.dt == "2024-09-05"
+
+
+def test_to_double_and_to_timestamp_never_fail(spark):
+    from layercake.functions import to_double, to_timestamp
+    df = spark.createDataFrame([("1.5", "2024-09-05 10:00:00"), ("n/a", "bad"), (None, None)],
+                               "p string, t string")
+    got = df.select(to_double(F.col("p")).alias("p"), to_timestamp(F.col("t"), ntz=True)
+                    .alias("t")).collect()
+    assert [(r.p, r.t) for r in got] == [(1.5, datetime(2024, 9, 5, 10, 0)), (None, None),
+                                         (None, None)]

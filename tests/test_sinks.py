@@ -140,3 +140,14 @@ def test_export_hot_key_is_split_over_tasks(spark, scratch):
     hot = [f for f in os.listdir(f"{scratch}/skew/k=hot") if f.startswith("part-")]
     assert len(hot) > 1
     assert spark.read.parquet(f"{scratch}/skew").where("k = 'hot'").count() == 100000
+
+
+def test_export_by_key_bounds_file_size_and_key_first(spark, scratch):
+    from layercake.sinks.files import select_key_first
+    df = spark.range(0, 1000, numPartitions=1).select(
+        F.col("id"), F.when(F.col("id") < 900, "big").otherwise("small").alias("k"))
+    assert select_key_first(df, "k").columns == ["k", "id"]
+    assert export_by_key(df, "k", f"{scratch}/cap", fmt="parquet", max_records_per_file=100) == 1000
+    big = [f for f in os.listdir(f"{scratch}/cap/k=big") if f.startswith("part-")]
+    assert len(big) >= 9                                    # 900 rows, <= 100 per file
+    assert spark.read.parquet(f"{scratch}/cap").count() == 1000

@@ -34,3 +34,13 @@ def test_stream_silver_processes_each_bronze_file_once(spark, scratch):
     assert back == {1: (hashlib.sha256(b"Ann").hexdigest(), date(2024, 9, 5)),
                     2: (None, date(2024, 9, 5)),              # '' read as NULL stays NULL
                     3: (hashlib.sha256(b"Bo").hexdigest(), date(2024, 9, 6))}
+
+
+def test_stream_silver_drop_action(spark, scratch):
+    rows_ = spark.createDataFrame([(1, "Ann", "Shipped"), (2, None, "Pending")], SCHEMA)
+    write_layer(rows_, scratch, "orderitems", "bronze", new_run(), dt="2024-09-05")
+    stream_silver(spark, scratch, "orderitems", SCHEMA, f"{scratch}/_checkpoints/drop",
+                  pii=["firstname"], action="drop").awaitTermination()
+    out = spark.read.parquet(layer_root(scratch, "orderitems", "silver_stream"))
+    assert sorted(out.columns) == ["OrderItemID", "Status", "dt"]
+    assert sorted(r.OrderItemID for r in out.collect()) == [1, 2]
