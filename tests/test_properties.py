@@ -87,3 +87,63 @@ def test_run_stamp_columns(spark):
     r = run.stamp(spark.range(1)).first()
     assert r.run_id == run.run_id and r.run_ts == datetime(2024, 9, 5, 10, 0)
     assert dict(run.stamp(spark.range(1)).dtypes)["run_ts"] == "timestamp_ntz"
+
+
+key = st.one_of(st.none(), st.integers(0, 5))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(key, st.integers(0, 3), st.integers(0, 99)), max_size=25),
+       st.lists(key, max_size=8))
+def test_first_match_equals_brute_force(spark, cands, keys):
+    """first_match == for each key row, the candidate with the smallest
+    (rank, value) among those with an equal, non-NULL key (NULLs never match)."""
+    from layercake.operators import first_match
+    k = spark.createDataFrame([(x,) for x in keys], "k int")
+    c = spark.createDataFrame(cands, "k int, rank int, v int")
+    got = sorted(((r.k, r.v) for r in first_match(k, c, "k", ["rank", "v"], ["v"]).collect()),
+                 key=repr)
+    want = []
+    for x in keys:
+        mine = sorted((rank, v) for ck, rank, v in cands if x is not None and ck == x)
+        want.append((x, mine[0][1] if mine else None))
+    assert got == sorted(want, key=repr)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(key, st.integers(0, 9)), max_size=25), st.lists(key, max_size=10))
+def test_rows_to_insert_equals_brute_force(spark, source, target):
+    """The anti join keeps exactly the source rows whose key is NULL or absent
+    from the target's non-NULL keys; duplicates are all kept."""
+    from layercake.sinks import rows_to_insert
+    s = spark.createDataFrame(source, "id int, v int")
+    t = spark.createDataFrame([(x,) for x in target], "id int")
+    got = sorted((tuple(r) for r in rows_to_insert(s, t, ["id"]).collect()), key=repr)
+    present = {x for x in target if x is not None}
+    want = sorted((r for r in source if r[0] is None or r[0] not in present), key=repr)
+    assert got == want
+
+
+zips = st.sampled_from(["1", " 1", "1  ", "\t1", "2", None])
+cities = st.sampled_from(["Own", "", None])
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(zips, cities), max_size=15),
+       st.lists(st.tuples(st.sampled_from(["1", "2", "\t1", None]), st.sampled_from("ab")),
+                max_size=6))
+def test_lookup_fill_equals_brute_force(spark, people, dim):
+    """Left key trimmed of spaces only (tabs stay); every matching dimension
+    row fans out; City filled from the dimension only when NULL or ''."""
+    from layercake.operators import lookup_fill
+    left = spark.createDataFrame(people, "Zipcode string, City string")
+    right = spark.createDataFrame(dim, "Zipcode string, Geo_City string")
+    out = lookup_fill(left, right, "Zipcode", "Zipcode", {"City": "Geo_City"})
+    got = sorted((tuple(r) for r in out.select("Zipcode", "City", "Geo_City").collect()), key=repr)
+    want = []
+    for z, city in people:
+        t = None if z is None else z.strip(" ")
+        hits = [g for dz, g in dim if t is not None and dz == t]
+        for g in hits or [None]:
+            want.append((t, g if city in (None, "") else city, g))
+    assert got == sorted(want, key=repr)
