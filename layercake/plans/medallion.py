@@ -2,8 +2,9 @@
 
 Each step reads one run of the previous layer (the newest of the day unless a
 run id is given) and publishes a new run of its own; steps share nothing but
-the ``root``/``topic``/``dt`` path convention.  No sleeps: a run folder is
-visible only after Spark's job commit.
+the ``root``/``topic``/``dt`` path convention.  No sleeps: a reader takes the
+newest run whose job commit has finished (its ``_SUCCESS`` marker), so a run
+still being published is never read half-way.
 """
 
 from __future__ import annotations

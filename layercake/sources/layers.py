@@ -2,7 +2,7 @@
 
 Layout: ``{root}/{topic}/{layer}/dt=YYYY-MM-DD/run_id={run}/part-*``.  Each run
 publishes a whole directory (every part file) under its own id; a reader takes
-one run: the given one, or the run holding the newest file of the day.
+one run: the given one, or the newest run of the day whose commit has finished.
 Reading one ``dt=`` folder lists only that folder (partition pruning by path).
 """
 
@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import require_path
-from .files import newest_file
+from .files import list_files
 
 
 def layer_root(root: str, topic: str, layer: str) -> str:
@@ -31,16 +33,45 @@ def legacy_prefix(project: str, day: date, topic: str, layer: str) -> str:
     return f"{project}/{day:%Y}/{day:%B}/{day:%d}/{topic}/{layer}/"
 
 
+def committed(spark: SparkSession, run_dir: str) -> bool:
+    """True when the run's job commit has finished: Spark's file committer
+    writes ``_SUCCESS`` after every part file is in place.  A metadata check
+    (no job); the marker itself is never read as data."""
+    try:
+        spark.read.format("text").load(f"{run_dir.rstrip('/')}/_SUCCESS")
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
+
+
 def newest_run(spark: SparkSession, root: str, topic: str, layer: str, dt: str) -> str:
-    """Directory of the run that holds the newest file of ``dt`` (Q1 if none)."""
+    """Directory of the newest *committed* run of ``dt`` (Q1 if none).
+
+    Runs are ranked by their newest file (ties by run folder, i.e. by the
+    time-sortable run id); the first one whose commit has finished wins.  A
+    run written by :func:`~layercake.sinks.write_layer` has its own
+    ``_SUCCESS``, and until it appears (part files land one by one during the
+    job commit) the run is skipped, so a reader never takes half a run.  Runs
+    bulk-loaded by one partitioned job into the layer root carry only the
+    root's marker; once a layer has one, its runs count as committed (a run
+    still being published into such a layer cannot be told apart).  The
+    ranking is a Spark aggregate over file metadata; only run folder names
+    reach the driver, newest first, until one is committed.
+    """
     day = layer_path(root, topic, layer, dt)
-    path = require_path(newest_file(spark, day), day)
-    start = path.rfind("/run_id=")
-    if start < 0:
-        raise ValueError(f"{path} is not inside a run_id= folder")
-    end = path.find("/", start + 1)
-    run_dir = path if end < 0 else path[:end]
-    return run_dir
+    bulk = committed(spark, layer_root(root, topic, layer))
+    runs = (list_files(spark, day).where(F.col("length") > 0)
+            .select(F.regexp_extract("path", r"^(.*/run_id=[^/]+)/", 1).alias("run"),
+                    "modificationTime")
+            .where(F.col("run") != "")
+            .groupBy("run").agg(F.max("modificationTime").alias("newest"))
+            .orderBy(F.col("newest").desc(), F.col("run").desc()))
+    for row in runs.toLocalIterator():
+        if bulk or committed(spark, row["run"]):
+            return row["run"]
+    return require_path(None, day)
 
 
 def read_layer(

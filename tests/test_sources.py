@@ -112,3 +112,21 @@ def test_read_days_prunes_other_days(spark, scratch):
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-09-05" in plan
     assert one.count() == 10
     assert one.select("run_id").distinct().count() == 2
+
+
+def test_read_layer_skips_a_run_still_being_published(spark, scratch):
+    """A newer run whose part files are in place but whose job commit has not
+    finished (no ``_SUCCESS`` yet) is skipped until it is committed."""
+    import time
+    done = write_layer(spark.range(4), scratch, "t", "bronze", new_run(), dt="2024-09-05")
+    assert os.path.exists(f"{done}/_SUCCESS")
+    time.sleep(1.1)                               # a strictly newer modification time
+    busy = f"{scratch}/t/bronze/dt=2024-09-05/run_id={new_run().run_id}"
+    os.makedirs(busy)
+    with open(f"{busy}/part-00000.csv", "w") as fh:
+        fh.write("id\n100\n101\n")
+    back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", schema="id long")
+    assert sorted(r.id for r in back.collect()) == [0, 1, 2, 3]
+    open(f"{busy}/_SUCCESS", "w").close()        # the commit finishes
+    back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", schema="id long")
+    assert sorted(r.id for r in back.collect()) == [100, 101]
