@@ -61,15 +61,20 @@ def newest_run(spark: SparkSession, root: str, topic: str, layer: str, dt: str)
     reach the driver, newest first, until one is committed.
     """
     day = layer_path(root, topic, layer, dt)
-    bulk = committed(spark, layer_root(root, topic, layer))
-    runs = (list_files(spark, day).where(F.col("length") > 0)
-            .select(F.regexp_extract("path", r"^(.*/run_id=[^/]+)/", 1).alias("run"),
-                    "modificationTime")
-            .where(F.col("run") != "")
-            .groupBy("run").agg(F.max("modificationTime").alias("newest"))
+    files = (list_files(spark, day).where(F.col("length") > 0)
+             .select(F.regexp_extract("path", r"^(.*/run_id=[^/]+)/", 1).alias("run"),
+                     "modificationTime")
+             .where(F.col("run") != ""))
+    # common case, one aggregate: the run holding the newest file is committed
+    top = files.agg(F.max_by("run", F.struct("modificationTime", "run")).alias("run")).first()
+    newest = require_path(top["run"] if top else None, day)
+    if committed(spark, newest) or committed(spark, layer_root(root, topic, layer)):
+        return newest
+    # it is still being published: the next runs, newest first
+    runs = (files.groupBy("run").agg(F.max("modificationTime").alias("newest"))
             .orderBy(F.col("newest").desc(), F.col("run").desc()))
     for row in runs.toLocalIterator():
-        if bulk or committed(spark, row["run"]):
+        if committed(spark, row["run"]):
             return row["run"]
     return require_path(None, day)
 
