@@ -3,11 +3,12 @@
 from .csv import read_csv
 from .files import list_files, newest_file, read_newest, read_report
 from .jdbc import jdbc_read_options, read_jdbc
-from .layers import layer_path, layer_root, legacy_prefix, newest_run, read_days, read_layer
+from .layers import (committed, layer_path, layer_root, legacy_prefix, newest_run, read_days,
+                     read_layer)
 from .tables import read_table
 
 __all__ = [
-    "jdbc_read_options", "layer_path", "layer_root", "legacy_prefix", "list_files",
+    "committed", "jdbc_read_options", "layer_path", "layer_root", "legacy_prefix", "list_files",
     "newest_file", "newest_run", "read_csv", "read_days", "read_jdbc", "read_layer",
     "read_newest", "read_report", "read_table",
 ]
