@@ -65,8 +65,12 @@ def order_tables(spark):
     return items, orders, customers, products
 
 
-def test_star_join_reference_shape(spark):
-    out = order_items_view(*order_tables(spark), ORDER_ITEMS_COLUMNS)
+@pytest.mark.parametrize("customers_first", [False, True])
+def test_star_join_reference_shape(spark, customers_first):
+    """The source's own names (OrderID, CustomerID on both sides of a join)
+    resolve in either join order."""
+    out = order_items_view(*order_tables(spark), ORDER_ITEMS_COLUMNS,
+                           customers_first=customers_first)
     assert out.columns == list(ORDER_ITEMS_COLUMNS)
     # item 4 has no order: inner join drops it
     assert rows(out, "OrderItemID", "FirstName", "ProductName") == [
