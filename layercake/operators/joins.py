@@ -89,20 +89,37 @@ def lookup_fill(
     fill: Mapping[str, str],
     *,
     trim_left_key: bool = True,
+    dedupe_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left-outer lookup on a space-trimmed left key, then fill blanks.
 
     The right key is not trimmed.  ``fill = {"City": "Geo_City"}`` takes the
     dimension's value only where the row's own value is NULL or ``''``.
-    Several dimension rows with one key fan the row out (like any equi-join);
-    dedupe the dimension with :func:`first_match` first if that is unwanted.
+    Several dimension rows with one key fan the row out (like any equi-join,
+    the original job's behaviour and the default).  ``dedupe_by`` keeps one
+    dimension row per key first (the first by those columns), so every row
+    gets at most one match and a duplicated hot key cannot multiply rows.
     """
+    if dedupe_by:
+        dim = first_per_key(dim, right_key, dedupe_by)
     if trim_left_key:
         df = df.withColumn(left_key, trim_spaces(col(left_key)))
     joined = lookup(df, dim, left_key, right_key)
     return joined.withColumns({c: blank_fallback(col(c), col(src)) for c, src in fill.items()})
 
 
+def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """One row per ``key``: the first by ``order_by`` (ties broken by the later
+    columns; make the last one unique for a deterministic pick).  A ``min_by``
+    aggregate with a partial (map-side) stage, so a key with a third of all
+    rows is reduced inside every task before the shuffle."""
+    rest = [c for c in df.columns if c != key]
+    best = df.groupBy(col(key).alias(key)).agg(
+        F.min_by(F.struct(*[col(c) for c in rest]),
+                 F.struct(*[col(o) for o in order_by])).alias("__best"))
+    return best.select(col(key), *[F.col("__best").getField(c).alias(c) for c in rest])
+
+
 def first_match(
     keys: DataFrame,
     candidates: DataFrame,

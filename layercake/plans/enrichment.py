@@ -47,15 +47,19 @@ def enrich_user_service(
     visit_ts: str = "Visit Timestamp", zip_key: str = "Zipcode", dim_zip_key: str = "Zipcode",
     fill: Mapping[str, str] | None = None,
     output: T.StructType | Sequence[str] = USER_SERVICE_TABLE,
+    dedupe_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """W7 transform: hash PII (NULL stays NULL, ``''`` is hashed), visit year and
     month name, zip lookup on the trimmed zip with blank City/State filled from
-    the dimension, then the table's column order."""
+    the dimension, then the table's column order.  A zip listed twice in the
+    dimension fans the visit out, as in the original job, unless ``dedupe_by``
+    picks one dimension row per zip."""
     fill = {"City": "Geo_City", "State": "Geo_State"} if fill is None else fill
     hashed = hash_columns(users, pii, blank="hash")
     dated = hashed.withColumns({"visit_year": year_of(col(visit_ts)),
                                 "visit_month": month_name(col(visit_ts))})
-    return conform(lookup_fill(dated, zips, zip_key, dim_zip_key, fill), output)
+    return conform(lookup_fill(dated, zips, zip_key, dim_zip_key, fill, dedupe_by=dedupe_by),
+                   output)
 
 
 def load_user_service_table(spark: SparkSession, users: DataFrame, zips: DataFrame,

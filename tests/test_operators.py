@@ -155,3 +155,20 @@ def test_distinct_top_and_preview(spark):
     assert rows(distinct_values(df, "d")) == [("a",), ("b",), (None,)]
     assert [r.id for r in top_n(df, [F.col("id").desc()], 1).collect()] == [4]
     assert [r.id for r in preview(df, [F.col("id")], 2).collect()] == [1, 2]
+
+
+def test_lookup_fill_dedupe_keeps_one_match_per_row(spark):
+    from layercake.operators import first_per_key
+    users = spark.createDataFrame([("1 ", ""), ("1", None), ("2", "Own"), (None, "")],
+                                  "Zipcode string, City string")
+    zips = spark.createDataFrame([("1", "Town B"), ("1", "Town A"), ("2", "Z"), (None, "N")],
+                                 "Zipcode string, Geo_City string")
+    fanned = lookup_fill(users, zips, "Zipcode", "Zipcode", {"City": "Geo_City"})
+    assert fanned.count() == 6                                   # zip 1 matches twice
+    one = lookup_fill(users, zips, "Zipcode", "Zipcode", {"City": "Geo_City"},
+                      dedupe_by=["Geo_City"])
+    assert rows(one, "Zipcode", "City") == [("1", "Town A"), ("1", "Town A"), ("2", "Own"),
+                                            (None, None)]
+    firsts = first_per_key(zips, "Zipcode", ["Geo_City"])
+    assert firsts.columns == ["Zipcode", "Geo_City"]
+    assert "partial_min_by" in firsts._jdf.queryExecution().executedPlan().toString()
