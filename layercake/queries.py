@@ -244,6 +244,20 @@ select u.c_custkey, u.Zipcode,
 from u left join z on u.Zipcode = z.Zipcode"""
 
 
+def q_trimmed_key_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 with ``dedupe_by``: the ASIA zips listed twice keep their first
+    city, so no row fans out."""
+    out = lookup_fill(padded_zip_rows(spark, sf_dir), zip_dimension(spark, sf_dir),
+                      "Zipcode", "Zipcode", {"City": "Geo_City"}, dedupe_by=["Geo_City"])
+    return out.select("c_custkey", "Zipcode", "City", "Geo_City")
+
+
+TRIMMED_DEDUPE_SQL = TRIMMED_SQL.replace(
+    "from u left join z on u.Zipcode = z.Zipcode",
+    "from u left join (select Zipcode, min(Geo_City) as Geo_City from z group by Zipcode) z"
+    " on u.Zipcode = z.Zipcode")
+
+
 # ---------------------------------------------------------------- F4-F6
 def q_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate")
@@ -945,6 +959,7 @@ QUERIES: dict[str, Query] = {
     "hash_pii_blank": q_hash_pii_blank,
     "recode_geo_enrich": q_recode_geo_enrich,
     "trimmed_key_fallback": q_trimmed_key_fallback,
+    "trimmed_key_dedupe": q_trimmed_key_dedupe,
     "date_parts": q_date_parts,
     "cast_if_present": q_cast_if_present,
     "insert_only_merge": q_insert_only_merge,
@@ -987,6 +1002,7 @@ ORACLES: dict[str, str] = {
                        f"from {BLANKED_SQL}"),
     "recode_geo_enrich": RECODE_GEO_SQL,
     "trimmed_key_fallback": TRIMMED_SQL,
+    "trimmed_key_dedupe": TRIMMED_DEDUPE_SQL,
     "date_parts": DATE_PARTS_SQL,
     "cast_if_present": CAST_IF_PRESENT_SQL,
     "insert_only_merge": INSERT_ONLY_MERGE_SQL,
