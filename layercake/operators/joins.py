@@ -114,6 +114,8 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     aggregate with a partial (map-side) stage, so a key with a third of all
     rows is reduced inside every task before the shuffle."""
     rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.select(col(key)).distinct()
     best = df.groupBy(col(key).alias(key)).agg(
         F.min_by(F.struct(*[col(c) for c in rest]),
                  F.struct(*[col(o) for o in order_by])).alias("__best"))

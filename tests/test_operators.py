@@ -172,3 +172,12 @@ def test_lookup_fill_dedupe_keeps_one_match_per_row(spark):
     firsts = first_per_key(zips, "Zipcode", ["Geo_City"])
     assert firsts.columns == ["Zipcode", "Geo_City"]
     assert "partial_min_by" in firsts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_per_key_key_only_and_ties(spark):
+    from layercake.operators import first_per_key
+    keys_only = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert rows(first_per_key(keys_only, "k", ["k"])) == [("a",), (None,)]
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", 5, "w")],
+                               "k string, r int, v string")
+    assert rows(first_per_key(df, "k", ["r", "v"])) == [("a", 1, "y"), ("b", 5, "w")]
