@@ -10,10 +10,12 @@ from ..names import col, resolve
 
 
 def to_double(c: Column) -> Column:
+    """``c`` as DOUBLE; malformed text becomes NULL."""
     return c.try_cast("double")
 
 
 def to_timestamp(c: Column, ntz: bool = False) -> Column:
+    """``c`` as TIMESTAMP (``ntz``: without time zone); malformed text becomes NULL."""
     return c.try_cast("timestamp_ntz" if ntz else "timestamp")
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class RunInfo:
+    """One run: its unique, time-sortable id and its start time (UTC)."""
+
     run_id: str
     started: datetime
 

@@ -15,6 +15,7 @@ TS, DT, L = T.TimestampType(), T.DateType(), T.LongType()
 
 
 def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+    """A StructType of nullable fields, in the order given."""
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 

@@ -59,6 +59,7 @@ def table_info(spark: SparkSession, name: str) -> dict[str, str]:
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The table's partition columns, in partition order (catalog metadata only)."""
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 

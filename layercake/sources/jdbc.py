@@ -49,4 +49,5 @@ def jdbc_read_options(
 
 
 def read_jdbc(spark: SparkSession, url: str, **kwargs) -> DataFrame:
+    """S3: a JDBC query or table as a DataFrame (options as in :func:`jdbc_read_options`)."""
     return spark.read.format("jdbc").options(**jdbc_read_options(url, **kwargs)).load()

@@ -20,10 +20,12 @@ from .files import list_files
 
 
 def layer_root(root: str, topic: str, layer: str) -> str:
+    """``{root}/{topic}/{layer}``: every day and run of one layer."""
     return f"{root.rstrip('/')}/{topic}/{layer}"
 
 
 def layer_path(root: str, topic: str, layer: str, dt: str, run_id: str | None = None) -> str:
+    """The folder of one day (``dt=``) of a layer, or of one run of that day."""
     base = f"{layer_root(root, topic, layer)}/dt={dt}"
     return f"{base}/run_id={run_id}" if run_id else base
 

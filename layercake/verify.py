@@ -15,6 +15,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 @dataclass
 class Outcome:
+    """Result of one Spark-vs-DuckDB comparison."""
+
     name: str
     ok: bool
     rows: int
@@ -35,6 +37,7 @@ def _sorted(records):
 
 
 def duck(sf_dir: str):
+    """A DuckDB connection with every test table of ``sf_dir`` as a view."""
     import duckdb
     con = duckdb.connect()
     for t in TABLES:
