@@ -75,8 +75,13 @@ def lookup(
     right_key: str,
     *,
     drop_right_key: bool = True,
+    dedupe_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left-outer lookup; unmatched rows get NULL dimension columns."""
+    """Left-outer lookup; unmatched rows get NULL dimension columns.
+    ``dedupe_by`` keeps one dimension row per key first (see :func:`first_per_key`),
+    so a key listed twice cannot multiply rows."""
+    if dedupe_by:
+        dim = first_per_key(dim, right_key, dedupe_by)
     joined = df.join(dim, _on(df, dim, left_key, right_key), "left_outer")
     return joined.drop(dim[quote(right_key)]) if drop_right_key else joined
 
@@ -100,11 +105,9 @@ def lookup_fill(
     dimension row per key first (the first by those columns), so every row
     gets at most one match and a duplicated hot key cannot multiply rows.
     """
-    if dedupe_by:
-        dim = first_per_key(dim, right_key, dedupe_by)
     if trim_left_key:
         df = df.withColumn(left_key, trim_spaces(col(left_key)))
-    joined = lookup(df, dim, left_key, right_key)
+    joined = lookup(df, dim, left_key, right_key, dedupe_by=dedupe_by)
     return joined.withColumns({c: blank_fallback(col(c), col(src)) for c, src in fill.items()})
 
 

@@ -181,3 +181,12 @@ def test_first_per_key_key_only_and_ties(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", 5, "w")],
                                "k string, r int, v string")
     assert rows(first_per_key(df, "k", ["r", "v"])) == [("a", 1, "y"), ("b", 5, "w")]
+
+
+def test_lookup_dedupe_by(spark):
+    people = spark.createDataFrame([(1, "Peru"), (2, "Chad")], "id int, nationality string")
+    geo = spark.createDataFrame([("Peru", 2, -9.0), ("Peru", 1, -10.0), ("Chad", 1, 15.0)],
+                                "Country string, rank int, Latitude double")
+    assert lookup(people, geo, "nationality", "Country").count() == 3
+    one = lookup(people, geo, "nationality", "Country", dedupe_by=["rank"])
+    assert rows(one, "id", "Latitude") == [(1, -10.0), (2, 15.0)]
