@@ -8,6 +8,7 @@ from .quality import EmptyOutputError, NoInputError, counted, require_path, requ
 
 __all__ = [
     "EmptyOutputError", "NoInputError", "StarKeys", "apply_mapping", "conform", "counted",
-    "distinct_values", "drop_pii", "first_match", "first_per_key", "lookup", "lookup_fill", "order_items_view",
-    "preview", "require_path", "require_rows", "status_report", "top_n", "where_equals",
+    "distinct_values", "drop_pii", "first_match", "first_per_key", "lookup", "lookup_fill",
+    "order_items_view", "preview", "require_path", "require_rows", "status_report", "top_n",
+    "where_equals",
 ]

@@ -9,7 +9,8 @@ from .medallion import (bronze_from_jdbc, bronze_from_tables, gold_report, lates
 from .tables import evolve_visit_month, export_departments
 
 __all__ = [
-    "bronze_from_jdbc", "bronze_from_tables", "build_geo_dimension", "country_keys", "clients_view", "enrich_employees",
+    "bronze_from_jdbc", "bronze_from_tables", "build_geo_dimension", "country_keys", "clients_view",
+    "enrich_employees",
     "enrich_user_service", "evolve_visit_month", "export_clients", "export_departments",
     "gold_report", "land_mapped_csv", "latest_report", "load_employee_table",
     "load_user_service_table", "map_columns", "publish_geo_dimension", "silver_drop", "silver_hash",

@@ -779,7 +779,8 @@ def _visit_columns() -> list[tuple[str, Callable[[], Column], str]]:
                   "case when c_acctbal < 0 then null else c_mktsegment end"),
         "Zipcode": (lambda: F.when(seg() == "FURNITURE", F.concat(F.lit("\t"), nk()))
                     .otherwise(F.concat(F.lit("  "), nk(), F.lit(" "))),
-                    "case when c_mktsegment = 'FURNITURE' then chr(9) || cast(c_nationkey as varchar)"
+                    "case when c_mktsegment = 'FURNITURE' "
+                    "then chr(9) || cast(c_nationkey as varchar)"
                     " else '  ' || cast(c_nationkey as varchar) || ' ' end"),
         "Date of Birth": (lambda: F.col("o_orderdate").cast("date").cast("string"),
                           "cast(cast(o_orderdate as date) as varchar)"),
@@ -862,7 +863,8 @@ def _user_service_sql() -> str:
   from nation where n_regionkey {w}"""
     kept = z.format(s="", w="<> 3")
     again = z.format(s="-2", w="= 0")
-    return (f"with u as (\n  select {inner}\n  from orders join customer on o_custkey = c_custkey),\n"
+    return (f"with u as (\n  select {inner}\n"
+            "  from orders join customer on o_custkey = c_custkey),\n"
             f"z as (\n  {kept}\n  union all\n  {again})\n"
             f"select {', '.join(outer)},\n"
             "       z.Country, z.Country_Code, z.State_Code,\n"
