@@ -45,9 +45,16 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark type -> DuckDB result types that hold the same values
+SAME_TYPE = {"int": {"INTEGER"}, "bigint": {"BIGINT"}, "string": {"VARCHAR"},
+             "double": {"DOUBLE"}, "boolean": {"BOOLEAN"}, "date": {"DATE"},
+             "timestamp_ntz": {"TIMESTAMP"}, "timestamp": {"TIMESTAMP WITH TIME ZONE", "TIMESTAMP"},
+             "float": {"FLOAT"}}
+
+
 def compare(spark: SparkSession, sf_dir: str, name: str, query, sql: str | None, con
             ) -> Outcome:
-    """Column names (any order), row count and sorted values must agree."""
+    """Column names (any order), column types, row count and sorted values must agree."""
     t0 = time.time()
     df = query(spark, sf_dir)
     cols, got = df.columns, [tuple(r) for r in df.collect()]
@@ -58,6 +65,12 @@ def compare(spark: SparkSession, sf_dir: str, name: str, query, sql: str | None,
     ocols, want = res.columns, res.fetchall()
     if sorted(cols) != sorted(ocols):
         return Outcome(name, False, len(got), secs, f"columns {cols} vs {ocols}")
+    otypes = dict(zip(ocols, (str(t) for t in res.types)))
+    for f in df.schema.fields:
+        spark_type = f.dataType.simpleString()
+        if otypes[f.name] not in SAME_TYPE.get(spark_type, {spark_type.upper()}):
+            return Outcome(name, False, len(got), secs,
+                           f"type of {f.name}: {spark_type} vs {otypes[f.name]}")
     order = [ocols.index(c) for c in cols]
     want = [tuple(r[i] for i in order) for r in want]
     if len(got) != len(want):
