@@ -7,6 +7,14 @@ names, malformed prices, padded keys, unmatched dimension keys) are made with
 ``CASE`` on ordinary column values, identically on both sides.  Queries that
 exercise a sink write to a fresh folder under the shared checkpoint folder
 and return what they read back.
+
+Sections, in file order: J1/W1 star join; A1-A4 reports; F1/F2 hashing;
+F3 J2 P4 recode + geo lookup; F7 F11 P8 J3 trimmed lookup (and its dedupe);
+F4-F6 date parts; P9 F10 casts; K6 J4 merge; F8 P2 clients view; J5 K11
+first match + geo publish; P1 P6 P7 A5 A7 A8 projections, filters, top-n;
+S1 S2 S5 S6 scans; S4 K3-K5 table overwrite, K8 export, K9 K10 evolution;
+W1-W5 medallion; W6 employee table and W6 -> W10 export; W7 and W7 + W11 on
+the 71-column table; W8 mapped landing; then the registry (QUERIES, ORACLES).
 """
 
 from __future__ import annotations
