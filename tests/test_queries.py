@@ -81,3 +81,17 @@ def test_pushdown_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)]" in plan
     plan = plan_text(QUERIES["date_parts"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_no_forbidden_operators_in_any_plan_writes_included():
+    """Every final plan of every registered query, its writes included (read
+    from the event log by scripts/plan_report.py in its own JVM), is free of
+    Python evaluation stages, nested-loop joins and Cartesian products."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    script = Path(__file__).resolve().parent.parent / "scripts" / "plan_report.py"
+    done = subprocess.run([sys.executable, str(script), "--check", SF_SMALL],
+                          capture_output=True, text=True, timeout=1200)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert done.stdout.count("\n| ") >= len(QUERIES)
