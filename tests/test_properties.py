@@ -147,3 +147,25 @@ def test_lookup_fill_equals_brute_force(spark, people, dim):
         for g in hits or [None]:
             want.append((t, g if city in (None, "") else city, g))
     assert got == sorted(want, key=repr)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(zips, cities), max_size=15),
+       st.lists(st.tuples(st.sampled_from(["1", "2", "\t1", None]), st.sampled_from("abc")),
+                max_size=8))
+def test_lookup_fill_dedupe_equals_brute_force(spark, people, dim):
+    """With dedupe_by every row keeps exactly one output row, matched to the
+    dimension row with the smallest value for its key."""
+    from layercake.operators import lookup_fill
+    left = spark.createDataFrame(people, "Zipcode string, City string")
+    right = spark.createDataFrame(dim, "Zipcode string, Geo_City string")
+    out = lookup_fill(left, right, "Zipcode", "Zipcode", {"City": "Geo_City"},
+                      dedupe_by=["Geo_City"])
+    got = sorted((tuple(r) for r in out.select("Zipcode", "City", "Geo_City").collect()), key=repr)
+    want = []
+    for z, city in people:
+        t = None if z is None else z.strip(" ")
+        hits = sorted(g for dz, g in dim if t is not None and dz == t)
+        g = hits[0] if hits else None
+        want.append((t, g if city in (None, "") else city, g))
+    assert got == sorted(want, key=repr)
