@@ -56,6 +56,11 @@ def test_entry_smoke(spark):
                           "average_price", "total_orders"]
     r = df.first()
     assert r.total_orders > 0 and r.items_shipped_count + r.items_pending_count <= r.total_orders
+    # the same report as the gold oracle (hashing names changes no count)
+    from layercake.queries import MEDALLION_GOLD_SQL
+    want = duck(SF_SMALL).sql(MEDALLION_GOLD_SQL).fetchall()[0]
+    assert (r.items_shipped_count, r.items_delivered_count, r.items_pending_count,
+            round(r.average_price, 4), r.total_orders) == want
 
 
 def test_broadcast_only_under_the_size_check(spark):
