@@ -130,3 +130,21 @@ def test_read_layer_skips_a_run_still_being_published(spark, scratch):
     open(f"{busy}/_SUCCESS", "w").close()        # the commit finishes
     back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", schema="id long")
     assert sorted(r.id for r in back.collect()) == [100, 101]
+
+
+def test_read_layer_bulk_load_counts_as_committed(spark, scratch):
+    """One partitioned job over many days writes only a root _SUCCESS; its runs
+    are read, and committed() tells the two kinds of marker apart."""
+    from pyspark.sql import functions as F
+
+    from layercake.sources import committed, layer_root
+    run = new_run()
+    days = spark.range(30).select(
+        F.col("id"), F.when(F.col("id") < 10, "2024-09-04").otherwise("2024-09-05").alias("dt"),
+        F.lit(run.run_id).alias("run_id"))
+    days.write.partitionBy("dt", "run_id").parquet(layer_root(scratch, "t", "bronze"))
+    assert committed(spark, layer_root(scratch, "t", "bronze"))
+    assert not committed(spark, f"{layer_root(scratch, 't', 'bronze')}/dt=2024-09-05/"
+                                f"run_id={run.run_id}")
+    back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", fmt="parquet")
+    assert back.count() == 20
