@@ -5,9 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mix_weights, robust_outliers
+from . import link_rank, mix_weights, prefix_join, robust_outliers
 from .common import table
 
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS x FROM
+          (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(x) AS n FROM win),
+pos AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS x FROM
+          (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, n, item_id FROM pos JOIN win USING (x)),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+          (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(t, ',' ORDER BY t)) AS items_sha256
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_weights.taken_per_document(mix_weights.mix_sources(table(spark, sf_dir, "documents")))
@@ -19,5 +40,15 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers)}
-ORACLES: dict[str, str] = {}
+def op8_link_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_rank.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_join.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"]).select(
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op8_link_rank, op9_prefix_join)}
+ORACLES: dict[str, str] = {"op9_prefix_join": OP9_SQL}
