@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import link_rank, mix_weights, prefix_join, robust_outliers
+from . import bayes_minhash, link_rank, mix_weights, prefix_join, robust_outliers
 from .common import table
 
 OP9_SQL = r"""
@@ -50,5 +50,11 @@ def op9_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op8_link_rank, op9_prefix_join)}
+def op10_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op8_link_rank, op9_prefix_join,
+                                    op10_bayes_minhash)}
 ORACLES: dict[str, str] = {"op9_prefix_join": OP9_SQL}
