@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bayes_minhash, bpe_arrays, link_rank, max_segment, mix_weights, prefix_join, robust_outliers, warc_revisit
+from . import bayes_minhash, bpe_arrays, link_rank, max_segment, mix_weights, nbsvm, prefix_join, robust_outliers, warc_revisit
 from .common import table
 
 OP9_SQL = r"""
@@ -40,6 +40,10 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op3_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisit.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -68,7 +72,7 @@ def op10_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op4_warc_revisit, op6_bpe_arrays,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op3_nbsvm, op4_warc_revisit, op6_bpe_arrays,
                                     op7_max_segment, op8_link_rank, op9_prefix_join,
                                     op10_bayes_minhash)}
 ORACLES: dict[str, str] = {"op9_prefix_join": OP9_SQL}
