@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bayes_minhash, bpe_arrays, link_rank, max_segment, mix_weights, nbsvm, prefix_join, robust_outliers, warc_revisit
+from . import bayes_minhash, bpe_arrays, context_mixing, link_rank, max_segment, mix_weights, nbsvm, prefix_join, robust_outliers, warc_revisit
 from .common import table
 
 OP9_SQL = r"""
@@ -48,6 +48,10 @@ def op4_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisit.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe_arrays.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -72,7 +76,8 @@ def op10_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op3_nbsvm, op4_warc_revisit, op6_bpe_arrays,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_robust_outliers, op3_nbsvm, op4_warc_revisit,
+                                    op5_context_mixing, op6_bpe_arrays,
                                     op7_max_segment, op8_link_rank, op9_prefix_join,
                                     op10_bayes_minhash)}
 ORACLES: dict[str, str] = {"op9_prefix_join": OP9_SQL}
