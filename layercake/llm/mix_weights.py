@@ -23,7 +23,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..names import col as named
-from .common import materialize, split_words
+from .common import keep_columns, materialize, row_key, split_words
 
 #: Documents per packing bucket: the unit of the two-level prefix sum.
 BUCKET_DOCS = 4096
@@ -120,8 +120,8 @@ def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFra
         docs.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("source_name")), "inner")
         .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size"))
         .withColumn("bucket", F.pmod("place", F.lit(buckets)).cast("int"))
-        .select("doc_id", "src", "size", "place", "bucket"), "mix-sized")
-    in_order = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size").rowsBetween(
+        .select("doc_id", "key", "src", "size", "place", "bucket"), "mix-sized")
+    in_order = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size", "key").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -129,7 +129,7 @@ def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFra
     base = sums.withColumn("base", F.sum("words").over(before) - F.col("words")).drop("words")
     inner = placed.withColumn("within", F.sum("size").over(in_order) - F.col("size"))
     return inner.join(base, ["src", "bucket"]).select(
-        "doc_id", "src", "size", (F.col("base") + F.col("within")).alias("start"))
+        "doc_id", "key", "src", "size", (F.col("base") + F.col("within")).alias("start"))
 
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -144,7 +144,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     sized = docs.select(
-        named(id_col).alias("doc_id"), named(source_col).cast("string").alias("source"),
+        named(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), named(source_col).cast("string").alias("source"),
         F.size(split_words(named(text_col))).cast("long").alias("size"))
     per_source = sorted(
         ((r.source, r.size, r.n) for r in
@@ -194,7 +194,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 
 def taken_per_document(mix: Mix) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the mix summed up by document."""
+    """doc_id, key, src, size, source_size, target, taken: the mix summed up by document."""
     spark = mix.spans.sparkSession
     table = F.broadcast(spark.createDataFrame(
         [(s["src"], s["source_size"], float(s["target"])) for s in mix.sources],
@@ -205,5 +205,27 @@ def taken_per_document(mix: Mix) -> DataFrame:
     return (mix.spans.join(taken, has_words & (F.col("src") == F.col("in_src"))
                            & (F.col("start") == F.col("at")), "left")
             .join(table, "src")
-            .select("doc_id", "size", "source_size", "target",
+            .select("doc_id", "key", "src", "size", "source_size", "target",
                     F.coalesce("words", F.lit(0)).cast("long").alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", **options) -> DataFrame:
+    """The documents with what the mix takes of them: size, source_size, target, taken.
+
+    Rows of equal id, text and source take the mean of their group, as they are alike.
+    """
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    digest = taken_per_document(mix).groupBy("key", "src").agg(
+        F.max("size").alias("m_size"), F.max("source_size").alias("m_source_size"),
+        F.max("target").alias("m_target"), F.avg("taken").cast("long").alias("m_taken"))
+    names = docs.sparkSession.createDataFrame([(s["src"], s["source"]) for s in mix.sources],
+                                              "m_src int, m_source string")
+    taken = materialize(digest.join(F.broadcast(names), F.col("src") == F.col("m_src"))
+                        .withColumnRenamed("key", "m_key").drop("src", "m_src"), "mix-digest")
+    rows = docs.select(keep_columns(docs), row_key(id_col, text_col).alias("key"),
+                       named(source_col).cast("string").alias("source"))
+    new = [c for c in ("size", "source_size", "target", "taken")
+           if c not in {n.lower() for n in docs.columns}]
+    return rows.join(taken, (F.col("key") == F.col("m_key")) & F.col("source").eqNullSafe(F.col("m_source"))).select(
+        "row.*", *[F.col(f"m_{c}").alias(c) for c in new])

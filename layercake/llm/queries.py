@@ -31,7 +31,8 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_weights.taken_per_document(mix_weights.mix_sources(table(spark, sf_dir, "documents")))
+    return mix_weights.taken_per_document(mix_weights.mix_sources(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
