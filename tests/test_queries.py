@@ -19,10 +19,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    from layercake.queries import QUERIES as own
+    assert set(own) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     out = compare(spark, SF_SMALL, name, QUERIES[name], ORACLES[name], con)
     assert out.ok, out.detail
