@@ -26,7 +26,7 @@ from ..names import col as named
 from .common import keep_columns, materialize, row_key, split_words
 
 #: Documents per packing bucket: the unit of the two-level prefix sum.
-BUCKET_DOCS = 4096
+BUCKET_DOCS = 1024
 #: Slots made by one plan row, so that no row expands without bound.
 SLOT_RUN = 8192
 
