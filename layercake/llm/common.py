@@ -30,6 +30,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` (a written table) marked for broadcast if it has at most ``rows`` rows; beyond
+    that the planner chooses and may shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

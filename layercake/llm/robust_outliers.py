@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..names import col as named
-from .common import SPACE, keep_columns, materialize, split_words
+from .common import SPACE, broadcast_if_small, keep_columns, materialize, split_words
 
 WINDOW = 8
 #: The symbol class of the base rules.
@@ -165,6 +165,7 @@ def estimates(vectors: DataFrame, *, coverage: float, steps: int, min_group: int
     sizes = vectors.groupBy("lang", "source").agg(F.count("*").alias("size"))
     groups = materialize(sizes.select(
         "lang", "source", (F.col("size") < min_group).alias("pooled")), "mcd-groups")
+    groups = broadcast_if_small(groups)
     same = lambda a, b: a["lang"].eqNullSafe(b["lang"]) & a["source"].eqNullSafe(b["source"])
     labelled = vectors.join(groups, same(vectors, groups)).select(
         F.when(groups["pooled"], F.lit("")).otherwise(F.to_json(F.struct(
@@ -175,9 +176,9 @@ def estimates(vectors: DataFrame, *, coverage: float, steps: int, min_group: int
         return df.groupBy("g").agg(*[F.percentile_approx(c, 0.5).alias(n) for n, c in cols.items()])
 
     def factor(stats: DataFrame, scale: float, k: object) -> DataFrame:
-        return materialize(_inverse_factor(stats, scale), f"mcd-estimate-{k}")
+        return broadcast_if_small(materialize(_inverse_factor(stats, scale), f"mcd-estimate-{k}"))
 
-    centre = materialize(medians(labelled, {f"m_{i}": F.col(n) for i, n in enumerate(names)}), "mcd-medians")
+    centre = broadcast_if_small(materialize(medians(labelled, {f"m_{i}": F.col(n) for i, n in enumerate(names)}), "mcd-medians"))
     spread = medians(labelled.join(centre, "g"), {
         f"s_{i}": F.abs(F.col(n) - F.col(f"m_{i}")) for i, n in enumerate(names)})
     start = centre.join(spread, "g")
@@ -189,8 +190,8 @@ def estimates(vectors: DataFrame, *, coverage: float, steps: int, min_group: int
     scale = coverage / chi2_cdf(chi2_quantile(coverage, d), d + 2)
     for k in range(steps):
         far = labelled.join(current, "g").withColumn("d2", squared_distance()).select("g", "d2", *names)
-        cut = materialize(far.groupBy("g").agg(F.percentile_approx("d2", coverage).alias("cut")),
-                          f"mcd-cut-{k}")
+        cut = broadcast_if_small(materialize(far.groupBy("g").agg(F.percentile_approx("d2", coverage).alias("cut")),
+                          f"mcd-cut-{k}"))
         aggs = [F.avg(n).alias(f"m_{i}") for i, n in enumerate(names)] + [
             F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(d) for j in range(i + 1)]
         kept = far.join(cut, "g").filter("d2 <= cut").groupBy("g").agg(*aggs)
@@ -198,9 +199,9 @@ def estimates(vectors: DataFrame, *, coverage: float, steps: int, min_group: int
     count = labelled.groupBy("g").agg(F.count("*").alias("size"))
     final = current.join(count, "g")
     key = F.when(F.col("pooled"), F.lit("")).otherwise(F.to_json(F.struct("lang", "source")))
-    return materialize(groups.withColumn("g", key).join(final, "g")
+    return broadcast_if_small(materialize(groups.withColumn("g", key).join(final, "g")
                        .withColumnRenamed("lang", "g_lang").withColumnRenamed("source", "g_source"),
-                       "mcd-final")
+                       "mcd-final"))
 
 
 def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
