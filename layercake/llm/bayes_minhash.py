@@ -6,7 +6,8 @@ dropped as soon as the posterior probability that its similarity reaches the thr
 falls under ``miss``; survivors are verified on their full sets.  Pairs are never expanded
 within a group: first every node is compared with the smallest node of its buckets and
 components are joined; then only buckets that still hold different components are compared,
-in blocks of bounded size whose tasks emit survivors alone.
+in blocks of bounded size: twice each node with its nearest survivor of another component,
+at last all survivors between the components that are left.
 
 Edge cases: NULL, empty and word-free texts have an empty set and are linked with nothing;
 texts with fewer words than a shingle are one shingle; repeated rows and ids share a node;
@@ -33,6 +34,8 @@ BANDS, ROWS = 30, 5
 BATCH = 25
 #: Members of one side of a block comparison.
 BLOCK = 256
+#: Members of small buckets that are compared in one group of rows.
+GROUP_ROWS = 4096
 
 
 def hash64(word: bytes) -> int:
@@ -103,15 +106,17 @@ def prune_table(threshold: float, miss: float, size: int, batch: int) -> list[in
     return least
 
 
-def survives(a: np.ndarray, b: np.ndarray, least: list[int], batch: int) -> np.ndarray:
-    """Indexes of the row pairs of two signature matrices that pass every batch."""
+def survives(a: np.ndarray, b: np.ndarray, least: list[int], batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the row pairs of two signature matrices that pass every batch, and their matches."""
     alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int32)
     for k, need in enumerate(least):
         cut = slice(k * batch, (k + 1) * batch)
         matches = matches + (a[alive, cut] == b[alive, cut]).sum(axis=1)
         keep = matches >= need
         alive, matches = alive[keep], matches[keep]
-    return alive
+        if not len(alive):
+            break
+    return alive, matches
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
@@ -170,7 +175,7 @@ def _screen(pairs: DataFrame, sigs: DataFrame, least: list[int]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pdf.iloc[survives(_matrix(pdf["sa"]), _matrix(pdf["sb"]), least, BATCH)][["a", "b"]]
+                yield pdf.iloc[survives(_matrix(pdf["sa"]), _matrix(pdf["sb"]), least, BATCH)[0]][["a", "b"]]
 
     return joined.mapInPandas(run, "a long, b long")
 
@@ -211,31 +216,46 @@ def _verify(pairs: DataFrame, full: DataFrame, threshold: int, name: str) -> Dat
         .select("a", "b", "x", "y").mapInPandas(check, "a long, b long"), f"{name}-links")
 
 
-def _block_pairs(members: DataFrame, least: list[int]) -> DataFrame:
-    """Surviving pairs of different labels within buckets, compared block against block.
+def _block_pairs(members: DataFrame, least: list[int], nearest: bool, groups: int) -> DataFrame:
+    """(node, a, b, matches): surviving pairs of different labels within buckets, compared block
+    against block; with ``nearest`` only the best pair of every node.
 
     ``members``: bucket, node, label, sig, blocks (how many blocks the bucket is cut into).
-    Every member goes to the groups (its block, any other block); a group holds about two
-    blocks however large its bucket is.
+    Every member goes to the groups (its block, any block); a group holds about two blocks
+    however large its bucket is.  Buckets of one block share ``groups`` tasks' groups.
     """
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    spread = members.withColumn("own", own).withColumn(
+    spread = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    spread = spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    spread = spread.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
+    group = F.when(F.col("blocks") == 1, F.pmod("bucket", F.lit(groups))).otherwise(F.col("part"))
+    one = ["node", "a", "b", "matches"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, sig = [], _matrix(pdf["sig"])
-        node, label, block = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["own"].to_numpy()
-        same = pdf["i"].iloc[0] == pdf["j"].iloc[0]
-        for r in range(len(node)):
-            c = np.flatnonzero((label != label[r]) & (
-                (node > node[r]) if same else ((block > block[r]))))
-            if len(c):
-                c = c[survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)]
-                out += [(min(node[r], node[x]), max(node[r], node[x])) for x in c]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return spread.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
+        pdf = pdf.sort_values(["part", "node"])
+        out, sigs = [], _matrix(pdf["sig"])
+        columns = [pdf[c].to_numpy() for c in ("node", "label", "own")]
+        edges = np.flatnonzero(np.diff(pdf["part"].to_numpy())) + 1
+        for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(pdf)]):
+            (node, label, own), sig = (c[lo:hi] for c in columns), sigs[lo:hi]
+            if (label == label[0]).all():
+                continue
+            within = (own == own[0]).all()
+            for r in range(len(node)):
+                c = label != label[r]
+                if not within:
+                    c &= own != own[r]
+                if not nearest:
+                    c &= node > node[r] if within else own > own[r]
+                c = np.flatnonzero(c)
+                if len(c):
+                    alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
+                    for x in [np.argmax(m)] if nearest and len(m) else range(len(m)):
+                        y = node[c[alive[x]]]
+                        out.append((node[r], min(node[r], y), max(node[r], y), m[x]))
+        return pd.DataFrame(out, columns=one, dtype="int64")
+
+    return spread.withColumn("grp", group).select("grp", "part", "node", "label", "own", "sig").groupBy(
+        "grp").applyInPandas(run, "node long, a long, b long, matches long")
 
 
 def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: float, name: str) -> DataFrame:
@@ -258,30 +278,29 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
     # one candidate per node is enough to join a group: the smallest centre first
     linked = _verify(materialize(_screen(star, nodes, least).groupBy("b").agg(F.min("a").alias("a"))
                                  .select("a", "b"), f"{name}-first"), full, threshold, f"{name}-a")
-    for turn in range(2):
+    # then every node's nearest node of another component, twice; then all that still differ
+    for turn, nearest in enumerate((True, True, False)):
         label = components(linked, f"{name}-{turn}")
         marked = member.join(label, "node", "left").select(
             "bucket", "node", F.coalesce("label", "node").alias("label"))
         mixed = materialize(marked.groupBy("bucket").agg(
             F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-            .filter("lo <> hi").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), f"{name}-mixed")
-        cross = materialize(_block_pairs(
-            marked.join(mixed, "bucket").join(nodes, "node"), least).distinct(), f"{name}-cross")
-        if turn == 0:  # first the best-placed pair of every two components, then all that remain
-            la, lb = label.select(F.col("node").alias("a"), F.col("label").alias("la")), label.select(
-                F.col("node").alias("b"), F.col("label").alias("lb"))
-            cross = materialize(
-                cross.join(la, "a", "left").join(lb, "b", "left")
-                .select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
-                .groupBy(F.least("la", "lb").alias("p"), F.greatest("la", "lb").alias("q"))
-                .agg(F.min(F.struct("a", "b")).alias("s")).select("s.a", "s.b"), f"{name}-best")
-        linked = materialize(linked.union(_verify(cross, full, threshold, f"{name}-b{turn}")),
-                             f"{name}-linked")
+            .filter("lo <> hi").select("bucket", "n", F.ceil(F.col("n") / BLOCK).alias("blocks")), f"{name}-mixed")
+        total = mixed.agg(F.sum("n")).first()[0]
+        if not total:
+            break
+        found = _block_pairs(marked.join(mixed.drop("n"), "bucket").join(nodes, "node"), least, nearest,
+                             max(1, math.ceil(total / GROUP_ROWS)))
+        if nearest:
+            found = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("s")
+                                              ).select("s.a", "s.b")
+        cross = materialize(found.select("a", "b").distinct(), f"{name}-cross")
+        linked = materialize(linked.union(_verify(cross, full, threshold, f"{name}-b{turn}")), f"{name}-linked")
     return components(linked, f"{name}-end")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    shingle_words: int = 5, threshold: int = 80, miss: float = 1e-6,
+                    shingle_words: int = 5, threshold: int = 80, miss: float = 1e-5,
                     name: str = "near") -> DataFrame:
     """doc_id, n_shingles, node, component_id (smallest id of the component), kept."""
     picked = docs.select(row_key(id_col, text_col).alias("key"), named(id_col).cast("long").alias("doc_id"),
