@@ -111,6 +111,11 @@ def lookup_fill(
     return joined.withColumns({c: blank_fallback(col(c), col(src)) for c, src in fill.items()})
 
 
+def _rank(order_by: Sequence[str]) -> Column:
+    """The ordering struct of the columns, with NULLs after every value."""
+    return F.struct(*[c for o in order_by for c in (col(o).isNull(), col(o))])
+
+
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """One row per ``key``: the first by ``order_by`` (ties broken by the later
     columns; make the last one unique for a deterministic pick).  A ``min_by``
@@ -120,8 +125,7 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     if not rest:
         return df.select(col(key)).distinct()
     best = df.groupBy(col(key).alias(key)).agg(
-        F.min_by(F.struct(*[col(c) for c in rest]),
-                 F.struct(*[col(o) for o in order_by])).alias("__best"))
+        F.min_by(F.struct(*[col(c) for c in rest]), _rank(order_by)).alias("__best"))
     return best.select(col(key), *[F.col("__best").getField(c).alias(c) for c in rest])
 
 
@@ -145,8 +149,7 @@ def first_match(
     ckey = candidate_key or key
     best = (
         candidates.groupBy(col(ckey).alias("__key"))
-        .agg(F.min_by(F.struct(*[col(v) for v in values]),
-                      F.struct(*[col(o) for o in order_by])).alias("__best"))
+        .agg(F.min_by(F.struct(*[col(v) for v in values]), _rank(order_by)).alias("__best"))
     )
     joined = keys.join(best, keys[quote(key)] == best["__key"], "left_outer")
     return joined.select(*[keys[quote(c)] for c in keys.columns],

@@ -33,7 +33,7 @@ def bronze_from_tables(
     items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame,
     root: str, *, topic: str = TOPIC, run: RunInfo | None = None,
     columns: Sequence[str] = ORDER_ITEMS_COLUMNS, keys: StarKeys = StarKeys(),
-    fmt: str = "csv",
+    fmt: str = "parquet",
 ) -> str:
     """W1 (in Spark): star join -> bronze run.  Returns the run folder."""
     run = run or new_run()
@@ -43,7 +43,7 @@ def bronze_from_tables(
 
 def bronze_from_jdbc(
     spark: SparkSession, url: str, query: str, root: str, *, topic: str = TOPIC,
-    run: RunInfo | None = None, fmt: str = "csv", **jdbc,
+    run: RunInfo | None = None, fmt: str = "parquet", **jdbc,
 ) -> str:
     """W1 (pushed down): the star join runs inside the database."""
     run = run or new_run()
@@ -61,7 +61,7 @@ def _silver(spark: SparkSession, root: str, dt: str, transform, *, topic: str,
 
 def silver_drop(spark: SparkSession, root: str, dt: str, *, pii: Sequence[str] = ORDER_ITEMS_PII,
                 topic: str = TOPIC, run: RunInfo | None = None, bronze_run: str | None = None,
-                fmt: str = "csv", schema: T.StructType | None = None) -> str:
+                fmt: str = "parquet", schema: T.StructType | None = None) -> str:
     """Newest bronze -> PII columns dropped -> silver run."""
     return _silver(spark, root, dt, lambda df: drop_pii(df, pii), topic=topic, run=run,
                    bronze_run=bronze_run, fmt=fmt, schema=schema)
@@ -69,7 +69,7 @@ def silver_drop(spark: SparkSession, root: str, dt: str, *, pii: Sequence[str] =
 
 def silver_hash(spark: SparkSession, root: str, dt: str, *, pii: Sequence[str] = ORDER_ITEMS_PII,
                 topic: str = TOPIC, run: RunInfo | None = None, bronze_run: str | None = None,
-                fmt: str = "csv", schema: T.StructType | None = None) -> str:
+                fmt: str = "parquet", schema: T.StructType | None = None) -> str:
     """Newest bronze -> PII hashed (``''`` and NULL -> NULL) -> silver run.
     Always reads bronze, so a value is never hashed twice."""
     return _silver(spark, root, dt, lambda df: hash_columns(df, pii, blank="null"), topic=topic,
@@ -79,7 +79,7 @@ def silver_hash(spark: SparkSession, root: str, dt: str, *, pii: Sequence[str] =
 def gold_report(spark: SparkSession, root: str, dt: str, *, topic: str = TOPIC,
                 status: str = "Status", price: str = "Price",
                 statuses: Mapping[str, str] = REPORT_STATUSES, run: RunInfo | None = None,
-                silver_run: str | None = None, fmt: str = "csv") -> str:
+                silver_run: str | None = None, fmt: str = "parquet") -> str:
     """Newest silver -> one-pass status report -> one JSON file (Q2-gated)."""
     run = run or new_run()
     silver = read_layer(spark, root, topic, "silver", dt, silver_run, fmt=fmt)

@@ -498,11 +498,28 @@ def q_layer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     (orders.withColumns({"dt": F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd"),
                          "run_id": F.lit(run.run_id)})
      .hint("rebalance", "dt")
-     .write.partitionBy("dt", "run_id").option("header", "true").csv(
+     .write.partitionBy("dt", "run_id").parquet(
          layer_root(root, "orders", "bronze")))
     return read_layer(spark, root, "orders", "bronze", LAYER_DAY, schema=ORDERS_SCHEMA)
 
 
+def q_layer_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts of documents and conversations through a published layer and back."""
+    root, run = scratch_path(spark, "layer_text"), new_run()
+    texts = table(spark, sf_dir, "documents").selectExpr(
+        "'documents' AS origin", "doc_id AS id", "cast(null AS bigint) AS turn", "text").unionByName(
+        table(spark, sf_dir, "conversations").selectExpr(
+            "'conversations' AS origin", "cast(conv_id AS bigint) AS id", "cast(turn AS bigint) AS turn", "text"))
+    write_layer(texts, root, "texts", "bronze", run)
+    return read_layer(spark, root, "texts", "bronze", run.dt, run.run_id)
+
+
+LAYER_TEXT_SQL = """
+select 'documents' as origin, doc_id as id, cast(null as bigint) as turn, text from documents
+union all
+select 'conversations', cast(conv_id as bigint), cast(turn as bigint), text from conversations
+"""
+
 LAYER_SCAN_SQL = (f"select * from orders where date_trunc('month', o_orderdate) = "
                   f"timestamp '{LAYER_DAY}'")
 
@@ -982,6 +999,7 @@ QUERIES: dict[str, Query] = {
     "distinct_keys": q_distinct_keys,
     "top_one_newest": q_top_one_newest,
     "preview_rows": q_preview_rows,
+    "layer_text_roundtrip": q_layer_text_roundtrip,
     "csv_typed_scan": q_csv_typed_scan,
     "csv_string_scan": q_csv_string_scan,
     "newest_file_scan": q_newest_file_scan,
@@ -1025,6 +1043,7 @@ ORACLES: dict[str, str] = {
     "distinct_keys": "select distinct c_mktsegment from customer",
     "top_one_newest": "select * from events order by ts desc, event_id desc limit 1",
     "preview_rows": "select * from customer order by c_custkey limit 10",
+    "layer_text_roundtrip": LAYER_TEXT_SQL,
     "csv_typed_scan": "select * from orders",
     "csv_string_scan": CSV_STRING_SQL,
     "newest_file_scan": NEWEST_FILE_SQL,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from ..functions.runinfo import RunInfo
 from ..names import col
 from ..operators.quality import counted, require_rows
-from ..sources.layers import layer_path
+from ..sources.layers import LAYER_CSV, layer_path
 
 
 def write_layer(
@@ -23,17 +23,19 @@ def write_layer(
     layer: str,
     run: RunInfo,
     *,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     dt: str | None = None,
 ) -> str:
     """K1: publish ``df`` as one run of a dated layer; returns the run folder.
 
+    Parquet by default: text passes with newlines, padding, '' and NULL as they are.
+    CSV layers are written with options that keep them too (``LAYER_CSV``).
     ``errorifexists``: a run id is written once, never merged into.
     """
     path = layer_path(root, topic, layer, dt or run.dt, run.run_id)
     writer = df.write.mode("errorifexists").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", "true")
+        writer = writer.options(**LAYER_CSV)
     writer.save(path)
     return path
 
@@ -81,7 +83,7 @@ def export_by_key(
     """
     if replace not in ("keys", "all"):
         raise ValueError("replace must be 'keys' or 'all'")
-    observed, obs = counted(df.hint("rebalance", key), "export_rows")
+    observed, obs = counted(df.hint("rebalance", col(key)), "export_rows")
     writer = (observed.write.mode("overwrite").format(fmt).partitionBy(key)
               .option("partitionOverwriteMode", "dynamic" if replace == "keys" else "static"))
     if fmt == "csv":

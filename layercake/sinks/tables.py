@@ -69,7 +69,7 @@ def _aligned(spark: SparkSession, df: DataFrame, name: str, fill_missing: bool =
     table's partition columns; and those columns."""
     aligned = conform(df, spark.table(name).schema, fill_missing=fill_missing)
     parts = partition_columns(spark, name)
-    return (aligned.hint("rebalance", *parts) if parts else aligned), parts
+    return (aligned.hint("rebalance", *map(col, parts)) if parts else aligned), parts
 
 
 def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
@@ -183,7 +183,7 @@ def evolve_partitioning(spark: SparkSession, name: str, field: str, expr: Column
     rewritten = rewritten.select(*[col(c) for c in data_cols], *[col(c) for c in parts], col(field))
     tag = uuid.uuid4().hex[:8]
     staging, backup = f"{name}__evolve_{tag}", f"{name}__before_{tag}"
-    (rewritten.hint("rebalance", *parts, field).write.format(fmt)
+    (rewritten.hint("rebalance", *map(col, [*parts, field])).write.format(fmt)
      .partitionBy(*parts, field).saveAsTable(staging))
     spark.sql(f"ALTER TABLE {qualified(name)} RENAME TO {qualified(backup)}")
     try:

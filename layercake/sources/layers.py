@@ -19,6 +19,12 @@ from ..operators.quality import require_path
 from .files import list_files
 
 
+#: Options of CSV layers, the same for writing and reading: quoted newlines, quotes, padding,
+#: the empty text and NULL all come back as they were.
+LAYER_CSV = {"header": "true", "multiLine": "true", "escape": '"', "nullValue": "\\N",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def layer_root(root: str, topic: str, layer: str) -> str:
     """``{root}/{topic}/{layer}``: every day and run of one layer."""
     return f"{root.rstrip('/')}/{topic}/{layer}"
@@ -89,7 +95,7 @@ def read_layer(
     dt: str,
     run_id: str | None = None,
     *,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """All part files of one run of one day of a layer."""
@@ -97,7 +103,7 @@ def read_layer(
             else newest_run(spark, root, topic, layer, dt))
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.options(**LAYER_CSV)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
@@ -116,7 +122,7 @@ def read_days(
     filter on ``dt`` and Spark prunes the other days' folders."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.options(**LAYER_CSV)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(layer_root(root, topic, layer))

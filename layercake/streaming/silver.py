@@ -21,18 +21,19 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.hashing import hash_columns
 from ..operators.projection import drop_pii
 from ..schemas import ORDER_ITEMS_PII
-from ..sources.layers import layer_root
+from ..sources.layers import LAYER_CSV, layer_root
 
 
 def bronze_stream(spark: SparkSession, root: str, topic: str, schema: T.StructType, *,
-                  fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
+                  fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """Every file of the bronze layer as a stream; ``dt``/``run_id`` come from
     the folder names (they are appended to ``schema``)."""
     full = T.StructType(list(schema.fields) + [T.StructField("dt", T.StringType()),
                                                T.StructField("run_id", T.StringType())])
-    reader = spark.readStream.format(fmt).schema(full)
+    # files of any age count: a late run of an old day is not skipped
+    reader = spark.readStream.format(fmt).schema(full).option("maxFileAge", "36500d")
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.options(**LAYER_CSV)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(layer_root(root, topic, "bronze"))
@@ -40,7 +41,7 @@ def bronze_stream(spark: SparkSession, root: str, topic: str, schema: T.StructTy
 
 def stream_silver(spark: SparkSession, root: str, topic: str, schema: T.StructType,
                   checkpoint: str, *, pii: Sequence[str] = ORDER_ITEMS_PII,
-                  action: str = "hash", fmt: str = "csv", out_fmt: str = "parquet",
+                  action: str = "hash", fmt: str = "parquet", out_fmt: str = "parquet",
                   available_now: bool = True, max_files_per_trigger: int | None = None
                   ) -> StreamingQuery:
     """Start the incremental silver job; output at ``{root}/{topic}/silver_stream``,
