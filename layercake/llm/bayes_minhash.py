@@ -4,8 +4,8 @@ Documents with equal shingle sets collapse to one node first.  Nodes meet in the
 their signature bands.  A candidate pair is compared signature batch by signature batch and
 dropped as soon as the posterior probability that its similarity reaches the threshold
 falls under ``miss``; survivors are verified on their full sets.  Pairs are never expanded
-within a group: first every node is compared with the smallest node of its buckets and
-components are joined; then only buckets that still hold different components are compared,
+within a group: first every node is compared with the smallest node of its buckets (the
+one it shares most bands with, then the others for nodes still alone) and components are joined; then only buckets that still hold different components are compared,
 in blocks of bounded size: twice each node with its nearest survivor of another component,
 at last all survivors between the components that are left.
 
@@ -273,11 +273,16 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
     wanted = sigs.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min("key").alias("key"))
     full = materialize(full_sets(docs, materialize(wanted, f"{name}-wanted"), k), f"{name}-sets")
-    star = materialize(member.filter("node <> low").select(
-        F.col("low").alias("a"), F.col("node").alias("b")).distinct(), f"{name}-star")
-    # one candidate per node is enough to join a group: the smallest centre first
-    linked = _verify(materialize(_screen(star, nodes, least).groupBy("b").agg(F.min("a").alias("a"))
-                                 .select("a", "b"), f"{name}-first"), full, threshold, f"{name}-a")
+    # one link per node is enough to join a group: first with the centre (the smallest node of a
+    # bucket) that it shares most bands with, then with any other centre for nodes still alone
+    shared = materialize(member.filter("node <> low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(
+        F.count("*").alias("bands")), f"{name}-star")
+    best = shared.groupBy("b").agg(F.max_by("a", F.struct("bands", -F.col("a"))).alias("a")).select("a", "b")
+    linked = _verify(materialize(_screen(best, nodes, least), f"{name}-best"), full, threshold, f"{name}-a")
+    alone = shared.select("a", "b").join(linked.select("b"), "b", "left_anti").select("a", "b")
+    rest = materialize(_screen(alone, nodes, least).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"),
+                       f"{name}-first")
+    linked = materialize(linked.union(_verify(rest, full, threshold, f"{name}-a2")), f"{name}-linked")
     # then every node's nearest node of another component, twice; then all that still differ
     for turn, nearest in enumerate((True, True, False)):
         label = components(linked, f"{name}-{turn}")
