@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import blank_fallback, trim_spaces
-from ..names import col, quote
+from ..names import col, quote, resolve
 
 
 def _on(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> Column:
@@ -79,11 +79,16 @@ def lookup(
 ) -> DataFrame:
     """Left-outer lookup; unmatched rows get NULL dimension columns.
     ``dedupe_by`` keeps one dimension row per key first (see :func:`first_per_key`),
-    so a key listed twice cannot multiply rows."""
+    so a key listed twice cannot multiply rows.  The dimension may be a selection
+    of ``df`` itself: its key joins under a name of its own."""
     if dedupe_by:
         dim = first_per_key(dim, right_key, dedupe_by)
-    joined = df.join(dim, _on(df, dim, left_key, right_key), "left_outer")
-    return joined.drop(dim[quote(right_key)]) if drop_right_key else joined
+    key = resolve(dim, right_key) or right_key
+    held = [c for c in dim.columns if not (drop_right_key and c == key)]
+    dim = dim.select(*[col(c).alias(c) for c in held], col(key).alias("__dim_key"))
+    joined = df.alias("__row").join(
+        dim, F.col(f"__row.{quote(left_key)}") == F.col("__dim_key"), "left_outer")
+    return joined.drop("__dim_key")
 
 
 def lookup_fill(
@@ -121,6 +126,7 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     columns; make the last one unique for a deterministic pick).  A ``min_by``
     aggregate with a partial (map-side) stage, so a key with a third of all
     rows is reduced inside every task before the shuffle."""
+    key = resolve(df, key) or key
     rest = [c for c in df.columns if c != key]
     if not rest:
         return df.select(col(key)).distinct()

@@ -11,7 +11,8 @@ from ..sinks.tables import add_column, evolve_partitioning
 
 def export_departments(spark: SparkSession, table: str, path: str, *,
                        key: str = "department", **kwargs) -> int:
-    """One CSV dataset per department, in one job (not one job per key)."""
+    """One CSV dataset per department, in one job (not one job per key);
+    ``keep_key=True`` keeps the department in the files too."""
     return export_by_key(spark.table(table), key, path, **kwargs)
 
 

@@ -679,15 +679,14 @@ def q_employee_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_department_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W6 then W10: the employee table is loaded, then exported as one CSV
-    dataset per department in one job (``department=R&D``,
-    ``department=Sales%2FOps`` ...); every export is read back."""
+    dataset per department in one job (``by_department=R&D``,
+    ``by_department=Sales%2FOps`` ...); the bodies of all files are read back."""
     db = _scratch_db(spark, "departments")
     name = load_employee_table(spark, employees(spark, sf_dir), geo_dimension(spark, sf_dir), db)
     path = scratch_path(spark, "department_export")
-    export_departments(spark, name, path)
-    # the files hold the table's columns in table order, the key in the folder name
-    data = T.StructType([f for f in spark.table(name).schema.fields if f.name != "department"])
-    return read_csv(spark, path, data.add("department", T.StringType()))
+    export_departments(spark, name, path, keep_key=True)
+    # recursive lookup takes nothing from folder names: the files hold every column
+    return read_csv(spark, path, spark.table(name).schema, recursiveFileLookup="true")
 
 
 EMPLOYEE_TABLE_SQL = f"""

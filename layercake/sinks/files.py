@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.runinfo import RunInfo
 from ..names import col
-from ..operators.quality import counted, require_rows
+from ..operators.quality import EmptyOutputError, counted, require_rows
 from ..sources.layers import LAYER_CSV, layer_path
 
 
@@ -68,13 +68,18 @@ def export_by_key(
     fmt: str = "csv",
     replace: str = "keys",
     max_records_per_file: int | None = None,
+    keep_key: bool = False,
 ) -> int:
     """K8: one dataset per distinct ``key`` value (``path/key=value/``), in ONE job.
 
     ``replace="keys"`` overwrites only the folders of keys present in ``df``
     (dynamic partition overwrite); ``"all"`` replaces the whole ``path``.
     A NULL key goes to ``__HIVE_DEFAULT_PARTITION__``.  The key lives in the
-    folder name and comes back as a column on read.
+    folder name and comes back as a column on read.  ``keep_key`` writes it into
+    the files as well, below ``path/by_key=value/``: every file then holds all
+    columns of ``df`` and can be read alone.
+
+    Empty input raises (Q2); with ``"all"`` before the old export is touched.
 
     Layout for scale: the ``rebalance`` hint shuffles by key and lets AQE split
     a hot key over several tasks (and merge small keys), so a key holding a
@@ -83,8 +88,13 @@ def export_by_key(
     """
     if replace not in ("keys", "all"):
         raise ValueError("replace must be 'keys' or 'all'")
-    observed, obs = counted(df.hint("rebalance", col(key)), "export_rows")
-    writer = (observed.write.mode("overwrite").format(fmt).partitionBy(key)
+    if replace == "all" and df.isEmpty():
+        raise EmptyOutputError(f"no rows for {path}; the old export is kept")
+    folder = f"by_{key}" if keep_key else key
+    if keep_key:
+        df = df.withColumn(folder, col(key))
+    observed, obs = counted(df.hint("rebalance", col(folder)), "export_rows")
+    writer = (observed.write.mode("overwrite").format(fmt).partitionBy(folder)
               .option("partitionOverwriteMode", "dynamic" if replace == "keys" else "static"))
     if fmt == "csv":
         writer = writer.option("header", "true")
