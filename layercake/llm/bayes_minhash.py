@@ -7,7 +7,8 @@ falls under ``miss``; survivors are verified on their full sets.  Pairs are neve
 within a group: first every node is compared with the smallest node of its buckets (the
 one it shares most bands with, then the others for nodes still alone) and components are joined; then only buckets that still hold different components are compared,
 in blocks of bounded size: twice each node with its nearest survivor of another component,
-at last all survivors between the components that are left.
+at last all survivors between the components that are left.  These last comparisons carry the
+full sets with them, each pair in the first band it shares, so that only links leave a block.
 
 Edge cases: NULL, empty and word-free texts have an empty set and are linked with nothing;
 texts with fewer words than a shingle are one shingle; repeated rows and ids share a node;
@@ -32,10 +33,10 @@ from .common import keep_columns, materialize, row_key
 BANDS, ROWS = 30, 5
 #: Signature values compared per step of the sequential test.
 BATCH = 25
-#: Members of one side of a block comparison.
-BLOCK = 256
-#: Members of small buckets that are compared in one group of rows.
-GROUP_ROWS = 4096
+#: Members of one side of a block comparison, and bytes of their full sets.
+BLOCK, BLOCK_BYTES = 1024, 2**23
+#: Members of small buckets that are compared in one group of rows, and bytes of their full sets.
+GROUP_ROWS, GROUP_BYTES = 4096, 2**24
 
 
 def hash64(word: bytes) -> int:
@@ -196,18 +197,20 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return held.mapInPandas(sets, "node long, items binary").dropDuplicates(["node"])
 
 
+def similar(x: bytes, y: bytes, threshold: int) -> bool:
+    """Whether 100 * intersection >= threshold * union of two full sets."""
+    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= threshold * (len(p) + len(q) - both)
+
+
 def _verify(pairs: DataFrame, full: DataFrame, threshold: int, name: str) -> DataFrame:
-    """The pairs with 100 * intersection >= threshold * union on their full sets."""
+    """The pairs that are similar on their full sets."""
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ok = []
-            for x, y in zip(pdf["x"], pdf["y"]):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if 100 * min(len(p), len(q)) < threshold * max(len(p), len(q)):
-                    ok.append(False)
-                    continue
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * both >= threshold * (len(p) + len(q) - both))
+            ok = [similar(x, y, threshold) for x, y in zip(pdf["x"], pdf["y"])]
             yield pdf.loc[ok, ["a", "b"]]
 
     return materialize(
@@ -216,60 +219,104 @@ def _verify(pairs: DataFrame, full: DataFrame, threshold: int, name: str) -> Dat
         .select("a", "b", "x", "y").mapInPandas(check, "a long, b long"), f"{name}-links")
 
 
-def _block_pairs(members: DataFrame, least: list[int], nearest: bool, groups: int) -> DataFrame:
-    """(node, a, b, matches): surviving pairs of different labels within buckets, compared block
-    against block; with ``nearest`` only the best pair of every node.
+def _blocks(members: DataFrame, groups: int) -> DataFrame:
+    """The members in every group of rows (grp) in which they are compared.
 
-    ``members``: bucket, node, label, sig, blocks (how many blocks the bucket is cut into).
-    Every member goes to the groups (its block, any block); a group holds about two blocks
-    however large its bucket is.  Buckets of one block share ``groups`` tasks' groups.
+    ``members``: bucket, node, blocks (how many blocks the bucket is cut into) and what the
+    comparison needs.  Every member goes to the parts (its block, any block); a part holds
+    about two blocks however large its bucket is.  Buckets of one block share ``groups``
+    groups.
     """
     spread = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     spread = spread.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
-    group = F.when(F.col("blocks") == 1, F.pmod("bucket", F.lit(groups))).otherwise(F.col("part"))
-    one = ["node", "a", "b", "matches"]
+    return spread.withColumn("grp", F.when(F.col("blocks") == 1, F.pmod("bucket", F.lit(groups))).otherwise(
+        F.col("part"))).drop("bucket", "blocks", "other")
+
+
+def _parts(pdf: pd.DataFrame, *columns: str) -> Iterator[list[np.ndarray]]:
+    """node, label, own, signature and the columns of each part that holds different labels."""
+    pdf = pdf.sort_values(["part", "node"])
+    held = [pdf[c].to_numpy() for c in ("node", "label", "own")] + [_matrix(pdf["sig"])]
+    held += [pdf[c].to_numpy() for c in columns]
+    edges = np.flatnonzero(np.diff(pdf["part"].to_numpy())) + 1
+    for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(pdf)]):
+        if (held[1][lo:hi] != held[1][lo]).any():
+            yield [h[lo:hi] for h in held]
+
+
+def _met(node: np.ndarray, label: np.ndarray, own: np.ndarray, r: int, later: bool) -> np.ndarray:
+    """Rows of other labels that row ``r`` is compared with; with ``later`` every pair once."""
+    other, within = label != label[r], (own == own[0]).all()
+    if later:
+        other &= node > node[r] if within else own > own[r]
+    elif not within:
+        other &= own != own[r]
+    return np.flatnonzero(other)
+
+
+def _nearest(members: DataFrame, least: list[int], groups: int) -> DataFrame:
+    """(a, b): every node's surviving pair with most matches among other labels."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for node, label, own, sig in _parts(pdf):
+            for r in range(len(node)):
+                c = _met(node, label, own, r, later=False)
+                alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
+                if len(alive):
+                    x = np.argmax(m)
+                    y = node[c[alive[x]]]
+                    out.append((node[r], min(node[r], y), max(node[r], y), m[x]))
+        return pd.DataFrame(out, columns=["node", "a", "b", "matches"], dtype="int64")
+
+    found = _blocks(members, groups).groupBy("grp").applyInPandas(run, "node long, a long, b long, matches long")
+    best = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("s"))
+    return best.select("s.a", "s.b").distinct()
+
+
+def _between(members: DataFrame, least: list[int], threshold: int, groups: int) -> DataFrame:
+    """(a, b): links that join labels, from all surviving pairs verified on their full sets
+    (items) where they meet.  A pair is left to the first band it shares (band), and goes
+    unverified only if links of the same part have joined its labels before."""
+    def top(joined: dict[int, int], x: int) -> int:
+        while x in joined:
+            x = joined[x]
+        return x
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["part", "node"])
-        out, sigs = [], _matrix(pdf["sig"])
-        columns = [pdf[c].to_numpy() for c in ("node", "label", "own")]
-        edges = np.flatnonzero(np.diff(pdf["part"].to_numpy())) + 1
-        for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(pdf)]):
-            (node, label, own), sig = (c[lo:hi] for c in columns), sigs[lo:hi]
-            if (label == label[0]).all():
-                continue
-            within = (own == own[0]).all()
+        out = []
+        for node, label, own, sig, items, band in _parts(pdf, "items", "band"):
+            joined: dict[int, int] = {}
+
             for r in range(len(node)):
-                c = label != label[r]
-                if not within:
-                    c &= own != own[r]
-                if not nearest:
-                    c &= node > node[r] if within else own > own[r]
-                c = np.flatnonzero(c)
-                if len(c):
-                    alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
-                    for x in [np.argmax(m)] if nearest and len(m) else range(len(m)):
-                        y = node[c[alive[x]]]
-                        out.append((node[r], min(node[r], y), max(node[r], y), m[x]))
-        return pd.DataFrame(out, columns=one, dtype="int64")
-
-    return spread.withColumn("grp", group).select("grp", "part", "node", "label", "own", "sig").groupBy(
-        "grp").applyInPandas(run, "node long, a long, b long, matches long")
+                c = _met(node, label, own, r, later=True)
+                alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
+                c = c[alive]
+                same = (sig[c] == sig[r]).reshape(len(c), BANDS, ROWS).all(axis=2)
+                mine = np.flatnonzero(same.argmax(axis=1) == band[0])
+                for y in c[mine[np.argsort(-m[mine], kind="stable")]]:
+                    p, q = top(joined, label[r]), top(joined, label[y])
+                    if p != q and similar(items[r], items[y], threshold):
+                        joined[max(p, q)] = min(p, q)
+                        out.append((node[r], node[y]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return _blocks(members, groups).groupBy("grp").applyInPandas(run, "a long, b long")
 
 
 def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: float, name: str) -> DataFrame:
     """(node, label): the component of every node that is linked with another one."""
     least = prune_table(threshold / 100, miss, BANDS * ROWS, BATCH)
-    nodes = materialize(sigs.filter("node IS NOT NULL").dropDuplicates(["node"]).select("node", "sig"),
+    nodes = materialize(sigs.filter("node IS NOT NULL").dropDuplicates(["node"]).select("node", "sig", "n_shingles"),
                         f"{name}-nodes")
     width = ROWS * 4
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring(F.hex("sig"), b * (2 * width) + 1, F.lit(2 * width))))
-    in_bucket = nodes.select("node", F.explode(bands).alias("bucket"))
+    in_bucket = nodes.select("node", "n_shingles", F.posexplode(bands).alias("band", "bucket"))
     crowded = materialize(in_bucket.groupBy("bucket").agg(F.min("node").alias("low"), F.count("*").alias("n"))
                        .filter("n > 1"), f"{name}-buckets")
-    member = materialize(in_bucket.join(crowded, "bucket").select("bucket", "node", "low"), f"{name}-members")
+    member = materialize(in_bucket.join(crowded, "bucket").select("bucket", "band", "node", "n_shingles", "low"),
+                         f"{name}-members")
     wanted = sigs.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min("key").alias("key"))
     full = materialize(full_sets(docs, materialize(wanted, f"{name}-wanted"), k), f"{name}-sets")
@@ -287,20 +334,24 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
     for turn, nearest in enumerate((True, True, False)):
         label = components(linked, f"{name}-{turn}")
         marked = member.join(label, "node", "left").select(
-            "bucket", "node", F.coalesce("label", "node").alias("label"))
+            "bucket", "band", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
+        held = F.lit(0) if nearest else F.sum(F.col("n_shingles") * 8)
         mixed = materialize(marked.groupBy("bucket").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-            .filter("lo <> hi").select("bucket", "n", F.ceil(F.col("n") / BLOCK).alias("blocks")), f"{name}-mixed")
-        total = mixed.agg(F.sum("n")).first()[0]
-        if not total:
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), held.alias("bytes"))
+            .filter("lo <> hi").select("bucket", "n", "bytes", F.ceil(F.greatest(
+                F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")), f"{name}-mixed")
+        total = mixed.agg(F.sum("n"), F.sum("bytes")).first()
+        if not total[0]:
             break
-        found = _block_pairs(marked.join(mixed.drop("n"), "bucket").join(nodes, "node"), least, nearest,
-                             max(1, math.ceil(total / GROUP_ROWS)))
+        groups = math.ceil(max(total[0] / GROUP_ROWS, total[1] / GROUP_BYTES))
+        met = marked.drop("n_shingles").join(mixed.drop("n", "bytes"), "bucket").join(
+            nodes.drop("n_shingles"), "node")
         if nearest:
-            found = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("s")
-                                              ).select("s.a", "s.b")
-        cross = materialize(found.select("a", "b").distinct(), f"{name}-cross")
-        linked = materialize(linked.union(_verify(cross, full, threshold, f"{name}-b{turn}")), f"{name}-linked")
+            cross = materialize(_nearest(met, least, groups), f"{name}-cross")
+            found = _verify(cross, full, threshold, f"{name}-b{turn}")
+        else:
+            found = _between(met.join(full, "node"), least, threshold, groups)
+        linked = materialize(linked.union(found), f"{name}-linked")
     return components(linked, f"{name}-end")
 
 
