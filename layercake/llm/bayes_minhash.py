@@ -206,8 +206,15 @@ def similar(x: bytes, y: bytes, threshold: int) -> bool:
     return 100 * both >= threshold * (len(p) + len(q) - both)
 
 
+def _of_nodes(full: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """The rows of ``full`` that belong to ``nodes``."""
+    return full.join(materialize(nodes.select("node").distinct(), f"{name}-needed"), "node", "left_semi")
+
+
 def _verify(pairs: DataFrame, full: DataFrame, threshold: int, name: str) -> DataFrame:
-    """The pairs that are similar on their full sets."""
+    """The pairs that are similar on their full sets; no other sets are moved."""
+    full = _of_nodes(full, pairs.select(F.explode(F.array("a", "b")).alias("node")), name)
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok = [similar(x, y, threshold) for x, y in zip(pdf["x"], pdf["y"])]
@@ -231,11 +238,11 @@ def _blocks(members: DataFrame, groups: int) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     spread = spread.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
     return spread.withColumn("grp", F.when(F.col("blocks") == 1, F.pmod("bucket", F.lit(groups))).otherwise(
-        F.col("part"))).drop("bucket", "blocks", "other")
+        F.col("part"))).drop("blocks", "other")
 
 
 def _parts(pdf: pd.DataFrame, *columns: str) -> Iterator[list[np.ndarray]]:
-    """node, label, own, signature and the columns of each part that holds different labels."""
+    """node, label, own, signature and ``columns`` of each part that holds different labels."""
     pdf = pdf.sort_values(["part", "node"])
     held = [pdf[c].to_numpy() for c in ("node", "label", "own")] + [_matrix(pdf["sig"])]
     held += [pdf[c].to_numpy() for c in columns]
@@ -256,22 +263,22 @@ def _met(node: np.ndarray, label: np.ndarray, own: np.ndarray, r: int, later: bo
 
 
 def _nearest(members: DataFrame, least: list[int], groups: int) -> DataFrame:
-    """(a, b): every node's surviving pair with most matches among other labels."""
+    """(bucket, node, a, b, matches): a node's surviving pair with most matches among other
+    labels, per bucket and part in which it has one."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for node, label, own, sig in _parts(pdf):
+        for node, label, own, sig, bucket in _parts(pdf, "bucket"):
             for r in range(len(node)):
                 c = _met(node, label, own, r, later=False)
                 alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
                 if len(alive):
                     x = np.argmax(m)
                     y = node[c[alive[x]]]
-                    out.append((node[r], min(node[r], y), max(node[r], y), m[x]))
-        return pd.DataFrame(out, columns=["node", "a", "b", "matches"], dtype="int64")
+                    out.append((bucket[r], node[r], min(node[r], y), max(node[r], y), m[x]))
+        return pd.DataFrame(out, columns=["bucket", "node", "a", "b", "matches"], dtype="int64")
 
-    found = _blocks(members, groups).groupBy("grp").applyInPandas(run, "node long, a long, b long, matches long")
-    best = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("s"))
-    return best.select("s.a", "s.b").distinct()
+    return _blocks(members, groups).groupBy("grp").applyInPandas(
+        run, "bucket long, node long, a long, b long, matches long")
 
 
 def _between(members: DataFrame, least: list[int], threshold: int, groups: int) -> DataFrame:
@@ -287,7 +294,6 @@ def _between(members: DataFrame, least: list[int], threshold: int, groups: int)
         out = []
         for node, label, own, sig, items, band in _parts(pdf, "items", "band"):
             joined: dict[int, int] = {}
-
             for r in range(len(node)):
                 c = _met(node, label, own, r, later=True)
                 alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
@@ -304,6 +310,19 @@ def _between(members: DataFrame, least: list[int], threshold: int, groups: int)
     return _blocks(members, groups).groupBy("grp").applyInPandas(run, "a long, b long")
 
 
+def _mixed(marked: DataFrame, nodes: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The members, with their signatures, of buckets that hold different labels, and how many
+    groups the small buckets share (0: no such bucket)."""
+    mixed = materialize(marked.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"),
+        F.sum(F.col("n_shingles") * 8).alias("bytes")).filter("lo <> hi").select("bucket", "n", "bytes", F.ceil(
+            F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")), name)
+    rows, held = mixed.agg(F.sum("n"), F.sum("bytes")).first()
+    met = marked.drop("n_shingles").join(mixed.select("bucket", "blocks"), "bucket").join(
+        nodes.select("node", "sig"), "node")
+    return met, math.ceil(max((rows or 0) / GROUP_ROWS, (held or 0) / GROUP_BYTES))
+
+
 def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: float, name: str) -> DataFrame:
     """(node, label): the component of every node that is linked with another one."""
     least = prune_table(threshold / 100, miss, BANDS * ROWS, BATCH)
@@ -335,22 +354,21 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
         label = components(linked, f"{name}-{turn}")
         marked = member.join(label, "node", "left").select(
             "bucket", "band", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
-        held = F.lit(0) if nearest else F.sum(F.col("n_shingles") * 8)
-        mixed = materialize(marked.groupBy("bucket").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), held.alias("bytes"))
-            .filter("lo <> hi").select("bucket", "n", "bytes", F.ceil(F.greatest(
-                F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")), f"{name}-mixed")
-        total = mixed.agg(F.sum("n"), F.sum("bytes")).first()
-        if not total[0]:
+        met, groups = _mixed(marked, nodes, f"{name}-mixed")
+        if not groups:
             break
-        groups = math.ceil(max(total[0] / GROUP_ROWS, total[1] / GROUP_BYTES))
-        met = marked.drop("n_shingles").join(mixed.drop("n", "bytes"), "bucket").join(
-            nodes.drop("n_shingles"), "node")
+        found = _nearest(met, least, groups)
         if nearest:
-            cross = materialize(_nearest(met, least, groups), f"{name}-cross")
-            found = _verify(cross, full, threshold, f"{name}-b{turn}")
+            best = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("s"))
+            found = _verify(materialize(best.select("s.a", "s.b").distinct(), f"{name}-cross"), full, threshold,
+                            f"{name}-b{turn}")
         else:
-            found = _between(met.join(full, "node"), least, threshold, groups)
+            # only members with a surviving pair take their full sets along
+            open_ = materialize(found.select("bucket", "node").distinct(), f"{name}-open")
+            met, groups = _mixed(marked.join(open_, ["bucket", "node"], "left_semi"), nodes, f"{name}-open-mixed")
+            if not groups:
+                break
+            found = _between(met.join(_of_nodes(full, open_, name), "node"), least, threshold, groups)
         linked = materialize(linked.union(found), f"{name}-linked")
     return components(linked, f"{name}-end")
 
