@@ -5,10 +5,11 @@ their signature bands.  A candidate pair is compared signature batch by signatur
 dropped as soon as the posterior probability that its similarity reaches the threshold
 falls under ``miss``; survivors are verified on their full sets.  Pairs are never expanded
 within a group: first every node is compared with the smallest node of its buckets (the
-one it shares most bands with, then the others for nodes still alone) and components are joined; then only buckets that still hold different components are compared,
-in blocks of bounded size: twice each node with its nearest survivor of another component,
-at last all survivors between the components that are left.  These last comparisons carry the
-full sets with them, each pair in the first band it shares, so that only links leave a block.
+one it shares most bands with, then the others for nodes still alone) and components are
+joined; then only buckets that still hold different components are compared, in blocks of
+bounded size: each node with its nearest survivor of another component, at last all survivors
+between the components that are left.  These last comparisons carry the full sets with them,
+each pair in the first band it shares, so that only links leave a block.
 
 Edge cases: NULL, empty and word-free texts have an empty set and are linked with nothing;
 texts with fewer words than a shingle are one shingle; repeated rows and ids share a node;
@@ -319,7 +320,7 @@ def _mixed(marked: DataFrame, nodes: DataFrame, name: str) -> tuple[DataFrame, i
             F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")), name)
     rows, held = mixed.agg(F.sum("n"), F.sum("bytes")).first()
     met = marked.drop("n_shingles").join(mixed.select("bucket", "blocks"), "bucket").join(
-        nodes.select("node", "sig"), "node")
+        nodes, "node")
     return met, math.ceil(max((rows or 0) / GROUP_ROWS, (held or 0) / GROUP_BYTES))
 
 
@@ -336,9 +337,11 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
                        .filter("n > 1"), f"{name}-buckets")
     member = materialize(in_bucket.join(crowded, "bucket").select("bucket", "band", "node", "n_shingles", "low"),
                          f"{name}-members")
-    wanted = sigs.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min("key").alias("key"))
-    full = materialize(full_sets(docs, materialize(wanted, f"{name}-wanted"), k), f"{name}-sets")
+    wanted = materialize(sigs.select("node", "key").join(member.select("node").distinct(), "node", "left_semi").groupBy(
+        "node").agg(F.min("key").alias("key")), f"{name}-wanted")
+    full = materialize(full_sets(docs, wanted, k), f"{name}-sets")
+    # signatures of nodes that meet no other one are not moved again
+    nodes = materialize(nodes.select("node", "sig").join(wanted, "node", "left_semi"), f"{name}-met")
     # one link per node is enough to join a group: first with the centre (the smallest node of a
     # bucket) that it shares most bands with, then with any other centre for nodes still alone
     shared = materialize(member.filter("node <> low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(
@@ -349,8 +352,8 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
     rest = materialize(_screen(alone, nodes, least).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"),
                        f"{name}-first")
     linked = materialize(linked.union(_verify(rest, full, threshold, f"{name}-a2")), f"{name}-linked")
-    # then every node's nearest node of another component, twice; then all that still differ
-    for turn, nearest in enumerate((True, True, False)):
+    # then every node's nearest node of another component; then all that still differ
+    for turn, nearest in enumerate((True, False)):
         label = components(linked, f"{name}-{turn}")
         marked = member.join(label, "node", "left").select(
             "bucket", "band", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
