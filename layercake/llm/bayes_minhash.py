@@ -376,16 +376,20 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
     return components(linked, f"{name}-end")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    shingle_words: int = 5, threshold: int = 80, miss: float = 1e-5,
-                    name: str = "near") -> DataFrame:
-    """doc_id, n_shingles, node, component_id (smallest id of the component), kept."""
-    picked = docs.select(row_key(id_col, text_col).alias("key"), named(id_col).cast("long").alias("doc_id"),
+def _grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
+             threshold: int = 80, miss: float = 1e-5, name: str = "near") -> DataFrame:
+    """doc_id, key, n_shingles, node and class (NULL for an empty set) of every row."""
+    picked = docs.select(row_key(id_col, text_col).alias("key"), named(id_col).try_cast("long").alias("doc_id"),
                          named(text_col).alias("text"))
     sigs = materialize(signatures(picked, shingle_words), f"{name}-signatures")
     label = link(sigs, picked, k=shingle_words, threshold=threshold, miss=miss, name=name)
-    owner = sigs.select("doc_id", "n_shingles", "node").join(label, "node", "left").withColumn(
+    return sigs.select("doc_id", "key", "n_shingles", "node").join(label, "node", "left").withColumn(
         "class", F.coalesce("label", "node"))
+
+
+def near_duplicates(docs: DataFrame, *, name: str = "near", **options) -> DataFrame:
+    """doc_id, n_shingles, node, component_id (smallest id of the component), kept."""
+    owner = _grouped(docs, name=name, **options)
     smallest = materialize(owner.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("n")), f"{name}-classes")
     joined = owner.join(smallest.filter("n > 1").drop("n"), "class", "left")
@@ -394,10 +398,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                          F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of each group of near copies, with its own columns."""
-    found = near_duplicates(docs, id_col=id_col, **options)
-    gone = materialize(found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
-    kept = docs.select(keep_columns(docs), named(id_col).cast("long").alias("id")).join(
-        gone, F.col("id") == F.col("gone"), "left_anti")
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", name: str = "near",
+             **options) -> DataFrame:
+    """Exactly one row of each group of near copies, with its own columns.
+
+    It is the row of the smallest (id, key of id and text); ids that are NULL or no whole
+    number come last.  Of rows with equal id and text the one whose columns come first as
+    JSON stays.  Rows without words are in no group and all stay.
+    """
+    owner = _grouped(docs, id_col=id_col, text_col=text_col, name=name, **options).filter("class IS NOT NULL")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    first = materialize(owner.groupBy("class").agg(F.min(row).alias("best"), F.count("*").alias("n"))
+                        .filter("n > 1").drop("n"), f"{name}-first-rows")
+    marks = materialize(owner.join(first, "class").groupBy(
+        F.col("doc_id").alias("of_id"), F.col("key").alias("of_key"), (row == F.col("best")).alias("stays")).agg(
+        F.count("*").alias("n")).filter("NOT stays OR n > 1").drop("n"), f"{name}-marks")
+    rows = docs.select(keep_columns(docs), named(id_col).try_cast("long").alias("id"),
+                       F.when(named(text_col).isNotNull(), row_key(id_col, text_col)).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
+    kept = rows.join(marks, same, "left_anti").select("row")
+    repeated = marks.filter("stays")
+    if not repeated.isEmpty():
+        kept = kept.union(rows.join(repeated, same).groupBy("id", "key").agg(
+            F.min_by("row", F.to_json("row")).alias("row")).select("row"))
     return kept.select("row.*")

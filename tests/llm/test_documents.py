@@ -237,6 +237,21 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert bayes_minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_keep_one_row_of_each_group(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "w"),  # repeated rows
+            (None, b, "x"), (None, b, "x"), (None, b + " more", "x"),  # copies without an id
+            (2, a, "x"), (2, c, "x"),  # one id, a copy and a text of its own
+            (None, None, "x"), (3, "", "x"), (3, "", "x")]
+    got = bayes_minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, tag string")).collect()
+    texts = sorted(((r.doc_id, r.text) for r in got), key=str)
+    assert [r for r in texts if r[1] == a] == [(1, a)] and [r.tag for r in got if r.text == a] == ["w"]
+    assert sum((r[1] or "").startswith(b) for r in texts) == 1
+    assert (2, c) in texts and len(texts) == 6
+    named = spark.createDataFrame([("p", b), ("q", b), ("q", c), ("7", b)], "doc_id string, text string")
+    assert sorted(tuple(r) for r in bayes_minhash.keep_one(named).collect()) == [("7", b), ("q", c)]
+
+
 def test_prune_table_is_safe():
     least = bayes_minhash.prune_table(0.8, 1e-6, 150, 25)
     assert least == sorted(least) and least[-1] < 0.8 * 150
