@@ -5,6 +5,7 @@ import hashlib
 import html
 import re
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -110,3 +111,24 @@ def test_trust_and_distrust_follow_links(spark):
     for r in got.values():
         assert abs(r.trust - trust.get(r.host, 0)) < 1e-9 and abs(r.distrust - bad.get(r.host, 0)) < 1e-9
     assert [got[i].verdict for i in (1, 2, 3, 4, 5)] == ["allow", "allow", "block", "block", "allow"]
+
+
+def test_walks_settle_on_long_chains_and_cycles(spark):
+    a = "<a href='http://{}/'>x</a>"
+    names = [f"h{i}.net" for i in range(14)]
+    links = {names[i]: [names[i - 1]] for i in range(2, 14)} | {"h1.net": ["bad.com"], "x.net": ["y.net"]}
+    links |= {"good.org": ["x.net"], "y.net": ["x.net", "bad.com"]}
+    rows = [(i, f"http://{h}/", "".join(map(a.format, to)), 0) for i, (h, to) in enumerate(links.items())]
+    got = {r.host: r for r in link_rank.judge(spark.createDataFrame(
+        [*rows, (99, "http://bad.com/de/", "", 0)], SCHEMA)).collect()}
+    assert all(got[h].verdict == "block" for h in names[1:])
+    hosts = sorted(got)
+    for kind, seed in (("trust", "good.org"), ("distrust", "bad.com")):
+        step = np.zeros((len(hosts), len(hosts)))
+        for s, to in links.items():
+            for d in to:
+                x, y = (s, d) if kind == "trust" else (d, s)
+                step[hosts.index(y), hosts.index(x)] = 1
+        step /= np.maximum(step.sum(axis=0), 1)
+        settled = np.linalg.solve(np.eye(len(hosts)) - 0.85 * step, 0.15 * (np.array(hosts) == seed))
+        assert np.allclose([got[h][kind] for h in hosts], settled, rtol=1e-5, atol=0)
