@@ -6,8 +6,9 @@ each tag and the words next under it stand inside and outside the marked part; l
 these counts, clipped to the side asked for, are the weights.  Kadane's linear scan finds the
 best contiguous region of a page; boilerplate elements inside it are left out.
 
-Edge cases: NULL and empty pages, and pages without words, have empty text; unclosed and
-misnested tags are taken as they come; without any labelled page the default weights hold;
+Edge cases: NULL and empty pages, and pages without words, have empty text; void and
+self-closing elements hold nothing; unclosed elements end where HTML implies it or with their
+parent, misnested tags are taken as they come; without any labelled page the default weights hold;
 repeated rows are extracted each; extra columns are ignored.
 """
 
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 from ..names import col as named
 
 #: Element names by their part in a page.
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|select|option|button"
+RAW = "script|style|title|textarea"
+DROPPED = frozenset("noscript template iframe svg select button".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 SKIP = frozenset("nav footer aside form dialog menu".split())
@@ -35,7 +38,8 @@ SKIP_NAMES = frozenset("ad ads advert adverts advertisement banner breadcrumb br
                        "social sponsor sponsored subscribe toolbar widget".split())
 CONTENT = frozenset(["article", "main"])
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|(?P<tag><(?P<raw>{RAW})(?=[\s/>])[^>]*>).*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"|<option(?=[\s/>])[^>]*>[^<]*(?:</option\s*>)?"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?][^>]*>",
     re.S | re.I)
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -43,43 +47,113 @@ NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 LEAST_SEEN, DEFAULT_TAG, DEFAULT_WORD, FLOOR = 20, -3.0, 1.0, 0.05
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, name, text): kind is open, close or text; boilerplate by class counts as ``x-skip``."""
-    at = 0
-    for m in TOKEN.finditer(page):
+#: Unquoted values may end in a slash, which closes nothing.
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'>]*/$")
+
+
+def _implied() -> dict[str, tuple[frozenset[str], frozenset[str]]]:
+    """Per opened element: the elements whose end HTML implies there, and those that bar it."""
+    bar = frozenset("html body table caption td th object button template ul ol menu dir dl datalist section article "
+                    "main aside nav header footer form fieldset blockquote figure details dialog".split())
+    out = {x: (frozenset(["p"]), bar) for x in (
+        "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
+        "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul").split()}
+    table = frozenset(["table"])
+    for names, also in (("li", "p"), ("dt dd", "p")):
+        out |= {x: (frozenset([*names.split(), also]), bar) for x in names.split()}
+    out |= {x: (frozenset(["td", "th"]), table | {"tr"}) for x in ("td", "th")}
+    out["tr"] = frozenset(["tr"]), table
+    out |= {x: (frozenset("thead tbody tfoot tr caption colgroup".split()), table) for x in ("thead", "tbody", "tfoot")}
+    out |= {x: (frozenset(["rt", "rp"]), frozenset(["ruby"])) for x in ("rt", "rp")}
+    return out
+
+
+IMPLIED, NONE = _implied(), (frozenset(), frozenset())
+
+
+def tokens(page: str) -> list[tuple[str, str, str]]:
+    """(kind, name, text): kind is open, void (opened and closed at once), close or text;
+    boilerplate by class counts as ``x-skip``.  Only raw text and comments run to the page's
+    end; of a DROPPED element that is never closed only the tag goes."""
+    out, at, opened, held = [], 0, [], Counter()
+    while m := TOKEN.search(page, at):
         if m.start() > at:
-            yield "text", "", page[at:m.start()]
+            out.append(("text", "", page[at:m.start()]))
         at = m.end()
+        if m["raw"] and held["svg"] and m["tag"].endswith("/>"):
+            at = m.end("tag")
         name = m["name"]
-        if name:
-            name = name.lower()
-            if not m["close"] and name not in SKIP and name not in CONTENT and m["attrs"] and any(
-                    SKIP_NAMES.intersection(re.split(r"[\s_-]+", "".join(g).lower()))
-                    for g in NAMES.findall(m["attrs"])):
-                yield "open", f"{name} x-skip", ""
-            else:
-                yield ("close" if m["close"] else "open"), name, ""
+        if not name:
+            continue
+        name, attrs = name.lower(), m["attrs"] or ""
+        ended = name in VOID or attrs.endswith("/") and not UNQUOTED_END.search(attrs)
+        if name in DROPPED:
+            if not m["close"] and not ended:
+                opened.append((name, len(out)))
+                held[name] += 1
+            elif m["close"] and held[name]:
+                inner = ""
+                while inner != name:
+                    inner, begin = opened.pop()
+                    held[inner] -= 1
+                del out[begin:]
+        elif m["close"]:
+            out.append(("close", name, ""))
+        elif ended:
+            out.append(("void", name, ""))
+        elif name not in SKIP and name not in CONTENT and attrs and any(
+                SKIP_NAMES.intersection(re.split(r"[\s_-]+", "".join(g).lower())) for g in NAMES.findall(attrs)):
+            out.append(("open", f"{name} x-skip", ""))
+        else:
+            out.append(("open", name, ""))
     if at < len(page):
-        yield "text", "", page[at:]
+        out.append(("text", "", page[at:]))
+    return out
+
+
+def parsed(page: str) -> list[tuple[str, str, str, int, int]]:
+    """Tokens with, per text, the block element that it stands under, the words of it, and where
+    the innermost boilerplate element around it opened (-1: none).
 
+    Elements end at their close tag, where HTML implies their end, or with their parent.
+    """
+    out, under, held, skips = [], [], Counter(), []
+
+    def shut(depth: int) -> None:
+        held.subtract(bare for bare, _ in under[depth:])
+        del under[depth:]
+        while skips and skips[-1][0] >= depth:
+            skips.pop()
 
-def parsed(page: str) -> list[tuple[str, str, str, int]]:
-    """Tokens with, per text, the block element that it stands under, and the words of it."""
-    out, under = [], []
     for kind, name, text in tokens(page):
         bare = name.split(" ")[0]
         if kind == "text":
-            out.append((kind, under[-1] if under else "", text, len(text.split())))
+            out.append((kind, under[-1][1] if under else "", text, len(text.split()), skips[-1][1] if skips else -1))
             continue
-        if bare not in INLINE or bare == "a":
-            if kind == "open":
-                under.append(name)
-            else:
-                depth = next((i for i in range(len(under) - 1, -1, -1) if under[i].split(" ")[0] == bare), None)
+        block = bare not in INLINE or bare == "a"
+        if kind == "close":
+            if held[bare]:
+                depth = next(i for i in range(len(under) - 1, -1, -1) if under[i][0] == bare)
+                name = under[depth][1] if block else name
+                shut(depth)
+        else:
+            ends, bars = IMPLIED.get(bare, NONE)
+            if any(held[x] for x in ends):
+                depth = None
+                for i in range(len(under) - 1, -1, -1):
+                    if under[i][0] in ends:
+                        depth = i
+                    elif under[i][0] in bars:
+                        break
                 if depth is not None:
-                    name = under[depth]
-                    del under[depth:]
-        out.append((kind, name, "", 0))
+                    shut(depth)
+            skip = bare in SKIP or name.endswith("x-skip")
+            if kind == "open" and (block or skip or skips):
+                if skip:
+                    skips.append((len(under), len(out)))
+                under.append((bare, name if block else under[-1][1] if under else ""))
+                held[bare] += 1
+        out.append(("close" if kind == "close" else "open", name, "", 0, -1))
     return out
 
 
@@ -90,7 +164,7 @@ def label_counts(page: str) -> Counter:
     closes = [i for i, t in enumerate(seq) if t[0] == "close" and t[1] in CONTENT]
     if not opens or not closes or opens[0] > closes[-1]:
         return out
-    for i, (kind, name, _, n) in enumerate(seq):
+    for i, (kind, name, _, n, _) in enumerate(seq):
         inside = opens[0] < i < closes[-1]
         if kind == "text":
             if n:
@@ -140,17 +214,13 @@ def extract(page: str, weights: dict[str, float]) -> str:
     seq = parsed(page)
     scores = [n * weights.get(f"w {name if name not in CONTENT else ''}", DEFAULT_WORD) if kind == "text"
               else (0.0 if name in CONTENT else weights.get(
-                  f"t {name}", 0.0 if name in INLINE and name != "a" else DEFAULT_TAG)) for kind, name, _, n in seq]
+                  f"t {name}", 0.0 if name in INLINE and name != "a" else DEFAULT_TAG)) for kind, name, _, n, _ in seq]
     start, end = best_region(scores)
-    blocks, now, skip = [], [], []
-    for kind, name, text, _ in seq[start:end]:
+    blocks, now = [], []
+    for kind, name, text, _, skip in seq[start:end]:
         bare = name.split(" ")[0]
-        if kind == "open" and (bare in SKIP or name.endswith("x-skip") or skip and bare == skip[0]):
-            skip.append(bare)
-        elif kind == "close" and skip and bare == skip[0]:
-            skip.pop()
-        elif kind == "text":
-            if not skip:
+        if kind == "text":
+            if skip < start:
                 now.append(text)
         elif bare == "br":
             now.append(" ")

@@ -74,6 +74,26 @@ def test_main_text_leaves_boilerplate_out(spark):
     assert max_segment.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("mark", [
+    '<img class="banner">', '<hr class="related">', '<input class="subscribe">', '<div class="ad"/>',
+    "<p class=notice>GONE", "<ul><li class=social>GONE</ul>", "<ul><li class=social>GONE<li>Item.</ul>",
+    "<dl><dt class=ad>GONE<dd>Item.</dl>", "<table><tr class=ad><td>GONE<tr><td>Item.</table>",
+    "<div><p class=notice>GONE</div>", '<span class="ad">GONE <span>GONE</span> GONE</span>',
+    '<svg width="1"/>', "<svg><title/><svg/><g>GONE</g></svg>", "<datalist><option>GONE<option value=b></datalist>",
+    "<button-group>Item.</button-group>", "<title-bar>Item.</title-bar>", "<select><option>GONE</select>",
+    "<button>", "<button>GONE</button>", "<script>GONE</script >", "<aside>GONE<p>GONE</aside>", "<!-- GONE -->"])
+def test_main_text_goes_on_after(mark):
+    words = "Main words of this page go on. " * 5
+    got = max_segment.extract(f"<main><p>{words}</p>{mark}<p>{words}</p><p>{words}End.</p></main>", {})
+    want = [words.strip(), *["Item."] * ("Item." in mark), words.strip(), words + "End."]
+    assert got.split("\n\n") == want
+
+
+def test_raw_text_runs_to_the_end():
+    for name in ("script", "style", "textarea", "title", "!--"):
+        assert max_segment.extract(f"<p>Some words here.</p><{name}><p>never shown</p>", {}) == "Some words here."
+
+
 def test_rules(spark, sf, odd_pages):
     rules = [(h + p, v) for v, h, p in link_rank.RULES]
     for r in queries.op8_link_rank(spark, sf).collect() + link_rank.judge(odd_pages).collect():
