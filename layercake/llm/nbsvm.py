@@ -1,13 +1,14 @@
 """Operator 3: quality classifier by naive Bayes support vectors.
 
-Features are indicators of word-shape n-grams (one to three words; a word equal to the one
-before it has a shape of its own) and of the share of the text that a shape makes up.  They
-are scaled by the class log-count ratios of naive Bayes, the vector is brought to unit length
+Features are indicators of n-grams (one to three words) of the lower-cased words and of their
+shapes (a word equal to the one before it has a shape of its own), and of the share of the text
+that a shape makes up.  They are scaled by the class log-count ratios of naive Bayes, the vector is brought to unit length
 and a linear hinge-loss model is fitted by dual coordinate descent.  Margins become scores
 through a logistic curve fitted on the training rows.
 
 The fit takes at most ``max_train`` labelled rows, those with the smallest hash of their id;
 every row is scored on its whole text.  Labels, language, source and id are never features.
+Features that no training row has count for nothing, so new words do not dilute a margin.
 
 Edge cases: NULL and empty texts have only the constant feature; labels that are NULL or
 belong to no document are not used, repeated ones count once; without labels of both classes
@@ -28,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..names import col as named
-from .common import id_crc
+from .common import id_crc, materialize
 
-BITS = 18
+BITS = 22
 #: Shares of the words from which a shape counts as a level of its own.
 LEVELS = (0.02, 0.1, 0.3, 0.6)
 RUNS = re.compile(r"(.)\1+", re.S)
@@ -55,22 +56,23 @@ def features(text: str | None, known: dict[str, tuple[int, int]]) -> np.ndarray:
     for w in set(words).difference(known):
         known[w] = (zlib.crc32(shape(w).encode()), zlib.crc32(w.lower().encode("utf-8", "surrogatepass")))
     if not words:
-        return np.zeros(1, dtype=np.int64)
+        return np.zeros(1, dtype=np.int32)
     both = np.array([known[w] for w in words], dtype=np.uint64)
     s, same = both[:, 0].copy(), np.r_[False, both[1:, 1] == both[:-1, 1]]
     s[same] = 1
     with np.errstate(over="ignore"):
         one, n = np.unique(_mix(s + np.uint64(1)), return_counts=True)
-        grams = [one]
-        for size in (2, 3):
-            g = np.full(max(len(s) - size + 1, 0), size, dtype=np.uint64)
-            for i in range(size):
-                g = _mix(g * np.uint64(0x9E3779B97F4A7C15) + s[i:i + len(g)])
-            grams.append(np.unique(g))
+        grams = [one, _mix(both[:, 1] + np.uint64(1 << 40))]
+        for items, kind in ((s, 0), (both[:, 1], 10)):
+            for size in (2, 3):
+                g = np.full(max(len(s) - size + 1, 0), size + kind, dtype=np.uint64)
+                for i in range(size):
+                    g = _mix(g * np.uint64(0x9E3779B97F4A7C15) + items[i:i + len(g)])
+                grams.append(g)
         for k, level in enumerate(LEVELS):
             grams.append(_mix(one[n >= level * len(s)] + np.uint64(k + 77)))
         hashed = np.concatenate(grams) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)
-    return np.unique(np.r_[0, hashed.astype(np.int64)])
+    return np.unique(np.r_[np.int32(0), hashed.astype(np.int32)])
 
 
 @dataclass
@@ -92,22 +94,35 @@ class Model:
 
 def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size: int, *, c: float,
                  epochs: int, seed: int = 3) -> np.ndarray:
-    """min |w|^2/2 + c * sum of hinge losses, one dual variable at a time."""
+    """min |w|^2/2 + c * sum of hinge losses, one dual variable at a time.
+
+    Rows at a bound whose slope points beyond it by more than any row moved by in the pass
+    before are passed over until the others have settled.
+    """
     w, alpha = np.zeros(size), np.zeros(len(rows))
-    norm = np.array([v @ v for v in values])
+    norm = np.array([np.einsum("i,i", v, v) for v in values])
     rng = np.random.default_rng(seed)
+    active, far = np.flatnonzero(norm > 0), np.inf
+    every = active
     for _ in range(epochs):
-        moved = 0.0
-        for i in rng.permutation(len(rows)):
-            if norm[i] == 0:
+        worst, stay = 0.0, []
+        for i in rng.permutation(active):
+            at, v = rows[i], values[i]
+            held = w[at]
+            slope = y[i] * np.einsum("i,i", held, v) - 1  # BLAS threads cost more than such short sums
+            if alpha[i] == 0 and slope > far or alpha[i] == c and slope < -far:
                 continue
-            slope = y[i] * (w[rows[i]] @ values[i]) - 1
+            stay.append(i)
             new = min(max(alpha[i] - slope / norm[i], 0.0), c)
             if new != alpha[i]:
-                w[rows[i]] += (new - alpha[i]) * y[i] * values[i]
-                moved, alpha[i] = max(moved, abs(new - alpha[i])), new
-        if moved < 1e-4:
-            break
+                w[at] = held + (new - alpha[i]) * y[i] * v
+                worst, alpha[i] = max(worst, abs(new - alpha[i]) * norm[i]), new
+        if worst < 1e-4:
+            if len(active) == len(every):
+                break
+            active, far = every, np.inf
+        else:
+            active, far = np.array(stay), worst
     return w
 
 
@@ -118,13 +133,17 @@ def fit(sample: list[tuple[int, np.ndarray]], *, c: float = 1.0, epochs: int = 2
         share = (float((y > 0).mean()) * len(y) + 1e-6) / (len(y) + 2e-6) if len(y) else 0.5
         return Model(None, None, 0.0, float(np.log(share / (1 - share))))
     size, rows = 1 << BITS, [ids for _, ids in sample]
-    counts = {s: np.full(size, prior) for s in (1, -1)}
+    counts = {s: np.full(size, prior, np.float32) for s in (1, -1)}
     for ids, s in zip(rows, y):
         counts[int(s)][ids] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[-1] / counts[-1].sum())
-    values = [ratio[ids] / max(np.linalg.norm(ratio[ids]), 1e-9) for ids in rows]
+    ratio = np.log(counts[1] / counts[1].sum(dtype=float))
+    ratio -= np.log(counts[-1] / counts[-1].sum(dtype=float))
+    ratio[(counts[1] == prior) & (counts[-1] == prior)] = 0
+    ratio = ratio.astype(np.float32)
+    del counts
+    values = [(ratio[ids] / max(np.linalg.norm(ratio[ids]), 1e-9)).astype(np.float32) for ids in rows]
     w = dual_descent(rows, values, y, size, c=c, epochs=epochs)
-    m = np.array([w[ids] @ v for ids, v in zip(rows, values)])
+    m = np.array([np.einsum("i,i", w[ids], v) for ids, v in zip(rows, values)])
     a, b = 1.0, 0.0  # logistic curve by Newton steps, with a small pull to keep it finite
     t = np.where(y > 0, 1 - 1 / (2 + (y > 0).sum()), 1 / (2 + (y < 0).sum()))
     x = np.c_[m, np.ones(len(m))]
@@ -134,7 +153,7 @@ def fit(sample: list[tuple[int, np.ndarray]], *, c: float = 1.0, epochs: int = 2
         grad = x.T @ (p - t) + 1e-3 * theta
         hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         theta = theta - np.linalg.solve(hess, grad)
-    return Model((w * ratio).astype(np.float32), ratio.astype(np.float32), float(theta[0]), float(theta[1]))
+    return Model((w * ratio).astype(np.float32), ratio, float(theta[0]), float(theta[1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -154,8 +173,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             yield pd.DataFrame({"id": pdf["label_id"], "label": pdf["label"], "ids": [
                 features(t, known).astype(np.int32).tobytes() for t in pdf["text"]]})
 
-    got = rows.mapInPandas(run, "id long, label int, ids binary").orderBy("id", "ids").collect()
-    return fit([(r.label, np.frombuffer(r.ids, dtype=np.int32).astype(np.int64)) for r in got])
+    # written in parallel, then read file by file: the driver holds the features once
+    found = materialize(rows.mapInPandas(run, "id long, label int, ids binary"), "nb-sample")
+    got = sorted((r.id, bytes(r.ids), r.label) for r in found.toLocalIterator())
+    return fit([(label, np.frombuffer(ids, dtype=np.int32)) for _, ids, label in got])
 
 
 def score_column(model: Model, text: Column, spark) -> Column:

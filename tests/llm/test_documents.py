@@ -136,6 +136,19 @@ def test_classifier_on_held_out_rows(spark):
     assert sum(a == b for a, b in held) >= 0.97 * len(held)
 
 
+def test_classifier_learns_vocabulary(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
+    rows = []
+    for i in range(500):
+        own = words[:15] if i % 2 else words[15:30]
+        rows.append((i, " ".join(rng.permutation([*rng.choice(own, 8), *rng.choice(words[30:], 60)]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    held = [(r.doc_id % 2, r.score > 0.5) for r in nbsvm.scored(docs, labels).collect() if r.held_out]
+    assert len(held) > 50 and sum(a == b for a, b in held) >= 0.97 * len(held)
+
+
 def test_classifier_on_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     one = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (99, 0, 0), (4, None, 0), (None, 1, 1)], none.schema)
