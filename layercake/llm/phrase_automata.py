@@ -30,13 +30,13 @@ in practice; longer ones raise an error.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,19 +48,21 @@ from .streams import runs, task_count, text_slices
 #: Words of a window, of an anchor and of a tile: a window holds a whole tile at any offset.
 WINDOW, ANCHOR, TILE = 20, 8, 10
 #: Stretches of one anchor beyond which it gets shards of its own, and words of one shard.
-HOT, SHARD_WORDS = 5_000, 300_000
+HOT, SHARD_WORDS = 5_000, 200_000
 #: Low bits of a position hold the word's number in its document.
 AT = 28
 
 
-class _WordHash(dict):
-    """Word -> 64-bit hash, kept for the words seen last."""
+#: Bytes that are hashed at a time, and the powers of the word hash's base for their places.
+CHUNK = 1 << 20
+_BASE = 0x9E6C63D0676A9A99
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(_BASE, -1, 1 << 64)
+    return tuple(np.append(np.uint64(1), np.cumprod(np.full(CHUNK, b, dtype=np.uint64))) for b in (_BASE, inverse))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -76,66 +78,96 @@ def _rolled(codes: np.ndarray, k: int, base: int) -> np.ndarray:
     return _mix(h)
 
 
-def _anchors(hashes: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
+def _words(texts) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one buffer; each word's first byte, end and hash; each text's end in words."""
+    parts = [(t or "").encode() for t in texts]
+    data = b"\n".join(parts) + b"\n"
+    powers, inverse = _powers()
+    begins, ends, hashes = [], [], []
+    at = 0
+    while at < len(data):  # whole words at a time; one longer than a chunk is hashed by pieces
+        stop = at + CHUNK
+        if stop < len(data):
+            stop = max((data.rfind(c, at, stop) for c in (b" ", b"\n", b"\t", b"\v", b"\f", b"\r")), default=-1) + 1 or stop
+        raw = np.frombuffer(data, dtype=np.uint8, count=min(stop, len(data)) - at, offset=at)
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8)))
+        lo, hi = edge[::2], edge[1::2]
+        total = np.append(np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)]))
+        begins.append(lo + at)
+        ends.append(hi + at)
+        hashes.append(_mix((total[hi] - total[lo]) * inverse[lo]))
+        at = min(stop, len(data))
+    begin, end, hashes = np.concatenate(begins), np.concatenate(ends), np.concatenate(hashes)
+    first = np.flatnonzero(np.append(True, begin[1:] != end[:-1])[:len(begin)])
+    if len(first) < len(begin):  # pieces of one word
+        begin, end = begin[first], end[np.append(first[1:], len(end)) - 1]
+        hashes = np.add.reduceat(hashes, first)
+    text_ends = np.searchsorted(begin, np.cumsum([len(x) + 1 for x in parts]))
+    return data, begin, end, hashes, text_ends
+
+
+def _anchors(hashes: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
     """The stretches of the texts that end at ``ends``: text, anchor, first and last window, and
     whether the anchor is in the stretch at two places (the text then repeats itself there)."""
     grams = _rolled(hashes, ANCHOR, 0x100000001B3)
     span = WINDOW - ANCHOR + 1
-    at = np.arange(len(grams) - span + 1)
-    text = np.searchsorted(ends, at, side="right")
-    at = at[at + WINDOW <= ends[text]] if len(at) else at
+    n = len(grams) - span + 1
+    if n <= 0:
+        return {c: np.zeros(0, dtype=np.int64) for c in ("text", "anchor", "first", "last", "twice")}
+    least, left, right = grams[:n].copy(), np.arange(n), np.arange(n)
+    for j in range(1, span):
+        here = grams[j:j + n]
+        lower, equal = here < least, here == least
+        left[lower] = np.flatnonzero(lower) + j
+        lower |= equal
+        right[lower] = np.flatnonzero(lower) + j
+        np.minimum(least, here, out=least)
+    text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:n]
+    at = np.flatnonzero(np.arange(n) + WINDOW <= ends[text])
     if not len(at):
-        return pd.DataFrame({c: np.zeros(0, dtype=np.int64) for c in ("text", "anchor", "first", "last", "twice")})
-    text = np.searchsorted(ends, at, side="right")
-    view = np.lib.stride_tricks.sliding_window_view(grams, span)
-    left, right = at + view.argmin(axis=1)[at], at + span - 1 - view[:, ::-1].argmin(axis=1)[at]
-    anchor = grams[left].view(np.int64)
+        return _anchors(hashes[:0], ends)
+    text, anchor, left, right = text[at], least[at].view(np.int64), left[at], right[at]
     begin = np.append(0, np.flatnonzero((anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])) + 1)
-    return pd.DataFrame({
-        "text": text[begin], "anchor": anchor[begin], "first": at[begin],
-        "last": at[np.append(begin[1:], len(at)) - 1],
-        "twice": np.minimum.reduceat(left, begin) != np.maximum.reduceat(right, begin)})
+    return {"text": text[begin], "anchor": anchor[begin], "first": at[begin],
+            "last": at[np.append(begin[1:], len(at)) - 1],
+            "twice": np.minimum.reduceat(left, begin) != np.maximum.reduceat(right, begin)}
 
 
-def _hashed(texts, cache: _WordHash) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    words = [(t or "").encode().split() for t in texts]
-    ends = np.cumsum([len(w) for w in words])
-    total = int(ends[-1]) if len(ends) else 0
-    hashes = np.fromiter((cache[x] for w in words for x in w), dtype=np.uint64, count=total)
-    return words, ends, hashes
+def _pair(anchor: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """(text of a slice, anchor) as one number; a collision only lets needless work through."""
+    return anchor + np.int64(0x9E3779B97F4A7C1) * text
 
 
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(k1, text) -> (anchor, k1, often): a document's distinct anchors; often: in two stretches."""
-    cache = _WordHash()
+    """(k1, text) -> (anchor, k1, often): a document's distinct anchors; often: at two places."""
     for pdf in batches:
-        for part in text_slices(pdf, "text"):
-            _, ends, hashes = _hashed(part["text"], cache)
+        for part in text_slices(pdf, "text", CHUNK):
+            *_, hashes, ends = _words(part["text"])
             found = _anchors(hashes, ends)
-            per = found.groupby(["text", "anchor"], sort=False)["twice"].agg(["size", "max"]).reset_index()
-            yield pd.DataFrame({"anchor": per["anchor"], "k1": part["k1"].to_numpy()[per["text"]],
-                                "often": (per["size"] > 1) | (per["max"] > 0)})
+            _, first, group, n = np.unique(_pair(found["anchor"], found["text"]), return_index=True,
+                                           return_inverse=True, return_counts=True)
+            twice = np.bincount(group, weights=found["twice"], minlength=len(first)) > 0
+            yield pd.DataFrame({"anchor": found["anchor"][first], "k1": part["k1"].to_numpy()[found["text"][first]],
+                                "often": (n > 1) | twice})
 
 
 def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(no, text, anchors) -> (anchor, pos, words): the stretches of the given anchors."""
-    cache = _WordHash()
+    """(no, text, anchors) -> (anchor, pos, n, words): the stretches of the given anchors, the
+    number of their words and the words."""
     for pdf in batches:
-        for part in text_slices(pdf, "text"):
-            words, ends, hashes = _hashed(part["text"], cache)
-            if max(map(len, words)) >= 1 << AT:
-                raise ValueError(f"a text has {max(map(len, words))} words; at most 2**{AT} are supported")
+        for part in text_slices(pdf, "text", CHUNK):
+            data, begin, end, hashes, ends = _words(part["text"])
+            most = int(np.diff(ends, prepend=0).max())
+            if most >= 1 << AT:
+                raise ValueError(f"a text has {most} words; at most 2**{AT} are supported")
             found, lists = _anchors(hashes, ends), part["anchors"].to_numpy()
-            # (text, anchor) as one number; a collision lets a needless stretch through
-            odd = np.int64(0x9E3779B97F4A7C1)
-            asked = np.concatenate(lists) + odd * np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            found = found[np.isin(found["anchor"].to_numpy() + odd * found["text"].to_numpy(), asked)]
-            base = ends - [len(w) for w in words]
-            no = part["no"].to_numpy(dtype=np.int64)
-            rows = [(anchor, (int(no[t]) << AT) + int(a - base[t]),
-                     b" ".join(words[t][a - base[t]:b - base[t] + WINDOW]).decode())
-                    for t, anchor, a, b in found[["text", "anchor", "first", "last"]].itertuples(index=False)]
-            yield pd.DataFrame(rows, columns=["anchor", "pos", "words"]).astype({"anchor": "int64", "pos": "int64"})
+            asked = _pair(np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
+            held = np.isin(_pair(found["anchor"], found["text"]), asked)
+            text, first, last = (found[c][held] for c in ("text", "first", "last"))
+            pos = (part["no"].to_numpy(dtype=np.int64)[text] << AT) + first - np.append(0, ends)[text]
+            yield pd.DataFrame({"anchor": found["anchor"][held], "pos": pos,
+                                "n": (last - first + WINDOW).astype(np.int32),
+                                "words": [data[a:b].decode() for a, b in zip(begin[first], end[last + WINDOW - 1])]})
 
 
 def _single_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,103 +180,118 @@ def _single_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "words": [b" ".join(w[i:i + WINDOW]).decode() for i in range(n)]})
 
 
+class _Texts:
+    """Stretches or passages: positions, sizes in words, and all words in one list."""
+
+    def __init__(self, parts: list[pd.DataFrame]):
+        whole = pd.concat(parts) if parts else pd.DataFrame({"pos": [], "n": [], "words": []})
+        self.pos, self.size = whole["pos"].to_numpy(dtype=np.int64), whole["n"].to_numpy(dtype=np.int64)
+        self.words = "\n".join(whole["words"]).encode().split()
+        self.end = np.cumsum(self.size)
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For segments (begin, size): the segment and the place of each element."""
+    pick = np.repeat(np.arange(len(size)), size)
+    return pick, np.arange(len(pick)) - np.repeat(np.cumsum(size) - size, size) + begin[pick]
+
+
+def _chars(codes: np.ndarray) -> str:
+    """One character per word; the range that holds no characters is left out."""
+    c = codes.astype(np.uint32)
+    return (c + (c >= 0xD800) * np.uint32(0x800)).astype("<u4").tobytes().decode("utf-32-le")
+
+
 class _Passages:
     """The confirmed passages of one shard, as an automaton over words written as characters."""
 
-    def __init__(self, known: list[tuple[int, list[bytes]]], own: list[tuple[int, list[bytes]]]):
-        """known: passages as they are; own: stretches by position, whose repeated windows are confirmed."""
-        self.code: dict[bytes, int] = {}
-        for _, w in known:
-            for x in w:
-                self.code.setdefault(x, len(self.code) + 1)
-        seen: set[bytes] = set()
-        for _, w in own:  # a word met once is in no repeated window and needs no code
-            for x in w:
-                if x in seen:
-                    self.code.setdefault(x, len(self.code) + 1)
-                seen.add(x)
-        del seen
-        if len(self.code) > 1_100_000:
+    def __init__(self, known: _Texts, own: _Texts):
+        """known: passages as they are; own: stretches in the order of position, of which the
+        repeated windows are confirmed."""
+        codes, vocabulary = pd.factorize(np.array(known.words + own.words, dtype=object))
+        # a word of the stretches that is met once is in no repeated window and stays 0
+        often = np.bincount(codes, minlength=len(vocabulary)) > 1
+        often[codes[:len(known.words)]] = True
+        number = np.where(often, np.cumsum(often), 0)
+        if len(number) and number.max() > 1_100_000:
             raise ValueError("a shard has more distinct words than there are characters")
-        passages = [(pos, self.codes(w)) for pos, w in known]
-        passages += self._confirm(own)
-        self.begin = np.cumsum([0, *(len(c) for _, c in passages)])
-        self.pos = np.array([p for p, _ in passages], dtype=np.int64)
-        self.all = np.concatenate([c for _, c in passages]) if passages else np.zeros(0, dtype=np.int32)
-        tiles: dict[str, list[tuple[int, int]]] = {}
-        for i, (_, c) in enumerate(passages):
-            s = self.chars(c)
-            for t in range(0, len(c) - TILE + 1, TILE):
-                tiles.setdefault(s[t:t + TILE], []).append((i, t))
+        codes = number[codes].astype(np.int32)
+        self.vocabulary, self.number = pd.Index(vocabulary), np.append(number, 0).astype(np.int32)
+        self.own, self.own_codes = own, codes[len(known.words):]
+        pos, begin, size = self._confirm()
+        _, place = _spread(begin, size)
+        self.pos = np.concatenate([known.pos, pos])
+        self.size = np.concatenate([known.size, size])
+        self.all = np.concatenate([codes[:len(known.words)], self.own_codes[place]])
+        self.begin = np.cumsum(self.size) - self.size
+        text, tiles = _chars(self.all), {}
+        for i, (at, size) in enumerate(zip(self.begin.tolist(), self.size.tolist())):
+            for t in range(0, size - TILE + 1, TILE):
+                tiles.setdefault(text[at + t:at + t + TILE], []).append((i, t))
         self.automaton = ahocorasick.Automaton()
-        for s, places in tiles.items():
-            self.automaton.add_word(s, places)
+        for tile, places in tiles.items():
+            self.automaton.add_word(tile, places)
         if tiles:
             self.automaton.make_automaton()
         self.empty = not tiles
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        get = self.code.get
-        return np.fromiter((get(x, 0) for x in words), dtype=np.int32, count=len(words))
-
-    @staticmethod
-    def chars(codes: np.ndarray) -> str:
-        """One character per word; the range that is no character is left out."""
-        c = codes.astype(np.uint32)
-        return (c + (c >= 0xD800) * np.uint32(0x800)).astype("<u4").tobytes().decode("utf-32-le")
-
-    def _confirm(self, own: list[tuple[int, list[bytes]]]) -> list[tuple[int, np.ndarray]]:
-        """Maximal passages of windows at their first place that occur again."""
-        if not own:
-            return []
-        coded = [self.codes(w) for _, w in own]
-        sizes = np.array([len(c) for c in coded])
-        ends, every = np.cumsum(sizes), np.concatenate(coded)
+    def _confirm(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Maximal passages of windows at their first place that occur again: position, first
+        word among the stretches' words, size."""
+        own, every = self.own, self.own_codes
+        if not len(own.pos):
+            return own.pos, own.pos, own.size
         mixed = _mix((every.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        at = np.concatenate([np.arange(e - n, e - WINDOW + 1) for e, n in zip(ends, sizes)])
+        _, at = _spread(own.end - own.size, own.size - WINDOW + 1)
         h1, h2 = (_rolled(mixed, WINDOW, base)[at] for base in (0x100000001B3, 0xD6E8FEB86659FD93))
-        order = np.lexsort((np.arange(len(at)), h2, h1))
-        same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-        first = np.append(True, ~same) & np.append(same, False)  # a group's first member of several
-        places = np.sort(at[order[first]])
-        stretch = np.searchsorted(ends, places, side="right")
-        cut = np.flatnonzero((np.diff(places) != 1) | (np.diff(stretch) != 0)) + 1
-        out = []
-        for group in np.split(places, cut):
-            if len(group):
-                i = int(np.searchsorted(ends, group[0], side="right"))
-                start = int(ends[i] - sizes[i])
-                out.append((own[i][0] + int(group[0]) - start, every[group[0]:group[-1] + WINDOW]))
-        return out
-
-    def repeated(self, targets: list[tuple[int, list[bytes]]]) -> list[tuple[int, int]]:
-        """(position, windows) of the stretches' windows that repeat a passage's window."""
-        if self.empty or not targets:
-            return []
-        coded = [self.codes(w) for _, w in targets]
-        ends = np.cumsum([len(c) + 1 for c in coded])  # a 0 between stretches matches nothing
-        every = np.concatenate([np.append(c, 0) for c in coded]).astype(np.int32)
-        hits = [(i, e - TILE + 1 - t) for e, places in self.automaton.iter(self.chars(every)) for i, t in places]
+        order = np.argsort(h1, kind="stable")
+        met = h1[order][1:] == h1[order][:-1]
+        if (met & (h2[order][1:] != h2[order][:-1])).any():
+            order = np.lexsort((np.arange(len(at)), h2, h1))
+            met = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+        place = np.sort(at[order[np.append(True, ~met) & np.append(met, False)]])  # a group's first of several
+        if not len(place):
+            return own.pos[:0], own.pos[:0], own.size[:0]
+        stretch = np.searchsorted(own.end, place, side="right")
+        cut = np.append(0, np.flatnonzero((np.diff(place) != 1) | (np.diff(stretch) != 0)) + 1)
+        last = np.append(cut[1:], len(place)) - 1
+        begin, stretch = place[cut], stretch[cut]
+        return own.pos[stretch] + begin - (own.end - own.size)[stretch], begin, place[last] - begin + WINDOW
+
+    def repeated_own(self) -> pd.DataFrame:
+        return self._find(self.own, self.own_codes)
+
+    def repeated(self, targets: _Texts) -> pd.DataFrame:
+        return self._find(targets, self.number[self.vocabulary.get_indexer(pd.Index(targets.words, dtype=object))])
+
+    def _find(self, targets: _Texts, codes: np.ndarray) -> pd.DataFrame:
+        """(pos, n): runs of the targets' windows that repeat a passage's window."""
+        none = pd.DataFrame({"pos": np.zeros(0, dtype=np.int64), "n": np.zeros(0, dtype=np.int32)})
+        if self.empty or not len(targets.pos):
+            return none
+        every = np.insert(codes, targets.end, 0)  # a 0 after each target keeps windows inside one
+        end = targets.end + np.arange(1, len(targets.end) + 1)
+        hits = [x for e, places in self.automaton.iter(_chars(every)) for i, t in places for x in (i, e - TILE + 1 - t)]
         if not hits:
-            return []
-        passage, start = np.unique(np.array(hits, dtype=np.int64), axis=0).T
-        # compare along the whole passage; the 0 after each stretch keeps windows inside one
-        size = self.begin[passage + 1] - self.begin[passage]
+            return none
+        hits = np.array(hits, dtype=np.int64).reshape(-1, 2)
+        hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
+        passage, start = hits[np.append(True, (hits[1:] != hits[:-1]).any(axis=1))].T
+        # each tile is extended along its whole passage, word by word
         lo = np.maximum(0, -start)
-        n = np.minimum(size, len(every) - start) - lo
-        pick = np.repeat(np.arange(len(n)), n)
-        j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[pick]
+        pick, j = _spread(lo, np.minimum(self.size[passage], len(every) - start) - lo)
         place = start[pick] + j
         equal = (every[place] == self.all[self.begin[passage][pick] + j]) & (every[place] > 0)
         total = np.append(0, np.cumsum(equal))
         k = np.arange(max(len(equal) - WINDOW + 1, 0))
-        full = k[(total[k + WINDOW] - total[k] == WINDOW) & (pick[k] == pick[k + WINDOW - 1])]
-        where = np.searchsorted(ends, place[full], side="right")
-        begin = ends - [len(c) + 1 for c in coded]
-        here = np.array([p for p, _ in targets], dtype=np.int64)[where] + place[full] - begin[where]
-        found = np.unique(here[here != self.pos[passage][pick[full]] + j[full]])
-        cut = np.flatnonzero(np.diff(found) != 1) + 1
-        return [(int(g[0]), len(g)) for g in np.split(found, cut) if len(g)]
+        k = k[(total[k + WINDOW] - total[k] == WINDOW) & (pick[k] == pick[k + WINDOW - 1])]
+        where = np.searchsorted(end, place[k], side="right")
+        here = targets.pos[where] + place[k] - (end - targets.size - 1)[where]
+        found = np.unique(here[here != self.pos[passage][pick[k]] + j[k]])
+        if not len(found):
+            return none
+        cut = np.append(0, np.flatnonzero(np.diff(found) != 1) + 1)
+        return pd.DataFrame({"pos": found[cut], "n": np.diff(np.append(cut, len(found))).astype(np.int32)})
 
 
 def _match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -253,24 +300,20 @@ def _match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     kind 0: a passage, 1: a stretch to confirm and to search, 2: a stretch to search.  What is
     held is the shard's passages and its stretches of kind 1, both bounded, and one batch."""
     passages, known, own, current = None, [], [], None
-
-    def frame(found):
-        return pd.DataFrame(found, columns=["pos", "n"]).astype({"pos": "int64", "n": "int32"})
-
     for (shard, salt, kind), _, part in runs(batches, ["shard", "salt", "kind"]):
         if (shard, salt) != current:
             if own:
-                yield frame(_Passages([], own).repeated(own))
+                yield _Passages(_Texts([]), _Texts(own)).repeated_own()
             passages, known, own, current = None, [], [], (shard, salt)
-        rows = [(int(p), w.encode().split()) for p, w in zip(part["pos"], part["words"])]
         if kind == 0:
-            known += rows
+            known.append(part)
         elif kind == 1:
-            own += rows
+            own.append(part)
         else:
-            passages = passages or _Passages(known, [])
-            yield frame(passages.repeated(rows))
-    yield frame(_Passages([], own).repeated(own) if own else [])
+            passages = passages or _Passages(_Texts(known), _Texts([]))
+            yield passages.repeated(_Texts([part]))
+    if own:
+        yield _Passages(_Texts([]), _Texts(own)).repeated_own()
 
 
 def _kept(spans: list, words: list[bytes]) -> tuple[int, str]:
@@ -323,22 +366,22 @@ def repeated_windows(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = materialize(keyed.select("k1", "k2", "ids", "text").dropDuplicates(["k1", "k2", "ids"])
                        .join(asked, ["k1", "k2", "ids"]).select("no", "k1", "k2", "text", "anchors"), "phrases-documents")
     found = materialize(docs.select("no", "text", "anchors").mapInPandas(
-        _stretches, "anchor long, pos long, words string"), "phrases-stretches")
+        _stretches, "anchor long, pos long, n int, words string"), "phrases-stretches")
     per_anchor = found.groupBy("anchor").count()
     hot = materialize(per_anchor.filter(F.col("count") > HOT), "phrases-hot")
-    words = found.agg(F.coalesce(F.sum(F.length("words") / 6), F.lit(0)).alias("n")).first()[0]
+    words = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = 1 + int(words // SHARD_WORDS)
     marked = found.join(hot, "anchor", "left") if hot.count() else found.withColumn("count", F.lit(None).cast("long"))
     cold = marked.filter("count IS NULL").select(
-        F.pmod("anchor", F.lit(shards)).alias("shard"), F.lit(-1).cast("long").alias("salt"), F.lit(1).alias("kind"), "pos", "words")
+        F.pmod("anchor", F.lit(shards)).alias("shard"), F.lit(-1).cast("long").alias("salt"), F.lit(1).alias("kind"), "pos", "n", "words")
     salts = 1 + F.floor(F.col("count") / HOT)
     busy = marked.filter("count IS NOT NULL").select(
-        F.col("anchor").alias("shard"), F.pmod(F.xxhash64("pos"), salts).alias("salt"), F.lit(2).alias("kind"), "pos", "words")
+        F.col("anchor").alias("shard"), F.pmod(F.xxhash64("pos"), salts).alias("salt"), F.lit(2).alias("kind"), "pos", "n", "words")
     passages = marked.filter("count IS NOT NULL").select("anchor", "pos", "words").mapInPandas(
         _single_windows, "anchor long, pos long, words string").groupBy("anchor", "words").agg(
-        F.min("pos").alias("pos"), F.count("*").alias("n")).filter("n > 1").join(hot, "anchor").select(
+        F.min("pos").alias("pos"), F.count("*").alias("met")).filter("met > 1").join(hot, "anchor").select(
         F.col("anchor").alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("count") / HOT))).alias("salt"),
-        F.lit(0).alias("kind"), "pos", "words")
+        F.lit(0).alias("kind"), "pos", F.lit(WINDOW).alias("n"), "words")
     rows = cold.unionByName(busy).unionByName(passages)
     spans = rows.repartition(task_count(spark), "shard", "salt").sortWithinPartitions(
         "shard", "salt", "kind", "pos").mapInPandas(_match, "pos long, n int")
