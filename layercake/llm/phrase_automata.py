@@ -9,15 +9,14 @@ earlier (smaller id, or the same document at an earlier word) is repeated, and i
    alone; a collision costs work and changes no result.
 2. Stretches.  Neighbouring windows with one anchor form a stretch, sent to the shard of that
    anchor.  All windows that could be equal meet there.
-3. Confirmed passages.  In a shard, windows that occur twice are confirmed, and where they occur
-   first they are joined to passages.  Anchors of more than ``HOT`` stretches have shards of
-   their own; there the passages come from a native aggregate with map-side combining, and the
-   stretches are salted over several tasks.
-4. Automata.  Each shard writes words as characters, an exact one-to-one code, and compiles an
-   Aho-Corasick automaton of ten-word tiles of its passages.  Every 20-word window of a passage
-   holds a whole tile.  All stretches stream through the automaton; each tile that it locates is
-   extended word by word to the passage around it, and every full window found elsewhere than at
-   its first place is repeated.
+3. Confirmed phrases.  In a shard, windows that occur twice are confirmed where they occur first.
+   Anchors of more than ``HOT`` stretches have shards of their own; there the confirmed windows
+   come from a native aggregate with map-side combining, and the stretches are salted over
+   several tasks.
+4. Automata.  Each shard writes words as characters, an exact one-to-one code, and compiles its
+   confirmed windows into an Aho-Corasick automaton.  All stretches stream through it; every
+   window that it locates elsewhere than at its first place is repeated.  A place matches one
+   confirmed window at most, so the work follows the words and no pairs of copies are made.
 
 Edge cases: NULL texts and texts without words have no windows and keep no words; texts of fewer
 words than a window keep all.  Rows with equal id and text get equal results.  Rows with one id
@@ -32,6 +31,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -45,8 +45,8 @@ from ..names import col as named
 from .common import keep_columns, materialize, split_words
 from .streams import runs, task_count, text_slices
 
-#: Words of a window, of an anchor and of a tile: a window holds a whole tile at any offset.
-WINDOW, ANCHOR, TILE = 20, 8, 10
+#: Words of a window and of an anchor.
+WINDOW, ANCHOR = 20, 8
 #: Stretches of one anchor beyond which it gets shards of its own, and words of one shard.
 HOT, SHARD_WORDS = 5_000, 200_000
 #: Low bits of a position hold the word's number in its document.
@@ -181,7 +181,7 @@ def _single_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Texts:
-    """Stretches or passages: positions, sizes in words, and all words in one list."""
+    """Stretches or single windows: positions, sizes in words, and all words in one list."""
 
     def __init__(self, parts: list[pd.DataFrame]):
         whole = pd.concat(parts) if parts else pd.DataFrame({"pos": [], "n": [], "words": []})
@@ -202,12 +202,12 @@ def _chars(codes: np.ndarray) -> str:
     return (c + (c >= 0xD800) * np.uint32(0x800)).astype("<u4").tobytes().decode("utf-32-le")
 
 
-class _Passages:
-    """The confirmed passages of one shard, as an automaton over words written as characters."""
+class _Phrases:
+    """The confirmed windows of one shard, as an automaton over words written as characters."""
 
     def __init__(self, known: _Texts, own: _Texts):
-        """known: passages as they are; own: stretches in the order of position, of which the
-        repeated windows are confirmed."""
+        """known: confirmed windows; own: stretches in the order of position, whose windows are
+        confirmed here."""
         codes, vocabulary = pd.factorize(np.array(known.words + own.words, dtype=object))
         # a word of the stretches that is met once is in no repeated window and stays 0
         often = np.bincount(codes, minlength=len(vocabulary)) > 1
@@ -218,45 +218,34 @@ class _Passages:
         codes = number[codes].astype(np.int32)
         self.vocabulary, self.number = pd.Index(vocabulary), np.append(number, 0).astype(np.int32)
         self.own, self.own_codes = own, codes[len(known.words):]
-        pos, begin, size = self._confirm()
-        _, place = _spread(begin, size)
+        places, pos = self._confirm()
         self.pos = np.concatenate([known.pos, pos])
-        self.size = np.concatenate([known.size, size])
-        self.all = np.concatenate([codes[:len(known.words)], self.own_codes[place]])
-        self.begin = np.cumsum(self.size) - self.size
-        text, tiles = _chars(self.all), {}
-        for i, (at, size) in enumerate(zip(self.begin.tolist(), self.size.tolist())):
-            for t in range(0, size - TILE + 1, TILE):
-                tiles.setdefault(text[at + t:at + t + TILE], []).append((i, t))
-        self.automaton = ahocorasick.Automaton()
-        for tile, places in tiles.items():
-            self.automaton.add_word(tile, places)
-        if tiles:
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        begin, texts = known.end - known.size, _chars(codes)
+        for i, at in enumerate(np.concatenate([begin, places + len(known.words)]).tolist()):
+            self.automaton.add_word(texts[at:at + WINDOW], i)
+        if len(self.pos):
             self.automaton.make_automaton()
-        self.empty = not tiles
 
-    def _confirm(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Maximal passages of windows at their first place that occur again: position, first
-        word among the stretches' words, size."""
+    def _confirm(self) -> tuple[np.ndarray, np.ndarray]:
+        """The windows at their first place that occur again: first word among the stretches'
+        words, and position."""
         own, every = self.own, self.own_codes
         if not len(own.pos):
-            return own.pos, own.pos, own.size
+            return own.pos, own.pos
         mixed = _mix((every.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        _, at = _spread(own.end - own.size, own.size - WINDOW + 1)
+        pick, at = _spread(own.end - own.size, own.size - WINDOW + 1)
+        some = np.append(0, np.cumsum(every == 0))
+        whole = some[at + WINDOW] == some[at]  # no word that is met once
+        pick, at = pick[whole], at[whole]
         h1, h2 = (_rolled(mixed, WINDOW, base)[at] for base in (0x100000001B3, 0xD6E8FEB86659FD93))
         order = np.argsort(h1, kind="stable")
         met = h1[order][1:] == h1[order][:-1]
         if (met & (h2[order][1:] != h2[order][:-1])).any():
             order = np.lexsort((np.arange(len(at)), h2, h1))
             met = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-        place = np.sort(at[order[np.append(True, ~met) & np.append(met, False)]])  # a group's first of several
-        if not len(place):
-            return own.pos[:0], own.pos[:0], own.size[:0]
-        stretch = np.searchsorted(own.end, place, side="right")
-        cut = np.append(0, np.flatnonzero((np.diff(place) != 1) | (np.diff(stretch) != 0)) + 1)
-        last = np.append(cut[1:], len(place)) - 1
-        begin, stretch = place[cut], stretch[cut]
-        return own.pos[stretch] + begin - (own.end - own.size)[stretch], begin, place[last] - begin + WINDOW
+        first = order[(np.append(True, ~met) & np.append(met, False))[:len(order)]]  # a group's first of several
+        return at[first], own.pos[pick[first]] + at[first] - (own.end - own.size)[pick[first]]
 
     def repeated_own(self) -> pd.DataFrame:
         return self._find(self.own, self.own_codes)
@@ -265,29 +254,17 @@ class _Passages:
         return self._find(targets, self.number[self.vocabulary.get_indexer(pd.Index(targets.words, dtype=object))])
 
     def _find(self, targets: _Texts, codes: np.ndarray) -> pd.DataFrame:
-        """(pos, n): runs of the targets' windows that repeat a passage's window."""
+        """(pos, n): runs of the targets' windows that repeat a confirmed window."""
         none = pd.DataFrame({"pos": np.zeros(0, dtype=np.int64), "n": np.zeros(0, dtype=np.int32)})
-        if self.empty or not len(targets.pos):
+        if not len(self.pos) or not len(targets.pos):
             return none
-        every = np.insert(codes, targets.end, 0)  # a 0 after each target keeps windows inside one
+        text = _chars(np.insert(codes, targets.end, 0))  # a 0 after each target keeps windows inside one
         end = targets.end + np.arange(1, len(targets.end) + 1)
-        hits = [x for e, places in self.automaton.iter(_chars(every)) for i, t in places for x in (i, e - TILE + 1 - t)]
-        if not hits:
-            return none
-        hits = np.array(hits, dtype=np.int64).reshape(-1, 2)
-        hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
-        passage, start = hits[np.append(True, (hits[1:] != hits[:-1]).any(axis=1))].T
-        # each tile is extended along its whole passage, word by word
-        lo = np.maximum(0, -start)
-        pick, j = _spread(lo, np.minimum(self.size[passage], len(every) - start) - lo)
-        place = start[pick] + j
-        equal = (every[place] == self.all[self.begin[passage][pick] + j]) & (every[place] > 0)
-        total = np.append(0, np.cumsum(equal))
-        k = np.arange(max(len(equal) - WINDOW + 1, 0))
-        k = k[(total[k + WINDOW] - total[k] == WINDOW) & (pick[k] == pick[k + WINDOW - 1])]
-        where = np.searchsorted(end, place[k], side="right")
-        here = targets.pos[where] + place[k] - (end - targets.size - 1)[where]
-        found = np.unique(here[here != self.pos[passage][pick[k]] + j[k]])
+        hits = np.fromiter(itertools.chain.from_iterable(self.automaton.iter(text)), dtype=np.int64).reshape(-1, 2)
+        at, phrase = hits[:, 0] - WINDOW + 1, hits[:, 1]
+        where = np.searchsorted(end, at, side="right")
+        here = targets.pos[where] + at - (end - targets.size - 1)[where]
+        found = np.unique(here[here != self.pos[phrase]])
         if not len(found):
             return none
         cut = np.append(0, np.flatnonzero(np.diff(found) != 1) + 1)
@@ -297,23 +274,23 @@ class _Passages:
 def _match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (shard, salt, kind, pos) -> (pos, n) of repeated windows.
 
-    kind 0: a passage, 1: a stretch to confirm and to search, 2: a stretch to search.  What is
-    held is the shard's passages and its stretches of kind 1, both bounded, and one batch."""
-    passages, known, own, current = None, [], [], None
+    kind 0: a confirmed window, 1: a stretch to confirm and to search, 2: a stretch to search.
+    What is held is the shard's windows and its stretches of kind 1, both bounded, and one batch."""
+    phrases, known, own, current = None, [], [], None
     for (shard, salt, kind), _, part in runs(batches, ["shard", "salt", "kind"]):
         if (shard, salt) != current:
             if own:
-                yield _Passages(_Texts([]), _Texts(own)).repeated_own()
-            passages, known, own, current = None, [], [], (shard, salt)
+                yield _Phrases(_Texts([]), _Texts(own)).repeated_own()
+            phrases, known, own, current = None, [], [], (shard, salt)
         if kind == 0:
             known.append(part)
         elif kind == 1:
             own.append(part)
         else:
-            passages = passages or _Passages(_Texts(known), _Texts([]))
-            yield passages.repeated(_Texts([part]))
+            phrases = phrases or _Phrases(_Texts(known), _Texts([]))
+            yield phrases.repeated(_Texts([part]))
     if own:
-        yield _Passages(_Texts([]), _Texts(own)).repeated_own()
+        yield _Phrases(_Texts([]), _Texts(own)).repeated_own()
 
 
 def _kept(spans: list, words: list[bytes]) -> tuple[int, str]:
@@ -377,12 +354,12 @@ def repeated_windows(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     salts = 1 + F.floor(F.col("count") / HOT)
     busy = marked.filter("count IS NOT NULL").select(
         F.col("anchor").alias("shard"), F.pmod(F.xxhash64("pos"), salts).alias("salt"), F.lit(2).alias("kind"), "pos", "n", "words")
-    passages = marked.filter("count IS NOT NULL").select("anchor", "pos", "words").mapInPandas(
+    confirmed = marked.filter("count IS NOT NULL").select("anchor", "pos", "words").mapInPandas(
         _single_windows, "anchor long, pos long, words string").groupBy("anchor", "words").agg(
         F.min("pos").alias("pos"), F.count("*").alias("met")).filter("met > 1").join(hot, "anchor").select(
         F.col("anchor").alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("count") / HOT))).alias("salt"),
         F.lit(0).alias("kind"), "pos", F.lit(WINDOW).alias("n"), "words")
-    rows = cold.unionByName(busy).unionByName(passages)
+    rows = cold.unionByName(busy).unionByName(confirmed)
     spans = rows.repartition(task_count(spark), "shard", "salt").sortWithinPartitions(
         "shard", "salt", "kind", "pos").mapInPandas(_match, "pos long, n int")
     return docs.select("no", "k1", "k2", "text"), materialize(spans, "phrases-spans")
