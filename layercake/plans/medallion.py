@@ -3,8 +3,8 @@
 Each step reads one run of the previous layer (the newest of the day unless a
 run id is given) and publishes a new run of its own; steps share nothing but
 the ``root``/``topic``/``dt`` path convention.  No sleeps: a reader takes the
-newest run whose job commit has finished (its ``_SUCCESS`` marker), so a run
-still being published is never read half-way.
+newest run that has a manifest, so a run still being published is never read
+half-way, and one that failed its audit is never read at all.
 """
 
 from __future__ import annotations
@@ -21,10 +21,9 @@ from ..operators.joins import StarKeys, order_items_view
 from ..operators.projection import drop_pii
 from ..schemas import ORDER_ITEMS_COLUMNS, ORDER_ITEMS_PII, REPORT_STATUSES
 from ..sinks.files import write_layer, write_report
-from ..sources.files import newest_file, read_report
+from ..sources.files import read_report
 from ..sources.jdbc import read_jdbc
-from ..sources.layers import layer_path, read_layer
-from ..operators.quality import require_path
+from ..sources.layers import newest_run, read_layer
 
 TOPIC = "orderitems"
 
@@ -87,6 +86,5 @@ def gold_report(spark: SparkSession, root: str, dt: str, *, topic: str = TOPIC,
 
 
 def latest_report(spark: SparkSession, root: str, dt: str, *, topic: str = TOPIC) -> DataFrame:
-    """The newest gold report of the day, as a one-row DataFrame (Q1 if none)."""
-    day = layer_path(root, topic, "gold", dt)
-    return read_report(spark, require_path(newest_file(spark, day, "*.json"), day))
+    """The newest committed gold report of the day, as a one-row DataFrame (Q1 if none)."""
+    return read_report(spark, newest_run(spark, root, topic, "gold", dt))

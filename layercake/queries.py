@@ -43,7 +43,7 @@ from .session import scratch_path
 from .streaming import stream_silver
 from .sinks import (add_column, ensure_database, ensure_table, evolve_partitioning,
                     export_by_key, merge_insert_only, overwrite_table, write_layer, write_report)
-from .sources import read_csv, read_layer, read_table
+from .sources import read_csv, read_days, read_layer, read_newest, read_table, register_runs
 from .sources.layers import layer_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,11 +471,22 @@ def q_csv_string_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 CSV_STRING_SQL = ("select cast(c_custkey as varchar) as c_custkey, c_name, "
                   "cast(c_nationkey as varchar) as c_nationkey, c_mktsegment from customer")
 
-DROP_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+DROP_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 def q_newest_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three drops of orders written one after another; the newest one is read."""
+    """Orders dropped as foreign CSV files, one per priority, one after another in nested folders;
+    the newest file is read (S5: no run folder, no manifest)."""
+    prefix = scratch_path(spark, "foreign_drops")
+    orders = table(spark, sf_dir, "orders")
+    for k, priority in enumerate(DROP_PRIORITIES):  # a drop is one file, as its sender made it
+        (where_equals(orders, "o_orderpriority", priority).coalesce(1)
+         .write.option("header", "true").csv(f"{prefix}/{k}/orders"))
+    return read_newest(spark, prefix, "csv", ORDERS_SCHEMA, "*.csv")
+
+
+def q_newest_run_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per priority, published one after another; the newest committed run is read."""
     root = scratch_path(spark, "drops")
     orders = table(spark, sf_dir, "orders")
     for priority in DROP_PRIORITIES:
@@ -485,6 +496,28 @@ def q_newest_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, root, "orders", "landing", "2024-09-05", schema=ORDERS_SCHEMA)
 
 
+def q_newest_run_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 over a range of days: orders as one run per month, then every month up to 1996 published
+    again without its open orders; for 1994 to 1997 the newest committed run of each is read."""
+    root = scratch_path(spark, "days")
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "dt", F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd"))
+    again = orders.where((F.col("dt") < "1997-01-01") & (F.col("o_orderstatus") != "O"))
+    for part in (orders, again):
+        (part.withColumn("run_id", F.lit(new_run().run_id)).hint("rebalance", "dt")
+         .write.mode("append").partitionBy("dt", "run_id").parquet(layer_root(root, "orders", "bronze")))
+        register_runs(spark, root, "orders", "bronze", require_success=False)
+    return read_days(spark, root, "orders", "bronze", first="1994-01-01", last="1997-12-31",
+                     schema=ORDERS_SCHEMA).select(ORDERS_SCHEMA.fieldNames())
+
+
+NEWEST_RUN_PER_DAY_SQL = """
+select * from orders where o_orderdate >= timestamp '1994-01-01' and o_orderdate < timestamp '1998-01-01'
+and (o_orderdate >= timestamp '1997-01-01' or o_orderstatus <> 'O'
+     or date_trunc('month', o_orderdate) not in
+        (select date_trunc('month', o_orderdate) from orders where o_orderstatus <> 'O'))"""
+
+
 NEWEST_FILE_SQL = f"select * from orders where o_orderpriority = '{DROP_PRIORITIES[-1]}'"
 
 LAYER_DAY = "1997-03-01"
@@ -500,6 +533,7 @@ def q_layer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
      .hint("rebalance", "dt")
      .write.partitionBy("dt", "run_id").parquet(
          layer_root(root, "orders", "bronze")))
+    register_runs(spark, root, "orders", "bronze", require_success=False)
     return read_layer(spark, root, "orders", "bronze", LAYER_DAY, schema=ORDERS_SCHEMA)
 
 
@@ -1002,6 +1036,8 @@ QUERIES: dict[str, Query] = {
     "csv_typed_scan": q_csv_typed_scan,
     "csv_string_scan": q_csv_string_scan,
     "newest_file_scan": q_newest_file_scan,
+    "newest_run_scan": q_newest_run_scan,
+    "newest_run_per_day": q_newest_run_per_day,
     "layer_scan": q_layer_scan,
     "table_overwrite": q_table_overwrite,
     "export_by_key": q_export_by_key,
@@ -1046,6 +1082,8 @@ ORACLES: dict[str, str] = {
     "csv_typed_scan": "select * from orders",
     "csv_string_scan": CSV_STRING_SQL,
     "newest_file_scan": NEWEST_FILE_SQL,
+    "newest_run_scan": NEWEST_FILE_SQL,
+    "newest_run_per_day": NEWEST_RUN_PER_DAY_SQL,
     "layer_scan": LAYER_SCAN_SQL,
     "table_overwrite": TABLE_OVERWRITE_SQL.replace(
         "select *", "select o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, "

@@ -1,6 +1,6 @@
 """Sinks: dated layers, reports, per-key exports, catalog tables, JDBC."""
 
-from .files import export_by_key, write_csv, write_layer, write_report
+from .files import (export_by_key, publish_run, stage_run, write_csv, write_layer, write_report)
 from .jdbc import write_jdbc
 from .tables import (add_column, append_by_name, ensure_database, ensure_table,
                      evolve_partitioning, merge_insert_only, overwrite_table, partition_columns,
@@ -8,6 +8,6 @@ from .tables import (add_column, append_by_name, ensure_database, ensure_table,
 
 __all__ = [
     "add_column", "append_by_name", "ensure_database", "ensure_table", "evolve_partitioning",
-    "export_by_key", "merge_insert_only", "overwrite_table", "partition_columns", "qualified",
-    "rows_to_insert", "table_info", "write_csv", "write_jdbc", "write_layer", "write_report",
+    "export_by_key", "merge_insert_only", "overwrite_table", "partition_columns", "publish_run",
+    "qualified", "rows_to_insert", "stage_run", "table_info", "write_csv", "write_jdbc", "write_layer", "write_report",
 ]

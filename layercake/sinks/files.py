@@ -4,16 +4,22 @@ Every write goes through Spark's commit protocol: task outputs are staged and
 published by the job commit, so a retried task or a lost executor never leaves
 a half-written run visible.  Each run writes a fresh ``run_id=`` folder and
 the whole folder (all part files) is the published unit.
+
+Layers and reports are written, audited, then published: the run is staged in the layer's hidden
+``_staging`` folder, its rows are counted by the write itself, and only when the audit passes is
+the folder moved into place and its manifest written.  A failed audit, or a driver lost at any
+step before the manifest, leaves the run that was current before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from ..commits import delete, exists, move_new
 from ..functions.runinfo import RunInfo
 from ..names import col
 from ..operators.quality import EmptyOutputError, counted, require_rows
-from ..sources.layers import LAYER_CSV, layer_path
+from ..sources.layers import LAYER_CSV, commit_run, layer_path, layer_root
 
 
 def write_layer(
@@ -25,33 +31,58 @@ def write_layer(
     *,
     fmt: str = "parquet",
     dt: str | None = None,
+    least_rows: int = 0,
 ) -> str:
     """K1: publish ``df`` as one run of a dated layer; returns the run folder.
 
     Parquet by default: text passes with newlines, padding, '' and NULL as they are.
     CSV layers are written with options that keep them too (``LAYER_CSV``).
-    ``errorifexists``: a run id is written once, never merged into.
+    A run id is written once, never merged into.  With fewer than ``least_rows`` rows the
+    run is not published (Q2): EmptyOutputError, and the day's newest run stays what it was.
     """
-    path = layer_path(root, topic, layer, dt or run.dt, run.run_id)
-    writer = df.write.mode("errorifexists").format(fmt)
+    staged, rows = stage_run(df, root, topic, layer, run, fmt=fmt, dt=dt)
+    if rows < least_rows:
+        delete(df.sparkSession, staged)
+        raise EmptyOutputError(f"{rows} rows for {topic}/{layer}, at least {least_rows} expected; "
+                               "nothing is published")
+    return publish_run(df.sparkSession, staged, root, topic, layer, run, rows, dt=dt)
+
+
+def stage_run(df: DataFrame, root: str, topic: str, layer: str, run: RunInfo, *,
+              fmt: str = "parquet", dt: str | None = None) -> tuple[str, int]:
+    """Write ``df`` where no reader looks; returns that folder and the rows written, as observed
+    by the write itself."""
+    spark = df.sparkSession
+    final = layer_path(root, topic, layer, dt or run.dt, run.run_id)
+    if exists(spark, final):
+        raise FileExistsError(f"{final} is written already")
+    staged = f"{layer_root(root, topic, layer)}/_staging/dt={dt or run.dt}/run_id={run.run_id}"
+    observed, obs = counted(df, "layer_rows")
+    writer = observed.write.mode("errorifexists").format(fmt)
     if fmt == "csv":
         writer = writer.options(**LAYER_CSV)
-    writer.save(path)
+    writer.save(staged)
+    return staged, int(obs.get.get("rows", 0) or 0)
+
+
+def publish_run(spark: SparkSession, staged: str, root: str, topic: str, layer: str, run: RunInfo,
+                rows: int, *, dt: str | None = None) -> str:
+    """Move a staged run into place and commit it by its manifest."""
+    path = layer_path(root, topic, layer, dt or run.dt, run.run_id)
+    move_new(spark, staged, path)
+    commit_run(spark, root, topic, layer, dt or run.dt, run.run_id, rows)
     return path
 
 
 def write_report(report: DataFrame, root: str, topic: str, run: RunInfo,
                  *, layer: str = "gold", dt: str | None = None) -> str:
-    """K2 + Q2: the one-row report as a single JSON file; raise if it is empty.
+    """K2 + Q2: the one-row report as a single JSON file.  An empty report raises before it is
+    published, and the last report stays current.
 
     The report is the output of a global aggregate (already one partition), so
     ``coalesce(1)`` moves one row, not data.
     """
-    path = layer_path(root, topic, layer, dt or run.dt, run.run_id)
-    observed, obs = counted(report, "report_rows")
-    observed.coalesce(1).write.mode("errorifexists").json(path)
-    require_rows(obs, path)
-    return path
+    return write_layer(report.coalesce(1), root, topic, layer, run, fmt="json", dt=dt, least_rows=1)
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:

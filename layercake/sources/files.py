@@ -1,8 +1,10 @@
 """Newest-file scans (S5, S7) and the input-must-exist gate (Q1).
 
-The file listing is a Spark job over ``binaryFile`` metadata only (the
-``content`` column is never selected, so no file body is read); the arg-max
-is a one-row aggregate.  Only that one path string reaches the driver.
+For files that other systems drop; runs of our own layers are found by their manifests
+(:mod:`layercake.sources.layers`).  The listing is a Spark job over ``binaryFile`` metadata only
+(the ``content`` column is never selected, so no file body is read), in a bounded number of tasks
+whatever the number of files; the arg-max is a one-row aggregate.  Only that one path string
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.quality import require_path
+from ..commits import empty_files
+from ..operators.quality import NoInputError, require_path
 from ..schemas import REPORT
 
 
@@ -22,7 +25,9 @@ def list_files(spark: SparkSession, prefix: str, glob: str | None = None) -> Dat
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
-        return reader.load(prefix).select("path", "modificationTime", "length")
+        files = reader.load(prefix).select("path", "modificationTime", "length")
+        # no body is read, so the sizes by which Spark cuts tasks do not count
+        return files.coalesce(max(1, spark.sparkContext.defaultParallelism))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame(
@@ -30,12 +35,20 @@ def list_files(spark: SparkSession, prefix: str, glob: str | None = None) -> Dat
         raise
 
 
-def newest_file(spark: SparkSession, prefix: str, glob: str | None = None) -> str | None:
-    """Path of the non-empty file with the greatest modification time
-    (ties broken by the greater path); None when there is none."""
-    files = list_files(spark, prefix, glob).where(F.col("length") > 0)
-    newest = files.agg(
-        F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()
+def newest_file(spark: SparkSession, prefix: str, glob: str | None = None, *,
+                empty: str = "skip") -> str | None:
+    """Path of the non-empty file with the greatest modification time (ties broken by the
+    greater path); None when there is none.  With ``empty="raise"`` a newer file of 0 bytes is an
+    error (Q1); looking for one costs a call to the file system per file."""
+    if empty not in ("skip", "raise"):
+        raise ValueError("empty must be 'skip' or 'raise'")
+    newest = list_files(spark, prefix, glob).where(F.col("length") > 0).agg(
+        F.max_by(F.struct("path", F.unix_millis("modificationTime").alias("at")),
+                 F.struct("modificationTime", "path")).alias("f")).first()["f"]
+    if empty == "raise":
+        late = [e for e in empty_files(spark, prefix, glob) if not newest or e[0] > newest["at"]]
+        if late:
+            raise NoInputError(f"the newest file under {prefix} is empty: {max(late)[1]}")
     return newest["path"] if newest else None
 
 
@@ -45,10 +58,13 @@ def read_newest(
     fmt: str = "csv",
     schema: T.StructType | str | None = None,
     glob: str | None = None,
+    *,
+    empty: str = "skip",
     **options: str,
 ) -> DataFrame:
-    """S5 + Q1: read only the newest file under ``prefix``; raise if there is none."""
-    path = require_path(newest_file(spark, prefix, glob), prefix)
+    """S5 + Q1: read only the newest file under ``prefix``; raise if there is none (and, with
+    ``empty="raise"``, if it has 0 bytes)."""
+    path = require_path(newest_file(spark, prefix, glob, empty=empty), prefix)
     reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("header", options.get("header", "true"))

@@ -105,7 +105,7 @@ def test_read_days_prunes_other_days(spark, scratch):
     from .conftest import plan_text
     for day, n in (("2024-09-04", 5), ("2024-09-05", 7), ("2024-09-05", 3), ("2024-09-06", 11)):
         write_layer(spark.range(n), scratch, "t", "silver", new_run(), fmt="parquet", dt=day)
-    days = read_days(spark, scratch, "t", "silver")
+    days = read_days(spark, scratch, "t", "silver", runs="all")
     assert sorted(days.columns) == ["dt", "id", "run_id"]
     one = days.where(F.col("dt") == "2024-09-05")
     plan = plan_text(one)
@@ -115,36 +115,54 @@ def test_read_days_prunes_other_days(spark, scratch):
 
 
 def test_read_layer_skips_a_run_still_being_published(spark, scratch):
-    """A newer run whose part files are in place but whose job commit has not
-    finished (no ``_SUCCESS`` yet) is skipped until it is committed."""
-    import time
-    done = write_layer(spark.range(4), scratch, "t", "bronze", new_run(), dt="2024-09-05", fmt="csv")
-    assert os.path.exists(f"{done}/_SUCCESS")
-    time.sleep(1.1)                               # a strictly newer modification time
+    """A newer run whose part files are in place but that is not committed is
+    skipped; a foreign run counts once it has its ``_SUCCESS`` and is registered."""
+    from layercake.sources import register_runs
+    write_layer(spark.range(4), scratch, "t", "bronze", new_run(), dt="2024-09-05", fmt="csv")
     busy = f"{scratch}/t/bronze/dt=2024-09-05/run_id={new_run().run_id}"
     os.makedirs(busy)
     with open(f"{busy}/part-00000.csv", "w") as fh:
         fh.write("id\n100\n101\n")
+    assert register_runs(spark, scratch, "t", "bronze") == 0
     back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", schema="id long", fmt="csv")
     assert sorted(r.id for r in back.collect()) == [0, 1, 2, 3]
     open(f"{busy}/_SUCCESS", "w").close()        # the commit finishes
+    assert register_runs(spark, scratch, "t", "bronze") == 1
     back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", schema="id long", fmt="csv")
     assert sorted(r.id for r in back.collect()) == [100, 101]
 
 
-def test_read_layer_bulk_load_counts_as_committed(spark, scratch):
-    """One partitioned job over many days writes only a root _SUCCESS; its runs
-    are read, and committed() tells the two kinds of marker apart."""
+def test_read_layer_bulk_load_counts_when_registered(spark, scratch):
+    """One partitioned job over many days writes only a root _SUCCESS, which
+    commits nothing by itself; its caller registers the runs."""
     from pyspark.sql import functions as F
 
-    from layercake.sources import committed, layer_root
+    from layercake.sources import layer_root, register_runs
     run = new_run()
     days = spark.range(30).select(
         F.col("id"), F.when(F.col("id") < 10, "2024-09-04").otherwise("2024-09-05").alias("dt"),
         F.lit(run.run_id).alias("run_id"))
     days.write.partitionBy("dt", "run_id").parquet(layer_root(scratch, "t", "bronze"))
-    assert committed(spark, layer_root(scratch, "t", "bronze"))
-    assert not committed(spark, f"{layer_root(scratch, 't', 'bronze')}/dt=2024-09-05/"
-                                f"run_id={run.run_id}")
-    back = read_layer(spark, scratch, "t", "bronze", "2024-09-05", fmt="parquet")
-    assert back.count() == 20
+    with pytest.raises(NoInputError):
+        read_layer(spark, scratch, "t", "bronze", "2024-09-05")
+    assert register_runs(spark, scratch, "t", "bronze", require_success=False) == 2
+    assert read_layer(spark, scratch, "t", "bronze", "2024-09-05").count() == 20
+
+
+def test_newest_empty_file_raises_on_request(spark, scratch):
+    base = f"{scratch}/drops"
+    write(f"{base}/a.csv", "x\n1\n", 1_000)
+    write(f"{base}/empty.csv", "", 9_000)
+    assert [r.x for r in read_newest(spark, base, empty="raise", glob="a*").collect()] == ["1"]
+    with pytest.raises(NoInputError, match="empty"):
+        read_newest(spark, base, empty="raise")
+
+
+def test_listing_many_files_takes_few_tasks(spark, scratch):
+    from layercake.sources import list_files
+    for k in range(3000):
+        write(f"{scratch}/drops/{k % 7}/f{k}.csv", "x\n", 1_000 + k)
+    files = list_files(spark, f"{scratch}/drops")
+    assert files.count() == 3000
+    assert files.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert newest_file(spark, f"{scratch}/drops").endswith("/f2999.csv")
