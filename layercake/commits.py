@@ -19,10 +19,34 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+class _Java:
+    """The Hadoop classes in use, looked up once (every lookup is a call to the JVM)."""
+
+    def __init__(self, spark: SparkSession):
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        self.conf = spark._jsc.hadoopConfiguration()
+        self.path, self.context, rename = hadoop.Path, hadoop.FileContext, hadoop.Options.Rename
+        self.no_overwrite = spark._sc._gateway.new_array(rename, 1)
+        self.no_overwrite[0] = rename.NONE
+        self.contexts: dict = {}
+
+
+_java: dict[int, _Java] = {}
+
+
+def _classes(spark: SparkSession) -> _Java:
+    key = id(spark._jvm)
+    if key not in _java:
+        _java.clear()  # a stopped session's classes go
+        _java[key] = _Java(spark)
+    return _java[key]
+
+
 def _fs(spark: SparkSession, path: str):
     """The Hadoop file system that holds ``path`` and the path as its object."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+    java = _classes(spark)
+    where = java.path(path)
+    return where.getFileSystem(java.conf), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -66,21 +90,18 @@ def read_text(spark: SparkSession, path: str) -> str:
 def write_once(spark: SparkSession, path: str, text: str) -> bool:
     """Create ``path`` with ``text`` in one step; False (and no change) if it is there already."""
     fs, where = _fs(spark, path)
-    folder = where.getParent()
-    fs.mkdirs(folder)
-    hidden = spark._jvm.org.apache.hadoop.fs.Path(folder, f".commit-{uuid.uuid4().hex}")
-    stream = fs.create(hidden, False)
+    java = _classes(spark)
+    hidden = java.path(where.getParent(), f".commit-{uuid.uuid4().hex}")
+    stream = fs.create(hidden, False)  # makes the folder as well
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    keep = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
-    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = keep
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.makeQualified(where).toUri(), spark._jsc.hadoopConfiguration())
+    root = fs.getUri().toString()
+    if root not in java.contexts:
+        java.contexts[root] = java.context.getFileContext(fs.getUri(), java.conf)
     try:
-        context.rename(hidden, where, options)
+        java.contexts[root].rename(fs.makeQualified(hidden), fs.makeQualified(where), java.no_overwrite)
         return True
     except Py4JJavaError as e:
         fs.delete(hidden, False)

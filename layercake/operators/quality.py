@@ -14,6 +14,10 @@ class EmptyOutputError(RuntimeError):
     """A write that must produce rows produced none."""
 
 
+class QuarantineError(RuntimeError):
+    """More malformed records than a load allows."""
+
+
 def require_path(path: str | None, where: str) -> str:
     """Q1 for file inputs: raise when nothing was found under ``where``."""
     if not path:

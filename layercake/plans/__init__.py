@@ -6,12 +6,14 @@ from .geo import build_geo_dimension, country_keys, publish_geo_dimension
 from .landing import clients_view, export_clients, land_mapped_csv, map_columns
 from .medallion import (bronze_from_jdbc, bronze_from_tables, gold_report, latest_report,
                         silver_drop, silver_hash)
-from .tables import evolve_visit_month, export_departments
+from .tables import (evolve_visit_month, evolve_visit_month_in_steps, export_department_generation,
+                     export_departments)
 
 __all__ = [
     "bronze_from_jdbc", "bronze_from_tables", "build_geo_dimension", "country_keys", "clients_view",
     "enrich_employees",
-    "enrich_user_service", "evolve_visit_month", "export_clients", "export_departments",
+    "enrich_user_service", "evolve_visit_month", "evolve_visit_month_in_steps",
+    "export_department_generation", "export_clients", "export_departments",
     "gold_report", "land_mapped_csv", "latest_report", "load_employee_table",
     "load_user_service_table", "map_columns", "publish_geo_dimension", "silver_drop", "silver_hash",
 ]

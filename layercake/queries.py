@@ -36,14 +36,18 @@ from .plans import (build_geo_dimension, clients_view, enrich_user_service,
 from .schemas import COUNTRY_GEO, USER_SERVICE, USER_SERVICE_PII
 from .plans.landing import land_mapped_csv, map_columns
 from .plans.enrichment import load_employee_table, load_user_service_table
-from .plans.tables import evolve_visit_month, export_departments
+from .plans.tables import (evolve_visit_month, evolve_visit_month_in_steps,
+                           export_departments)
 from .plans.medallion import (bronze_from_tables, gold_report, latest_report, silver_drop,
                               silver_hash)
 from .session import scratch_path
 from .streaming import stream_silver
 from .sinks import (add_column, ensure_database, ensure_table, evolve_partitioning,
-                    export_by_key, merge_insert_only, overwrite_table, write_layer, write_report)
-from .sources import read_csv, read_days, read_layer, read_newest, read_table, register_runs
+                    export_by_key, export_generation, merge_insert_only, merge_snapshot,
+                    overwrite_table, read_snapshot, write_layer, write_quarantine, write_report,
+                    write_snapshot)
+from .sources import (read_csv, read_csv_checked, read_days, read_layer, read_newest, read_table,
+                      register_runs)
 from .sources.layers import layer_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -584,6 +588,107 @@ def q_export_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*c.columns)
 
 
+# ---------------------------------------------------------------- K5 K6 K8: versioned datasets
+def q_snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 from a query over the dataset itself: orders as version 1; version 2 is made from it
+    without the pending orders and with doubled prices; version 3 from version 2, partitions kept."""
+    root = scratch_path(spark, "snapshot")
+    write_snapshot(table(spark, sf_dir, "orders"), root, partition_by=["o_orderstatus"])
+    for _ in range(2):
+        rows = read_snapshot(spark, root)
+        write_snapshot(rows.where(F.col("o_orderstatus") != "P").withColumn("o_totalprice", F.col("o_totalprice") * 2),
+                       root, partition_by=["o_orderstatus"], least_rows=1)
+    return read_snapshot(spark, root)
+
+
+SNAPSHOT_OVERWRITE_SQL = """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 * 2 as o_totalprice, o_orderdate, o_orderpriority
+from orders where o_orderstatus <> 'P'"""
+
+
+def q_indexed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 against the bucketed key index: the open orders are there; all orders of a customer
+    range of nations come in twice, with NULL keys for the pending ones; then all orders."""
+    db, root = _scratch_db(spark, "indexed"), scratch_path(spark, "indexed_merge")
+    index = f"{db}.orders_keys"
+
+    def marked(df: DataFrame, origin: str) -> DataFrame:
+        return df.select("o_orderkey", "o_orderpriority", F.lit(origin).alias("origin"))
+    orders = table(spark, sf_dir, "orders")
+    write_snapshot(marked(orders.where("o_orderstatus = 'O'"), "base"), root)
+    urgent = orders.where("o_orderpriority = '1-URGENT'").withColumn(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")))
+    merge_snapshot(marked(urgent.unionByName(urgent), "urgent"), root, ["o_orderkey"], index=index)
+    merge_snapshot(marked(orders, "rest"), root, ["o_orderkey"], index=index)
+    return read_snapshot(spark, root)
+
+
+INDEXED_MERGE_SQL = """
+select o_orderkey, o_orderpriority, 'base' as origin from orders where o_orderstatus = 'O'
+union all
+select case when o_orderstatus <> 'P' then o_orderkey end, o_orderpriority, 'urgent'
+from orders, (values (1), (2)) twice(n) where o_orderpriority = '1-URGENT' and o_orderstatus <> 'O'
+union all
+select o_orderkey, o_orderpriority, 'rest' from orders
+where o_orderstatus <> 'O' and (o_orderpriority <> '1-URGENT' or o_orderstatus = 'P')"""
+
+
+def q_export_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8 as a whole: customers per segment, then a second generation without the BUILDING ones;
+    what readers find is the second, the removed key's files included."""
+    root = scratch_path(spark, "generations")
+    c = table(spark, sf_dir, "customer")
+    export_generation(c, "c_mktsegment", root)
+    export_generation(c.where("c_mktsegment <> 'BUILDING'"), "c_mktsegment", root)
+    return read_snapshot(spark, root)
+
+
+EXPORT_GENERATION_SQL = "select * from customer where c_mktsegment <> 'BUILDING'"
+
+
+def q_evolution_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W11 as a resumable rewrite of a table that really changes: orders partitioned by status
+    get a month partition, a status per step; the first call stops after one step, the second
+    goes on with what is left."""
+    db = _scratch_db(spark, "steps")
+    name = f"{db}.orders_evolving"
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()),
+                           T.StructField("o_orderdate", T.TimestampNTZType()),
+                           T.StructField("o_orderstatus", T.StringType())])
+    ensure_table(spark, name, schema, ["o_orderstatus"])
+    overwrite_table(table(spark, sf_dir, "orders"), name)
+    for steps in (1, None):
+        evolve_visit_month_in_steps(spark, name, field="order_month", timestamp="o_orderdate",
+                                    per_step=1, max_steps=steps)
+    return read_table(spark, name).select("o_orderkey", "o_orderdate", "o_orderstatus", "order_month")
+
+
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with malformed rows apart: customers as a foreign drop with a newline and quotes in
+    their names and text for negative balances; matching rows and quarantined records together."""
+    path = scratch_path(spark, "csv_quarantine")
+    c = table(spark, sf_dir, "customer")
+    c.select("c_custkey", F.concat("c_name", F.lit(' "a"\nb')).alias("c_name"),
+             F.when(F.col("c_acctbal") < 0, "n/a").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal")
+             ).write.options(header="true", escape='"').csv(path)
+    rows, bad = read_csv_checked(spark, path, "c_custkey long, c_name string, c_acctbal double",
+                                 quoted_newlines=True)
+    root, run = scratch_path(spark, "quarantine"), new_run()
+    write_quarantine(bad, root, "customers", run)
+    record = F.regexp_replace("record", r"\s+$", "")
+    return rows.withColumn("record", F.lit(None).cast("string")).unionByName(
+        read_layer(spark, root, "customers", "quarantine", run.dt).select(record.alias("record")),
+        allowMissingColumns=True)
+
+
+CSV_QUARANTINE_SQL = """
+select case when c_acctbal >= 0 then c_custkey end as c_custkey,
+       case when c_acctbal >= 0 then c_name || ' "a"' || chr(10) || 'b' end as c_name,
+       case when c_acctbal >= 0 then c_acctbal end as c_acctbal,
+       case when c_acctbal < 0 then c_custkey || ',"' || c_name || ' ""a""' || chr(10) || 'b",n/a' end as record
+from customer"""
+
+
 def q_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _scratch_db(spark, "evolve")
     name = f"{db}.orders_evolving"
@@ -1041,6 +1146,11 @@ QUERIES: dict[str, Query] = {
     "layer_scan": q_layer_scan,
     "table_overwrite": q_table_overwrite,
     "export_by_key": q_export_by_key,
+    "snapshot_overwrite": q_snapshot_overwrite,
+    "indexed_merge": q_indexed_merge,
+    "export_generation": q_export_generation,
+    "evolution_in_steps": q_evolution_in_steps,
+    "csv_quarantine": q_csv_quarantine,
     "schema_evolution": q_schema_evolution,
     "report_roundtrip": q_report_roundtrip,
     "medallion_silver_hash": q_medallion_silver_hash,
@@ -1089,6 +1199,11 @@ ORACLES: dict[str, str] = {
         "select *", "select o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, "
                     "o_orderstatus"),
     "export_by_key": "select * from customer",
+    "snapshot_overwrite": SNAPSHOT_OVERWRITE_SQL,
+    "indexed_merge": INDEXED_MERGE_SQL,
+    "export_generation": EXPORT_GENERATION_SQL,
+    "evolution_in_steps": SCHEMA_EVOLUTION_SQL,
+    "csv_quarantine": CSV_QUARANTINE_SQL,
     "schema_evolution": SCHEMA_EVOLUTION_SQL,
     "report_roundtrip": STATUS_REPORT_SQL,
     "medallion_silver_hash": MEDALLION_SILVER_SQL,

@@ -14,12 +14,13 @@ step before the manifest, leaves the run that was current before.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..commits import delete, exists, move_new
 from ..functions.runinfo import RunInfo
 from ..names import col
-from ..operators.quality import EmptyOutputError, counted, require_rows
-from ..sources.layers import LAYER_CSV, commit_run, layer_path, layer_root
+from ..operators.quality import EmptyOutputError, QuarantineError, counted, require_rows
+from ..sources.layers import LAYER_CSV, commit_run, committed_runs, layer_path, layer_root
 
 
 def write_layer(
@@ -85,6 +86,20 @@ def write_report(report: DataFrame, root: str, topic: str, run: RunInfo,
     return write_layer(report.coalesce(1), root, topic, layer, run, fmt="json", dt=dt, least_rows=1)
 
 
+def write_quarantine(quarantine: DataFrame, root: str, topic: str, run: RunInfo, *,
+                     dt: str | None = None, most: int | None = None) -> int:
+    """Publish malformed records as a run of the topic's ``quarantine`` layer and return how many
+    there are.  With more than ``most`` nothing else should be loaded: raises once the records
+    are published, so that they can be looked at."""
+    path = write_layer(quarantine, root, topic, "quarantine", run, dt=dt)
+    spark = quarantine.sparkSession
+    (rows,) = committed_runs(spark, root, topic, "quarantine", dt or run.dt, dt or run.dt).where(
+        F.col("run_id") == run.run_id).select("rows").first()
+    if most is not None and rows > most:
+        raise QuarantineError(f"{rows} malformed records, at most {most} allowed; see {path}")
+    return rows
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
     """Plain CSV dataset with a header (K11's dimension publish)."""
     df.write.mode(mode).option("header", "true").csv(path)

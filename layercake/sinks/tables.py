@@ -7,14 +7,17 @@ per partition value instead of one file per task per value.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..commits import listing, read_text, write_once
 from ..names import col, quote, resolve
 from ..operators.projection import conform
 from ..operators.quality import counted
@@ -77,7 +80,8 @@ def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
 
     ``static`` replaces every row of the table; ``dynamic`` replaces only the
     partitions present in ``df``.  The source must not read ``name`` itself
-    (Spark refuses to overwrite a table it is reading).
+    (Spark refuses to overwrite a table it is reading); a dataset that is
+    rewritten from itself is kept by :mod:`layercake.sinks.snapshots`.
     """
     if mode not in ("static", "dynamic"):
         raise ValueError("mode must be 'static' or 'dynamic'")
@@ -109,7 +113,8 @@ def merge_insert_only(source: DataFrame, name: str, keys: Sequence[str]) -> int:
     key never matches, so such rows are always inserted; duplicate source keys
     are all inserted.  Where the table format supports MERGE (a row-level
     catalog) the catalog's MERGE runs; otherwise a left-anti join against the
-    table's key columns only, then an append by name (single writer assumed).
+    table's key columns only, then an append by name (single writer assumed;
+    :func:`~layercake.sinks.snapshots.merge_snapshot` allows several).
     Table columns the source lacks are inserted as NULL (``INSERT *`` by name
     into a wider landing table).  Returns the number of rows inserted (-1 when
     the catalog MERGE ran).
@@ -195,3 +200,82 @@ def evolve_partitioning(spark: SparkSession, name: str, field: str, expr: Column
     spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
     spark.sql(f"DROP TABLE {qualified(backup)}")
     return True
+
+
+def evolve_in_steps(spark: SparkSession, name: str, field: str, expr: Column | str, *,
+                    per_step: int = 32, max_steps: int | None = None) -> bool:
+    """K10 as a resumable rewrite: as :func:`evolve_partitioning`, ``per_step`` partitions at a time.
+
+    The new table ``{name}__evolve_{field}`` fills up beside the old one; after each step one
+    small file in its ``_progress`` folder names the partitions that are done.  A run that is
+    killed leaves the old table in use, and the next call with the same arguments rewrites only
+    what is not yet marked: an unmarked step starts over, its folders are replaced.  ``max_steps``
+    ends a call early (a maintenance window); the next one goes on.  True when the table is
+    partitioned by ``field`` in the end (also when it was before), False when steps are left.
+
+    Writers must pause for the whole time: rows that arrive in a partition already done are
+    noticed by their count, and the swap is refused.  An unpartitioned table is one step.
+    """
+    staging, backup = f"{name}__evolve_{field}", f"{name}__before_{field}"
+    if not spark.catalog.tableExists(name):
+        if not (spark.catalog.tableExists(staging) and spark.catalog.tableExists(backup)):
+            raise ValueError(f"no table {name}, and no unfinished evolution of it")
+        return _swap_in(spark, name, staging, backup)  # a driver was lost between the two renames
+    parts = partition_columns(spark, name)
+    if field in parts:
+        if spark.catalog.tableExists(backup):
+            spark.sql(f"DROP TABLE {qualified(backup)}")
+        return True
+    source, value = spark.table(name), F.expr(expr) if isinstance(expr, str) else expr
+    data = [f for f in source.schema.fields if f.name not in parts and f.name != field]
+    kind = source.select(value.alias(field)).schema[field].dataType
+    columns = T.StructType([*data, *(source.schema[p] for p in parts), T.StructField(field, kind)])
+    fmt = table_info(spark, name).get("Provider", "parquet")
+    ensure_table(spark, staging, columns, [*parts, field], fmt=fmt)
+    location = table_info(spark, staging)["Location"]
+    done, copied = set(), 0
+    for file, _ in listing(spark, f"{location}/_progress"):
+        step = json.loads(read_text(spark, f"{location}/_progress/{file}"))
+        done.update(step["partitions"])
+        copied += step["rows"]
+    listed = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {qualified(name)}").collect()] if parts else [""]
+    todo = [p for p in listed if p not in done]
+    steps = [todo[i:i + per_step] for i in range(0, len(todo), per_step)]
+    for step in steps[:max_steps]:
+        rows = source.where(_is_partition(source, parts, step)) if parts else source
+        observed, obs = counted(rows.withColumn(field, value).select(*map(col, columns.fieldNames())), "evolved_rows")
+        (observed.hint("rebalance", *map(col, [*parts, field])).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(*parts, field).save(location))
+        n = int(obs.get.get("rows", 0) or 0)
+        write_once(spark, f"{location}/_progress/{uuid.uuid4().hex}.json", json.dumps({"partitions": step, "rows": n}))
+        copied += n
+    if max_steps is not None and len(steps) > max_steps:
+        return False
+    have = source.count()
+    if have != copied:
+        raise RuntimeError(f"{name} has {have} rows, {copied} were copied: it was written to meanwhile. "
+                           f"Drop {staging} and start over")
+    return _swap_in(spark, name, staging, backup)
+
+
+def _is_partition(source: DataFrame, parts: Sequence[str], step: Sequence[str]) -> Column:
+    """The partitions named ``a=1/b=x``, as a filter on their columns that prunes folders."""
+    out = F.lit(False)
+    for spec in step:
+        one = F.lit(True)
+        for part, text in zip(parts, spec.split("/")):
+            shown = unquote(text.split("=", 1)[1])
+            null = shown == "__HIVE_DEFAULT_PARTITION__"
+            one = one & (col(part).isNull() if null else col(part) == F.lit(shown).cast(source.schema[part].dataType))
+        out = out | one
+    return out
+
+
+def _swap_in(spark: SparkSession, name: str, staging: str, backup: str) -> bool:
+    """``staging`` takes the name of the table; the old table goes last."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {qualified(name)} RENAME TO {qualified(backup)}")
+    spark.sql(f"ALTER TABLE {qualified(staging)} RENAME TO {qualified(name)}")
+    spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
+    spark.sql(f"DROP TABLE IF EXISTS {qualified(backup)}")
+    return True

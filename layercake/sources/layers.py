@@ -10,6 +10,7 @@ files; Spark skips ``_`` folders, so manifests are no data.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,19 +108,22 @@ def register_runs(spark: SparkSession, root: str, topic: str, layer: str, *,
     only the root's marker, which says nothing of later runs: its caller registers the runs once
     the job has returned, with ``require_success=False``.  Folders are listed, not part files.
     """
-    base, done = layer_root(root, topic, layer), 0
-    for day, _ in listing(spark, base):
-        for run, _ in listing(spark, f"{base}/{day}") if day.startswith("dt=") else []:
-            if not run.startswith("run_id="):
-                continue
-            dt, run_id = day[3:], run[7:]
-            if committed(spark, root, topic, layer, dt, run_id):
-                continue
-            if require_success and not exists(spark, f"{base}/{day}/{run}/_SUCCESS"):
-                continue
-            commit_run(spark, root, topic, layer, dt, run_id, None)
-            done += 1
-    return done
+    base = layer_root(root, topic, layer)
+
+    def register(day: str) -> int:
+        dt, done = day[3:], 0
+        known = {n.removesuffix(".json") for n, _ in
+                 listing(spark, f"{manifest_folder(root, topic, layer)}/{day}")}
+        for run, _ in listing(spark, f"{base}/{day}"):
+            if (run.startswith("run_id=") and run[7:] not in known
+                    and (not require_success or exists(spark, f"{base}/{day}/{run}/_SUCCESS"))):
+                commit_run(spark, root, topic, layer, dt, run[7:], None)
+                done += 1
+        return done
+
+    days = [n for n, _ in listing(spark, base) if n.startswith("dt=")]
+    with ThreadPoolExecutor(16) as several:  # calls to the file system, no work of its own
+        return sum(several.map(register, days))
 
 
 def read_layer(
