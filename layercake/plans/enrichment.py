@@ -9,13 +9,17 @@ from pyspark.sql import types as T
 
 from ..functions.dates import month_name, year_of
 from ..functions.hashing import hash_columns
+from ..functions.runinfo import new_run
 from ..functions.values import recode
 from ..names import col
 from ..operators.joins import lookup, lookup_fill
 from ..operators.projection import conform
-from ..schemas import (EMPLOYEE_PARTITIONS, EMPLOYEE_TABLE, NATIONALITY_RECODE,
-                       USER_SERVICE_PARTITIONS, USER_SERVICE_PII, USER_SERVICE_TABLE)
+from ..schemas import (COUNTRY_GEO, EMPLOYEE, EMPLOYEE_PARTITIONS, EMPLOYEE_TABLE, NATIONALITY_RECODE,
+                       REVERSE_GEOCODE, USER_SERVICE, USER_SERVICE_PARTITIONS, USER_SERVICE_PII,
+                       USER_SERVICE_TABLE)
+from ..sinks.files import write_quarantine
 from ..sinks.tables import ensure_database, ensure_table, overwrite_table
+from ..sources.csv import read_csv, read_csv_checked
 
 
 def enrich_employees(
@@ -71,3 +75,33 @@ def load_user_service_table(spark: SparkSession, users: DataFrame, zips: DataFra
     ensure_table(spark, name, USER_SERVICE_TABLE, USER_SERVICE_PARTITIONS, fmt=fmt)
     overwrite_table(enrich_user_service(users, zips), name)
     return name
+
+
+def _read_drop(spark: SparkSession, path: str, schema: T.StructType, topic: str,
+               quarantine: str | None, most: int | None, options: Mapping[str, str]) -> DataFrame:
+    """A typed CSV drop; with ``quarantine`` its malformed records go to that root's quarantine
+    layer of the topic first, and more than ``most`` of them stop the load."""
+    if quarantine is None:
+        return read_csv(spark, path, schema, **options)
+    rows, bad = read_csv_checked(spark, path, schema, **options)
+    write_quarantine(bad, quarantine, topic, new_run(), most=most)
+    return rows
+
+
+def load_employee_csv(spark: SparkSession, employees_path: str, geo_path: str, database: str,
+                      table: str = "employee", *, quarantine: str | None = None,
+                      most_malformed: int | None = None, **options: str) -> str:
+    """W6 from its files: typed employee CSV and geo dimension CSV -> :func:`load_employee_table`.
+
+    Without ``quarantine`` a malformed cell loads as NULL, as in the original job."""
+    employees = _read_drop(spark, employees_path, EMPLOYEE, table, quarantine, most_malformed, options)
+    return load_employee_table(spark, employees, read_csv(spark, geo_path, COUNTRY_GEO), database, table)
+
+
+def load_user_service_csv(spark: SparkSession, users_path: str, zips_path: str, database: str,
+                          table: str = "user_service_data", *, quarantine: str | None = None,
+                          most_malformed: int | None = None, **options: str) -> str:
+    """W7 from its files: typed 66-column CSV and reverse-geocode CSV ->
+    :func:`load_user_service_table`."""
+    users = _read_drop(spark, users_path, USER_SERVICE, table, quarantine, most_malformed, options)
+    return load_user_service_table(spark, users, read_csv(spark, zips_path, REVERSE_GEOCODE), database, table)

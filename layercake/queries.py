@@ -33,9 +33,10 @@ from .operators import (StarKeys, apply_mapping, conform, distinct_values, drop_
 from .functions.casts import cast_if_present
 from .plans import (build_geo_dimension, clients_view, enrich_user_service,
                     publish_geo_dimension)
-from .schemas import COUNTRY_GEO, USER_SERVICE, USER_SERVICE_PII
+from .schemas import COUNTRY_GEO, EMPLOYEE, USER_SERVICE, USER_SERVICE_PII
 from .plans.landing import land_mapped_csv, map_columns
-from .plans.enrichment import load_employee_table, load_user_service_table
+from .plans.enrichment import (load_employee_csv, load_employee_table, load_user_service_csv,
+                               load_user_service_table)
 from .plans.tables import (evolve_visit_month, evolve_visit_month_in_steps,
                            export_departments)
 from .plans.medallion import (bronze_from_tables, gold_report, latest_report, silver_drop,
@@ -1039,6 +1040,42 @@ def _user_service_sql() -> str:
 USER_SERVICE_TABLE_SQL = _user_service_sql()
 
 
+# ---------------------------------------------------------------- W6 W7 from their files
+#: A sender's CSV that keeps padding and the difference of a quoted cell.
+DROP_CSV = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _dropped(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**DROP_CSV).csv(path)
+    return path
+
+
+def q_employee_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 from CSV: employees and the geo dimension are files; malformed employees (none here)
+    would go to the quarantine."""
+    db = _scratch_db(spark, "employee_csv")
+    people = _dropped(employees(spark, sf_dir).select(EMPLOYEE.fieldNames()), "employee_drop")
+    geo = _dropped(geo_dimension(spark, sf_dir), "geo_drop")
+    name = load_employee_csv(spark, people, geo, db, most_malformed=0,
+                             quarantine=scratch_path(spark, "employee_quarantine"))
+    return read_table(spark, name)
+
+
+def q_user_service_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 from CSV: the 66 columns and the zip dimension are files.  An empty cell reads as NULL,
+    so an empty e-mail is not hashed here."""
+    db = _scratch_db(spark, "user_service_csv")
+    users = _dropped(visits(spark, sf_dir), "user_service_drop")
+    zips = _dropped(zip_table(spark, sf_dir), "zip_drop")
+    name = load_user_service_csv(spark, users, zips, db, most_malformed=0,
+                                 quarantine=scratch_path(spark, "user_service_quarantine"))
+    return read_table(spark, name).withColumn("Visit Timestamp", F.col("`Visit Timestamp`").cast("timestamp_ntz"))
+
+
+USER_SERVICE_CSV_SQL = USER_SERVICE_TABLE_SQL.replace("when o_orderstatus = 'P' then '' ", "when o_orderstatus = 'P' then null ")
+
+
 # ---------------------------------------------------------------- W8
 LANDING_MAPPING = {"user.id": "id", "name": ["first_name", "display_name"],
                    "created": ["created_at", "updated_at"]}
@@ -1151,6 +1188,8 @@ QUERIES: dict[str, Query] = {
     "export_generation": q_export_generation,
     "evolution_in_steps": q_evolution_in_steps,
     "csv_quarantine": q_csv_quarantine,
+    "employee_csv_load": q_employee_csv_load,
+    "user_service_csv_load": q_user_service_csv_load,
     "schema_evolution": q_schema_evolution,
     "report_roundtrip": q_report_roundtrip,
     "medallion_silver_hash": q_medallion_silver_hash,
@@ -1204,6 +1243,8 @@ ORACLES: dict[str, str] = {
     "export_generation": EXPORT_GENERATION_SQL,
     "evolution_in_steps": SCHEMA_EVOLUTION_SQL,
     "csv_quarantine": CSV_QUARANTINE_SQL,
+    "employee_csv_load": EMPLOYEE_TABLE_SQL,
+    "user_service_csv_load": USER_SERVICE_CSV_SQL,
     "schema_evolution": SCHEMA_EVOLUTION_SQL,
     "report_roundtrip": STATUS_REPORT_SQL,
     "medallion_silver_hash": MEDALLION_SILVER_SQL,

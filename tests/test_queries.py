@@ -92,12 +92,14 @@ def test_pushdown_reaches_the_scan(spark):
 def test_no_forbidden_operators_in_any_plan_writes_included():
     """Every final plan of every registered query, its writes included (read
     from the event log by scripts/plan_report.py in its own JVM), is free of
-    Python evaluation stages, nested-loop joins and Cartesian products."""
+    nested-loop joins and Cartesian products; those that must be native (the
+    library's own, and operators 2, 8 and 9) are free of Python stages too."""
     import subprocess
     import sys
     from pathlib import Path
     script = Path(__file__).resolve().parent.parent / "scripts" / "plan_report.py"
     done = subprocess.run([sys.executable, str(script), "--check", SF_SMALL],
-                          capture_output=True, text=True, timeout=1200)
+                          capture_output=True, text=True, timeout=2400)
     assert done.returncode == 0, done.stderr[-2000:]
-    assert done.stdout.count("\n| ") >= len(QUERIES)
+    listed = [line.split(" | ")[0][2:] for line in done.stdout.splitlines() if line.startswith("| ")]
+    assert listed[1:] == list(QUERIES)
