@@ -31,7 +31,9 @@ from pyspark.sql.types import DoubleType
 from ..names import col as named
 from .common import id_crc, materialize
 
-BITS = 22
+BITS = 20
+#: Words whose numbers a task remembers.
+REMEMBERED = 100_000
 #: Shares of the words from which a shape counts as a level of its own.
 LEVELS = (0.02, 0.1, 0.3, 0.6)
 RUNS = re.compile(r"(.)\1+", re.S)
@@ -48,22 +50,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
-def features(text: str | None, known: dict[str, tuple[int, int]]) -> np.ndarray:
-    """Sorted distinct feature numbers of a text; ``known`` remembers shapes of words."""
+def features(text: str | None, known: dict[str, int]) -> np.ndarray:
+    """Sorted distinct feature numbers of a text; ``known`` remembers words: the hash of a word's
+    shape in the high half of one number, that of the lower-cased word in the low half."""
     words = (text or "").split()
-    if len(known) > 300_000:
+    if len(known) > REMEMBERED:
         known.clear()
     for w in set(words).difference(known):
-        known[w] = (zlib.crc32(shape(w).encode()), zlib.crc32(w.lower().encode("utf-8", "surrogatepass")))
+        known[w] = zlib.crc32(shape(w).encode()) << 32 | zlib.crc32(w.lower().encode("utf-8", "surrogatepass"))
     if not words:
         return np.zeros(1, dtype=np.int32)
-    both = np.array([known[w] for w in words], dtype=np.uint64)
-    s, same = both[:, 0].copy(), np.r_[False, both[1:, 1] == both[:-1, 1]]
+    both = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    s, word = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
+    same = np.r_[False, word[1:] == word[:-1]]
     s[same] = 1
     with np.errstate(over="ignore"):
         one, n = np.unique(_mix(s + np.uint64(1)), return_counts=True)
-        grams = [one, _mix(both[:, 1] + np.uint64(1 << 40))]
-        for items, kind in ((s, 0), (both[:, 1], 10)):
+        grams = [one, _mix(word + np.uint64(1 << 40))]
+        for items, kind in ((s, 0), (word, 10)):
             for size in (2, 3):
                 g = np.full(max(len(s) - size + 1, 0), size + kind, dtype=np.uint64)
                 for i in range(size):
