@@ -28,6 +28,8 @@ empty audit and the hash of the empty text.  Empty tables give no rows; other co
 from __future__ import annotations
 
 import hashlib
+import itertools
+import operator
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..names import col as named
 from .common import materialize
-from .streams import runs, task_count
+from .streams import task_count
 
 #: The digits of the audit letters, in their ASCII order, and the edits' costs.
 DIGIT = {"D": 1, "I": 2, "K": 3, "R": 4}
@@ -156,59 +158,58 @@ def _legal(left: str, right: str) -> bool:
     return left + right in ("su", "ua", "au")
 
 
+def _by_key(batches: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
+    """(key, its rows as tuples of ``columns``) of a stream sorted by key; the rows come one by
+    one, so a long conversation is never gathered."""
+    rows = (r for pdf in batches for r in zip(*(pdf[c].tolist() for c in ("key", *columns))))
+    for key, group in itertools.groupby(rows, key=operator.itemgetter(0)):
+        yield key, (r[1:] for r in group)
+
+
 def _solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted (key, part, initial, fault) -> per conversation and task: first and last initial,
     illegal neighbours, weights as hex and their width."""
-    key, state = None, None
-
-    def close():
-        if state["rows"]:
-            state["solved"].append(solve(state["rows"]))
-        weights, width = join_all(state["solved"])
-        return pd.DataFrame([(key, state["part"], state["first"], state["last"], state["illegal"],
-                              ["" if w is None else f"{w:x}" for row in weights for w in row], width)],
-                            columns=["key", "part", "first", "last", "illegal", "weights", "width"])
-
-    done: list[pd.DataFrame] = []
-    for (now,), new, part in runs(batches, ["key"]):
-        if new:
-            if state:
-                done.append(close())
-            key = now
-            state = {"part": int(part["part"].iat[0]), "first": part["initial"].iat[0], "last": None,
-                     "illegal": 0, "rows": [], "solved": []}
-        for initial, fault in zip(part["initial"], part["fault"]):
-            if state["last"] is not None:
-                state["illegal"] += not _legal(state["last"], initial)
-            state["last"] = initial
-            state["rows"].append((initial, fault))
-            if len(state["rows"]) == STRETCH:
-                state["solved"].append(solve(state["rows"]))
-                state["rows"] = []
-        if len(done) >= 1000:
-            yield pd.concat(done)
+    columns = ["key", "part", "first", "last", "illegal", "weights", "width"]
+    done: list[tuple] = []
+    met: dict[tuple, tuple] = {}  # short stretches have few patterns of initials and faults
+    for key, rows in _by_key(batches, "part", "initial", "fault"):
+        first, last, illegal, stretch, solved = None, None, 0, [], []
+        for part, initial, fault in rows:
+            if last is None:
+                first = initial
+            elif not _legal(last, initial):
+                illegal += 1
+            last = initial
+            stretch.append((initial, fault))
+            if len(stretch) == STRETCH:
+                solved.append(solve(stretch))
+                stretch = []
+        if stretch:
+            pattern = tuple(stretch)
+            if pattern not in met:
+                if len(met) == 20_000:
+                    met.clear()
+                met[pattern] = solve(stretch)
+            solved.append(met[pattern])
+        weights, width = join_all(solved)
+        done.append((key, part, first, last, illegal, ["" if w is None else f"{w:x}" for row in weights for w in row], width))
+        if len(done) == 1000:
+            yield pd.DataFrame(done, columns=columns)
             done = []
-    if state:
-        done.append(close())
     if done:
-        yield pd.concat(done)
+        yield pd.DataFrame(done, columns=columns)
 
 
 def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted (key, part, ...) of :func:`_solved` -> (key, illegal, cost, audit)."""
-    key, parts, illegal, last = None, [], 0, None
     done = []
-    for (now,), new, rows in runs(batches, ["key"]):
-        if new:
-            if parts:
-                done.append((key, illegal, *decide(*join_all(parts))))
-            key, parts, illegal, last = now, [], 0, None
-        for r in rows.itertuples(index=False):
-            w = [int(x, 16) if x else None for x in r.weights]
-            parts.append(([w[i:i + STATES] for i in range(0, STATES * STATES, STATES)], int(r.width)))
-            illegal += int(r.illegal) + (last is not None and not _legal(last, r.first))
-            last = r.last
-    if parts:
+    for key, rows in _by_key(batches, "first", "last", "illegal", "weights", "width"):
+        parts, illegal, before = [], 0, None
+        for first, last, n, weights, width in rows:
+            w = [int(x, 16) if x else None for x in weights]
+            parts.append(([w[i:i + STATES] for i in range(0, STATES * STATES, STATES)], width))
+            illegal += n + (before is not None and not _legal(before, first))
+            before = last
         done.append((key, illegal, *decide(*join_all(parts))))
     yield pd.DataFrame(done, columns=["key", "illegal", "cost", "audit"]).astype({"illegal": "int64", "cost": "int64"})
 
@@ -238,51 +239,32 @@ class _Edited:
             yield self._put(role if letter == "K" else self._next(), text)
 
 
+def _repaired(rows: Iterator[tuple]) -> Iterator[tuple[str, str]]:
+    """The turns (role, text) that the audit, in the first row, leaves of the others."""
+    edit = _Edited(next(rows)[0])
+    for _, role, text in rows:
+        yield from edit.row(role, text)
+    yield from edit.inserted()
+
+
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted (key, kind, audit, role, text), the audit first -> (key, repaired_sha256)."""
-    key, edit, sha, empty, done = None, None, None, True, []
-
-    def put(turns) -> None:
-        nonlocal empty
-        for role, text in turns:
-            sha.update(("" if empty else "\n").encode() + f"{role}:{text}".encode())
-            empty = False
-
-    for (now,), new, part in runs(batches, ["key"]):
-        if new and edit:
-            put(edit.inserted())
-            done.append((key, sha.hexdigest()))
-        if new:
-            key, edit, sha, empty = now, _Edited(part["audit"].iat[0]), hashlib.sha256(), True
-            part = part.iloc[1:]
-        for role, text in zip(part["role"], part["text"]):
-            put(edit.row(role, text))
-    if edit:
-        put(edit.inserted())
+    done = []
+    for key, rows in _by_key(batches, "audit", "role", "text"):
+        sha, gap = hashlib.sha256(), ""
+        for role, text in _repaired(rows):
+            sha.update(f"{gap}{role}:{text}".encode())
+            gap = "\n"
         done.append((key, sha.hexdigest()))
     yield pd.DataFrame(done, columns=["key", "repaired_sha256"])
 
 
 def _turns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """As :func:`_hashed`, but -> (key, place, role, text): the repaired turns."""
-    key, edit, place = None, None, 0
-
-    def frame(turns):
-        nonlocal place
-        turns = list(turns)
-        place += len(turns)
-        return pd.DataFrame([(key, place - len(turns) + i, r, t) for i, (r, t) in enumerate(turns)],
-                            columns=["key", "place", "role", "text"]).astype({"place": "int64"})
-
-    for (now,), new, part in runs(batches, ["key"]):
-        if new:
-            if edit:
-                yield frame(edit.inserted())
-            key, edit, place = now, _Edited(part["audit"].iat[0]), 0
-            part = part.iloc[1:]
-        yield frame(x for role, text in zip(part["role"], part["text"]) for x in edit.row(role, text))
-    if edit:
-        yield frame(edit.inserted())
+    turns = ((key, place, role, text) for key, rows in _by_key(batches, "audit", "role", "text")
+             for place, (role, text) in enumerate(_repaired(rows)))
+    while some := list(itertools.islice(turns, 1000)):
+        yield pd.DataFrame(some, columns=["key", "place", "role", "text"])
 
 
 def _key(conv: Column) -> Column:
