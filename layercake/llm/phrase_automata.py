@@ -29,7 +29,6 @@ in practice; longer ones raise an error.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import itertools
 from collections.abc import Iterator
@@ -59,7 +58,6 @@ _BASE = 0x9E6C63D0676A9A99
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
-@functools.cache
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_BASE, -1, 1 << 64)
     return tuple(np.append(np.uint64(1), np.cumprod(np.full(CHUNK, b, dtype=np.uint64))) for b in (_BASE, inverse))
@@ -78,11 +76,12 @@ def _rolled(codes: np.ndarray, k: int, base: int) -> np.ndarray:
     return _mix(h)
 
 
-def _words(texts) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All texts as one buffer; each word's first byte, end and hash; each text's end in words."""
+def _words(texts, powers: tuple) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one buffer; each word's first byte, end and hash; each text's end in words.
+    ``powers``: those of :func:`_powers`, made once per task."""
     parts = [(t or "").encode() for t in texts]
     data = b"\n".join(parts) + b"\n"
-    powers, inverse = _powers()
+    powers, inverse = powers
     begins, ends, hashes = [], [], []
     at = 0
     while at < len(data):  # whole words at a time; one longer than a chunk is hashed by pieces
@@ -140,9 +139,10 @@ def _pair(anchor: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(k1, text) -> (anchor, k1, often): a document's distinct anchors; often: at two places."""
+    powers = _powers()
     for pdf in batches:
         for part in text_slices(pdf, "text", CHUNK):
-            *_, hashes, ends = _words(part["text"])
+            *_, hashes, ends = _words(part["text"], powers)
             found = _anchors(hashes, ends)
             _, first, group, n = np.unique(_pair(found["anchor"], found["text"]), return_index=True,
                                            return_inverse=True, return_counts=True)
@@ -154,9 +154,10 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(no, text, anchors) -> (anchor, pos, n, words): the stretches of the given anchors, the
     number of their words and the words."""
+    powers = _powers()
     for pdf in batches:
         for part in text_slices(pdf, "text", CHUNK):
-            data, begin, end, hashes, ends = _words(part["text"])
+            data, begin, end, hashes, ends = _words(part["text"], powers)
             most = int(np.diff(ends, prepend=0).max())
             if most >= 1 << AT:
                 raise ValueError(f"a text has {most} words; at most 2**{AT} are supported")

@@ -125,12 +125,12 @@ def test_repeated_windows(spark, monkeypatch, hot):
 def test_words_of_a_buffer(monkeypatch):
     monkeypatch.setattr(phrase_automata, "CHUNK", 16)
     texts = ["one two\tthree " + "x" * 100 + " four", None, "", " \n", "x" * 100, "é two one", "y" * 15 + " z"]
-    data, begin, end, hashes, ends = phrase_automata._words(texts)
+    data, begin, end, hashes, ends = phrase_automata._words(texts, phrase_automata._powers())
     words = [data[a:b] for a, b in zip(begin, end)]
     assert words == [w for t in texts for w in (t or "").encode().split()]
     assert list(ends) == [5, 5, 5, 5, 6, 9, 11]
     assert hashes[0] == hashes[8] and hashes[1] == hashes[7] and len(set(hashes)) >= 8
-    assert len(phrase_automata._words([])[1]) == 0
+    assert len(phrase_automata._words([], phrase_automata._powers())[1]) == 0
 
 
 def test_odd_phrase_rows(spark, odd_docs, no_docs):
