@@ -2,7 +2,9 @@
 
 Pre-tokens of a batch are held as one flat array of symbol ids with a sequence number per
 symbol.  In every step each sequence applies its lowest-rank pair at all its places at once
-(left to right where places overlap); the symbols that survive are counted.
+(left to right where places overlap); the symbols that survive are counted.  A long
+pre-token keeps its places by rank instead, in linked arrays, so that a step touches the
+places of its rank only and not the whole sequence again.
 
 Edge cases: NULL and empty texts have no bytes and no tokens; special strings inside a text
 are one token each; very long pre-tokens are merged like any other; repeated rows are
@@ -11,7 +13,9 @@ counted each; empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +28,8 @@ from ..names import col as named
 
 #: Distinct pre-tokens whose counts a task remembers; symbols merged at once; characters per step.
 KNOWN, MERGE_SYMBOLS, STEP_CHARS = 400_000, 2_000_000, 1_000_000
+#: Bytes from which a pre-token is merged by itself, with its places held by rank.
+LONG = 256
 #: Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -47,6 +53,7 @@ class Merges:
         order = np.argsort(keys)
         self.keys, self.rank = keys[order], order.astype(np.int64)
         self.result = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
+        self.rank_of: dict[int, int] = {}
         self.first = np.zeros(256, dtype=np.int64)
         for char, byte in byte_symbols().items():
             self.first[byte] = vocab[char]
@@ -63,6 +70,59 @@ class Merges:
 
     def lengths(self, tokens: list[bytes]) -> np.ndarray:
         """The number of symbols that survive in every pre-token."""
+        out = np.zeros(len(tokens), dtype=np.int64)
+        long = np.fromiter((len(t) >= LONG for t in tokens), dtype=bool, count=len(tokens))
+        for i in np.flatnonzero(long):
+            out[i] = self.long_length(tokens[i])
+        short = np.flatnonzero(~long)
+        out[short] = self.short_lengths([tokens[i] for i in short])
+        return out
+
+    def long_length(self, token: bytes) -> int:
+        """The same for one long pre-token, in time that follows its length: places wait
+        under their pair's rank, and a merge looks at its two neighbours only."""
+        if not self.rank_of:
+            self.rank_of = dict(zip(self.keys.tolist(), self.rank.tolist()))
+        rank_of, size, result = self.rank_of, self.size, self.result
+        first = self.first[np.frombuffer(token, dtype=np.uint8)]
+        n = left = len(first)
+        ids, after, before = array("q", first.tolist()), array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        rank = self.ranks(first[:-1], first[1:])
+        order = np.argsort(rank, kind="stable")
+        order = order[: np.searchsorted(rank[order], len(self.keys))]
+        edges = np.r_[0, np.flatnonzero(np.diff(rank[order])) + 1, len(order)]
+        places = {int(rank[order[lo]]): order[lo:hi].tolist() for lo, hi in zip(edges, edges[1:]) if lo < hi}
+        queue = sorted(places)
+        while queue:
+            now = heapq.heappop(queue)
+            made = int(result[now])
+            for i in sorted(places.pop(now)):
+                j = after[i]
+                # gone (-1), at the end, or changed since the place was noted
+                if ids[i] < 0 or j == n or rank_of.get(ids[i] * size + ids[j]) != now:
+                    continue
+                k = after[j]
+                ids[i], ids[j], after[i] = made, -1, k
+                left -= 1
+                fresh = []
+                if k < n:
+                    before[k] = i
+                    fresh.append((i, made * size + ids[k]))
+                h = before[i]
+                if h >= 0:
+                    fresh.append((h, ids[h] * size + made))
+                for at, key in fresh:
+                    then = rank_of.get(key)
+                    if then is None:
+                        continue
+                    if then not in places:
+                        places[then] = []
+                        heapq.heappush(queue, then)
+                    places[then].append(at)
+        return left
+
+    def short_lengths(self, tokens: list[bytes]) -> np.ndarray:
+        """The same for many pre-tokens at once, as one ragged array."""
         sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         ids = self.first[np.frombuffer(b"".join(tokens), dtype=np.uint8)]
         seq = np.repeat(np.arange(len(tokens)), sizes)

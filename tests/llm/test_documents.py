@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -215,6 +216,24 @@ def test_token_counts(spark, sf, odd_docs, no_docs):
         assert bpe_arrays._count(merges, [s], {}) == [len(lib.encode(s, add_special_tokens=False).ids)], repr(s)
 
 
+def test_long_pre_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, merges = Tokenizer.from_file(path), bpe_arrays.Merges(open(path).read())
+    rng = np.random.default_rng(6)
+    kinds = [list("abcdefghijklmnopqrstuvwxyz"), list("ab"), ["the", "ing", "anti", "er"], list("é漢字a"), ["="], [" "]]
+    for parts in kinds:
+        for n in (bpe_arrays.LONG - 1, bpe_arrays.LONG, 700):
+            s = "".join(rng.choice(parts, n))
+            assert bpe_arrays._count(merges, [s, "a " + s], {}) == [
+                len(lib.encode(x, add_special_tokens=False).ids) for x in (s, "a " + s)], s
+    word = "".join(rng.choice(kinds[0], 100_000))
+    began = time.process_time()
+    assert bpe_arrays._count(merges, [word], {}) == [len(lib.encode(word, add_special_tokens=False).ids)]
+    assert time.process_time() - began < 4  # the old rescan of the whole sequence took 32 s
+
+
 # -- op 9
 def test_decontamination_on_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame(
