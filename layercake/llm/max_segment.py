@@ -14,11 +14,12 @@ repeated rows are extracted each; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from ..names import col as named
 
 #: Element names by their part in a page.
-RAW = "script|style|title|textarea"
+RAW = frozenset("script style title textarea".split())
 DROPPED = frozenset("noscript template iframe svg select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
@@ -37,11 +38,10 @@ SKIP_NAMES = frozenset("ad ads advert adverts advertisement banner breadcrumb br
                        "cookies footer menu nav navbar newsletter notice popup promo related share sharing sidebar "
                        "social sponsor sponsored subscribe toolbar widget".split())
 CONTENT = frozenset(["article", "main"])
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|(?P<tag><(?P<raw>{RAW})(?=[\s/>])[^>]*>).*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<option(?=[\s/>])[^>]*>[^<]*(?:</option\s*>)?"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?][^>]*>",
-    re.S | re.I)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+OPTION_END = re.compile(r"</option\s*>", re.I)
+MARKS = re.compile(r"[>\"']")
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Tags seen fewer times than this in labelled pages keep the default weights.
 LEAST_SEEN, DEFAULT_TAG, DEFAULT_WORD, FLOOR = 20, -3.0, 1.0, 0.05
@@ -71,33 +71,90 @@ def _implied() -> dict[str, tuple[frozenset[str], frozenset[str]]]:
 IMPLIED, NONE = _implied(), (frozenset(), frozenset())
 
 
+class TagEnds:
+    """Where a tag's ``>`` stands: the first one outside quotes, or, where a quote is never
+    closed, the first one at all.  The marks of a page are read once, so that unclosed quotes
+    cost no further passes."""
+
+    def __init__(self, page: str) -> None:
+        marks = [(m.start(), m.group()) for m in MARKS.finditer(page)]
+        self.page, self.at = page, [i for i, _ in marks]
+        self.outside = [-1] * (len(marks) + 1)
+        later = {"'": -1, '"': -1}
+        for x in range(len(marks) - 1, -1, -1):
+            i, mark = marks[x]
+            if mark == ">":
+                self.outside[x] = i
+            else:
+                # an opening quote leads behind the next one like it
+                self.outside[x] = self.outside[later[mark] + 1] if later[mark] >= 0 else -1
+                later[mark] = x
+
+    def after(self, begin: int) -> int:
+        end = self.outside[bisect.bisect_left(self.at, begin)]
+        return end if end >= 0 else self.page.find(">", begin)
+
+
+def tags(page: str, in_svg: Callable[[], bool]) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, close, name, attributes) of a page's mark-up, in one pass.  Comments,
+    declarations, options and raw text have no name; a ``<`` that no ``>`` follows is text."""
+    last, at, ends = page.rfind(">"), 0, TagEnds(page)
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            yield start, at, "", "", ""
+            continue
+        if start > last:
+            continue
+        if page[at] in "!?":
+            at = page.find(">", at) + 1
+            yield start, at, "", "", ""
+            continue
+        m = NAME.match(page, start)
+        if not m:
+            continue
+        close, name, begin = m[1], m[2].lower(), m.end()
+        if not close and name in RAW:
+            at = page.find(">", begin) + 1
+            if not (page[at - 2] == "/" and in_svg()):
+                ended = RAW_END[name].search(page, at)
+                at = (page.find(">", ended.end()) + 1 if ended else 0) or len(page)
+            yield start, at, "", "", ""
+        elif not close and name == "option":
+            at = page.find("<", page.find(">", begin))
+            ended = OPTION_END.match(page, at) if at >= 0 else None
+            at = ended.end() if ended else at if at >= 0 else len(page)
+            yield start, at, "", "", ""
+        else:
+            at = ends.after(begin) + 1
+            yield start, at, close, name, page[begin:at - 1]
+
+
 def tokens(page: str) -> list[tuple[str, str, str]]:
     """(kind, name, text): kind is open, void (opened and closed at once), close or text;
     boilerplate by class counts as ``x-skip``.  Only raw text and comments run to the page's
     end; of a DROPPED element that is never closed only the tag goes."""
     out, at, opened, held = [], 0, [], Counter()
-    while m := TOKEN.search(page, at):
-        if m.start() > at:
-            out.append(("text", "", page[at:m.start()]))
-        at = m.end()
-        if m["raw"] and held["svg"] and m["tag"].endswith("/>"):
-            at = m.end("tag")
-        name = m["name"]
+    for start, end, close, name, attrs in tags(page, lambda: held["svg"] > 0):
+        if start > at:
+            out.append(("text", "", page[at:start]))
+        at = end
         if not name:
             continue
-        name, attrs = name.lower(), m["attrs"] or ""
         ended = name in VOID or attrs.endswith("/") and not UNQUOTED_END.search(attrs)
         if name in DROPPED:
-            if not m["close"] and not ended:
+            if not close and not ended:
                 opened.append((name, len(out)))
                 held[name] += 1
-            elif m["close"] and held[name]:
+            elif close and held[name]:
                 inner = ""
                 while inner != name:
                     inner, begin = opened.pop()
                     held[inner] -= 1
                 del out[begin:]
-        elif m["close"]:
+        elif close:
             out.append(("close", name, ""))
         elif ended:
             out.append(("void", name, ""))
@@ -138,12 +195,12 @@ def parsed(page: str) -> list[tuple[str, str, str, int, int]]:
                 shut(depth)
         else:
             ends, bars = IMPLIED.get(bare, NONE)
-            if any(held[x] for x in ends):
+            if left := sum(held[x] for x in ends):
                 depth = None
                 for i in range(len(under) - 1, -1, -1):
                     if under[i][0] in ends:
-                        depth = i
-                    elif under[i][0] in bars:
+                        depth, left = i, left - 1
+                    if not left or under[i][0] in bars:
                         break
                 if depth is not None:
                     shut(depth)

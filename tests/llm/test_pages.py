@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import re
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -152,3 +153,20 @@ def test_walks_settle_on_long_chains_and_cycles(spark):
         step /= np.maximum(step.sum(axis=0), 1)
         settled = np.linalg.solve(np.eye(len(hosts)) - 0.85 * step, 0.15 * (np.array(hosts) == seed))
         assert np.allclose([got[h][kind] for h in hosts], settled, rtol=1e-5, atol=0)
+
+
+@pytest.mark.parametrize("unit", ["<a href='", "<a x'>y'", "<script ", "<svg><script/>", "</script ", "<!", "<option ",
+                                  "<a<a", "<a\" '", "<p><div>"])
+@pytest.mark.parametrize("tail", ["", ">"])
+def test_broken_markup_takes_linear_time(unit, tail):
+    page = "<p>Some words here.</p>" + unit * (200_000 // len(unit)) + tail
+    began = time.process_time()
+    max_segment.extract(page, {})
+    assert time.process_time() - began < 5
+
+
+def test_tag_ends():
+    assert max_segment.tokens("a<b x='>' y=\">\">c</b>d < e") == [
+        ("text", "", "a"), ("open", "b", ""), ("text", "", "c"), ("close", "b", ""), ("text", "", "d < e")]
+    # a quote that is never closed: the first > of all ends the tag
+    assert max_segment.tokens("<b x='>c<i>d") == [("open", "b", ""), ("text", "", "c"), ("open", "i", ""), ("text", "", "d")]
