@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -145,7 +146,12 @@ def fit(sample: list[tuple[int, np.ndarray]], *, c: float = 1.0, epochs: int = 2
     ratio[(counts[1] == prior) & (counts[-1] == prior)] = 0
     ratio = ratio.astype(np.float32)
     del counts
-    values = [(ratio[ids] / max(np.linalg.norm(ratio[ids]), 1e-9)).astype(np.float32) for ids in rows]
+    # one array for the values of all rows: freed at once, while many small ones stay with the process
+    ends = np.cumsum([len(ids) for ids in rows])
+    flat = np.empty(int(ends[-1]), dtype=np.float32)
+    values = [flat[end - len(ids):end] for ids, end in zip(rows, ends)]
+    for ids, v in zip(rows, values):
+        v[:] = ratio[ids] / max(np.linalg.norm(ratio[ids]), 1e-9)
     w = dual_descent(rows, values, y, size, c=c, epochs=epochs)
     m = np.array([np.einsum("i,i", w[ids], v) for ids, v in zip(rows, values)])
     a, b = 1.0, 0.0  # logistic curve by Newton steps, with a small pull to keep it finite
@@ -177,10 +183,15 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             yield pd.DataFrame({"id": pdf["label_id"], "label": pdf["label"], "ids": [
                 features(t, known).astype(np.int32).tobytes() for t in pdf["text"]]})
 
-    # written in parallel, then read file by file: the driver holds the features once
+    # written in parallel, then read file by file: the driver holds the features once, in one
+    # array; the order of the rows is that of (id, label, content)
     found = materialize(rows.mapInPandas(run, "id long, label int, ids binary"), "nb-sample")
-    got = sorted((r.id, bytes(r.ids), r.label) for r in found.toLocalIterator())
-    return fit([(label, np.frombuffer(ids, dtype=np.int32)) for _, ids, label in got])
+    flat, spans = array("i"), []
+    for r in found.toLocalIterator():
+        spans.append((r.id, r.label, zlib.crc32(r.ids), len(flat), len(flat) + len(r.ids) // 4))
+        flat.frombytes(r.ids)
+    every = np.frombuffer(flat, dtype=np.int32)
+    return fit([(label, every[lo:hi]) for _, label, _, lo, hi in sorted(spans)])
 
 
 def score_column(model: Model, text: Column, spark) -> Column:
