@@ -27,8 +27,10 @@ from .common import keep_columns, materialize, row_key, split_words
 
 #: Documents per packing bucket: the unit of the two-level prefix sum.
 BUCKET_DOCS = 1024
-#: Slots made by one plan row, so that no row expands without bound.
+#: Slots (or repeated rows) made by one plan row, so that no row expands without bound.
 SLOT_RUN = 8192
+#: Slots made by one task, and documents numbered by one.
+SLOT_TASK, DOC_TASK = 65_536, 100_000
 
 
 @dataclass
@@ -113,15 +115,20 @@ def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFra
 
     A two-level prefix sum: documents are hashed into buckets of bounded size, summed
     within their bucket and offset by the buckets before it, so no source passes
-    through one task.
+    through one task.  Repeated rows are counted first and numbered as they are dealt
+    out again, so that they too spread over all buckets.
     """
     buckets = max(1, math.ceil(n_docs / BUCKET_DOCS))
+    alike = docs.groupBy("source", "doc_id", "key", "size").agg(F.count("*").alias("n"))
+    dealt = (alike.withColumn("run", F.explode(F.expr(f"sequence(0L, n - 1, {SLOT_RUN}L)")))
+             .repartition(max(1, math.ceil(n_docs / DOC_TASK)), "key", "run")
+             .withColumn("copy", F.explode(F.expr(f"sequence(run, least(run + {SLOT_RUN}, n) - 1)"))))
     placed = materialize(
-        docs.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("source_name")), "inner")
-        .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size"))
+        dealt.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("source_name")), "inner")
+        .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size", "key", "copy"))
         .withColumn("bucket", F.pmod("place", F.lit(buckets)).cast("int"))
-        .select("doc_id", "key", "src", "size", "place", "bucket"), "mix-sized")
-    in_order = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size", "key").rowsBetween(
+        .select("doc_id", "key", "src", "size", "place", "copy", "bucket"), "mix-sized")
+    in_order = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size", "key", "copy").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -179,8 +186,10 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                          StructField("first", LongType()), StructField("n", LongType())])
     plan = spark.createDataFrame(
         draw_shards([s["slots"] for s in sources], shards, seed), schema)
+    # a stated number of tasks: without one the few plan rows are merged into one before they expand
+    tasks = max(1, math.ceil(sum(s["slots"] for s in sources) / SLOT_TASK))
     slots = (plan.withColumn("run", F.explode(F.expr(f"sequence(0L, n - 1, {SLOT_RUN}L)")))
-             .repartition(F.col("shard"), F.col("src"), F.col("run"))
+             .repartition(tasks, F.col("shard"), F.col("src"), F.col("run"))
              .withColumn("slot", F.explode(F.expr(
                  f"sequence(first + run, first + least(run + {SLOT_RUN}, n) - 1)")))
              .join(lens, "src")

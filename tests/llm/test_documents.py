@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from layercake.llm import (bayes_minhash, bpe_arrays, context_mixing, mix_weights, nbsvm, prefix_join,
                            queries, robust_outliers)
@@ -83,6 +84,26 @@ def test_mix(spark, sf):
     assert by_id(queries.op1_mix_sources(spark, sf)) == got
 
 
+def test_mix_of_many_repeated_rows(spark):
+    n = 3 * mix_weights.SLOT_RUN  # more copies than one row deals out at once
+    docs = spark.range(n + 500).selectExpr(
+        f"if(id < {n}, NULL, id) AS doc_id", f"if(id < {n}, 'one two three', concat('word ', id)) AS text",
+        f"if(id < {n}, 'a', 'b') AS source")
+    mix = mix_weights.mix_sources(docs)
+    for src, count, size in ((0, n, 3), (1, 500, 2)):
+        starts = sorted(r.start for r in mix.spans.filter(f"src = {src}").collect())
+        assert starts == [size * i for i in range(count)]
+    rows = mix_weights.taken_per_document(mix).collect()
+    assert len(rows) == n + 500 and all(r.taken <= 2 * r.size for r in rows)
+    for s in mix.sources:
+        took = sum(r.taken for r in rows if r.src == s["src"])
+        assert abs(took - s["target"]) <= s["block"] + 1
+    # the copies of one row are not neighbours in the sequence of a mixed source
+    mixed = docs.select("doc_id", "text").withColumn("source", F.lit("a"))
+    starts = sorted(r.start for r in mix_weights.mix_sources(mixed).spans.filter("doc_id IS NOT NULL").collect())
+    assert starts[0] < n and starts[-1] > 2 * n
+
+
 def test_mix_of_odd_rows(odd_docs, no_docs):
     got = mix_weights.mixed_documents(odd_docs).collect()
     assert len(got) == odd_docs.count() and {r.taken for r in got if not (r.text or "").strip()} == {0}
