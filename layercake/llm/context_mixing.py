@@ -1,18 +1,28 @@
 """Operator 5: LM scoring by online logistic mixing of hashed-context bit predictors.
 
 The text (A-Z lower-cased, UTF-8, one end symbol) is coded bit by bit along a Huffman tree of
-its bytes.  Three contexts (the last two and three bytes, and the word so far) are hashed
-into fixed tables; each predicts a bit from the counts of all training documents.  The
-predictions, as log-odds, are combined by weights gated by the place of the bit in its code;
-the weights start alike for every document and are refined on the document itself, block by
-block, before the next block is predicted.  The score is the log10 probability of all bits.
-
-The base score is the unigram score of the words.  Word counts are exact sums over all
-training documents, exchanged per chunk of documents as packed arrays of 64-bit word hashes.
+its bytes.  Three contexts (the last two bytes, the last four, the word so far) predict each
+bit from the counts of all training documents; a fourth predictor follows the last place of
+the same document with the same five bytes, as sure as its hits since then make it.  The
+predictions, as log-odds, are combined by weights gated by the place of the bit in its code
+and by whether the fourth one is running; the weights start alike for every document and are
+refined on the document itself, block by block, before the next block is predicted.  The
+score is the log10 probability of all bits.
+
+The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of two and
+four bytes exactly and words by 54 bits of their hash.  Each chunk of documents sends its
+pre-added counts to shards of the key space and gets back the predictions of the contexts that
+it holds, so no task or driver holds the whole model.  A chunk and a shard exchange one row;
+chunks and shards stand for a stated number of bytes, and a chunk sends at most as many rows
+as it has distinct contexts.
+
+The base score is the unigram score of the words: exact sums over all training documents by
+64-bit word hashes, in the same exchange.
 
 Edge cases: NULL and empty texts are the end symbol alone; a NULL id counts as the empty text
-for the fold; repeated rows are scored each; without training documents every bit has
-probability one half; empty tables give empty results; extra columns are ignored.
+for the fold and an id that is no number is NULL in the result; repeated rows are scored each;
+without training documents every bit has probability one half; empty tables give empty
+results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,21 +40,25 @@ from pyspark.sql import functions as F
 from ..names import col as named
 from .common import id_crc, materialize
 
-#: Hashed slots of the contexts: last two bytes, last three bytes, word so far.
-SLOTS = (1 << 11, 1 << 15, 1 << 15)
-#: Bytes of text per chunk row, bytes scored or counted at once, slots per exchanged block.
-CHUNK, GROUP, SCORED, BLOCK = 16 << 20, 1 << 20, 1 << 20, 128
-#: Partial counts of a block that one task adds up.
-FAN = 64
-PAD, END = 3, 0xFF  # 0xFF is in no UTF-8 text
+#: Bytes of text per chunk row, per shard of the counts, and counted or scored at once.
+CHUNK, SHARD, GROUP, SCORED = 8 << 20, 64 << 20, 1 << 20, 256 << 10
+#: Shards that small inputs are dealt to, where they have as many chunks.
+SHARDS = 64
+PAD, END = 5, 0xFF  # 0xFF is in no UTF-8 text
 SCALE = 12.0
-START_WEIGHTS, RATE = (0.1, 0.4, 0.5), 1.0
-GATES = 4
+#: Two bytes, four bytes, word so far, last place in the document.
+START_WEIGHTS, RATE = (0.1, 0.35, 0.6, 0.15), 1.0
+STEPS, GATES = 4, 8
+#: Hits in a row that the fourth predictor counts.
+RUN = 32
 #: Mixed log-odds end at EDGE and are rounded to 1 / GRADES, alike for both bits.
 EDGE, GRADES = 14, 256
-BLOCKS = (0, 128, 512, 2048, 8192, 16384)
+BLOCKS = (0, 64, 128, 256, 512, 1024, 2048, 4096, 8192)
 MULT = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+BYTE = np.uint64(0xFF)
+#: log2 of the places of a lookup table.
+PLACES = 21
 
 
 def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,18 +75,21 @@ def _gaps(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13)) | (data == END)
 
 
-_POWERS: list[np.ndarray] = []
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return (np.cumprod(np.full(size, MULT, dtype=np.uint64)),
+                np.cumprod(np.r_[np.uint64(1), np.full(size, INVERSE, dtype=np.uint64)]),
+                np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64))
+
+
+_USUAL_POWERS: list[tuple] = []  # of the slices that nearly all calls stay within
 
 
 def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of byte values times powers of an odd number, and the inverse powers."""
-    if not _POWERS or len(_POWERS[0]) < len(data):
-        size = max(len(data), 2 * GROUP)
-        with np.errstate(over="ignore"):
-            _POWERS[:] = [np.cumprod(np.full(size, MULT, dtype=np.uint64)),
-                          np.cumprod(np.r_[np.uint64(1), np.full(size, INVERSE, dtype=np.uint64)]),
-                          np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)]
-    up, down, value = _POWERS
+    if not _USUAL_POWERS:
+        _USUAL_POWERS.append(_powers(2 * GROUP))
+    up, down, value = _USUAL_POWERS[0] if len(data) <= 2 * GROUP else _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum(value[data] * up[:len(data)], out=sums[1:])
@@ -95,22 +112,48 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _stir((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64)), start
 
 
+def _last(data: np.ndarray, k: int) -> np.ndarray:
+    """The last k bytes before every position as a number."""
+    out = np.zeros(len(data), np.uint64)
+    for i in range(1, k + 1):
+        out[i:] |= data[:-i].astype(np.uint64) << np.uint64(8 * (i - 1))
+    return out
+
+
 def contexts(data: np.ndarray) -> list[np.ndarray]:
-    """The table row of every position under each context."""
-    past = [np.r_[np.zeros(k, np.uint32), data[:-k].astype(np.uint32)] for k in (1, 2, 3)]
+    """Keys of the contexts of every position; their low 8 bits are free for a symbol."""
     gap = _gaps(data)
-    at = np.arange(len(data), dtype=np.int32)
-    begin = np.maximum.accumulate(np.where(np.r_[True, gap[:-1]], at, np.int32(0)))
+    at = np.arange(len(data), dtype=np.int64)
+    begin = np.maximum.accumulate(np.where(np.r_[True, gap[:-1]], at, 0))
     sums, down = _sums(data)
     with np.errstate(over="ignore"):
-        two = (past[1] << np.uint32(8)) | past[0]
-        three = (past[2] << np.uint32(16)) | two
         word = _stir((sums[:-1] - sums[begin]) * down[begin])
-        k = np.uint32(2654435761)
-        rows = [(x >> x.dtype.type(8 * x.itemsize - n.bit_length() + 1)) for x, n in zip(
-            (two * k, three * k, word), SLOTS)]
-    first = np.cumsum((0,) + SLOTS[:-1])
-    return [r.astype(np.int32) + np.int32(f) for r, f in zip(rows, first)]
+    return [_last(data, 2) << np.uint64(8), _last(data, 4) << np.uint64(8) | np.uint64(1 << 62),
+            word >> np.uint64(2) & ~BYTE | np.uint64(2 << 62)]
+
+
+def followed(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per scored place, the symbol after the last place of the same document that five equal
+    bytes precede (-1: none), and how many such guesses in a row came true just before."""
+    places = scored_places(start, stop)
+    n = len(places)
+    bits = np.uint64(n.bit_length())
+    owner = np.repeat(np.arange(len(start), dtype=np.uint64), stop - start)
+    with np.errstate(over="ignore"):
+        key = _stir(_last(data, 5)[places] * MULT + owner) >> bits << bits
+    key |= np.arange(n, dtype=np.uint64)
+    key.sort()
+    place = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    same = np.flatnonzero(key[1:] >> bits == key[:-1] >> bits)
+    guess = np.full(n, -1, np.int16)
+    guess[place[same + 1]] = data[places[place[same]]]
+    right = guess == data[places]
+    right[np.cumsum(stop - start) - 1] = False  # the end symbol: the next document starts anew
+    at = np.arange(n)
+    miss = np.maximum.accumulate(np.where(right, -1, at))
+    run = np.zeros(n, np.int64)
+    run[1:] = (at - miss)[:-1]
+    return guess, np.minimum(run, RUN)
 
 
 def scored_places(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -157,31 +200,108 @@ class Code:
             signs.append(np.where(self.bit[at] > 0, 1, -1).astype(np.float32))
         return nodes, signs
 
-    def below(self) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols under the 0 and the 1 branch of every node, as 256 x 256 matrices."""
-        out = np.zeros((2, 256, 256))
-        for s in range(256):
-            for i in range(self.first[s], self.first[s] + self.length[s]):
-                out[self.bit[i], s, self.node[i]] = 1
-        return out[0], out[1]
 
+@dataclass
+class Found:
+    """Places of keys in a list of distinct 64-bit keys, by a table of hashed places."""
 
-def log_odds(counts: np.ndarray, code: Code) -> np.ndarray:
-    """Quantised log-odds of a 1 at every node, from symbol counts (slots x 256)."""
-    zero, one = code.below()
-    odds = np.log((counts @ one + 0.4) / (counts @ zero + 0.4))
-    return np.clip(np.round(odds * SCALE), -127, 127).astype(np.int8)
+    keys: np.ndarray
+    order: np.ndarray
+    places: np.ndarray
 
+    @staticmethod
+    def of(keys: np.ndarray) -> Found:
+        order = np.argsort(keys)
+        places = np.zeros(1 << PLACES, np.int32)
+        keys = keys[order]
+        places[Found._place(keys)] = np.arange(len(keys), dtype=np.int32)
+        return Found(keys, order, places)
 
-def score(texts: list[bytes], table: np.ndarray, code: Code) -> np.ndarray:
+    @staticmethod
+    def _place(keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys ^ keys >> np.uint64(32)) * MULT >> np.uint64(64 - PLACES)).astype(np.int64)
+
+    def at(self, wanted: np.ndarray) -> np.ndarray:
+        """Where each key stands in the list that was given; -1 where it does not."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1, np.int64)
+        at = self.places[self._place(wanted)]
+        other = np.flatnonzero(self.keys[at] != wanted)
+        slow = np.minimum(np.searchsorted(self.keys, wanted[other]), len(self.keys) - 1)
+        at[other] = np.where(self.keys[slow] == wanted[other], slow, -1)
+        return np.where(at < 0, -1, self.order[at])
+
+
+@dataclass
+class Predictions:
+    """Quantised log-odds of a 1 at the nodes that each context has reached."""
+
+    keys: Found
+    first: np.ndarray
+    size: np.ndarray
+    node: np.ndarray
+    odds: np.ndarray
+
+    @staticmethod
+    def of(keys: np.ndarray, size: np.ndarray, node: np.ndarray, odds: np.ndarray) -> Predictions:
+        size = size.astype(np.int64)
+        return Predictions(Found.of(keys), np.cumsum(size) - size, size, node, odds)
+
+    def table(self, keys: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """A table of 256 odds per context that occurs in ``keys``, first a row of zeros, and
+        where the row of every key begins."""
+        at = [self.keys.at(k) for k in keys]
+        row = np.zeros(len(self.first) + 1, np.int64)  # the last one is for absent contexts
+        for a in at:
+            row[a[a >= 0]] = 1
+        used = np.flatnonzero(row)
+        row[used] = np.arange(1, len(used) + 1) * 256
+        table = np.zeros((len(used) + 1) * 256, np.int8)
+        size = self.size[used]
+        entry = scored_places(self.first[used], self.first[used] + size)
+        table[np.repeat(row[used], size) + self.node[entry]] = self.odds[entry]
+        return table, [row[a] for a in at]
+
+
+def odds_of(pairs: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarray, ...]:
+    """From sorted distinct pairs (context key with a symbol in its low bits) and their counts:
+    the distinct keys, how many nodes each reached, those nodes and their log-odds."""
+    context, symbol = pairs & ~BYTE, (pairs & BYTE).astype(np.int64)
+    fresh = np.flatnonzero(np.r_[True, context[1:] != context[:-1]][:len(context)])
+    ends, size, nodes, odds = np.r_[fresh, len(pairs)], [], [], []
+    for a in range(0, len(fresh), 4096):
+        rows = slice(ends[a], ends[min(a + 4096, len(fresh))])
+        sym, n = symbol[rows], np.minimum(len(fresh) - a, 4096)
+        owner = np.repeat(np.arange(n), np.diff(ends[a:a + n + 1]))
+        length = code.length[sym]
+        step = scored_places(code.first[sym], code.first[sym] + length)
+        place = np.repeat(owner * 256, length) + code.node[step]
+        weight, one = np.repeat(counts[rows], length).astype(float), code.bit[step] > 0
+        ones, every = np.bincount(place[one], weight[one], n * 256), np.bincount(place, weight, n * 256)
+        reached = np.flatnonzero(every)
+        size.append(np.bincount(reached >> 8, minlength=n).astype(np.uint8))
+        nodes.append((reached & 255).astype(np.uint8))
+        ones, every = ones[reached], every[reached]
+        odds.append(np.clip(np.round(np.log((ones + 0.4) / (every - ones + 0.4)) * SCALE), -127, 127).astype(np.int8))
+    empty = np.zeros(0, np.uint8)
+    return (context[fresh], np.concatenate([empty, *size]), np.concatenate([empty, *nodes]),
+            np.concatenate([empty.astype(np.int8), *odds]))
+
+
+def score(texts: list[bytes], known: Predictions, code: Code) -> np.ndarray:
     """log10 probability of every text; each document refines its own weights.
 
     A block of every document is coded at once, one code bit after the other; the weights of
     a document move after its block, by the mean gradient of each gate.
     """
     data, start, stop = layout(texts)
-    rows, sizes, n = [r * np.int32(256) for r in contexts(data)], stop - start, len(texts)
-    weights = np.empty((len(rows), GATES, n), np.float32)
+    sizes, n, inputs = stop - start, len(texts), len(START_WEIGHTS)
+    places = scored_places(start, stop)
+    keys = [k[places] for k in contexts(data)]
+    symbols, (guess, run), offset = data[places], followed(data, start, stop), np.cumsum(sizes) - sizes
+    sure = np.log(2 * np.arange(RUN + 1) + 1.6).astype(np.float32) * np.float32(SCALE)
+    weights = np.empty((inputs, GATES, n), np.float32)
     weights[:] = np.array(START_WEIGHTS, np.float32)[:, None, None]
     nodes, signs = code.steps()
     z = np.arange(-EDGE * GRADES, EDGE * GRADES + 1) / GRADES
@@ -191,31 +311,44 @@ def score(texts: list[bytes], table: np.ndarray, code: Code) -> np.ndarray:
         b = BLOCKS[turn] if turn < len(BLOCKS) else a + BLOCKS[-1]
         docs = np.flatnonzero(sizes > a)
         count = np.minimum(sizes[docs], b) - a
-        places = scored_places(start[docs] + a, start[docs] + a + count)
-        symbol, index = data[places], [r[places] for r in rows]
+        here = scored_places(offset[docs] + a, offset[docs] + a + count)
+        symbol, (table, index) = symbols[here], known.table([k[here] for k in keys])
+        # the guessed symbol while its code agrees with the symbol's; the symbol itself, at odds 0, after
+        told, force = guess[here], sure[run[here]]
+        force[told < 0] = 0
+        told = np.where(told < 0, symbol, told)
         slope, seen = np.zeros_like(weights), np.zeros((GATES, n), np.float32)
         for step in range(len(nodes)):
             if step:
+                force = np.where(signs[step - 1][told] == signs[step - 1][symbol], force, 0)
                 alive = code.length[symbol] > step
                 count = np.add.reduceat(alive, np.cumsum(count) - count, dtype=np.int64)
                 symbol, index = symbol[alive], [i[alive] for i in index]
+                told, force = told[alive], force[alive]
                 docs, count = docs[count > 0], count[count > 0]
                 if not len(docs):
                     break
-            gate, first = min(step, GATES - 1), np.cumsum(count) - count
+            first = np.cumsum(count) - count
             node, sign = nodes[step][symbol], signs[step][symbol]
-            odds = [table.take(i + node, mode="clip").astype(np.float32) for i in index]
+            odds = [table.take(i + node).astype(np.float32) for i in index]
+            odds.append(signs[step][told] * force)
+            runs = force > 0
+            gate = np.where(runs, STEPS, 0) + min(step, STEPS - 1)
+            pick = gate * n + np.repeat(docs, count)
             right = np.zeros(len(symbol), np.float32)
             for w, o in zip(weights, odds):
-                right += np.repeat(w[gate, docs] * np.float32(1 / SCALE), count) * o
-            right *= sign
+                right += w.ravel().take(pick) * o
+            right *= sign * np.float32(1 / SCALE)
             np.clip(right, -EDGE, EDGE, out=right)
             grade = np.rint(right * np.float32(GRADES)).astype(np.int32) + np.int32(EDGE * GRADES)
-            total[docs] -= np.add.reduceat(loss.take(grade), first)
+            total[docs] -= np.add.reduceat(loss.take(grade), first, dtype=np.float64)
             off = sign * miss.take(grade)
-            seen[gate, docs] += count
-            for g, o in zip(slope, odds):
-                g[gate, docs] += np.add.reduceat(off * o, first)
+            for low, part in ((0, ~runs), (STEPS, runs)):
+                at = low + min(step, STEPS - 1)
+                seen[at, docs] += np.add.reduceat(part, first, dtype=np.float32)
+                some = off * part
+                for g, o in zip(slope, odds):
+                    g[at, docs] += np.add.reduceat(some * o, first)
         weights += RATE / SCALE * slope / (seen + 16)
         a, turn = b, turn + 1
     return total / np.log(10)
@@ -244,7 +377,8 @@ def chunks(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
         return {"chunk": [part << 24 | k], "blob": [b"".join(t for t, _, _ in rows)], "sizes": [np.array(
             [len(t) for t, _, _ in rows], np.int64).tobytes()], "train": [np.array(
                 [r[1] for r in rows], np.bool_).tobytes()], "ids": [[r[2] for r in rows]],
-            "n_train": [sum(bool(r[1]) for r in rows)]}
+            "n_train": [sum(bool(r[1]) for r in rows)], "freq": [np.bincount(np.frombuffer(b"".join(
+                t for t, use, _ in rows if use), np.uint8), minlength=256)]}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, k, rows, size = TaskContext.get().partitionId(), 0, [], 0
@@ -261,152 +395,124 @@ def chunks(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
     return materialize(docs.select(
         named("text"), (F.pmod(id_crc("doc_id"), F.lit(folds)) != held_fold).alias("train"),
         named("doc_id").cast("string").alias("doc_id")).mapInPandas(
-        run, "chunk long, blob binary, sizes binary, train binary, ids array<string>, n_train long"), "cm-chunks")
+        run, "chunk long, blob binary, sizes binary, train binary, ids array<string>, n_train long, "
+             "freq array<long>"), "cm-chunks")
+
 
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    key, count = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)])
+    return key[first], np.add.reduceat(count, first) if len(first) else count
 
-def _chunk_words(blob: bytes, sizes: bytes, train: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct word hashes of a chunk and their counts in its training documents."""
+
+def chunk_counts(blob: bytes, sizes: bytes, train: bytes) -> tuple[tuple, np.ndarray, tuple]:
+    """Of one chunk: the pairs of its training documents with counts, the contexts that only the
+    others hold, and all words with their counts in training documents."""
     n, learn = np.frombuffer(sizes, np.int64), np.frombuffer(train, np.bool_)
-    texts, seen, counts = _texts(blob, n), [], []
-    for g in groups(n, GROUP):
-        data, start, _ = layout(texts[g])
-        words, at = word_hashes(data)
-        distinct, inverse = np.unique(words, return_inverse=True)
-        seen.append(distinct)
-        counts.append(np.bincount(inverse, learn[g][np.searchsorted(start, at, "right") - 1], len(distinct)))
-    both, inverse = np.unique(np.concatenate(seen), return_inverse=True)
-    return both, np.bincount(inverse, np.concatenate(counts), len(both)).astype(np.int64)
-
-
-def word_counts(parts: DataFrame, shards: int) -> DataFrame:
-    """(chunk, shard, counts, v, n): for every chunk the corpus counts of its words, in the
-    order of their hashes; v and n are the shard's distinct and all training words."""
+    texts, pairs, others, words = _texts(blob, n), ([], []), [], ([], [])
+    for use in (True, False):
+        some = [t for t, known in zip(texts, learn) if known == use]
+        for g in groups(n[learn == use], GROUP):
+            data, start, stop = layout(some[g])
+            places, (word, _) = scored_places(start, stop), word_hashes(data)
+            keys = np.concatenate([k[places] for k in contexts(data)])
+            if use:
+                distinct, count = np.unique(keys | np.tile(data[places].astype(np.uint64), 3), return_counts=True)
+                pairs[0].append(distinct)
+                pairs[1].append(count)
+            else:
+                others.append(np.unique(keys))
+            distinct, count = np.unique(word, return_counts=True)
+            words[0].append(distinct)
+            words[1].append(count * use)
+    pairs = _added(*pairs)
+    other = np.setdiff1d(np.concatenate([np.zeros(0, np.uint64), *others]), pairs[0] & ~BYTE)
+    return pairs, other, _added(*words)
+
+
+def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
+    """(chunk, keys, size, node, odds, words, counts, v, n), a row per chunk and shard: the
+    predictions of the chunk's contexts and the corpus counts of its words in the shard; v and
+    n, in one row of a shard, are its distinct and all training words."""
+    def split(values: np.ndarray, keys: np.ndarray, also: np.ndarray) -> tuple[dict, dict]:
+        with np.errstate(over="ignore"):
+            shard = (_stir(keys) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(1, shards))
+        return np.split(values[order], cuts), np.split(also[order], cuts)
+
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
-                words, counts = _chunk_words(r.blob, r.sizes, r.train)
-                shard = (words % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                found, first = np.unique(shard[order], return_index=True)
-                pieces = np.split(order, first[1:]) if len(order) else []
-                yield pd.DataFrame({"chunk": r.chunk, "shard": found, "words": [
-                    words[p].tobytes() for p in pieces], "counts": [counts[p].astype(np.int32).tobytes() for p in pieces]})
+                (pairs, n), other, (words, counts) = chunk_counts(r.blob, r.sizes, r.train)
+                pieces = (*split(pairs, pairs & ~BYTE, n.astype(np.int32)), split(other, other, other)[0],
+                          *split(words, words, counts.astype(np.int32)))
+                rows = [(r.chunk, k, *(x.tobytes() for x in found)) for k, found in enumerate(zip(*pieces))
+                        if any(map(len, found))]
+                yield pd.DataFrame(rows, columns=["chunk", "shard", "pairs", "n", "other", "words", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = np.frombuffer(b"".join(pdf["words"]), np.uint64)
-        counts = np.frombuffer(b"".join(pdf["counts"]), np.int32)
-        distinct, inverse = np.unique(words, return_inverse=True)
-        total = np.bincount(inverse, counts, len(distinct)).astype(np.int64)
-        cuts = np.cumsum([len(w) // 8 for w in pdf["words"]])[:-1]
-        out = pd.DataFrame({"chunk": pdf["chunk"], "shard": pdf["shard"], "counts": [
-            p.tobytes() for p in np.split(total[inverse], cuts)], "v": 0, "n": 0})
+        def column(name: str, kind: type) -> list[np.ndarray]:
+            return [np.frombuffer(x, kind) for x in pdf[name]]
+
+        sent, words = column("pairs", np.uint64), column("words", np.uint64)
+        keys, size, node, odds = odds_of(*_added(sent, column("n", np.int32)), code)
+        first = np.cumsum(size.astype(np.int64)) - size
+        every, total = _added(words, column("counts", np.int32))
+        out = []
+        for pair, other, word in zip(sent, column("other", np.uint64), words):
+            mine = np.r_[pair & ~BYTE, other]
+            at = np.searchsorted(keys, mine)
+            at = np.unique(at[np.r_[keys, np.uint64(0)][at] == mine]) if len(keys) else at[:0]
+            entry = scored_places(first[at], first[at] + size[at])
+            out.append((keys[at].tobytes(), size[at].tobytes(), node[entry].tobytes(), odds[entry].tobytes(),
+                        word.tobytes(), total[np.searchsorted(every, word)].tobytes(), 0, 0))
+        out = pd.DataFrame(out, columns=["keys", "size", "node", "odds", "words", "counts", "v", "n"])
+        out.insert(0, "chunk", pdf["chunk"].to_numpy())
         out.loc[0, ["v", "n"]] = [int((total > 0).sum()), int(total.sum())]
         return out
 
     return materialize(parts.select("chunk", "blob", "sizes", "train").mapInPandas(
-        spread, "chunk long, shard long, words binary, counts binary").groupBy("shard").applyInPandas(
-        add, "chunk long, shard long, counts binary, v long, n long"), "cm-words")
-
-
-def _add_blocks(pdf: pd.DataFrame) -> np.ndarray:
-    out = np.zeros(BLOCK * 256)
-    for at, counts in zip(pdf["at"], pdf["counts"]):
-        out[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.int64)
-    return out
-
-
-def _sparse(block: int, salt: int, counts: np.ndarray) -> dict:
-    at = np.flatnonzero(counts)
-    return {"block": block, "salt": salt, "at": at.astype(np.uint16).tobytes(),
-            "counts": counts[at].astype(np.int64).tobytes()}
-
-
-def symbol_counts(parts: DataFrame, tasks: int) -> DataFrame:
-    """(block, salt, at, counts): symbols after every context slot, summed over all training
-    documents in rounds that add at most FAN partial counts at a time."""
-    schema = "block int, salt long, at binary, counts binary"
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dense, part = np.zeros(sum(SLOTS) * 256, np.uint32), TaskContext.get().partitionId()
-        for pdf in batches:
-            for r in pdf.itertuples():
-                n = np.frombuffer(r.sizes, np.int64)
-                learn = np.frombuffer(r.train, np.bool_)
-                texts = [t for t, use in zip(_texts(r.blob, n), learn) if use]
-                for g in groups(n[learn], GROUP):
-                    data, start, stop = layout(texts[g])
-                    places = scored_places(start, stop)
-                    symbol = data[places].astype(np.int32)
-                    for rows in contexts(data):
-                        np.add.at(dense, rows[places] * np.int32(256) + symbol, np.uint32(1))
-        blocks = dense.reshape(-1, BLOCK * 256)
-        for k in range(0, len(blocks), 64):
-            rows = [_sparse(b, part, blocks[b]) for b in range(k, min(k + 64, len(blocks))) if blocks[b].any()]
-            if rows:
-                yield pd.DataFrame(rows)
-
-    sums = parts.select("blob", "sizes", "train").mapInPandas(count, schema)
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([_sparse(int(pdf["block"].iloc[0]), int(pdf["salt"].iloc[0]), _add_blocks(pdf))])
-
-    while tasks > 1:
-        tasks = -(-tasks // FAN)
-        sums = sums.withColumn("salt", F.pmod("salt", F.lit(tasks))).groupBy("block", "salt").applyInPandas(
-            add, schema)
-    return materialize(sums, "cm-symbols")
-
-
-def learn_tables(parts: DataFrame, tasks: int) -> tuple[np.ndarray, Code]:
-    """The log-odds table (of fixed size) and the code."""
-    sums = symbol_counts(parts, tasks)
-    head = sums.filter(F.col("block") < SLOTS[0] // BLOCK).collect()
-    freq = sum((_add_blocks(pd.DataFrame([r.asDict()])).reshape(BLOCK, 256).sum(axis=0) for r in head),
-               np.zeros(256))
-    code = Code.of(freq)
-
-    def odds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"block": pdf["block"], "odds": [
-                log_odds(_add_blocks(pdf.iloc[i:i + 1]).reshape(BLOCK, 256), code).tobytes()
-                for i in range(len(pdf))]})
-
-    table = np.zeros(sum(SLOTS) * 256, np.int8)
-    for r in sums.mapInPandas(odds, "block int, odds binary").toLocalIterator():
-        table[r.block * BLOCK * 256:(r.block + 1) * BLOCK * 256] = np.frombuffer(r.odds, np.int8)
-    return table, code
+        spread, "chunk long, shard long, pairs binary, n binary, other binary, words binary, counts binary"
+    ).groupBy("shard").applyInPandas(
+        add, "chunk long, keys binary, size binary, node binary, odds binary, words binary, counts binary, "
+             "v long, n long"), "cm-counts")
 
 
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,
               held_fold: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
-    spark = docs.sparkSession
     parts = chunks(docs.select(named(id_col).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text")),
                    folds, held_fold)
     facts = parts.agg(F.count("*").alias("chunks"), F.sum("n_train").alias("docs"),
-                      F.countDistinct(F.shiftright("chunk", 24)).alias("tasks")).first()
+                      F.sum(F.length("blob")).alias("bytes")).first()
     train_docs = facts.docs or 0
-    table, code = learn_tables(parts, parts.rdd.getNumPartitions())
-    shared = spark.sparkContext.broadcast((table, code.first, code.length, code.node, code.bit))
-    shards = max(1, facts.chunks)
-    counts = word_counts(parts, shards)
-    known = counts.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
-    v, n = (known.v or 0) + (train_docs > 0), (known.n or 0) + train_docs
+    freq = np.zeros(256, np.int64)
+    for r in parts.select(F.posexplode("freq")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
+        freq[r.pos] = r.n  # 256 rows at most
+    freq[END] = train_docs
+    code = Code.of(freq)
+    shards = max(1, -(-(facts.bytes or 0) // SHARD), min(facts.chunks, SHARDS))
+    counts = corpus_counts(parts, shards, code)
+    totals = counts.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
+    v, n = (totals.v or 0) + (train_docs > 0), (totals.n or 0) + train_docs
 
     def unigram(c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
 
+    def joined(found: list, name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(s[name] for s in found), kind)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, *rest = shared.value
-        code = Code(*rest)
         for pdf in batches:
             for r in pdf.itertuples():
-                sizes = np.frombuffer(r.sizes, np.int64)
-                words, _ = _chunk_words(r.blob, r.sizes, r.train)
-                shard = (words % np.uint64(shards)).astype(np.int64)
-                total = np.zeros(len(words), np.int64)
-                for s in r.found if r.found is not None else []:
-                    total[shard == s["shard"]] = np.frombuffer(s["counts"], np.int64)
+                sizes, found = np.frombuffer(r.sizes, np.int64), [] if r.found is None else r.found
+                known = Predictions.of(joined(found, "keys", np.uint64), joined(found, "size", np.uint8),
+                                       joined(found, "node", np.uint8), joined(found, "odds", np.int8))
+                words, total = Found.of(joined(found, "words", np.uint64)), joined(found, "counts", np.int64)
                 texts, order = _texts(r.blob, sizes), np.argsort(sizes, kind="stable")
                 out = np.zeros((len(texts), 4))
                 for g in groups(sizes[order], SCORED):
@@ -415,19 +521,20 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                     data, start, _ = layout(some)
                     hashes, place = word_hashes(data)
                     owner = np.searchsorted(start, place, "right") - 1
-                    c = total[np.searchsorted(words, hashes)]
+                    c = total[words.at(hashes)]
                     out[at, 0] = np.bincount(owner, minlength=len(at)) + 1
                     out[at, 1] = np.bincount(owner, c > 0, len(at)) + (train_docs > 0)
                     out[at, 2] = np.bincount(owner, unigram(c), len(at)) + unigram(np.array(train_docs))
-                    out[at, 3] = score(some, table, code)
+                    out[at, 3] = score(some, known, code)
                 yield pd.DataFrame({
                     "doc_id": list(r.ids), "held_out": ~np.frombuffer(r.train, np.bool_),
                     "n_tokens": out[:, 0].astype(np.int64), "n_known": out[:, 1].astype(np.int64),
                     "train_tokens": n, "base_score": out[:, 2], "score": out[:, 3],
                     "bits_per_byte": -out[:, 3] * np.log2(10) / (sizes + 1)})
 
-    found = counts.groupBy("chunk").agg(F.collect_list(F.struct("shard", "counts")).alias("found"))
-    return parts.drop("n_train").join(found, "chunk", "left").mapInPandas(
+    found = counts.groupBy("chunk").agg(F.collect_list(
+        F.struct("keys", "size", "node", "odds", "words", "counts")).alias("found"))
+    return parts.drop("n_train", "freq").join(found, "chunk", "left").mapInPandas(
         run, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double, bits_per_byte double").withColumn(
-        "doc_id", F.col("doc_id").cast("long"))
+        "doc_id", F.expr("try_cast(doc_id AS BIGINT)"))
