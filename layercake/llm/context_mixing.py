@@ -1,16 +1,16 @@
 """Operator 5: LM scoring by online logistic mixing of hashed-context bit predictors.
 
 The text (A-Z lower-cased, UTF-8, one end symbol) is coded bit by bit along a Huffman tree of
-its bytes.  Three contexts (the last two bytes, the last four, the word so far) predict each
+its bytes.  Three contexts (the last three bytes, the last five, the word so far) predict each
 bit from the counts of all training documents; a fourth predictor follows the last place of
-the same document with the same five bytes, as sure as its hits since then make it.  The
+the same document with the same six bytes, as sure as its hits since then make it.  The
 predictions, as log-odds, are combined by weights gated by the place of the bit in its code
-and by whether the fourth one is running; the weights start alike for every document and are
+and by which contexts training documents hold; the weights start alike for every document and are
 refined on the document itself, block by block, before the next block is predicted.  The
 score is the log10 probability of all bits.
 
-The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of two and
-four bytes exactly and words by 54 bits of their hash.  Each chunk of documents sends its
+The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of three and
+five bytes exactly and words by 54 bits of their hash.  Each chunk of documents sends its
 pre-added counts to shards of the key space and gets back the predictions of the contexts that
 it holds, so no task or driver holds the whole model.  A chunk and a shard exchange one row;
 chunks and shards stand for a stated number of bytes, and a chunk sends at most as many rows
@@ -44,11 +44,14 @@ from .common import id_crc, materialize
 CHUNK, SHARD, GROUP, SCORED = 8 << 20, 64 << 20, 1 << 20, 256 << 10
 #: Shards that small inputs are dealt to, where they have as many chunks.
 SHARDS = 64
-PAD, END = 5, 0xFF  # 0xFF is in no UTF-8 text
+PAD, END = 6, 0xFF  # 0xFF is in no UTF-8 text
 SCALE = 12.0
-#: Two bytes, four bytes, word so far, last place in the document.
-START_WEIGHTS, RATE = (0.1, 0.35, 0.6, 0.15), 1.0
-STEPS, GATES = 4, 8
+#: Weights of three bytes, five bytes, word so far, last place in the document, where training
+#: documents hold neither of the middle two, the five bytes, the word, both.
+START_WEIGHTS = ((0.9, 0.0, 0.0, 0.1), (0.25, 0.6, 0.0, 0.1), (0.4, 0.0, 0.5, 0.1), (0.2, 0.4, 0.35, 0.05))
+#: Count that a bit has before any text; step of the weights; gates per state: steps of a code.
+SMOOTH, RATE, STEPS = 0.05, 1.0, 4
+GATES = STEPS * len(START_WEIGHTS)
 #: Hits in a row that the fourth predictor counts.
 RUN = 32
 #: Mixed log-odds end at EDGE and are rounded to 1 / GRADES, alike for both bits.
@@ -58,7 +61,7 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 BYTE = np.uint64(0xFF)
 #: log2 of the places of a lookup table.
-PLACES = 21
+PLACES = 22
 
 
 def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,19 +131,19 @@ def contexts(data: np.ndarray) -> list[np.ndarray]:
     sums, down = _sums(data)
     with np.errstate(over="ignore"):
         word = _stir((sums[:-1] - sums[begin]) * down[begin])
-    return [_last(data, 2) << np.uint64(8), _last(data, 4) << np.uint64(8) | np.uint64(1 << 62),
+    return [_last(data, 3) << np.uint64(8), _last(data, 5) << np.uint64(8) | np.uint64(1 << 62),
             word >> np.uint64(2) & ~BYTE | np.uint64(2 << 62)]
 
 
 def followed(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per scored place, the symbol after the last place of the same document that five equal
+    """Per scored place, the symbol after the last place of the same document that six equal
     bytes precede (-1: none), and how many such guesses in a row came true just before."""
     places = scored_places(start, stop)
     n = len(places)
     bits = np.uint64(n.bit_length())
     owner = np.repeat(np.arange(len(start), dtype=np.uint64), stop - start)
     with np.errstate(over="ignore"):
-        key = _stir(_last(data, 5)[places] * MULT + owner) >> bits << bits
+        key = _stir(_last(data, PAD)[places] * MULT + owner) >> bits << bits
     key |= np.arange(n, dtype=np.uint64)
     key.sort()
     place = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -283,7 +286,7 @@ def odds_of(pairs: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarr
         size.append(np.bincount(reached >> 8, minlength=n).astype(np.uint8))
         nodes.append((reached & 255).astype(np.uint8))
         ones, every = ones[reached], every[reached]
-        odds.append(np.clip(np.round(np.log((ones + 0.4) / (every - ones + 0.4)) * SCALE), -127, 127).astype(np.int8))
+        odds.append(np.clip(np.round(np.log((ones + SMOOTH) / (every - ones + SMOOTH)) * SCALE), -127, 127).astype(np.int8))
     empty = np.zeros(0, np.uint8)
     return (context[fresh], np.concatenate([empty, *size]), np.concatenate([empty, *nodes]),
             np.concatenate([empty.astype(np.int8), *odds]))
@@ -296,13 +299,12 @@ def score(texts: list[bytes], known: Predictions, code: Code) -> np.ndarray:
     a document move after its block, by the mean gradient of each gate.
     """
     data, start, stop = layout(texts)
-    sizes, n, inputs = stop - start, len(texts), len(START_WEIGHTS)
+    sizes, n = stop - start, len(texts)
     places = scored_places(start, stop)
     keys = [k[places] for k in contexts(data)]
     symbols, (guess, run), offset = data[places], followed(data, start, stop), np.cumsum(sizes) - sizes
     sure = np.log(2 * np.arange(RUN + 1) + 1.6).astype(np.float32) * np.float32(SCALE)
-    weights = np.empty((inputs, GATES, n), np.float32)
-    weights[:] = np.array(START_WEIGHTS, np.float32)[:, None, None]
+    weights = np.repeat(np.array(START_WEIGHTS, np.float32).T, STEPS * n, axis=1)
     nodes, signs = code.steps()
     z = np.arange(-EDGE * GRADES, EDGE * GRADES + 1) / GRADES
     loss, miss = np.log1p(np.exp(-z)).astype(np.float32), (1 / (1 + np.exp(z))).astype(np.float32)
@@ -317,14 +319,15 @@ def score(texts: list[bytes], known: Predictions, code: Code) -> np.ndarray:
         told, force = guess[here], sure[run[here]]
         force[told < 0] = 0
         told = np.where(told < 0, symbol, told)
-        slope, seen = np.zeros_like(weights), np.zeros((GATES, n), np.float32)
+        state = (index[1] > 0) * (STEPS * n) + (index[2] > 0) * (2 * STEPS * n)
+        slope, seen = np.zeros_like(weights), np.zeros(GATES * n)
         for step in range(len(nodes)):
             if step:
                 force = np.where(signs[step - 1][told] == signs[step - 1][symbol], force, 0)
                 alive = code.length[symbol] > step
                 count = np.add.reduceat(alive, np.cumsum(count) - count, dtype=np.int64)
                 symbol, index = symbol[alive], [i[alive] for i in index]
-                told, force = told[alive], force[alive]
+                told, force, state = told[alive], force[alive], state[alive]
                 docs, count = docs[count > 0], count[count > 0]
                 if not len(docs):
                     break
@@ -332,33 +335,28 @@ def score(texts: list[bytes], known: Predictions, code: Code) -> np.ndarray:
             node, sign = nodes[step][symbol], signs[step][symbol]
             odds = [table.take(i + node).astype(np.float32) for i in index]
             odds.append(signs[step][told] * force)
-            runs = force > 0
-            gate = np.where(runs, STEPS, 0) + min(step, STEPS - 1)
-            pick = gate * n + np.repeat(docs, count)
+            pick = state + np.repeat(min(step, STEPS - 1) * n + docs, count)
             right = np.zeros(len(symbol), np.float32)
             for w, o in zip(weights, odds):
-                right += w.ravel().take(pick) * o
+                right += w.take(pick) * o
             right *= sign * np.float32(1 / SCALE)
             np.clip(right, -EDGE, EDGE, out=right)
             grade = np.rint(right * np.float32(GRADES)).astype(np.int32) + np.int32(EDGE * GRADES)
             total[docs] -= np.add.reduceat(loss.take(grade), first, dtype=np.float64)
             off = sign * miss.take(grade)
-            for low, part in ((0, ~runs), (STEPS, runs)):
-                at = low + min(step, STEPS - 1)
-                seen[at, docs] += np.add.reduceat(part, first, dtype=np.float32)
-                some = off * part
-                for g, o in zip(slope, odds):
-                    g[at, docs] += np.add.reduceat(some * o, first)
+            seen += np.bincount(pick, minlength=GATES * n)
+            for g, o in zip(slope, odds):
+                g += np.bincount(pick, off * o, GATES * n)
         weights += RATE / SCALE * slope / (seen + 16)
         a, turn = b, turn + 1
     return total / np.log(10)
 
 
 def groups(sizes: np.ndarray, limit: int) -> Iterator[slice]:
-    """Consecutive runs of about ``limit`` bytes."""
+    """Consecutive runs of about ``limit`` bytes, each text counted with 16 more."""
     at, room = 0, limit
     for i, n in enumerate(sizes):
-        room -= n
+        room -= n + 16
         if room <= 0:
             yield slice(at, i + 1)
             at, room = i + 1, limit
@@ -385,7 +383,7 @@ def chunks(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
         for pdf in batches:
             for text, train, doc_id in zip(pdf["text"], pdf["train"], pdf["doc_id"]):
                 rows.append((text.encode("utf-8", "surrogatepass").lower(), train, doc_id))
-                size += len(rows[-1][0])
+                size += len(rows[-1][0]) + 16
                 if size >= CHUNK:
                     yield pd.DataFrame(pack(part, k, rows))
                     k, rows, size = k + 1, [], 0

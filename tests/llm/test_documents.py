@@ -197,12 +197,101 @@ def test_lm_scores(spark, sf):
     assert sum(r.bits_per_byte for r in held) / len(held) < 3
 
 
+def trained(texts):
+    """The code and the predictions that these training texts give, as one chunk."""
+    freq = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
+    freq[context_mixing.END] = len(texts)
+    code, sizes = context_mixing.Code.of(freq), np.array([len(t) for t in texts], np.int64)
+    (pairs, n), _, _ = context_mixing.chunk_counts(b"".join(texts), sizes.tobytes(), np.ones(len(texts), bool).tobytes())
+    return code, context_mixing.Predictions.of(*context_mixing.odds_of(pairs, n, code))
+
+
 def test_code_is_a_distribution():
-    code = context_mixing.Code.of(np.arange(256))
+    code, known = trained([b"a tree", b"an apple", b"the thing", b"  "])
     assert math.isclose(sum(2.0 ** -code.length), 1)
-    table = np.random.default_rng(0).integers(-90, 90, sum(context_mixing.SLOTS) * 256).astype(np.int8)
-    first = [10 ** context_mixing.score([bytes([b])], table, code)[0] for b in range(32, 64)]
-    assert 0 < sum(first) < 1  # the end symbol after them takes the rest
+    # every first symbol, with all that may follow left out: their probabilities come to one
+    after = {s: context_mixing.score([bytes([s])], known, code)[0] for s in range(255)}
+    assert 0 < sum(10 ** x for x in after.values()) + 10 ** context_mixing.score([b""], known, code)[0] < 1
+
+
+def slow_lm_score(text, training, code):
+    """The model bit by bit, with plain dictionaries."""
+    m, gaps = context_mixing, b" \t\n\v\f\r\xff"
+
+    def places(t):
+        s = b"\xff" * m.PAD + t + b"\xff"
+        for i in range(m.PAD, len(s)):
+            word = i
+            while s[word - 1] not in gaps:
+                word -= 1
+            yield s, i, [(0, s[i - 3:i]), (1, s[i - 5:i]), (2, s[word:i])]
+
+    path = {s: [(code.node[code.first[s] + k], code.bit[code.first[s] + k]) for k in range(code.length[s])]
+            for s in range(256)}
+    seen = collections.defaultdict(lambda: [0, 0])
+    for t in training:
+        for s, i, keys in places(t):
+            for key in keys:
+                for node, bit in path[s[i]]:
+                    seen[key, node][bit] += 1
+    held = {key for key, _ in seen}
+    weights = {(state, step): list(w) for state, w in enumerate(m.START_WEIGHTS) for step in range(m.STEPS)}
+    slope, count = collections.defaultdict(lambda: [0.0] * 4), collections.Counter()
+    ends, total, run, last = list(m.BLOCKS[1:]), 0.0, 0, {}
+    for at, (s, i, keys) in enumerate(places(text)):
+        if at == ends[0]:
+            for gate, g in slope.items():
+                weights[gate] = [w + m.RATE / m.SCALE * x / (count[gate] + 16) for w, x in zip(weights[gate], g)]
+            slope.clear(), count.clear(), ends.pop(0)
+        guess = last.get(s[i - m.PAD:i])
+        agrees, state = guess is not None, (keys[1] in held) + 2 * (keys[2] in held)
+        for step, (node, bit) in enumerate(path[s[i]]):
+            odds = []
+            for key in keys:
+                zero, one = seen[key, node] if (key, node) in seen else (0, 0)
+                odds.append(max(-127, min(127, round(math.log((one + m.SMOOTH) / (zero + m.SMOOTH)) * m.SCALE))))
+            agrees_bit = path[guess][step][1] if agrees else 0
+            odds.append((1 if agrees_bit else -1) * math.log(2 * min(run, m.RUN) + 1.6) * m.SCALE if agrees else 0)
+            sign, gate = 1 if bit else -1, (state, min(step, m.STEPS - 1))
+            z = max(-m.EDGE, min(m.EDGE, sign * sum(w * o for w, o in zip(weights[gate], odds)) / m.SCALE))
+            z = round(z * m.GRADES) / m.GRADES
+            total -= math.log1p(math.exp(-z))
+            count[gate] += 1
+            slope[gate] = [g + sign * o / (1 + math.exp(z)) for g, o in zip(slope[gate], odds)]
+            agrees = agrees and agrees_bit == bit
+        run = run + 1 if guess == s[i] else 0
+        last[s[i - m.PAD:i]] = s[i]
+    return total / math.log(10)
+
+
+def test_lm_score_equals_a_bit_by_bit_loop():
+    rng = np.random.default_rng(5)
+    words = ["the", "then", "thing", "a", "é", "ing", "\n", " ", "漢字", "x1", "the thing and the other thing"]
+    some = [" ".join(rng.choice(words, n)).encode() for n in (0, 1, 3, 20, 60, 150)]
+    new = [" ".join(rng.choice([*words, "zebra", "qu"], n)).encode() for n in (1, 5, 50, 200)] + [b"", b"\x00 \x7f"]
+    code, known = trained(some)
+    for texts in (some + new, new):  # with and without company: documents do not meet
+        for t, got in zip(texts, context_mixing.score(texts, known, code)):
+            assert math.isclose(got, slow_lm_score(t, some, code), rel_tol=2e-4, abs_tol=2e-3), t
+
+
+def test_lm_score_gains_from_more_text(spark, sf):
+    """Held-out texts: the whole corpus predicts them better than a tenth of it."""
+    every = texts(sf)
+    low = {i: (t or "").encode().lower() for i, t in every.items()}
+    held = [t for i, t in low.items() if zlib.crc32(str(i).encode()) % 5 == 1][:40]
+    train = [t for i, t in low.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    few, many = trained(train[:len(train) // 10]), trained(train)
+    assert context_mixing.score(held, many[1], many[0]).sum() > 0.95 * context_mixing.score(held, few[1], few[0]).sum()
+
+
+def test_lm_counts_do_not_depend_on_chunks_and_shards(spark, monkeypatch):
+    rows = [(i, f"the thing {i % 7} and {'other ' * (i % 5)}words {i}") for i in range(300)] + [(None, "a"), (7, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = sorted(map(str, context_mixing.lm_scores(docs.coalesce(1)).collect()))
+    monkeypatch.setattr(context_mixing, "CHUNK", 1000)
+    monkeypatch.setattr(context_mixing, "SHARDS", 5)
+    assert sorted(map(str, context_mixing.lm_scores(docs.coalesce(3)).collect())) == one
 
 
 def test_lm_scores_of_odd_rows(odd_docs, no_docs):
