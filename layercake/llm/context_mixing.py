@@ -1,20 +1,21 @@
 """Operator 5: LM scoring by online logistic mixing of hashed-context bit predictors.
 
 The text (A-Z lower-cased, UTF-8, one end symbol) is coded bit by bit along a Huffman tree of
-its bytes.  Three contexts (the last three bytes, the last five, the word so far) predict each
-bit from the counts of all training documents; a fourth predictor follows the last place of
-the same document with the same six bytes, as sure as its hits since then make it.  The
-predictions, as log-odds, are combined by weights gated by the place of the bit in its code
-and by which contexts training documents hold; the weights start alike for every document and are
-refined on the document itself, block by block, before the next block is predicted.  The
-score is the log10 probability of all bits.
-
-The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of three and
-five bytes exactly and words by 54 bits of their hash.  Each chunk of documents sends its
-pre-added counts to shards of the key space and gets back the predictions of the contexts that
-it holds, so no task or driver holds the whole model.  A chunk and a shard exchange one row;
-chunks and shards stand for a stated number of bytes, and a chunk sends at most as many rows
-as it has distinct contexts.
+its bytes.  It is cut after every white space byte and the end into units.  Three contexts
+(the last three and the last five bytes, up to two bytes before the unit, and the unit so far)
+predict each bit from the counts of all training documents; a fourth predictor follows the
+unit that came after the last same unit of the document, as sure as its hits since make it.
+The predictions, as log-odds, are combined by weights gated by the place of the bit in its
+code and by which contexts training documents hold; the weights start alike for every document
+and are refined on the document itself, block by block, before the next block is predicted.
+The score is the log10 probability of all bits.
+
+The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of bytes
+exactly and units by 54 bits of their hash.  Contexts depend on a unit and the two bytes before
+it, so a chunk of documents counts and looks up its distinct units only.  It sends pre-added
+counts to shards of the key space and gets back the predictions of its contexts: no task or
+driver holds the whole model.  A chunk and a shard exchange one row; chunks and shards stand
+for a stated number of bytes, and a chunk sends at most as many rows as it has contexts.
 
 The base score is the unigram score of the words: exact sums over all training documents by
 64-bit word hashes, in the same exchange.
@@ -33,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +43,17 @@ from ..names import col as named
 from .common import id_crc, materialize
 
 #: Bytes of text per chunk row, per shard of the counts, and counted or scored at once.
-CHUNK, SHARD, GROUP, SCORED = 8 << 20, 64 << 20, 1 << 20, 256 << 10
+CHUNK, SHARD, GROUP, SCORED = 16 << 20, 64 << 20, 1 << 20, 256 << 10
 #: Shards that small inputs are dealt to, where they have as many chunks.
 SHARDS = 64
-PAD, END = 6, 0xFF  # 0xFF is in no UTF-8 text
+END = 0xFF  # in no UTF-8 text
+#: Bytes before a unit that its contexts see, bytes of the two byte contexts.
+BEFORE, SHORT, LONG = 2, 3, 5
+#: Stands for bytes further back; in no UTF-8 text.
+FAR = 0xFE
 SCALE = 12.0
-#: Weights of three bytes, five bytes, word so far, last place in the document, where training
-#: documents hold neither of the middle two, the five bytes, the word, both.
+#: Weights of short context, long context, unit so far, unit after the last same unit, where training
+#: documents hold neither of the middle two, the long one, the unit so far, both.
 START_WEIGHTS = ((0.9, 0.0, 0.0, 0.1), (0.25, 0.6, 0.0, 0.1), (0.4, 0.0, 0.5, 0.1), (0.2, 0.4, 0.35, 0.05))
 #: Count that a bit has before any text; step of the weights; gates per state: steps of a code.
 SMOOTH, RATE, STEPS = 0.05, 1.0, 4
@@ -56,7 +62,8 @@ GATES = STEPS * len(START_WEIGHTS)
 RUN = 32
 #: Mixed log-odds end at EDGE and are rounded to 1 / GRADES, alike for both bits.
 EDGE, GRADES = 14, 256
-BLOCKS = (0, 64, 128, 256, 512, 1024, 2048, 4096, 8192)
+#: Units after which the weights move.
+BLOCKS = (0, 8, 16, 32, 64, 128, 256, 512, 1024)
 MULT = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 BYTE = np.uint64(0xFF)
@@ -65,13 +72,13 @@ PLACES = 22
 
 
 def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in one array, each with padding before and the end symbol after it, and
-    where the symbols of each begin and stop."""
-    pad, end = bytes([END]) * PAD, bytes([END])
+    """All texts in one array, each with END bytes before it and one after it, and where the
+    symbols of each begin and stop."""
+    pad, end = bytes([END]) * BEFORE, bytes([END])
     data = np.frombuffer(b"".join(pad + t + end for t in texts), dtype=np.uint8)
-    sizes = np.fromiter((len(t) + PAD + 1 for t in texts), dtype=np.int64, count=len(texts))
+    sizes = np.fromiter((len(t) + BEFORE + 1 for t in texts), dtype=np.int64, count=len(texts))
     stop = np.cumsum(sizes)
-    return data, stop - sizes + PAD, stop
+    return data, stop - sizes + BEFORE, stop
 
 
 def _gaps(data: np.ndarray) -> np.ndarray:
@@ -105,63 +112,67 @@ def _stir(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of every word and where it starts."""
-    gap = _gaps(data)
-    start = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
-    stop = np.flatnonzero(~gap & np.r_[gap[1:], True]) + 1
-    sums, down = _sums(data)
-    with np.errstate(over="ignore"):
-        return _stir((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64)), start
+def scored_places(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    sizes = stop - start
+    return np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
-def _last(data: np.ndarray, k: int) -> np.ndarray:
-    """The last k bytes before every position as a number."""
-    out = np.zeros(len(data), np.uint64)
-    for i in range(1, k + 1):
-        out[i:] |= data[:-i].astype(np.uint64) << np.uint64(8 * (i - 1))
-    return out
+@dataclass
+class Units:
+    """Distinct units, each with the bytes before it: sorted hashes, counts in training texts,
+    and their bytes, one after the other."""
 
+    keys: np.ndarray
+    counts: np.ndarray
+    size: np.ndarray
+    data: np.ndarray
 
-def contexts(data: np.ndarray) -> list[np.ndarray]:
-    """Keys of the contexts of every position; their low 8 bits are free for a symbol."""
-    gap = _gaps(data)
-    at = np.arange(len(data), dtype=np.int64)
-    begin = np.maximum.accumulate(np.where(np.r_[True, gap[:-1]], at, 0))
+    @staticmethod
+    def merged(parts: list[Units]) -> Units:
+        parts = parts or [Units(np.zeros(0, np.uint64), *np.zeros((2, 0), np.int64), np.zeros(0, np.uint8))]
+        keys, counts, size, data = (np.concatenate([getattr(u, f) for u in parts]) for f in (
+            "keys", "counts", "size", "data"))
+        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        start = (np.cumsum(size) - size)[first]
+        return Units(distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64), size[first],
+                     data[scored_places(start, start + size[first])])
+
+    def words(self) -> np.ndarray:
+        """The 64-bit hash of every unit's word; 0 where it has none."""
+        stop = np.cumsum(self.size)
+        start, some = stop - self.size + BEFORE, self.size > BEFORE + 1
+        return np.where(some, span_hashes(self.data, start, stop - 1) | np.uint64(1), np.uint64(0))
+
+    def contexts(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Every symbol of every unit and the keys of its contexts; their low 8 bits are free."""
+        stop = np.cumsum(self.size)
+        start = stop - self.size + BEFORE
+        place = scored_places(start, stop)
+        begin = np.repeat(start, stop - start)
+        seen = place - begin + BEFORE
+        back = np.zeros((2, len(place)), np.uint64)
+        for k in range(1, LONG + 1):
+            byte = np.where(seen >= k, self.data[place - np.minimum(seen, k)], FAR).astype(np.uint64)
+            for b, far in zip(back, (SHORT, LONG)):
+                b |= byte << np.uint64(8 * k) if k <= far else np.uint64(0)
+        return self.data[place], [back[0], back[1] | np.uint64(1 << 62),
+                                  span_hashes(self.data, begin, place) >> np.uint64(2) & ~BYTE | np.uint64(2 << 62)]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     sums, down = _sums(data)
     with np.errstate(over="ignore"):
-        word = _stir((sums[:-1] - sums[begin]) * down[begin])
-    return [_last(data, 3) << np.uint64(8), _last(data, 5) << np.uint64(8) | np.uint64(1 << 62),
-            word >> np.uint64(2) & ~BYTE | np.uint64(2 << 62)]
+        return _stir((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
 
 
-def followed(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per scored place, the symbol after the last place of the same document that six equal
-    bytes precede (-1: none), and how many such guesses in a row came true just before."""
+def units_of(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts' units: hash, first byte, end, and how many units each text has."""
     places = scored_places(start, stop)
-    n = len(places)
-    bits = np.uint64(n.bit_length())
-    owner = np.repeat(np.arange(len(start), dtype=np.uint64), stop - start)
-    with np.errstate(over="ignore"):
-        key = _stir(_last(data, PAD)[places] * MULT + owner) >> bits << bits
-    key |= np.arange(n, dtype=np.uint64)
-    key.sort()
-    place = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    same = np.flatnonzero(key[1:] >> bits == key[:-1] >> bits)
-    guess = np.full(n, -1, np.int16)
-    guess[place[same + 1]] = data[places[place[same]]]
-    right = guess == data[places]
-    right[np.cumsum(stop - start) - 1] = False  # the end symbol: the next document starts anew
-    at = np.arange(n)
-    miss = np.maximum.accumulate(np.where(right, -1, at))
-    run = np.zeros(n, np.int64)
-    run[1:] = (at - miss)[:-1]
-    return guess, np.minimum(run, RUN)
-
-
-def scored_places(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    sizes = stop - start
-    return np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    end = places[_gaps(data[places])] + 1
+    count = np.diff(np.searchsorted(end, np.r_[start[:1], stop], "right")) if len(start) else start
+    begin = np.r_[start[:1], end[:-1]] if len(end) else end
+    begin[np.cumsum(count) - count] = start
+    return span_hashes(data, begin - BEFORE, end), begin, end, count
 
 
 @dataclass
@@ -194,15 +205,6 @@ class Code:
         return Code(np.cumsum(length) - length, length, np.array([n for n, _ in flat], dtype=np.int32),
                     np.array([b for _, b in flat], dtype=np.int8))
 
-    def steps(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Per step of the codes, the node of every symbol and the sign of its bit."""
-        nodes, signs = [], []
-        for step in range(self.length.max()):
-            at = np.minimum(self.first + np.minimum(step, self.length - 1), len(self.node) - 1)
-            nodes.append(self.node[at])
-            signs.append(np.where(self.bit[at] > 0, 1, -1).astype(np.float32))
-        return nodes, signs
-
 
 @dataclass
 class Found:
@@ -292,62 +294,126 @@ def odds_of(pairs: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarr
             np.concatenate([empty.astype(np.int8), *odds]))
 
 
-def score(texts: list[bytes], known: Predictions, code: Code) -> np.ndarray:
-    """log10 probability of every text; each document refines its own weights.
+@dataclass
+class Coded:
+    """The bits of distinct units: per predictor the odds of the right bit, and the gates."""
+
+    first: np.ndarray
+    size: np.ndarray
+    gate: np.ndarray
+    odds: np.ndarray
 
-    A block of every document is coded at once, one code bit after the other; the weights of
-    a document move after its block, by the mean gradient of each gate.
+    @staticmethod
+    def of(units: Units, known: Predictions, code: Code) -> Coded:
+        symbols, keys = units.contexts()
+        length = code.length[symbols]
+        gates, odds = [np.zeros(0, np.uint8)], [np.zeros((3, 0), np.int8)]
+        for a in range(0, len(symbols), SCORED):
+            here = slice(a, a + SCORED)
+            table, rows = known.table([k[here] for k in keys])
+            n = length[here]
+            step = scored_places(code.first[symbols[here]], code.first[symbols[here]] + n)
+            sign = np.where(code.bit[step] > 0, 1, -1).astype(np.int8)
+            odds.append(np.array([table[np.repeat(r, n) + code.node[step]] * sign for r in rows]))
+            state = ((rows[1] > 0) + (rows[2] > 0) * np.int64(2)) * STEPS
+            place = np.minimum(np.arange(len(step)) - np.repeat(np.cumsum(n) - n, n), STEPS - 1)
+            gates.append((np.repeat(state, n) + place).astype(np.uint8))
+        ends = np.r_[0, np.cumsum(length)]
+        stop = np.cumsum(units.size - BEFORE)
+        size = ends[stop] - ends[stop - units.size + BEFORE]
+        return Coded(np.cumsum(size) - size, size, np.concatenate(gates), np.concatenate(odds, axis=1))
+
+
+@dataclass
+class Prefixes:
+    """The bits that two units share from their start, by their first eight bytes."""
+
+    head: np.ndarray
+    bits: np.ndarray
+    shared: np.ndarray
+
+    @staticmethod
+    def of(units: Units, code: Code) -> Prefixes:
+        start = np.cumsum(units.size) - units.size + BEFORE
+        size = units.size - BEFORE
+        head, bits = np.zeros((8, len(size)), np.uint8), np.zeros((9, len(size)), np.int32)
+        for k in range(8):
+            has = size > k
+            head[k, has] = units.data[start[has] + k]
+            bits[k + 1] = bits[k] + np.where(has, code.length[head[k]], 0)
+        paths = np.full((256, code.length.max()), 2, np.int8)
+        for s in range(256):
+            paths[s, :code.length[s]] = code.bit[code.first[s]:code.first[s] + code.length[s]]
+        same = paths[:, None, :] == paths[None, :, :]
+        return Prefixes(head, bits, np.minimum.accumulate(same, axis=2).sum(axis=2).astype(np.int32))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits that are alike, and whether a bit that differs follows (not: nothing is told)."""
+        out, alike = np.zeros(len(a), np.int64), np.ones(len(a), bool)
+        for k in range(8):
+            x, y = self.head[k, a], self.head[k, b]
+            stops = alike & (x != y)
+            out[stops] = self.bits[k, a[stops]] + self.shared[x[stops], y[stops]]
+            alike &= x == y
+        out[alike] = self.bits[8, a[alike]]
+        return out, ~alike
+
+
+def followed(unit: np.ndarray, doc: np.ndarray, n_units: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per unit of the texts, the one that came after the last same unit as the one before it
+    (-1: none), and how many such guesses in a row came true just before."""
+    n, guess = len(unit), np.full(len(unit), -1, np.int64)
+    key = doc[:-1].astype(np.int64) * n_units + unit[:-1]
+    order = np.argsort(key, kind="stable")  # places before the last, by (document, unit)
+    same = np.flatnonzero((key[order[1:]] == key[order[:-1]]) & (doc[order[1:] + 1] == doc[order[1:]]))
+    guess[order[same + 1] + 1] = unit[order[same] + 1]
+    at = np.arange(n)
+    miss = np.maximum.accumulate(np.where((guess == unit) & (np.r_[doc[1:], -1] == doc), -1, at))
+    return guess, np.minimum(np.r_[0, (at - miss)[:-1]], RUN)
+
+
+def score(unit: np.ndarray, count: np.ndarray, coded: Coded, prefixes: Prefixes) -> np.ndarray:
+    """log10 probability of every text, given as its units; each refines its own weights.
+
+    A block of every document is coded at once; the weights of a document move after its
+    block, by the mean gradient of each gate.
     """
-    data, start, stop = layout(texts)
-    sizes, n = stop - start, len(texts)
-    places = scored_places(start, stop)
-    keys = [k[places] for k in contexts(data)]
-    symbols, (guess, run), offset = data[places], followed(data, start, stop), np.cumsum(sizes) - sizes
-    sure = np.log(2 * np.arange(RUN + 1) + 1.6).astype(np.float32) * np.float32(SCALE)
-    weights = np.repeat(np.array(START_WEIGHTS, np.float32).T, STEPS * n, axis=1)
-    nodes, signs = code.steps()
+    n, offset = len(count), np.cumsum(count) - count
+    guess, run = followed(unit, np.repeat(np.arange(n), count), len(coded.first))
+    told = np.flatnonzero(guess >= 0)
+    alike, differs = np.zeros(len(unit), np.int64), np.zeros(len(unit), bool)
+    alike[told], differs[told] = prefixes.common(unit[told], guess[told])
+    sure = (np.log(2 * np.arange(RUN + 1) + 1.6) * SCALE).astype(np.float32)
+    weights = np.tile(np.repeat(np.array(START_WEIGHTS, np.float32).T, STEPS, axis=1), (1, n))
     z = np.arange(-EDGE * GRADES, EDGE * GRADES + 1) / GRADES
-    loss, miss = np.log1p(np.exp(-z)).astype(np.float32), (1 / (1 + np.exp(z))).astype(np.float32)
+    loss, miss = np.log1p(np.exp(-z)), (1 / (1 + np.exp(z))).astype(np.float32)
     total, a, turn = np.zeros(n), 0, 1
-    while a < sizes.max():
+    while a < count.max():
         b = BLOCKS[turn] if turn < len(BLOCKS) else a + BLOCKS[-1]
-        docs = np.flatnonzero(sizes > a)
-        count = np.minimum(sizes[docs], b) - a
-        here = scored_places(offset[docs] + a, offset[docs] + a + count)
-        symbol, (table, index) = symbols[here], known.table([k[here] for k in keys])
-        # the guessed symbol while its code agrees with the symbol's; the symbol itself, at odds 0, after
-        told, force = guess[here], sure[run[here]]
-        force[told < 0] = 0
-        told = np.where(told < 0, symbol, told)
-        state = (index[1] > 0) * (STEPS * n) + (index[2] > 0) * (2 * STEPS * n)
-        slope, seen = np.zeros_like(weights), np.zeros(GATES * n)
-        for step in range(len(nodes)):
-            if step:
-                force = np.where(signs[step - 1][told] == signs[step - 1][symbol], force, 0)
-                alive = code.length[symbol] > step
-                count = np.add.reduceat(alive, np.cumsum(count) - count, dtype=np.int64)
-                symbol, index = symbol[alive], [i[alive] for i in index]
-                told, force, state = told[alive], force[alive], state[alive]
-                docs, count = docs[count > 0], count[count > 0]
-                if not len(docs):
-                    break
-            first = np.cumsum(count) - count
-            node, sign = nodes[step][symbol], signs[step][symbol]
-            odds = [table.take(i + node).astype(np.float32) for i in index]
-            odds.append(signs[step][told] * force)
-            pick = state + np.repeat(min(step, STEPS - 1) * n + docs, count)
-            right = np.zeros(len(symbol), np.float32)
+        docs = np.flatnonzero(count > a)
+        units = np.minimum(count[docs], b) - a
+        here = scored_places(offset[docs] + a, offset[docs] + a + units)
+        which = unit[here]
+        size = coded.size[which]
+        bit = scored_places(coded.first[which], coded.first[which] + size)
+        odds = [o.take(bit).astype(np.float32) for o in coded.odds]
+        place = np.arange(len(bit)) - np.repeat(np.cumsum(size) - size, size)
+        place -= np.repeat(alike[here], size)
+        force = np.repeat(np.where(guess[here] >= 0, sure[run[here]], np.float32(0)), size)
+        odds.append(np.where(place < 0, force, np.where((place == 0) & np.repeat(differs[here], size), -force, 0)))
+        first = np.cumsum(units) - units
+        bits = np.add.reduceat(size, first)
+        pick = coded.gate.take(bit) + np.repeat(docs * GATES, bits)
+        right = np.zeros(len(bit), np.float32)
+        for w, o in zip(weights, odds):
+            right += w.take(pick) * o
+        right *= np.float32(GRADES / SCALE)
+        grade = np.rint(np.clip(right, -EDGE * GRADES, EDGE * GRADES)).astype(np.int32) + EDGE * GRADES
+        total[docs] -= np.add.reduceat(loss.take(grade), np.cumsum(bits) - bits)
+        if b < count.max():
+            off, seen = miss.take(grade), np.bincount(pick, minlength=GATES * n) + 16
             for w, o in zip(weights, odds):
-                right += w.take(pick) * o
-            right *= sign * np.float32(1 / SCALE)
-            np.clip(right, -EDGE, EDGE, out=right)
-            grade = np.rint(right * np.float32(GRADES)).astype(np.int32) + np.int32(EDGE * GRADES)
-            total[docs] -= np.add.reduceat(loss.take(grade), first, dtype=np.float64)
-            off = sign * miss.take(grade)
-            seen += np.bincount(pick, minlength=GATES * n)
-            for g, o in zip(slope, odds):
-                g += np.bincount(pick, off * o, GATES * n)
-        weights += RATE / SCALE * slope / (seen + 16)
+                w += RATE / SCALE * np.bincount(pick, off * o, GATES * n) / seen
         a, turn = b, turn + 1
     return total / np.log(10)
 
@@ -369,13 +435,27 @@ def _texts(blob: bytes, sizes: np.ndarray) -> list[bytes]:
     return [blob[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
 
 
+def packed(values: bytes | np.ndarray, rising: bool = False) -> bytes:
+    """Compressed; rising numbers by their differences, numbers by planes of their bytes."""
+    if isinstance(values, np.ndarray):
+        values = np.diff(values, prepend=values.dtype.type(0)) if rising else values
+        values = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(values)
+
+
+def opened(blob: bytes, kind: type, rising: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if rising else values
+
+
 def chunks(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
     """Documents packed into rows of about CHUNK bytes: chunk, blob, sizes, train, ids."""
     def pack(part: int, k: int, rows: list) -> dict:
-        return {"chunk": [part << 24 | k], "blob": [b"".join(t for t, _, _ in rows)], "sizes": [np.array(
+        return {"chunk": [part << 24 | k], "blob": [packed(b"".join(t for t, _, _ in rows))], "sizes": [np.array(
             [len(t) for t, _, _ in rows], np.int64).tobytes()], "train": [np.array(
                 [r[1] for r in rows], np.bool_).tobytes()], "ids": [[r[2] for r in rows]],
-            "n_train": [sum(bool(r[1]) for r in rows)], "freq": [np.bincount(np.frombuffer(b"".join(
+            "bytes": [sum(len(t) for t, _, _ in rows)], "n_train": [sum(bool(r[1]) for r in rows)], "freq": [np.bincount(np.frombuffer(b"".join(
                 t for t, use, _ in rows if use), np.uint8), minlength=256)]}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -393,7 +473,7 @@ def chunks(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
     return materialize(docs.select(
         named("text"), (F.pmod(id_crc("doc_id"), F.lit(folds)) != held_fold).alias("train"),
         named("doc_id").cast("string").alias("doc_id")).mapInPandas(
-        run, "chunk long, blob binary, sizes binary, train binary, ids array<string>, n_train long, "
+        run, "chunk long, blob binary, sizes binary, train binary, ids array<string>, bytes long, n_train long, "
              "freq array<long>"), "cm-chunks")
 
 
@@ -406,68 +486,73 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
-def chunk_counts(blob: bytes, sizes: bytes, train: bytes) -> tuple[tuple, np.ndarray, tuple]:
-    """Of one chunk: the pairs of its training documents with counts, the contexts that only the
-    others hold, and all words with their counts in training documents."""
-    n, learn = np.frombuffer(sizes, np.int64), np.frombuffer(train, np.bool_)
-    texts, pairs, others, words = _texts(blob, n), ([], []), [], ([], [])
-    for use in (True, False):
-        some = [t for t, known in zip(texts, learn) if known == use]
-        for g in groups(n[learn == use], GROUP):
-            data, start, stop = layout(some[g])
-            places, (word, _) = scored_places(start, stop), word_hashes(data)
-            keys = np.concatenate([k[places] for k in contexts(data)])
-            if use:
-                distinct, count = np.unique(keys | np.tile(data[places].astype(np.uint64), 3), return_counts=True)
-                pairs[0].append(distinct)
-                pairs[1].append(count)
-            else:
-                others.append(np.unique(keys))
-            distinct, count = np.unique(word, return_counts=True)
-            words[0].append(distinct)
-            words[1].append(count * use)
-    pairs = _added(*pairs)
-    other = np.setdiff1d(np.concatenate([np.zeros(0, np.uint64), *others]), pairs[0] & ~BYTE)
-    return pairs, other, _added(*words)
+def chunk_texts(blob: bytes, sizes: bytes) -> list[bytes]:
+    return _texts(zstandard.ZstdDecompressor().decompress(blob), np.frombuffer(sizes, np.int64))
+
+
+def chunk_units(texts: list[bytes], learn: np.ndarray) -> Units:
+    """The distinct units of the texts with their counts in the training texts."""
+    sizes, parts = np.array([len(t) for t in texts], np.int64), []
+    for g in groups(sizes, GROUP):
+        data, start, stop = layout(texts[g])
+        keys, begin, end, count = units_of(data, start, stop)
+        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        begin, end = begin[first] - BEFORE, end[first]
+        parts.append(Units(distinct, np.bincount(inverse, np.repeat(learn[g], count), len(distinct)).astype(
+            np.int64), end - begin, data[scored_places(begin, end)]))
+    return Units.merged(parts)
+
+
+def unit_counts(units: Units) -> tuple[tuple, np.ndarray, tuple]:
+    """The pairs of context and symbol in training texts with counts, the contexts that only
+    other texts hold, and all words with their counts in training texts."""
+    symbols, keys = units.contexts()
+    n = np.repeat(units.counts, units.size - BEFORE)
+    use, symbols = n > 0, symbols.astype(np.uint64)
+    pairs = _added([k[use] | symbols[use] for k in keys], [n[use]] * len(keys))
+    other = np.setdiff1d(np.concatenate([k[~use] for k in keys]), pairs[0] & ~BYTE)
+    words = units.words()
+    return pairs, other, _added([words[words > 0]], [units.counts[words > 0]])
 
 
 def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
     """(chunk, keys, size, node, odds, words, counts, v, n), a row per chunk and shard: the
     predictions of the chunk's contexts and the corpus counts of its words in the shard; v and
     n, in one row of a shard, are its distinct and all training words."""
-    def split(values: np.ndarray, keys: np.ndarray, also: np.ndarray) -> tuple[dict, dict]:
+    def split(keys: np.ndarray, *columns: np.ndarray) -> list[list[np.ndarray]]:
         with np.errstate(over="ignore"):
             shard = (_stir(keys) % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(1, shards))
-        return np.split(values[order], cuts), np.split(also[order], cuts)
+        return [np.split(c[order], cuts) for c in columns]
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
-                (pairs, n), other, (words, counts) = chunk_counts(r.blob, r.sizes, r.train)
-                pieces = (*split(pairs, pairs & ~BYTE, n.astype(np.int32)), split(other, other, other)[0],
-                          *split(words, words, counts.astype(np.int32)))
-                rows = [(r.chunk, k, *(x.tobytes() for x in found)) for k, found in enumerate(zip(*pieces))
-                        if any(map(len, found))]
+                (pairs, n), other, (words, counts) = unit_counts(chunk_units(
+                    chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_)))
+                pieces = zip(*split(pairs & ~BYTE, pairs, n.astype(np.int32)), *split(other, other),
+                             *split(words, words, counts.astype(np.int32)))
+                rows = [(r.chunk, k, packed(p, True), packed(n), packed(o, True), packed(w, True), packed(c))
+                        for k, (p, n, o, w, c) in enumerate(pieces) if len(p) + len(o) + len(w)]
                 yield pd.DataFrame(rows, columns=["chunk", "shard", "pairs", "n", "other", "words", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        def column(name: str, kind: type) -> list[np.ndarray]:
-            return [np.frombuffer(x, kind) for x in pdf[name]]
+        def column(name: str, kind: type, rising: bool = False) -> list[np.ndarray]:
+            return [opened(x, kind, rising) for x in pdf[name]]
 
-        sent, words = column("pairs", np.uint64), column("words", np.uint64)
+        sent, words = column("pairs", np.uint64, True), column("words", np.uint64, True)
         keys, size, node, odds = odds_of(*_added(sent, column("n", np.int32)), code)
         first = np.cumsum(size.astype(np.int64)) - size
         every, total = _added(words, column("counts", np.int32))
         out = []
-        for pair, other, word in zip(sent, column("other", np.uint64), words):
+        for pair, other, word in zip(sent, column("other", np.uint64, True), words):
             mine = np.r_[pair & ~BYTE, other]
             at = np.searchsorted(keys, mine)
             at = np.unique(at[np.r_[keys, np.uint64(0)][at] == mine]) if len(keys) else at[:0]
             entry = scored_places(first[at], first[at] + size[at])
-            out.append((keys[at].tobytes(), size[at].tobytes(), node[entry].tobytes(), odds[entry].tobytes(),
-                        word.tobytes(), total[np.searchsorted(every, word)].tobytes(), 0, 0))
+            out.append((packed(keys[at], True), packed(size[at]), packed(node[entry]), packed(odds[entry]),
+                        packed(word, True), packed(total[np.searchsorted(every, word)]), 0, 0))
         out = pd.DataFrame(out, columns=["keys", "size", "node", "odds", "words", "counts", "v", "n"])
         out.insert(0, "chunk", pdf["chunk"].to_numpy())
         out.loc[0, ["v", "n"]] = [int((total > 0).sum()), int(total.sum())]
@@ -486,7 +571,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     parts = chunks(docs.select(named(id_col).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text")),
                    folds, held_fold)
     facts = parts.agg(F.count("*").alias("chunks"), F.sum("n_train").alias("docs"),
-                      F.sum(F.length("blob")).alias("bytes")).first()
+                      F.sum("bytes").alias("bytes")).first()
     train_docs = facts.docs or 0
     freq = np.zeros(256, np.int64)
     for r in parts.select(F.posexplode("freq")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
@@ -501,38 +586,39 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     def unigram(c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
 
-    def joined(found: list, name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(s[name] for s in found), kind)
+    def joined(found: list, name: str, kind: type, rising: bool = False) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind), *(opened(s[name], kind, rising) for s in found)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
+                texts, learn = chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_)
                 sizes, found = np.frombuffer(r.sizes, np.int64), [] if r.found is None else r.found
-                known = Predictions.of(joined(found, "keys", np.uint64), joined(found, "size", np.uint8),
+                units = chunk_units(texts, learn)
+                known = Predictions.of(joined(found, "keys", np.uint64, True), joined(found, "size", np.uint8),
                                        joined(found, "node", np.uint8), joined(found, "odds", np.int8))
-                words, total = Found.of(joined(found, "words", np.uint64)), joined(found, "counts", np.int64)
-                texts, order = _texts(r.blob, sizes), np.argsort(sizes, kind="stable")
+                coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
+                word, place = units.words(), Found.of(joined(found, "words", np.uint64, True))
+                c = np.r_[joined(found, "counts", np.int64), 0][place.at(word)]
+                facts = np.array([word > 0, c > 0, np.where(word > 0, unigram(c), 0)])
+                index, order = Found.of(units.keys), np.argsort(sizes, kind="stable")
                 out = np.zeros((len(texts), 4))
                 for g in groups(sizes[order], SCORED):
                     at = order[g]
-                    some = [texts[i] for i in at]
-                    data, start, _ = layout(some)
-                    hashes, place = word_hashes(data)
-                    owner = np.searchsorted(start, place, "right") - 1
-                    c = total[words.at(hashes)]
-                    out[at, 0] = np.bincount(owner, minlength=len(at)) + 1
-                    out[at, 1] = np.bincount(owner, c > 0, len(at)) + (train_docs > 0)
-                    out[at, 2] = np.bincount(owner, unigram(c), len(at)) + unigram(np.array(train_docs))
-                    out[at, 3] = score(some, known, code)
+                    keys, _, _, count = units_of(*layout([texts[i] for i in at]))
+                    unit = index.at(keys)
+                    out[at, :3] = np.add.reduceat(facts[:, unit], np.cumsum(count) - count, axis=1).T
+                    out[at, 3] = score(unit, count, coded, prefixes)
+                out[:, :3] += [1, train_docs > 0, unigram(np.array(train_docs))]
                 yield pd.DataFrame({
-                    "doc_id": list(r.ids), "held_out": ~np.frombuffer(r.train, np.bool_),
+                    "doc_id": list(r.ids), "held_out": ~learn,
                     "n_tokens": out[:, 0].astype(np.int64), "n_known": out[:, 1].astype(np.int64),
                     "train_tokens": n, "base_score": out[:, 2], "score": out[:, 3],
                     "bits_per_byte": -out[:, 3] * np.log2(10) / (sizes + 1)})
 
     found = counts.groupBy("chunk").agg(F.collect_list(
         F.struct("keys", "size", "node", "odds", "words", "counts")).alias("found"))
-    return parts.drop("n_train", "freq").join(found, "chunk", "left").mapInPandas(
+    return parts.drop("n_train", "freq", "bytes").join(found, "chunk", "left").mapInPandas(
         run, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double, bits_per_byte double").withColumn(
         "doc_id", F.expr("try_cast(doc_id AS BIGINT)"))

@@ -201,66 +201,86 @@ def trained(texts):
     """The code and the predictions that these training texts give, as one chunk."""
     freq = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
     freq[context_mixing.END] = len(texts)
-    code, sizes = context_mixing.Code.of(freq), np.array([len(t) for t in texts], np.int64)
-    (pairs, n), _, _ = context_mixing.chunk_counts(b"".join(texts), sizes.tobytes(), np.ones(len(texts), bool).tobytes())
+    code = context_mixing.Code.of(freq)
+    (pairs, n), _, _ = context_mixing.unit_counts(context_mixing.chunk_units(texts, np.ones(len(texts), bool)))
     return code, context_mixing.Predictions.of(*context_mixing.odds_of(pairs, n, code))
 
 
+def lm_score(texts, code, known):
+    m = context_mixing
+    units = m.chunk_units(texts, np.zeros(len(texts), bool))
+    keys, _, _, count = m.units_of(*m.layout(texts))
+    return m.score(m.Found.of(units.keys).at(keys), count, m.Coded.of(units, known, code), m.Prefixes.of(units, code))
+
+
 def test_code_is_a_distribution():
     code, known = trained([b"a tree", b"an apple", b"the thing", b"  "])
     assert math.isclose(sum(2.0 ** -code.length), 1)
-    # every first symbol, with all that may follow left out: their probabilities come to one
-    after = {s: context_mixing.score([bytes([s])], known, code)[0] for s in range(255)}
-    assert 0 < sum(10 ** x for x in after.values()) + 10 ** context_mixing.score([b""], known, code)[0] < 1
+    # the end after nothing, and a gap or the end after each other first symbol: under one together
+    gaps = [b" ", b"\n", b"\t", b"\v", b"\f", b"\r"]
+    texts = [b"", *gaps, *(bytes([s]) for s in range(255) if bytes([s]) not in gaps)]
+    assert 0 < sum(10 ** lm_score(texts, code, known)) < 1
 
 
 def slow_lm_score(text, training, code):
     """The model bit by bit, with plain dictionaries."""
-    m, gaps = context_mixing, b" \t\n\v\f\r\xff"
+    m = context_mixing
 
     def places(t):
-        s = b"\xff" * m.PAD + t + b"\xff"
-        for i in range(m.PAD, len(s)):
-            word = i
-            while s[word - 1] not in gaps:
-                word -= 1
-            yield s, i, [(0, s[i - 3:i]), (1, s[i - 5:i]), (2, s[word:i])]
+        """Per unit, its bytes and the context keys before each."""
+        before = b"\xff" * m.BEFORE
+        for unit in re.findall(rb"[^ \t\n\v\f\r\xff]*[ \t\n\v\f\r\xff]", t + b"\xff"):
+            keys = []
+            for i in range(len(unit)):
+                back = b"\xfe" * m.LONG + before + unit[:i]
+                keys.append([(0, back[-m.SHORT:]), (1, back[-m.LONG:]), (2, unit[:i])])
+            yield unit, keys
+            before = (before + unit)[-m.BEFORE:]
 
     path = {s: [(code.node[code.first[s] + k], code.bit[code.first[s] + k]) for k in range(code.length[s])]
             for s in range(256)}
     seen = collections.defaultdict(lambda: [0, 0])
     for t in training:
-        for s, i, keys in places(t):
-            for key in keys:
-                for node, bit in path[s[i]]:
-                    seen[key, node][bit] += 1
+        for unit, keys in places(t):
+            for s, three in zip(unit, keys):
+                for key in three:
+                    for node, bit in path[s]:
+                        seen[key, node][bit] += 1
     held = {key for key, _ in seen}
     weights = {(state, step): list(w) for state, w in enumerate(m.START_WEIGHTS) for step in range(m.STEPS)}
     slope, count = collections.defaultdict(lambda: [0.0] * 4), collections.Counter()
-    ends, total, run, last = list(m.BLOCKS[1:]), 0.0, 0, {}
-    for at, (s, i, keys) in enumerate(places(text)):
-        if at == ends[0]:
+    ends, total, run, last, previous, seen_bytes = list(m.BLOCKS[1:]), 0.0, 0, {}, None, b"\xff" * m.BEFORE
+    for at, (unit, keys) in enumerate(places(text)):
+        if ends and at == ends[0]:
             for gate, g in slope.items():
                 weights[gate] = [w + m.RATE / m.SCALE * x / (count[gate] + 16) for w, x in zip(weights[gate], g)]
             slope.clear(), count.clear(), ends.pop(0)
-        guess = last.get(s[i - m.PAD:i])
-        agrees, state = guess is not None, (keys[1] in held) + 2 * (keys[2] in held)
-        for step, (node, bit) in enumerate(path[s[i]]):
-            odds = []
-            for key in keys:
-                zero, one = seen[key, node] if (key, node) in seen else (0, 0)
-                odds.append(max(-127, min(127, round(math.log((one + m.SMOOTH) / (zero + m.SMOOTH)) * m.SCALE))))
-            agrees_bit = path[guess][step][1] if agrees else 0
-            odds.append((1 if agrees_bit else -1) * math.log(2 * min(run, m.RUN) + 1.6) * m.SCALE if agrees else 0)
-            sign, gate = 1 if bit else -1, (state, min(step, m.STEPS - 1))
-            z = max(-m.EDGE, min(m.EDGE, sign * sum(w * o for w, o in zip(weights[gate], odds)) / m.SCALE))
-            z = round(z * m.GRADES) / m.GRADES
-            total -= math.log1p(math.exp(-z))
-            count[gate] += 1
-            slope[gate] = [g + sign * o / (1 + math.exp(z)) for g, o in zip(slope[gate], odds)]
-            agrees = agrees and agrees_bit == bit
-        run = run + 1 if guess == s[i] else 0
-        last[s[i - m.PAD:i]] = s[i]
+        this = seen_bytes + unit  # a unit is the same one if the bytes before it are, too
+        guess = last.get(previous)
+        bits = [b for s in unit for _, b in path[s]]
+        told = [b for s in guess[m.BEFORE:m.BEFORE + 8] for _, b in path[s]] if guess else []
+        k, agrees = 0, guess is not None
+        for s, three in zip(unit, keys):
+            state = (three[1] in held) + 2 * (three[2] in held)
+            for step, (node, bit) in enumerate(path[s]):
+                odds = []
+                for key in three:
+                    zero, one = seen[key, node] if (key, node) in seen else (0, 0)
+                    odds.append(max(-127, min(127, round(math.log((one + m.SMOOTH) / (zero + m.SMOOTH)) * m.SCALE))))
+                agrees = agrees and k < len(told)
+                odds.append((1 if told[k] else -1) * math.log(2 * min(run, m.RUN) + 1.6) * m.SCALE if agrees else 0)
+                sign, gate = 1 if bit else -1, (state, min(step, m.STEPS - 1))
+                z = max(-m.EDGE, min(m.EDGE, sign * sum(w * o for w, o in zip(weights[gate], odds)) / m.SCALE))
+                z = round(z * m.GRADES) / m.GRADES
+                total -= math.log1p(math.exp(-z))
+                count[gate] += 1
+                slope[gate] = [g + sign * o / (1 + math.exp(z)) for g, o in zip(slope[gate], odds)]
+                agrees = agrees and told[k] == bits[k]
+                k += 1
+        run = run + 1 if guess == this else 0
+        if previous is not None:
+            last[previous] = this
+        previous, seen_bytes = this, this[-m.BEFORE:]
     return total / math.log(10)
 
 
@@ -271,7 +291,7 @@ def test_lm_score_equals_a_bit_by_bit_loop():
     new = [" ".join(rng.choice([*words, "zebra", "qu"], n)).encode() for n in (1, 5, 50, 200)] + [b"", b"\x00 \x7f"]
     code, known = trained(some)
     for texts in (some + new, new):  # with and without company: documents do not meet
-        for t, got in zip(texts, context_mixing.score(texts, known, code)):
+        for t, got in zip(texts, lm_score(texts, code, known)):
             assert math.isclose(got, slow_lm_score(t, some, code), rel_tol=2e-4, abs_tol=2e-3), t
 
 
@@ -282,7 +302,7 @@ def test_lm_score_gains_from_more_text(spark, sf):
     held = [t for i, t in low.items() if zlib.crc32(str(i).encode()) % 5 == 1][:40]
     train = [t for i, t in low.items() if zlib.crc32(str(i).encode()) % 5 != 1]
     few, many = trained(train[:len(train) // 10]), trained(train)
-    assert context_mixing.score(held, many[1], many[0]).sum() > 0.95 * context_mixing.score(held, few[1], few[0]).sum()
+    assert lm_score(held, *many).sum() > 0.95 * lm_score(held, *few).sum()
 
 
 def test_lm_counts_do_not_depend_on_chunks_and_shards(spark, monkeypatch):
