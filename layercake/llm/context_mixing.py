@@ -137,6 +137,11 @@ class Units:
         return Units(distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64), size[first],
                      data[scored_places(start, start + size[first])])
 
+    def slices(self, limit: int) -> Iterator[Units]:
+        ends = np.r_[0, np.cumsum(self.size)]
+        for g in groups(self.size, limit):
+            yield Units(self.keys[g], self.counts[g], self.size[g], self.data[ends[g.start]:ends[g.stop]])
+
     def words(self) -> np.ndarray:
         """The 64-bit hash of every unit's word; 0 where it has none."""
         stop = np.cumsum(self.size)
@@ -211,16 +216,16 @@ class Found:
     """Places of keys in a list of distinct 64-bit keys, by a table of hashed places."""
 
     keys: np.ndarray
-    order: np.ndarray
     places: np.ndarray
+    order: np.ndarray
+    ranked: np.ndarray
 
     @staticmethod
     def of(keys: np.ndarray) -> Found:
         order = np.argsort(keys)
         places = np.zeros(1 << PLACES, np.int32)
-        keys = keys[order]
         places[Found._place(keys)] = np.arange(len(keys), dtype=np.int32)
-        return Found(keys, order, places)
+        return Found(keys, places, order, keys[order])
 
     @staticmethod
     def _place(keys: np.ndarray) -> np.ndarray:
@@ -228,14 +233,14 @@ class Found:
             return ((keys ^ keys >> np.uint64(32)) * MULT >> np.uint64(64 - PLACES)).astype(np.int64)
 
     def at(self, wanted: np.ndarray) -> np.ndarray:
-        """Where each key stands in the list that was given; -1 where it does not."""
+        """Where each key stands in the list; -1 where it does not."""
         if not len(self.keys):
             return np.full(len(wanted), -1, np.int64)
         at = self.places[self._place(wanted)]
-        other = np.flatnonzero(self.keys[at] != wanted)
-        slow = np.minimum(np.searchsorted(self.keys, wanted[other]), len(self.keys) - 1)
-        at[other] = np.where(self.keys[slow] == wanted[other], slow, -1)
-        return np.where(at < 0, -1, self.order[at])
+        other = np.flatnonzero(self.keys[at] != wanted)  # of two keys with one place, the first
+        rank = np.minimum(np.searchsorted(self.ranked, wanted[other]), len(self.keys) - 1)
+        at[other] = np.where(self.ranked[rank] == wanted[other], self.order[rank], -1)
+        return at
 
 
 @dataclass
@@ -296,32 +301,33 @@ def odds_of(pairs: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarr
 
 @dataclass
 class Coded:
-    """The bits of distinct units: per predictor the odds of the right bit, and the gates."""
+    """The bits of distinct units: each the odds of the right bit by the three contexts and the
+    gate, as four bytes."""
 
     first: np.ndarray
     size: np.ndarray
-    gate: np.ndarray
-    odds: np.ndarray
+    bits: np.ndarray
 
     @staticmethod
     def of(units: Units, known: Predictions, code: Code) -> Coded:
-        symbols, keys = units.contexts()
-        length = code.length[symbols]
-        gates, odds = [np.zeros(0, np.uint8)], [np.zeros((3, 0), np.int8)]
-        for a in range(0, len(symbols), SCORED):
-            here = slice(a, a + SCORED)
-            table, rows = known.table([k[here] for k in keys])
-            n = length[here]
-            step = scored_places(code.first[symbols[here]], code.first[symbols[here]] + n)
+        sizes, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for part in units.slices(2 * SCORED):
+            symbols, keys = part.contexts()
+            table, rows = known.table(keys)
+            n = code.length[symbols]
+            step = scored_places(code.first[symbols], code.first[symbols] + n)
             sign = np.where(code.bit[step] > 0, 1, -1).astype(np.int8)
-            odds.append(np.array([table[np.repeat(r, n) + code.node[step]] * sign for r in rows]))
-            state = ((rows[1] > 0) + (rows[2] > 0) * np.int64(2)) * STEPS
-            place = np.minimum(np.arange(len(step)) - np.repeat(np.cumsum(n) - n, n), STEPS - 1)
-            gates.append((np.repeat(state, n) + place).astype(np.uint8))
-        ends = np.r_[0, np.cumsum(length)]
-        stop = np.cumsum(units.size - BEFORE)
-        size = ends[stop] - ends[stop - units.size + BEFORE]
-        return Coded(np.cumsum(size) - size, size, np.concatenate(gates), np.concatenate(odds, axis=1))
+            row = np.empty((len(step), 4), np.int8)
+            node = code.node[step]
+            for k, r in enumerate(rows):
+                np.multiply(table.take(np.repeat(r, n) + node), sign, out=row[:, k])
+            state = ((rows[1] > 0) * np.int8(1) + (rows[2] > 0) * np.int8(2)) * np.int8(STEPS)
+            place = np.arange(len(step), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
+            row[:, 3] = np.repeat(state, n) + np.minimum(place, STEPS - 1)
+            bits.append(row.view(np.uint32).ravel())
+            sizes.append(np.add.reduceat(n, np.cumsum(part.size - BEFORE) - part.size + BEFORE))
+        size = np.concatenate(sizes)
+        return Coded(np.cumsum(size) - size, size, np.concatenate(bits))
 
 
 @dataclass
@@ -396,14 +402,18 @@ def score(unit: np.ndarray, count: np.ndarray, coded: Coded, prefixes: Prefixes)
         which = unit[here]
         size = coded.size[which]
         bit = scored_places(coded.first[which], coded.first[which] + size)
-        odds = [o.take(bit).astype(np.float32) for o in coded.odds]
-        place = np.arange(len(bit)) - np.repeat(np.cumsum(size) - size, size)
-        place -= np.repeat(alike[here], size)
-        force = np.repeat(np.where(guess[here] >= 0, sure[run[here]], np.float32(0)), size)
-        odds.append(np.where(place < 0, force, np.where((place == 0) & np.repeat(differs[here], size), -force, 0)))
+        row = coded.bits.take(bit).view(np.int8).reshape(-1, 4)
+        odds = [row[:, k].astype(np.float32) for k in range(3)]
+        odds.append(np.zeros(len(bit), np.float32))
+        at = np.cumsum(size) - size
+        some = np.flatnonzero(guess[here] >= 0)
+        force, same = sure[run[here[some]]], alike[here[some]]
+        odds[3][scored_places(at[some], at[some] + same)] = np.repeat(force, same)
+        turns = differs[here[some]]
+        odds[3][(at[some] + same)[turns]] = -force[turns]
         first = np.cumsum(units) - units
         bits = np.add.reduceat(size, first)
-        pick = coded.gate.take(bit) + np.repeat(docs * GATES, bits)
+        pick = row[:, 3] + np.repeat(docs * GATES, bits)
         right = np.zeros(len(bit), np.float32)
         for w, o in zip(weights, odds):
             right += w.take(pick) * o
@@ -506,13 +516,22 @@ def chunk_units(texts: list[bytes], learn: np.ndarray) -> Units:
 def unit_counts(units: Units) -> tuple[tuple, np.ndarray, tuple]:
     """The pairs of context and symbol in training texts with counts, the contexts that only
     other texts hold, and all words with their counts in training texts."""
-    symbols, keys = units.contexts()
-    n = np.repeat(units.counts, units.size - BEFORE)
-    use, symbols = n > 0, symbols.astype(np.uint64)
-    pairs = _added([k[use] | symbols[use] for k in keys], [n[use]] * len(keys))
-    other = np.setdiff1d(np.concatenate([k[~use] for k in keys]), pairs[0] & ~BYTE)
-    words = units.words()
-    return pairs, other, _added([words[words > 0]], [units.counts[words > 0]])
+    pairs, others, words = ([], []), [], ([], [])
+    for part in units.slices(GROUP):
+        symbols, keys = part.contexts()
+        n = np.repeat(part.counts, part.size - BEFORE)
+        use, symbols = n > 0, symbols.astype(np.uint64)
+        for key in keys:
+            found = _added([key[use] | symbols[use]], [n[use]])
+            pairs[0].append(found[0])
+            pairs[1].append(found[1])
+            others.append(np.unique(key[~use]))
+        word = part.words()
+        words[0].append(word[word > 0])
+        words[1].append(part.counts[word > 0])
+    pairs = _added(*pairs)
+    other = np.setdiff1d(np.concatenate([np.zeros(0, np.uint64), *others]), pairs[0] & ~BYTE)
+    return pairs, other, _added(*words)
 
 
 def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
@@ -598,7 +617,8 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                 known = Predictions.of(joined(found, "keys", np.uint64, True), joined(found, "size", np.uint8),
                                        joined(found, "node", np.uint8), joined(found, "odds", np.int8))
                 coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
-                word, place = units.words(), Found.of(joined(found, "words", np.uint64, True))
+                word = np.concatenate([np.zeros(0, np.uint64), *(u.words() for u in units.slices(GROUP))])
+                place = Found.of(joined(found, "words", np.uint64, True))
                 c = np.r_[joined(found, "counts", np.int64), 0][place.at(word)]
                 facts = np.array([word > 0, c > 0, np.where(word > 0, unigram(c), 0)])
                 index, order = Found.of(units.keys), np.argsort(sizes, kind="stable")
