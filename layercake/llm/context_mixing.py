@@ -1,17 +1,17 @@
 """Operator 5: LM scoring by online logistic mixing of hashed-context bit predictors.
 
 The text (A-Z lower-cased, UTF-8, one end symbol) is coded bit by bit along a Huffman tree of
-its bytes.  It is cut after every white space byte and the end into units.  Three contexts
-(the last three and the last five bytes, up to two bytes before the unit, and the unit so far)
-predict each bit from the counts of all training documents; a fourth predictor follows the
-unit that came after the last same unit of the document, as sure as its hits since make it.
-The predictions, as log-odds, are combined by weights gated by the place of the bit in its
-code and by which contexts training documents hold; the weights start alike for every document
+its bytes.  It is cut after every white space byte and the end into units.  Two contexts
+(the last four bytes, up to two bytes before the unit, and the unit so far) predict each bit
+from the counts of all training documents; a third predictor follows the unit that came after
+the last same unit of the document, as sure as its hits in a row make it.  The predictions, as
+log-odds, are combined by weights gated by the place of the bit in its code and by whether
+training documents hold the unit so far; the weights start alike for every document
 and are refined on the document itself, block by block, before the next block is predicted.
 The score is the log10 probability of all bits.
 
 The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of bytes
-exactly and units by 54 bits of their hash.  Contexts depend on a unit and the two bytes before
+exactly and units by 55 bits of their hash.  Contexts depend on a unit and the two bytes before
 it, so a chunk of documents counts and looks up its distinct units only.  It sends pre-added
 counts to shards of the key space and gets back the predictions of its contexts: no task or
 driver holds the whole model.  A chunk and a shard exchange one row; chunks and shards stand
@@ -47,14 +47,14 @@ CHUNK, SHARD, GROUP, SCORED = 16 << 20, 64 << 20, 1 << 20, 256 << 10
 #: Shards that small inputs are dealt to, where they have as many chunks.
 SHARDS = 64
 END = 0xFF  # in no UTF-8 text
-#: Bytes before a unit that its contexts see, bytes of the two byte contexts.
-BEFORE, SHORT, LONG = 2, 3, 5
+#: Bytes before a unit that its contexts see, bytes of the byte context.
+BEFORE, BACK = 2, 4
 #: Stands for bytes further back; in no UTF-8 text.
 FAR = 0xFE
 SCALE = 12.0
-#: Weights of short context, long context, unit so far, unit after the last same unit, where training
-#: documents hold neither of the middle two, the long one, the unit so far, both.
-START_WEIGHTS = ((0.9, 0.0, 0.0, 0.1), (0.25, 0.6, 0.0, 0.1), (0.4, 0.0, 0.5, 0.1), (0.2, 0.4, 0.35, 0.05))
+#: Weights of the last bytes, the unit so far, the unit after the last same unit, where training
+#: documents lack the unit so far and where they hold it.
+START_WEIGHTS = ((1.0, 0.0, 0.1), (0.35, 0.65, 0.05))
 #: Count that a bit has before any text; step of the weights; gates per state: steps of a code.
 SMOOTH, RATE, STEPS = 0.05, 1.0, 4
 GATES = STEPS * len(START_WEIGHTS)
@@ -155,13 +155,11 @@ class Units:
         place = scored_places(start, stop)
         begin = np.repeat(start, stop - start)
         seen = place - begin + BEFORE
-        back = np.zeros((2, len(place)), np.uint64)
-        for k in range(1, LONG + 1):
+        back = np.zeros(len(place), np.uint64)
+        for k in range(1, BACK + 1):
             byte = np.where(seen >= k, self.data[place - np.minimum(seen, k)], FAR).astype(np.uint64)
-            for b, far in zip(back, (SHORT, LONG)):
-                b |= byte << np.uint64(8 * k) if k <= far else np.uint64(0)
-        return self.data[place], [back[0], back[1] | np.uint64(1 << 62),
-                                  span_hashes(self.data, begin, place) >> np.uint64(2) & ~BYTE | np.uint64(2 << 62)]
+            back |= byte << np.uint64(8 * k)
+        return self.data[place], [back, span_hashes(self.data, begin, place) >> np.uint64(1) & ~BYTE | np.uint64(1 << 63)]
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -301,8 +299,8 @@ def odds_of(pairs: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarr
 
 @dataclass
 class Coded:
-    """The bits of distinct units: each the odds of the right bit by the three contexts and the
-    gate, as four bytes."""
+    """The bits of distinct units: each the odds of the right bit by the two contexts and the
+    gate, as four bytes (one is free)."""
 
     first: np.ndarray
     size: np.ndarray
@@ -317,11 +315,11 @@ class Coded:
             n = code.length[symbols]
             step = scored_places(code.first[symbols], code.first[symbols] + n)
             sign = np.where(code.bit[step] > 0, 1, -1).astype(np.int8)
-            row = np.empty((len(step), 4), np.int8)
+            row = np.zeros((len(step), 4), np.int8)
             node = code.node[step]
             for k, r in enumerate(rows):
                 np.multiply(table.take(np.repeat(r, n) + node), sign, out=row[:, k])
-            state = ((rows[1] > 0) * np.int8(1) + (rows[2] > 0) * np.int8(2)) * np.int8(STEPS)
+            state = (rows[1] > 0) * np.int8(STEPS)
             place = np.arange(len(step), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
             row[:, 3] = np.repeat(state, n) + np.minimum(place, STEPS - 1)
             bits.append(row.view(np.uint32).ravel())
@@ -403,14 +401,14 @@ def score(unit: np.ndarray, count: np.ndarray, coded: Coded, prefixes: Prefixes)
         size = coded.size[which]
         bit = scored_places(coded.first[which], coded.first[which] + size)
         row = coded.bits.take(bit).view(np.int8).reshape(-1, 4)
-        odds = [row[:, k].astype(np.float32) for k in range(3)]
+        odds = [row[:, k].astype(np.float32) for k in range(2)]
         odds.append(np.zeros(len(bit), np.float32))
         at = np.cumsum(size) - size
         some = np.flatnonzero(guess[here] >= 0)
         force, same = sure[run[here[some]]], alike[here[some]]
-        odds[3][scored_places(at[some], at[some] + same)] = np.repeat(force, same)
+        odds[2][scored_places(at[some], at[some] + same)] = np.repeat(force, same)
         turns = differs[here[some]]
-        odds[3][(at[some] + same)[turns]] = -force[turns]
+        odds[2][(at[some] + same)[turns]] = -force[turns]
         first = np.cumsum(units) - units
         bits = np.add.reduceat(size, first)
         pick = row[:, 3] + np.repeat(docs * GATES, bits)

@@ -232,8 +232,8 @@ def slow_lm_score(text, training, code):
         for unit in re.findall(rb"[^ \t\n\v\f\r\xff]*[ \t\n\v\f\r\xff]", t + b"\xff"):
             keys = []
             for i in range(len(unit)):
-                back = b"\xfe" * m.LONG + before + unit[:i]
-                keys.append([(0, back[-m.SHORT:]), (1, back[-m.LONG:]), (2, unit[:i])])
+                back = b"\xfe" * m.BACK + before + unit[:i]
+                keys.append([(0, back[-m.BACK:]), (1, unit[:i])])
             yield unit, keys
             before = (before + unit)[-m.BEFORE:]
 
@@ -242,13 +242,13 @@ def slow_lm_score(text, training, code):
     seen = collections.defaultdict(lambda: [0, 0])
     for t in training:
         for unit, keys in places(t):
-            for s, three in zip(unit, keys):
-                for key in three:
+            for s, both in zip(unit, keys):
+                for key in both:
                     for node, bit in path[s]:
                         seen[key, node][bit] += 1
     held = {key for key, _ in seen}
     weights = {(state, step): list(w) for state, w in enumerate(m.START_WEIGHTS) for step in range(m.STEPS)}
-    slope, count = collections.defaultdict(lambda: [0.0] * 4), collections.Counter()
+    slope, count = collections.defaultdict(lambda: [0.0] * 3), collections.Counter()
     ends, total, run, last, previous, seen_bytes = list(m.BLOCKS[1:]), 0.0, 0, {}, None, b"\xff" * m.BEFORE
     for at, (unit, keys) in enumerate(places(text)):
         if ends and at == ends[0]:
@@ -260,11 +260,11 @@ def slow_lm_score(text, training, code):
         bits = [b for s in unit for _, b in path[s]]
         told = [b for s in guess[m.BEFORE:m.BEFORE + 8] for _, b in path[s]] if guess else []
         k, agrees = 0, guess is not None
-        for s, three in zip(unit, keys):
-            state = (three[1] in held) + 2 * (three[2] in held)
+        for s, both in zip(unit, keys):
+            state = int(both[1] in held)
             for step, (node, bit) in enumerate(path[s]):
                 odds = []
-                for key in three:
+                for key in both:
                     zero, one = seen[key, node] if (key, node) in seen else (0, 0)
                     odds.append(max(-127, min(127, round(math.log((one + m.SMOOTH) / (zero + m.SMOOTH)) * m.SCALE))))
                 agrees = agrees and k < len(told)
