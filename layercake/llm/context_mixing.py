@@ -603,40 +603,36 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     def unigram(c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
 
-    def joined(found: list, name: str, kind: type, rising: bool = False) -> np.ndarray:
-        return np.concatenate([np.zeros(0, kind), *(opened(s[name], kind, rising) for s in found)])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples():
-                texts, learn = chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_)
-                sizes, found = np.frombuffer(r.sizes, np.int64), [] if r.found is None else r.found
-                units = chunk_units(texts, learn)
-                known = Predictions.of(joined(found, "keys", np.uint64, True), joined(found, "size", np.uint8),
-                                       joined(found, "node", np.uint8), joined(found, "odds", np.int8))
-                coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
-                word = np.concatenate([np.zeros(0, np.uint64), *(u.words() for u in units.slices(GROUP))])
-                place = Found.of(joined(found, "words", np.uint64, True))
-                c = np.r_[joined(found, "counts", np.int64), 0][place.at(word)]
-                facts = np.array([word > 0, c > 0, np.where(word > 0, unigram(c), 0)])
-                index, order = Found.of(units.keys), np.argsort(sizes, kind="stable")
-                out = np.zeros((len(texts), 4))
-                for g in groups(sizes[order], SCORED):
-                    at = order[g]
-                    keys, _, _, count = units_of(*layout([texts[i] for i in at]))
-                    unit = index.at(keys)
-                    out[at, :3] = np.add.reduceat(facts[:, unit], np.cumsum(count) - count, axis=1).T
-                    out[at, 3] = score(unit, count, coded, prefixes)
-                out[:, :3] += [1, train_docs > 0, unigram(np.array(train_docs))]
-                yield pd.DataFrame({
-                    "doc_id": list(r.ids), "held_out": ~learn,
-                    "n_tokens": out[:, 0].astype(np.int64), "n_known": out[:, 1].astype(np.int64),
-                    "train_tokens": n, "base_score": out[:, 2], "score": out[:, 3],
-                    "bits_per_byte": -out[:, 3] * np.log2(10) / (sizes + 1)})
-
-    found = counts.groupBy("chunk").agg(F.collect_list(
-        F.struct("keys", "size", "node", "odds", "words", "counts")).alias("found"))
-    return parts.drop("n_train", "freq", "bytes").join(found, "chunk", "left").mapInPandas(
-        run, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-             "base_score double, score double, bits_per_byte double").withColumn(
+    def score_chunk(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        def joined(name: str, kind: type, rising: bool = False) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *(opened(x, kind, rising) for x in found[name])])
+
+        r = part.iloc[0]  # a chunk is one row
+        texts, learn, sizes = chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_), np.frombuffer(r.sizes, np.int64)
+        units = chunk_units(texts, learn)
+        known = Predictions.of(joined("keys", np.uint64, True), joined("size", np.uint8), joined("node", np.uint8),
+                               joined("odds", np.int8))
+        coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
+        word = np.concatenate([np.zeros(0, np.uint64), *(u.words() for u in units.slices(GROUP))])
+        c = np.r_[joined("counts", np.int64), 0][Found.of(joined("words", np.uint64, True)).at(word)]
+        facts = np.array([word > 0, c > 0, np.where(word > 0, unigram(c), 0)])
+        index, order = Found.of(units.keys), np.argsort(sizes, kind="stable")
+        out = np.zeros((len(texts), 4))
+        for g in groups(sizes[order], SCORED):
+            at = order[g]
+            keys, _, _, count = units_of(*layout([texts[i] for i in at]))
+            unit = index.at(keys)
+            out[at, :3] = np.add.reduceat(facts[:, unit], np.cumsum(count) - count, axis=1).T
+            out[at, 3] = score(unit, count, coded, prefixes)
+        out[:, :3] += [1, train_docs > 0, unigram(np.array(train_docs))]
+        return pd.DataFrame({
+            "doc_id": list(r.ids), "held_out": ~learn,
+            "n_tokens": out[:, 0].astype(np.int64), "n_known": out[:, 1].astype(np.int64),
+            "train_tokens": n, "base_score": out[:, 2], "score": out[:, 3],
+            "bits_per_byte": -out[:, 3] * np.log2(10) / (sizes + 1)})
+
+    return parts.select("chunk", "blob", "sizes", "train", "ids").groupBy("chunk").cogroup(
+        counts.drop("v", "n").groupBy("chunk")).applyInPandas(
+        score_chunk, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                     "base_score double, score double, bits_per_byte double").withColumn(
         "doc_id", F.expr("try_cast(doc_id AS BIGINT)"))
