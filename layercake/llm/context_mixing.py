@@ -532,24 +532,26 @@ def unit_counts(units: Units) -> tuple[tuple, np.ndarray, tuple]:
     return pairs, other, _added(*words)
 
 
-def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
-    """(chunk, keys, size, node, odds, words, counts, v, n), a row per chunk and shard: the
-    predictions of the chunk's contexts and the corpus counts of its words in the shard; v and
-    n, in one row of a shard, are its distinct and all training words."""
-    def split(keys: np.ndarray, *columns: np.ndarray) -> list[list[np.ndarray]]:
-        with np.errstate(over="ignore"):
-            shard = (_stir(keys) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(1, shards))
-        return [np.split(c[order], cuts) for c in columns]
+def dealt(shards: int, keys: np.ndarray, *columns: np.ndarray) -> list[list[np.ndarray]]:
+    """Each column in pieces, one per shard of its keys, in the order given."""
+    with np.errstate(over="ignore"):
+        shard = (_stir(keys) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    cuts = np.searchsorted(shard[order], np.arange(1, shards))
+    return [np.split(c[order], cuts) for c in columns]
 
+
+def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
+    """(chunk, shard, keys, size, node, odds, counts, v, n), a row per chunk and shard: the
+    predictions of the chunk's contexts and the corpus counts of its words (sorted) in the
+    shard; v and n, in one row of a shard, are its distinct and all training words."""
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
                 (pairs, n), other, (words, counts) = unit_counts(chunk_units(
                     chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_)))
-                pieces = zip(*split(pairs & ~BYTE, pairs, n.astype(np.int32)), *split(other, other),
-                             *split(words, words, counts.astype(np.int32)))
+                pieces = zip(*dealt(shards, pairs & ~BYTE, pairs, n.astype(np.int32)), *dealt(shards, other, other),
+                             *dealt(shards, words, words, counts.astype(np.int32)))
                 rows = [(r.chunk, k, packed(p, True), packed(n), packed(o, True), packed(w, True), packed(c))
                         for k, (p, n, o, w, c) in enumerate(pieces) if len(p) + len(o) + len(w)]
                 yield pd.DataFrame(rows, columns=["chunk", "shard", "pairs", "n", "other", "words", "counts"])
@@ -569,16 +571,17 @@ def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
             at = np.unique(at[np.r_[keys, np.uint64(0)][at] == mine]) if len(keys) else at[:0]
             entry = scored_places(first[at], first[at] + size[at])
             out.append((packed(keys[at], True), packed(size[at]), packed(node[entry]), packed(odds[entry]),
-                        packed(word, True), packed(total[np.searchsorted(every, word)]), 0, 0))
-        out = pd.DataFrame(out, columns=["keys", "size", "node", "odds", "words", "counts", "v", "n"])
+                        packed(total[np.searchsorted(every, word)]), 0, 0))
+        out = pd.DataFrame(out, columns=["keys", "size", "node", "odds", "counts", "v", "n"])
         out.insert(0, "chunk", pdf["chunk"].to_numpy())
+        out.insert(1, "shard", pdf["shard"].to_numpy())
         out.loc[0, ["v", "n"]] = [int((total > 0).sum()), int(total.sum())]
         return out
 
     return materialize(parts.select("chunk", "blob", "sizes", "train").mapInPandas(
         spread, "chunk long, shard long, pairs binary, n binary, other binary, words binary, counts binary"
     ).groupBy("shard").applyInPandas(
-        add, "chunk long, keys binary, size binary, node binary, odds binary, words binary, counts binary, "
+        add, "chunk long, shard long, keys binary, size binary, node binary, odds binary, counts binary, "
              "v long, n long"), "cm-counts")
 
 
@@ -614,7 +617,10 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                                joined("odds", np.int8))
         coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
         word = np.concatenate([np.zeros(0, np.uint64), *(u.words() for u in units.slices(GROUP))])
-        c = np.r_[joined("counts", np.int64), 0][Found.of(joined("words", np.uint64, True)).at(word)]
+        distinct = np.unique(word[word > 0])
+        pieces = dealt(shards, distinct, distinct)[0]
+        words = np.concatenate([distinct[:0], *(pieces[k] for k in found["shard"])])
+        c = np.r_[joined("counts", np.int64), 0][Found.of(words).at(word)]
         facts = np.array([word > 0, c > 0, np.where(word > 0, unigram(c), 0)])
         index, order = Found.of(units.keys), np.argsort(sizes, kind="stable")
         out = np.zeros((len(texts), 4))
