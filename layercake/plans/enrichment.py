@@ -46,6 +46,11 @@ def load_employee_table(spark: SparkSession, employees: DataFrame, geo: DataFram
     return name
 
 
+def _dated(visits: DataFrame, visit_ts: str) -> DataFrame:
+    return visits.withColumns({"visit_year": year_of(col(visit_ts)),
+                               "visit_month": month_name(col(visit_ts))})
+
+
 def enrich_user_service(
     users: DataFrame, zips: DataFrame, *, pii: Sequence[str] = USER_SERVICE_PII,
     visit_ts: str = "Visit Timestamp", zip_key: str = "Zipcode", dim_zip_key: str = "Zipcode",
@@ -59,9 +64,7 @@ def enrich_user_service(
     dimension fans the visit out, as in the original job, unless ``dedupe_by``
     picks one dimension row per zip."""
     fill = {"City": "Geo_City", "State": "Geo_State"} if fill is None else fill
-    hashed = hash_columns(users, pii, blank="hash")
-    dated = hashed.withColumns({"visit_year": year_of(col(visit_ts)),
-                                "visit_month": month_name(col(visit_ts))})
+    dated = _dated(hash_columns(users, pii, blank="hash"), visit_ts)
     return conform(lookup_fill(dated, zips, zip_key, dim_zip_key, fill, dedupe_by=dedupe_by),
                    output)
 
@@ -69,11 +72,16 @@ def enrich_user_service(
 def load_user_service_table(spark: SparkSession, users: DataFrame, zips: DataFrame,
                             database: str, table: str = "user_service_data", *,
                             fmt: str = "parquet") -> str:
-    """Enrich, ensure database + table partitioned by visit year/month, overwrite."""
+    """Enrich, ensure database + table partitioned by visit year/month, overwrite.
+
+    The raw visits are shuffled by year and month; hashes, zip columns and the rows of zips
+    listed twice come after that.  A zip dimension too big to broadcast costs one more shuffle,
+    as it did before the rebalance, and then more files per month."""
     name = f"{database}.{table}"
     ensure_database(spark, database)
     ensure_table(spark, name, USER_SERVICE_TABLE, USER_SERVICE_PARTITIONS, fmt=fmt)
-    overwrite_table(enrich_user_service(users, zips), name)
+    dated = _dated(users, "Visit Timestamp")
+    overwrite_table(dated, name, finish=lambda visits: enrich_user_service(visits, zips))
     return name
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -75,18 +75,28 @@ def _aligned(spark: SparkSession, df: DataFrame, name: str, fill_missing: bool =
     return (aligned.hint("rebalance", *map(col, parts)) if parts else aligned), parts
 
 
-def overwrite_table(df: DataFrame, name: str, mode: str = "static") -> None:
+def overwrite_table(df: DataFrame, name: str, mode: str = "static", *,
+                    finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K5: INSERT OVERWRITE by name.
 
     ``static`` replaces every row of the table; ``dynamic`` replaces only the
-    partitions present in ``df``.  The source must not read ``name`` itself
-    (Spark refuses to overwrite a table it is reading); a dataset that is
+    partitions present in ``df``.  With ``finish``, ``df`` holds the partition
+    columns and is shuffled by them as it is; ``finish`` then makes the table's
+    columns.  Lookups in broadcast dimensions and hashes belong there: what they
+    add is not shuffled.
+
+    The source must not read ``name`` itself (Spark refuses to overwrite a table it is reading); a dataset that is
     rewritten from itself is kept by :mod:`layercake.sinks.snapshots`.
     """
     if mode not in ("static", "dynamic"):
         raise ValueError("mode must be 'static' or 'dynamic'")
     spark = df.sparkSession
-    aligned, parts = _aligned(spark, df, name)
+    if finish:
+        parts = partition_columns(spark, name)
+        gathered = df.hint("rebalance", *map(col, parts)) if parts else df
+        aligned = conform(finish(gathered), spark.table(name).schema)
+    else:
+        aligned, parts = _aligned(spark, df, name)
     if mode == "static" or not parts:
         aligned.write.insertInto(name, overwrite=True)
         return

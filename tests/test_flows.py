@@ -17,7 +17,7 @@ from layercake.schemas import (COUNTRY_GEO, EMPLOYEE, LANDING, REVERSE_GEOCODE,
 from layercake.sinks import ensure_database, ensure_table, partition_columns
 from layercake.sources import read_csv, read_layer
 
-from .conftest import rows
+from .conftest import plan_text, rows
 from .test_operators import order_tables
 from .test_sources import EMP_CSV, write
 
@@ -150,3 +150,19 @@ def test_geo_dimension_keeps_every_key(spark, scratch):
             .collect()}
     assert len(back) == 195 and "Atlantis" not in back
     assert back["Peru"] == (-10.0, -76.0) and back["Fiji"] == (None, None)
+
+
+def test_user_service_load_shuffles_raw_visits(spark, scratch, db, monkeypatch):
+    from layercake.plans import enrichment
+    seen, real = [], enrichment.enrich_user_service
+    monkeypatch.setattr(enrichment, "enrich_user_service", lambda v, z: real(seen.append(v) or v, z))
+    at = {"Visit Timestamp": "2024-03-05 10:00:00"}
+    users = [at | {"Everest ID": "1", "Email": "a@b", "Zipcode": " 1 "}, at | {"Everest ID": "2", "Zipcode": "9"}]
+    u = read_csv(spark, write(f"{scratch}/users.csv", user_csv(users)), USER_SERVICE)
+    z = spark.createDataFrame([(None, None, city, None, None, "1") for city in ("x", "y")], REVERSE_GEOCODE)
+    name = load_user_service_table(spark, u, z, db)
+    # hashes, dimension columns and fan-out come after the shuffle by partition
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_text(seen[0])
+    got = spark.table(name).select("`Everest ID`", "Email", "City", "visit_year", "visit_month").collect()
+    assert sorted(map(tuple, got)) == [("1", sha("a@b"), "x", 2024, "March"), ("1", sha("a@b"), "y", 2024, "March"),
+                                       ("2", None, None, 2024, "March")]
