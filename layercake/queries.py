@@ -1043,6 +1043,7 @@ USER_SERVICE_TABLE_SQL = _user_service_sql()
 # ---------------------------------------------------------------- W6 W7 from their files
 #: A sender's CSV that keeps padding and the difference of a quoted cell.
 DROP_CSV = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+VISITS_PER_FILE = 100_000
 
 
 def _dropped(df: DataFrame, name: str) -> str:
@@ -1066,7 +1067,10 @@ def q_user_service_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 from CSV: the 66 columns and the zip dimension are files.  An empty cell reads as NULL,
     so an empty e-mail is not hashed here."""
     db = _scratch_db(spark, "user_service_csv")
-    users = _dropped(visits(spark, sf_dir), "user_service_drop")
+    users = scratch_path(spark, "user_service_drop")
+    # 66 columns of text: compressed, and in files that one task each can read
+    (visits(spark, sf_dir).write.options(**DROP_CSV, compression="gzip", maxRecordsPerFile=VISITS_PER_FILE)
+     .csv(users))
     zips = _dropped(zip_table(spark, sf_dir), "zip_drop")
     name = load_user_service_csv(spark, users, zips, db, most_malformed=0,
                                  quarantine=scratch_path(spark, "user_service_quarantine"))

@@ -166,3 +166,15 @@ def test_user_service_load_shuffles_raw_visits(spark, scratch, db, monkeypatch):
     got = spark.table(name).select("`Everest ID`", "Email", "City", "visit_year", "visit_month").collect()
     assert sorted(map(tuple, got)) == [("1", sha("a@b"), "x", 2024, "March"), ("1", sha("a@b"), "y", 2024, "March"),
                                        ("2", None, None, 2024, "March")]
+
+
+def test_user_service_drop_is_compressed(spark):
+    import glob
+
+    from layercake.queries import q_user_service_csv_load
+    from layercake.session import shared_root
+    pattern = f"{shared_root(spark).removeprefix('file:')}/layercake/user_service_drop-*/part-*"
+    before = set(glob.glob(pattern))
+    q_user_service_csv_load(spark, "/root/testdata/sf0.001")
+    new = set(glob.glob(pattern)) - before
+    assert new and all(f.endswith(".csv.gz") for f in new)
