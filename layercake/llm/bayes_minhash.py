@@ -313,11 +313,15 @@ def _between(members: DataFrame, least: list[int], threshold: int, groups: int)
 
 def _mixed(marked: DataFrame, nodes: DataFrame, name: str) -> tuple[DataFrame, int]:
     """The members, with their signatures, of buckets that hold different labels, and how many
-    groups the small buckets share (0: no such bucket)."""
-    mixed = materialize(marked.groupBy("bucket").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"),
-        F.sum(F.col("n_shingles") * 8).alias("bytes")).filter("lo <> hi").select("bucket", "n", "bytes", F.ceil(
-            F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")), name)
+    groups the small buckets share (0: no such bucket).  Of buckets with the same members only
+    that of the first band stays: the others would compare the same pairs again."""
+    held = marked.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.min("band").alias("band"),
+        F.sum(F.col("n_shingles") * 8).alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("members"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("members2")).filter("lo <> hi")
+    once = held.groupBy("n", "bytes", "members", "members2").agg(F.min(F.struct("band", "bucket")).alias("first"))
+    mixed = materialize(once.select("first.bucket", "n", "bytes", F.ceil(
+        F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")), name)
     rows, held = mixed.agg(F.sum("n"), F.sum("bytes")).first()
     met = marked.drop("n_shingles").join(mixed.select("bucket", "blocks"), "bucket").join(
         nodes, "node")

@@ -417,3 +417,14 @@ def test_keep_one_row_of_each_group(spark):
 def test_prune_table_is_safe():
     least = bayes_minhash.prune_table(0.8, 1e-6, 150, 25)
     assert least == sorted(least) and least[-1] < 0.8 * 150
+
+
+def test_buckets_of_the_same_members_are_compared_once(spark):
+    held = {(7, 4): (1, 2), (5, 2): (1, 2), (9, 1): (1, 2, 3), (8, 0): (3, 4)}
+    marked = spark.createDataFrame([(b, band, n, 10, 0 if n > 2 else n) for (b, band), ns in held.items() for n in ns],
+                                   "bucket long, band int, node long, n_shingles long, label long")
+    nodes = spark.createDataFrame([(n, bytes(600)) for n in range(1, 5)], "node long, sig binary")
+    met, groups = bayes_minhash._mixed(marked, nodes, "test-once")
+    # bucket 7 repeats bucket 5 in a later band, bucket 8 holds one label
+    assert sorted((r["bucket"], r["node"]) for r in met.collect()) == [(5, 1), (5, 2), (9, 1), (9, 2), (9, 3)]
+    assert groups == 1
