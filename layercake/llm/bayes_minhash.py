@@ -25,11 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..names import col as named
-from .common import keep_columns, materialize, row_key
+from .common import keep_columns, materialize, row_key, sifted
 
 BANDS, ROWS = 30, 5
 #: Signature values compared per step of the sequential test.
@@ -38,6 +40,8 @@ BATCH = 25
 BLOCK, BLOCK_BYTES = 1024, 2**23
 #: Members of small buckets that are compared in one group of rows, and bytes of their full sets.
 GROUP_ROWS, GROUP_BYTES = 4096, 2**24
+#: Texts that a worker holds as Python objects at once.
+SLICE = 256
 
 
 def hash64(word: bytes) -> int:
@@ -49,9 +53,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_set(text: str | None, k: int, known: dict[bytes, int] | None = None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``k``-word shingles (A-Z lower-cased)."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(text: str | None) -> bytes:
+    """The words, A-Z lower-cased, in UTF-8 and joined by one space."""
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
+
+
+def shingle_set(text: str | bytes | None, k: int, known: dict[bytes, int] | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the ``k``-word shingles of a text or its ``words_of``."""
+    words = (text if isinstance(text, bytes) else words_of(text)).split()
     if not words:
         return np.empty(0, np.uint64)
     known = {} if known is None else known
@@ -186,23 +195,45 @@ def _matrix(sigs: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(sigs), -1)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, items): the full shingle sets of the wanted nodes (node, key of one document)."""
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, int] = {}
-        for pdf in batches:
-            found = [shingle_set(t, k, known) for t in pdf["text"]]
-            yield pd.DataFrame({"node": [node_of(s) for s in found], "items": [s.tobytes() for s in found]})
+def whole_words(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """(node, items): the words of a document of each wanted node (node, key), compressed; they
+    take less room than the shingle sets, which are made of them where they are compared."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(
+                    [packer.compress(words_of(t)) for t in part.column("text").to_pylist()], pa.binary())], ["key", "items"])
+
+    held = sifted(docs.select("key", "text"), "key", wanted.select("key")).mapInArrow(pack, "key long, items binary")
+    return materialize(held.dropDuplicates(["key"]).join(wanted, "key").select("node", "items"), name)
+
 
-    held = docs.join(wanted.select("key"), "key", "left_semi").select("text")
-    return held.mapInPandas(sets, "node long, items binary").dropDuplicates(["node"])
+class Sets:
+    """The full shingle sets of packed words, each made once while it is held."""
 
+    def __init__(self, k: int, most: int = 2**25) -> None:
+        self.k, self.most, self.size = k, most, 0
+        self.known: dict[bytes, int] = {}
+        self.held: dict[bytes, np.ndarray] = {}
+        self.unpacker = zstandard.ZstdDecompressor()
 
-def similar(x: bytes, y: bytes, threshold: int) -> bool:
+    def of(self, packed: bytes) -> np.ndarray:
+        found = self.held.get(packed)
+        if found is None:
+            if self.size > self.most:
+                self.held.clear()
+                self.size = 0
+            found = self.held[packed] = shingle_set(self.unpacker.decompress(packed), self.k, self.known)
+            self.size += found.nbytes + len(packed)
+        return found
+
+
+def similar(p: np.ndarray, q: np.ndarray, threshold: int) -> bool:
     """Whether 100 * intersection >= threshold * union of two full sets."""
-    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y)):
+    if 100 * min(len(p), len(q)) < threshold * max(len(p), len(q)):
         return False
-    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     both = len(np.intersect1d(p, q, assume_unique=True))
     return 100 * both >= threshold * (len(p) + len(q) - both)
 
@@ -212,13 +243,14 @@ def _of_nodes(full: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
     return full.join(materialize(nodes.select("node").distinct(), f"{name}-needed"), "node", "left_semi")
 
 
-def _verify(pairs: DataFrame, full: DataFrame, threshold: int, name: str) -> DataFrame:
+def _verify(pairs: DataFrame, full: DataFrame, k: int, threshold: int, name: str) -> DataFrame:
     """The pairs that are similar on their full sets; no other sets are moved."""
     full = _of_nodes(full, pairs.select(F.explode(F.array("a", "b")).alias("node")), name)
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets = Sets(k)
         for pdf in batches:
-            ok = [similar(x, y, threshold) for x, y in zip(pdf["x"], pdf["y"])]
+            ok = [similar(sets.of(x), sets.of(y), threshold) for x, y in zip(pdf["x"], pdf["y"])]
             yield pdf.loc[ok, ["a", "b"]]
 
     return materialize(
@@ -263,17 +295,25 @@ def _met(node: np.ndarray, label: np.ndarray, own: np.ndarray, r: int, later: bo
     return np.flatnonzero(other)
 
 
+def _first_met(sig: np.ndarray, r: int, c: np.ndarray, band: int) -> np.ndarray:
+    """Which of the rows ``c`` share ``band`` with row ``r`` and none before it."""
+    same = (sig[c] == sig[r]).reshape(len(c), BANDS, ROWS).all(axis=2)
+    return np.flatnonzero(same.argmax(axis=1) == band)
+
+
 def _nearest(members: DataFrame, least: list[int], groups: int) -> DataFrame:
     """(bucket, node, a, b, matches): a node's surviving pair with most matches among other
-    labels, per bucket and part in which it has one."""
+    labels, per bucket and part in which it has one.  A pair counts in the first band it shares:
+    however many buckets two nodes meet in, one of them has rows for it."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for node, label, own, sig, bucket in _parts(pdf, "bucket"):
+        for node, label, own, sig, bucket, band in _parts(pdf, "bucket", "band"):
             for r in range(len(node)):
                 c = _met(node, label, own, r, later=False)
                 alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
-                if len(alive):
-                    x = np.argmax(m)
+                mine = _first_met(sig, r, c[alive], band[0])
+                if len(mine):
+                    x = mine[np.argmax(m[mine])]
                     y = node[c[alive[x]]]
                     out.append((bucket[r], node[r], min(node[r], y), max(node[r], y), m[x]))
         return pd.DataFrame(out, columns=["bucket", "node", "a", "b", "matches"], dtype="int64")
@@ -282,9 +322,9 @@ def _nearest(members: DataFrame, least: list[int], groups: int) -> DataFrame:
         run, "bucket long, node long, a long, b long, matches long")
 
 
-def _between(members: DataFrame, least: list[int], threshold: int, groups: int) -> DataFrame:
+def _between(members: DataFrame, least: list[int], k: int, threshold: int, groups: int) -> DataFrame:
     """(a, b): links that join labels, from all surviving pairs verified on their full sets
-    (items) where they meet.  A pair is left to the first band it shares (band), and goes
+    (made of items) where they meet.  A pair is left to the first band it shares (band), and goes
     unverified only if links of the same part have joined its labels before."""
     def top(joined: dict[int, int], x: int) -> int:
         while x in joined:
@@ -292,18 +332,17 @@ def _between(members: DataFrame, least: list[int], threshold: int, groups: int)
         return x
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, sets = [], Sets(k)
         for node, label, own, sig, items, band in _parts(pdf, "items", "band"):
             joined: dict[int, int] = {}
             for r in range(len(node)):
                 c = _met(node, label, own, r, later=True)
                 alive, m = survives(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least, BATCH)
                 c = c[alive]
-                same = (sig[c] == sig[r]).reshape(len(c), BANDS, ROWS).all(axis=2)
-                mine = np.flatnonzero(same.argmax(axis=1) == band[0])
+                mine = _first_met(sig, r, c, band[0])
                 for y in c[mine[np.argsort(-m[mine], kind="stable")]]:
                     p, q = top(joined, label[r]), top(joined, label[y])
-                    if p != q and similar(items[r], items[y], threshold):
+                    if p != q and similar(sets.of(items[r]), sets.of(items[y]), threshold):
                         joined[max(p, q)] = min(p, q)
                         out.append((node[r], node[y]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -331,31 +370,30 @@ def _mixed(marked: DataFrame, nodes: DataFrame, name: str) -> tuple[DataFrame, i
 def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: float, name: str) -> DataFrame:
     """(node, label): the component of every node that is linked with another one."""
     least = prune_table(threshold / 100, miss, BANDS * ROWS, BATCH)
-    nodes = materialize(sigs.filter("node IS NOT NULL").dropDuplicates(["node"]).select("node", "sig", "n_shingles"),
-                        f"{name}-nodes")
     width = ROWS * 4
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring(F.hex("sig"), b * (2 * width) + 1, F.lit(2 * width))))
-    in_bucket = nodes.select("node", "n_shingles", F.posexplode(bands).alias("band", "bucket"))
-    crowded = materialize(in_bucket.groupBy("bucket").agg(F.min("node").alias("low"), F.count("*").alias("n"))
-                       .filter("n > 1"), f"{name}-buckets")
-    member = materialize(in_bucket.join(crowded, "bucket").select("bucket", "band", "node", "n_shingles", "low"),
-                         f"{name}-members")
+    in_bucket = sigs.filter("node IS NOT NULL").select("node", "n_shingles", F.posexplode(bands).alias("band", "bucket"))
+    crowded = materialize(in_bucket.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                          .filter("low < high").select("bucket", "low"), f"{name}-buckets")
+    # nearly all rows of buckets, signatures and texts that meet no other stay where they are
+    member = materialize(sifted(in_bucket, "bucket", crowded.select("bucket")).distinct().join(crowded, "bucket").select(
+        "bucket", "band", "node", "n_shingles", "low"), f"{name}-members")
     wanted = materialize(sigs.select("node", "key").join(member.select("node").distinct(), "node", "left_semi").groupBy(
         "node").agg(F.min("key").alias("key")), f"{name}-wanted")
-    full = materialize(full_sets(docs, wanted, k), f"{name}-sets")
-    # signatures of nodes that meet no other one are not moved again
-    nodes = materialize(nodes.select("node", "sig").join(wanted, "node", "left_semi"), f"{name}-met")
+    nodes = materialize(sifted(sigs.select("node", "key", "sig"), "key", wanted.select("key")).dropDuplicates(
+        ["key"]).join(wanted.select("key"), "key", "left_semi").select("node", "sig"), f"{name}-met")
+    full = whole_words(docs, wanted, f"{name}-sets")
     # one link per node is enough to join a group: first with the centre (the smallest node of a
     # bucket) that it shares most bands with, then with any other centre for nodes still alone
     shared = materialize(member.filter("node <> low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(
         F.count("*").alias("bands")), f"{name}-star")
     best = shared.groupBy("b").agg(F.max_by("a", F.struct("bands", -F.col("a"))).alias("a")).select("a", "b")
-    linked = _verify(materialize(_screen(best, nodes, least), f"{name}-best"), full, threshold, f"{name}-a")
+    linked = _verify(materialize(_screen(best, nodes, least), f"{name}-best"), full, k, threshold, f"{name}-a")
     alone = shared.select("a", "b").join(linked.select("b"), "b", "left_anti").select("a", "b")
     rest = materialize(_screen(alone, nodes, least).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"),
                        f"{name}-first")
-    linked = materialize(linked.union(_verify(rest, full, threshold, f"{name}-a2")), f"{name}-linked")
+    linked = materialize(linked.union(_verify(rest, full, k, threshold, f"{name}-a2")), f"{name}-linked")
     # then every node's nearest node of another component; then all that still differ
     for turn, nearest in enumerate((True, False)):
         label = components(linked, f"{name}-{turn}")
@@ -367,7 +405,7 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
         found = _nearest(met, least, groups)
         if nearest:
             best = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("s"))
-            found = _verify(materialize(best.select("s.a", "s.b").distinct(), f"{name}-cross"), full, threshold,
+            found = _verify(materialize(best.select("s.a", "s.b").distinct(), f"{name}-cross"), full, k, threshold,
                             f"{name}-b{turn}")
         else:
             # only members with a surviving pair take their full sets along
@@ -375,7 +413,7 @@ def link(sigs: DataFrame, docs: DataFrame, *, k: int, threshold: int, miss: floa
             met, groups = _mixed(marked.join(open_, ["bucket", "node"], "left_semi"), nodes, f"{name}-open-mixed")
             if not groups:
                 break
-            found = _between(met.join(_of_nodes(full, open_, name), "node"), least, threshold, groups)
+            found = _between(met.join(_of_nodes(full, open_, name), "node"), least, k, threshold, groups)
         linked = materialize(linked.union(found), f"{name}-linked")
     return components(linked, f"{name}-end")
 

@@ -10,6 +10,8 @@ from ..session import scratch_path
 
 #: The ASCII white space of the word definition, as a Java regex class body.
 SPACE = r"\x20\x09-\x0D"
+#: Words of 64 bits that the filter of ``sifted`` has at most.
+SIEVE = 1 << 19
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,6 +38,29 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def sifted(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among ``keys`` (a written table of that one column)
+    and a few others, without a shuffle of ``df``.
+
+    A Bloom filter of 16 bits a key, two of them set in one word of 64, is broadcast; beyond
+    ``SIEVE`` words it only lets more other rows pass.  An exact join decides afterwards.
+    """
+    words = min(SIEVE, 1 << max(4, (keys.count() // 4).bit_length()))
+
+    def spot(of: str) -> tuple[Column, Column]:
+        h = F.xxhash64(F.col(of), F.lit(words))
+        bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, k).bitwiseAND(63).cast("int"))
+                for k in (58, 52)]
+        return F.pmod(h, F.lit(words)), bits[0].bitwiseOR(bits[1])
+
+    at, mask = spot(keys.columns[0])
+    sieve = keys.select(at.alias("sieve_at"), mask.alias("mask")).groupBy("sieve_at").agg(
+        F.bit_or("mask").alias("sieve_bits"))
+    at, mask = spot(column)
+    return df.join(F.broadcast(sieve), (at == F.col("sieve_at")) & (
+        mask.bitwiseAND(F.col("sieve_bits")) == mask), "left_semi")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, UPPER, LOWER)
