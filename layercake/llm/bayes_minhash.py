@@ -40,8 +40,8 @@ BATCH = 25
 BLOCK, BLOCK_BYTES = 1024, 2**23
 #: Members of small buckets that are compared in one group of rows, and bytes of their full sets.
 GROUP_ROWS, GROUP_BYTES = 4096, 2**24
-#: Texts that a worker holds as Python objects at once.
-SLICE = 256
+#: Words whose hashes a worker remembers, texts it holds as Python objects at once.
+REMEMBERED, SLICE = 100_000, 256
 
 
 def hash64(word: bytes) -> int:
@@ -64,7 +64,7 @@ def shingle_set(text: str | bytes | None, k: int, known: dict[bytes, int] | None
     if not words:
         return np.empty(0, np.uint64)
     known = {} if known is None else known
-    if len(known) > 500_000:
+    if len(known) > REMEMBERED:
         known.clear()
     for w in set(words).difference(known):
         known[w] = hash64(w)
@@ -134,23 +134,25 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     """key, doc_id, node (a hash of the set, NULL for empty sets), n_shingles, sig."""
     size = BANDS * ROWS
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for pdf in batches:
-            rows, seen = [], {}
-            for key, doc_id, text in zip(pdf["key"], pdf["doc_id"], pdf["text"]):
-                if text not in seen:
-                    s = shingle_set(text, k, known)
-                    seen[text] = (node_of(s), len(s), signature(s, size).tobytes() if len(s) else None)
-                rows.append((key, doc_id, *seen[text]))
-            out = pd.DataFrame(rows, columns=["key", "doc_id", "node", "n_shingles", "sig"])
-            out["node"] = pd.array(list(out["node"]), dtype="Int64")
-            yield out
-
-    # the id passes as text: a long column with NULLs would become floats in pandas
-    return docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        run, "key long, doc_id string, node long, n_shingles long, sig binary").withColumn(
-        "doc_id", F.col("doc_id").cast("long"))
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part, found, seen = batch.slice(at, SLICE), [], {}
+                for text in part.column("text").to_pylist():
+                    if text not in seen:
+                        s = shingle_set(text, k, known)
+                        seen[text] = (node_of(s), len(s), signature(s, size).tobytes() if len(s) else None)
+                    found.append(seen[text])
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("doc_id"), *(
+                    pa.array(x, kind) for x, kind in zip(zip(*found), (pa.int64(), pa.int64(), pa.binary())))],
+                    ["key", "doc_id", "node", "n_shingles", "sig"])
+            batch = part = None
+            pa.default_memory_pool().release_unused()  # else idle workers keep it
+
+    # batches are taken slice by slice, as Arrow: a frame of all texts would hold each of them again
+    return docs.select("key", "doc_id", "text").mapInArrow(
+        run, "key long, doc_id long, node long, n_shingles long, sig binary")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

@@ -12,6 +12,24 @@ def test_sifted_keeps_every_key_and_few_others(spark):
     assert common.sifted(rows, "key", keys.limit(0)).count() == 0
 
 
+def test_remembered_words_are_bounded():
+    known = {}
+    for k in range(300):
+        bayes_minhash.shingle_set(" ".join(f"w{k}x{j}" for j in range(1000)), 2, known)
+    assert len(known) < 110_000
+
+
+def test_signatures_of_many_slices_belong_to_their_rows(spark):
+    rows = [(k if k % 5 else None, k, " ".join(f"w{j}" for j in range(k % 9)) if k % 7 else None) for k in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, key long, text string").coalesce(1)
+    got = {r["key"]: r for r in bayes_minhash.signatures(docs, 2).collect()}
+    assert len(got) == 700
+    for doc_id, key, text in rows:
+        s = bayes_minhash.shingle_set(text, 2)
+        assert (got[key]["doc_id"], got[key]["n_shingles"], got[key]["node"]) == (
+            doc_id, len(s), bayes_minhash.node_of(s))
+        assert (got[key]["sig"] is None) == (len(s) == 0)
+
 
 def test_a_pair_has_rows_in_the_first_band_it_shares_only(spark):
     sigs = {1: bytes(600), 2: bytes(600), 3: b"\1" * 20 + bytes(580)}  # 3 shares all bands but the first
