@@ -13,7 +13,7 @@ The score is the log10 probability of all bits.
 The counts grow with the corpus: every distinct (context, symbol) is kept, contexts of bytes
 exactly and units by 55 bits of their hash.  Contexts depend on a unit and the two bytes before
 it, so a chunk of documents counts and looks up its distinct units only.  It sends pre-added
-counts to shards of the key space and gets back the predictions of its contexts: no task or
+counts to shards of the key space and gets back the sums for its contexts: no task or
 driver holds the whole model.  A chunk and a shard exchange one row; chunks and shards stand
 for a stated number of bytes, and a chunk sends at most as many rows as it has contexts.
 
@@ -29,6 +29,7 @@ results; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -443,12 +444,12 @@ def _texts(blob: bytes, sizes: np.ndarray) -> list[bytes]:
     return [blob[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
 
 
-def packed(values: bytes | np.ndarray, rising: bool = False) -> bytes:
+def packed(values: bytes | np.ndarray, rising: bool = False, level: int = 1) -> bytes:
     """Compressed; rising numbers by their differences, numbers by planes of their bytes."""
     if isinstance(values, np.ndarray):
         values = np.diff(values, prepend=values.dtype.type(0)) if rising else values
         values = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(values)
+    return zstandard.ZstdCompressor(level=level).compress(values)
 
 
 def opened(blob: bytes, kind: type, rising: bool = False) -> np.ndarray:
@@ -460,7 +461,7 @@ def opened(blob: bytes, kind: type, rising: bool = False) -> np.ndarray:
 def chunks(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
     """Documents packed into rows of about CHUNK bytes: chunk, blob, sizes, train, ids."""
     def pack(part: int, k: int, rows: list) -> dict:
-        return {"chunk": [part << 24 | k], "blob": [packed(b"".join(t for t, _, _ in rows))], "sizes": [np.array(
+        return {"chunk": [part << 24 | k], "blob": [packed(b"".join(t for t, _, _ in rows), level=3)], "sizes": [np.array(
             [len(t) for t, _, _ in rows], np.int64).tobytes()], "train": [np.array(
                 [r[1] for r in rows], np.bool_).tobytes()], "ids": [[r[2] for r in rows]],
             "bytes": [sum(len(t) for t, _, _ in rows)], "n_train": [sum(bool(r[1]) for r in rows)], "freq": [np.bincount(np.frombuffer(b"".join(
@@ -541,10 +542,12 @@ def dealt(shards: int, keys: np.ndarray, *columns: np.ndarray) -> list[list[np.n
     return [np.split(c[order], cuts) for c in columns]
 
 
-def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
-    """(chunk, shard, keys, size, node, odds, counts, v, n), a row per chunk and shard: the
-    predictions of the chunk's contexts and the corpus counts of its words (sorted) in the
-    shard; v and n, in one row of a shard, are its distinct and all training words."""
+def corpus_counts(parts: DataFrame, shards: int) -> DataFrame:
+    """(chunk, shard, keys, size, symbol, times, counts, v, n), a row per chunk and shard: the
+    corpus counts (times) of the symbols of the chunk's contexts and of its words (sorted) in
+    the shard; v and n, in one row of a shard, are its distinct and all training words.
+
+    The chunk makes its predictions of the counts: they take less room than the predictions."""
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
@@ -561,8 +564,10 @@ def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
             return [opened(x, kind, rising) for x in pdf[name]]
 
         sent, words = column("pairs", np.uint64, True), column("words", np.uint64, True)
-        keys, size, node, odds = odds_of(*_added(sent, column("n", np.int32)), code)
-        first = np.cumsum(size.astype(np.int64)) - size
+        pairs, times = _added(sent, column("n", np.int32))
+        context = pairs & ~BYTE
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]][:len(context)])
+        keys, size = context[first], np.diff(np.r_[first, len(pairs)])
         every, total = _added(words, column("counts", np.int32))
         out = []
         for pair, other, word in zip(sent, column("other", np.uint64, True), words):
@@ -570,19 +575,20 @@ def corpus_counts(parts: DataFrame, shards: int, code: Code) -> DataFrame:
             at = np.searchsorted(keys, mine)
             at = np.unique(at[np.r_[keys, np.uint64(0)][at] == mine]) if len(keys) else at[:0]
             entry = scored_places(first[at], first[at] + size[at])
-            out.append((packed(keys[at], True), packed(size[at]), packed(node[entry]), packed(odds[entry]),
+            out.append((packed(keys[at], True), packed(size[at].astype(np.uint8)),
+                        packed((pairs[entry] & BYTE).astype(np.uint8)), packed(times[entry]),
                         packed(total[np.searchsorted(every, word)]), 0, 0))
-        out = pd.DataFrame(out, columns=["keys", "size", "node", "odds", "counts", "v", "n"])
+        out = pd.DataFrame(out, columns=["keys", "size", "symbol", "times", "counts", "v", "n"])
         out.insert(0, "chunk", pdf["chunk"].to_numpy())
         out.insert(1, "shard", pdf["shard"].to_numpy())
         out.loc[0, ["v", "n"]] = [int((total > 0).sum()), int(total.sum())]
         return out
 
-    return materialize(parts.select("chunk", "blob", "sizes", "train").mapInPandas(
+    return parts.select("chunk", "blob", "sizes", "train").mapInPandas(
         spread, "chunk long, shard long, pairs binary, n binary, other binary, words binary, counts binary"
     ).groupBy("shard").applyInPandas(
-        add, "chunk long, shard long, keys binary, size binary, node binary, odds binary, counts binary, "
-             "v long, n long"), "cm-counts")
+        add, "chunk long, shard long, keys binary, size binary, symbol binary, times binary, counts binary, "
+             "v long, n long")
 
 
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,
@@ -599,29 +605,25 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     freq[END] = train_docs
     code = Code.of(freq)
     shards = max(1, -(-(facts.bytes or 0) // SHARD), min(facts.chunks, SHARDS))
-    counts = corpus_counts(parts, shards, code)
-    totals = counts.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
-    v, n = (totals.v or 0) + (train_docs > 0), (totals.n or 0) + train_docs
-
-    def unigram(c: np.ndarray) -> np.ndarray:
-        return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+    counts = corpus_counts(parts, shards)
 
     def score_chunk(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         def joined(name: str, kind: type, rising: bool = False) -> np.ndarray:
             return np.concatenate([np.zeros(0, kind), *(opened(x, kind, rising) for x in found[name])])
 
-        r = part.iloc[0]  # a chunk is one row
+        r, empty = part.iloc[0], np.zeros(0, np.uint64)  # a chunk is one row
         texts, learn, sizes = chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_), np.frombuffer(r.sizes, np.int64)
         units = chunk_units(texts, learn)
-        known = Predictions.of(joined("keys", np.uint64, True), joined("size", np.uint8), joined("node", np.uint8),
-                               joined("odds", np.int8))
+        known = Predictions.of(*(np.concatenate(x) for x in zip(odds_of(empty, empty, code), *(
+            odds_of(np.repeat(opened(r.keys, np.uint64, True), opened(r.size, np.uint8)) | opened(r.symbol, np.uint8),
+                    opened(r.times, np.int64), code) for r in found.drop(columns="shard").itertuples(name="Row")))))
         coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
         word = np.concatenate([np.zeros(0, np.uint64), *(u.words() for u in units.slices(GROUP))])
         distinct = np.unique(word[word > 0])
         pieces = dealt(shards, distinct, distinct)[0]
         words = np.concatenate([distinct[:0], *(pieces[k] for k in found["shard"])])
         c = np.r_[joined("counts", np.int64), 0][Found.of(words).at(word)]
-        facts = np.array([word > 0, c > 0, np.where(word > 0, unigram(c), 0)])
+        facts = np.array([word > 0, c > 0, np.where(word > 0, np.log10(c + 0.5), 0)])
         index, order = Found.of(units.keys), np.argsort(sizes, kind="stable")
         out = np.zeros((len(texts), 4))
         for g in groups(sizes[order], SCORED):
@@ -630,15 +632,23 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
             unit = index.at(keys)
             out[at, :3] = np.add.reduceat(facts[:, unit], np.cumsum(count) - count, axis=1).T
             out[at, 3] = score(unit, count, coded, prefixes)
-        out[:, :3] += [1, train_docs > 0, unigram(np.array(train_docs))]
+        out[:, :3] += [1, train_docs > 0, np.log10(train_docs + 0.5)]
+        v, n = np.zeros((2, len(texts)), np.int64)
+        v[0], n[0] = found["v"].sum(), found["n"].sum()  # every row of the counts reaches one chunk
         return pd.DataFrame({
             "doc_id": list(r.ids), "held_out": ~learn,
             "n_tokens": out[:, 0].astype(np.int64), "n_known": out[:, 1].astype(np.int64),
-            "train_tokens": n, "base_score": out[:, 2], "score": out[:, 3],
+            "v": v, "n": n, "counts": out[:, 2], "score": out[:, 3],
             "bits_per_byte": -out[:, 3] * np.log2(10) / (sizes + 1)})
 
-    return parts.select("chunk", "blob", "sizes", "train", "ids").groupBy("chunk").cogroup(
-        counts.drop("v", "n").groupBy("chunk")).applyInPandas(
-        score_chunk, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                     "base_score double, score double, bits_per_byte double").withColumn(
-        "doc_id", F.expr("try_cast(doc_id AS BIGINT)"))
+    # the corpus totals are needed in the end only: the counts are not written before they are sent
+    scores = materialize(parts.select("chunk", "blob", "sizes", "train", "ids").groupBy("chunk").cogroup(
+        counts.groupBy("chunk")).applyInPandas(
+        score_chunk, "doc_id string, held_out boolean, n_tokens long, n_known long, v long, n long, "
+                     "counts double, score double, bits_per_byte double"), "cm-scores")
+    totals = scores.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
+    v, n = (totals.v or 0) + (train_docs > 0), (totals.n or 0) + train_docs
+    return scores.select(
+        F.expr("try_cast(doc_id AS BIGINT)").alias("doc_id"), "held_out", "n_tokens", "n_known",
+        F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("counts") - F.col("n_tokens") * math.log10(n + 0.5 * (v + 1))).alias("base_score"), "score", "bits_per_byte")

@@ -1,6 +1,6 @@
 """What the near-duplicate and language-model operators move, write and hold."""
 
-from layercake.llm import bayes_minhash, common
+from layercake.llm import bayes_minhash, common, context_mixing
 
 
 def test_sifted_keeps_every_key_and_few_others(spark):
@@ -48,3 +48,16 @@ def test_packed_words_give_the_full_set_of_one_row_a_node(spark):
     (row,) = bayes_minhash.whole_words(docs, wanted, "test-words").collect()
     found = bayes_minhash.Sets(2).of(bytes(row["items"]))
     assert row["node"] == 77 and found.tolist() == bayes_minhash.shingle_set("a b c d", 2).tolist()
+
+
+def test_counts_are_sent_and_not_written(spark, odd_docs, monkeypatch):
+    written = []
+
+    def noted(df, name):
+        written.append(name)
+        return common.materialize(df, name)
+
+    monkeypatch.setattr(context_mixing, "materialize", noted)
+    rows = context_mixing.lm_scores(odd_docs).collect()
+    assert len(rows) == odd_docs.count() and len({r["train_tokens"] for r in rows}) == 1
+    assert written == ["cm-chunks", "cm-scores"]
