@@ -61,3 +61,11 @@ def test_counts_are_sent_and_not_written(spark, odd_docs, monkeypatch):
     rows = context_mixing.lm_scores(odd_docs).collect()
     assert len(rows) == odd_docs.count() and len({r["train_tokens"] for r in rows}) == 1
     assert written == ["cm-chunks", "cm-scores"]
+
+
+def test_a_text_without_words_costs_its_batch_no_link(spark):
+    words = [f"w{j}" for j in range(60)]
+    rows = [(k, " ".join([*words[:k], f"x{k}", *words[k + 1:]])) for k in (10, 30)] + [(5, None), (6, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in bayes_minhash.near_duplicates(docs, shingle_words=2).collect()}
+    assert got == {10: 10, 30: 10, 5: 5, 6: 6}
