@@ -43,8 +43,10 @@ from pyspark.sql import functions as F
 from ..names import col as named
 from .common import id_crc, materialize
 
-#: Bytes of text per chunk row, per shard of the counts, and counted or scored at once.
-CHUNK, SHARD, GROUP, SCORED = 16 << 20, 64 << 20, 1 << 20, 256 << 10
+#: Bytes of text per chunk row, per shard of the counts, and counted, scored or coded at once.
+CHUNK, SHARD, GROUP, SCORED, CODED = 16 << 20, 64 << 20, 256 << 10, 256 << 10, 512 << 10
+#: Keys that a chunk gathers before it adds those that are equal.
+GATHERED = 1 << 20
 #: Shards that small inputs are dealt to, where they have as many chunks.
 SHARDS = 64
 END = 0xFF  # in no UTF-8 text
@@ -115,7 +117,17 @@ def _stir(x: np.ndarray) -> np.ndarray:
 
 def scored_places(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     sizes = stop - start
-    return np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    return np.repeat(start - np.cumsum(sizes, dtype=start.dtype) + sizes, sizes) + np.arange(sizes.sum(), dtype=start.dtype)
+
+
+def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``data``, one after the other; their places are listed slice by slice."""
+    out, at = np.empty(int(size.sum()), data.dtype), 0
+    for g in groups(size, GROUP):
+        part = data[scored_places(start[g], start[g] + size[g])]
+        out[at:at + len(part)] = part
+        at += len(part)
+    return out
 
 
 @dataclass
@@ -136,7 +148,7 @@ class Units:
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         start = (np.cumsum(size) - size)[first]
         return Units(distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64), size[first],
-                     data[scored_places(start, start + size[first])])
+                     gathered(data, start, size[first]))
 
     def slices(self, limit: int) -> Iterator[Units]:
         ends = np.r_[0, np.cumsum(self.size)]
@@ -149,10 +161,14 @@ class Units:
         start, some = stop - self.size + BEFORE, self.size > BEFORE + 1
         return np.where(some, span_hashes(self.data, start, stop - 1) | np.uint64(1), np.uint64(0))
 
+    def spans(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where every unit begins, after the bytes before it, and stops."""
+        stop = np.cumsum(self.size)
+        return stop - self.size + BEFORE, stop
+
     def contexts(self) -> tuple[np.ndarray, list[np.ndarray]]:
         """Every symbol of every unit and the keys of its contexts; their low 8 bits are free."""
-        stop = np.cumsum(self.size)
-        start = stop - self.size + BEFORE
+        start, stop = self.spans()
         place = scored_places(start, stop)
         begin = np.repeat(start, stop - start)
         seen = place - begin + BEFORE
@@ -309,24 +325,28 @@ class Coded:
 
     @staticmethod
     def of(units: Units, known: Predictions, code: Code) -> Coded:
-        sizes, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        for part in units.slices(2 * SCORED):
+        size, at = np.zeros(len(units.size), np.int64), 0
+        for part in units.slices(GROUP):
+            symbols = part.data[scored_places(*part.spans())]
+            size[at:at + len(part.size)] = np.add.reduceat(
+                code.length[symbols], np.cumsum(part.size - BEFORE) - part.size + BEFORE)
+            at += len(part.size)
+        # the bits of all units are the largest array of a chunk: they are filled in, never copied
+        bits, done = np.zeros((int(size.sum()), 4), np.int8), 0
+        for part in units.slices(CODED):
             symbols, keys = part.contexts()
             table, rows = known.table(keys)
             n = code.length[symbols]
-            step = scored_places(code.first[symbols], code.first[symbols] + n)
-            sign = np.where(code.bit[step] > 0, 1, -1).astype(np.int8)
-            row = np.zeros((len(step), 4), np.int8)
-            node = code.node[step]
+            step = scored_places(code.first[symbols].astype(np.int32), (code.first[symbols] + n).astype(np.int32))
+            sign, node = code.bit[step] * np.int8(2) - np.int8(1), code.node[step]
+            row = bits[done:done + len(step)]
             for k, r in enumerate(rows):
                 np.multiply(table.take(np.repeat(r, n) + node), sign, out=row[:, k])
             state = (rows[1] > 0) * np.int8(STEPS)
-            place = np.arange(len(step), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
+            place = step - np.repeat(code.first[symbols].astype(np.int32), n)
             row[:, 3] = np.repeat(state, n) + np.minimum(place, STEPS - 1)
-            bits.append(row.view(np.uint32).ravel())
-            sizes.append(np.add.reduceat(n, np.cumsum(part.size - BEFORE) - part.size + BEFORE))
-        size = np.concatenate(sizes)
-        return Coded(np.cumsum(size) - size, size, np.concatenate(bits))
+            done += len(step)
+        return Coded(np.cumsum(size) - size, size, bits.view(np.uint32).ravel())
 
 
 @dataclass
@@ -341,7 +361,7 @@ class Prefixes:
     def of(units: Units, code: Code) -> Prefixes:
         start = np.cumsum(units.size) - units.size + BEFORE
         size = units.size - BEFORE
-        head, bits = np.zeros((8, len(size)), np.uint8), np.zeros((9, len(size)), np.int32)
+        head, bits = np.zeros((8, len(size)), np.uint8), np.zeros((9, len(size)), np.int16)
         for k in range(8):
             has = size > k
             head[k, has] = units.data[start[has] + k]
@@ -429,14 +449,11 @@ def score(unit: np.ndarray, count: np.ndarray, coded: Coded, prefixes: Prefixes)
 
 def groups(sizes: np.ndarray, limit: int) -> Iterator[slice]:
     """Consecutive runs of about ``limit`` bytes, each text counted with 16 more."""
-    at, room = 0, limit
-    for i, n in enumerate(sizes):
-        room -= n + 16
-        if room <= 0:
-            yield slice(at, i + 1)
-            at, room = i + 1, limit
-    if at < len(sizes):
-        yield slice(at, len(sizes))
+    ends, at = np.cumsum(np.asarray(sizes, np.int64) + 16), 0
+    while at < len(ends):
+        stop = min(int(np.searchsorted(ends, limit + (ends[at - 1] if at else 0))) + 1, len(ends))
+        yield slice(at, stop)
+        at = stop
 
 
 def _texts(blob: bytes, sizes: np.ndarray) -> list[bytes]:
@@ -515,7 +532,7 @@ def chunk_units(texts: list[bytes], learn: np.ndarray) -> Units:
 def unit_counts(units: Units) -> tuple[tuple, np.ndarray, tuple]:
     """The pairs of context and symbol in training texts with counts, the contexts that only
     other texts hold, and all words with their counts in training texts."""
-    pairs, others, words = ([], []), [], ([], [])
+    pairs, others, words, room = ([], []), [], ([], []), GATHERED
     for part in units.slices(GROUP):
         symbols, keys = part.contexts()
         n = np.repeat(part.counts, part.size - BEFORE)
@@ -525,6 +542,9 @@ def unit_counts(units: Units) -> tuple[tuple, np.ndarray, tuple]:
             pairs[0].append(found[0])
             pairs[1].append(found[1])
             others.append(np.unique(key[~use]))
+            room -= len(found[0])
+        if room <= 0:
+            pairs, room = tuple([x] for x in _added(*pairs)), GATHERED
         word = part.words()
         words[0].append(word[word > 0])
         words[1].append(part.counts[word > 0])
@@ -614,10 +634,14 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         r, empty = part.iloc[0], np.zeros(0, np.uint64)  # a chunk is one row
         texts, learn, sizes = chunk_texts(r.blob, r.sizes), np.frombuffer(r.train, np.bool_), np.frombuffer(r.sizes, np.int64)
         units = chunk_units(texts, learn)
-        known = Predictions.of(*(np.concatenate(x) for x in zip(odds_of(empty, empty, code), *(
-            odds_of(np.repeat(opened(r.keys, np.uint64, True), opened(r.size, np.uint8)) | opened(r.symbol, np.uint8),
-                    opened(r.times, np.int64), code) for r in found.drop(columns="shard").itertuples(name="Row")))))
-        coded, prefixes = Coded.of(units, known, code), Prefixes.of(units, code)
+
+        def known() -> Predictions:
+            return Predictions.of(*(np.concatenate(x) for x in zip(odds_of(empty, empty, code), *(
+                odds_of(np.repeat(opened(r.keys, np.uint64, True), opened(r.size, np.uint8)) | opened(r.symbol, np.uint8),
+                        opened(r.times, np.int64), code) for r in found.drop(columns="shard").itertuples(name="Row")))))
+
+        # the predictions go once the units are coded, before the texts are scored
+        coded, prefixes = Coded.of(units, known(), code), Prefixes.of(units, code)
         word = np.concatenate([np.zeros(0, np.uint64), *(u.words() for u in units.slices(GROUP))])
         distinct = np.unique(word[word > 0])
         pieces = dealt(shards, distinct, distinct)[0]

@@ -1,5 +1,10 @@
 """What the near-duplicate and language-model operators move, write and hold."""
 
+import random
+import tracemalloc
+
+import numpy as np
+
 from layercake.llm import bayes_minhash, common, context_mixing
 
 
@@ -69,3 +74,31 @@ def test_a_text_without_words_costs_its_batch_no_link(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = {r["doc_id"]: r["component_id"] for r in bayes_minhash.near_duplicates(docs, shingle_words=2).collect()}
     assert got == {10: 10, 30: 10, 5: 5, 6: 6}
+
+
+def test_coded_bits_of_a_chunk_are_held_once(monkeypatch):
+    cm = context_mixing
+    monkeypatch.setattr(cm, "SCORED", 8 << 10)
+    monkeypatch.setattr(cm, "CODED", 16 << 10, raising=False)
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(100)).encode() for _ in range(1000)]
+    units = cm.chunk_units(texts, np.ones(len(texts), bool))
+    (pairs, counts), _, _ = cm.unit_counts(units)
+    code = cm.Code.of(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256))
+    known = cm.Predictions.of(*cm.odds_of(pairs, counts, code))
+    tracemalloc.start()
+    try:
+        size = cm.Coded.of(units, known, code).bits.nbytes
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert size > 12e6 and peak < 2 * size
+
+
+def test_gathered_stretches_are_those_of_one_gather(monkeypatch):
+    monkeypatch.setattr(context_mixing, "GROUP", 64)
+    data = np.arange(1000, dtype=np.int16)
+    start, size = np.array([900, 0, 5, 5, 300]), np.array([100, 0, 3, 90, 1])
+    assert context_mixing.gathered(data, start, size).tolist() == [
+        x for a, n in zip(start, size) for x in range(a, a + n)]
+    assert not len(context_mixing.gathered(data, start[:0], size[:0]))
