@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], **kinds: pa.DataType) -> DataFrame:
+    """Rows of the driver as a frame with the named columns.
+
+    They go as Arrow, which the JVM reads: a list of tuples would be unpickled by Python workers,
+    which stay on every executor, idle, beside those of the operators.
+    """
+    values = list(zip(*rows)) or [()] * len(kinds)
+    return spark.createDataFrame(pa.table({n: pa.array(v, k) for (n, k), v in zip(kinds.items(), values)}))
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """``df`` (a written table) marked for broadcast if it has at most ``rows`` rows; beyond
     that the planner chooses and may shuffle."""

@@ -17,13 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from ..names import col as named
-from .common import keep_columns, materialize, row_key, split_words
+from .common import keep_columns, local_rows, materialize, row_key, split_words
 
 #: Documents per packing bucket: the unit of the two-level prefix sum.
 BUCKET_DOCS = 1024
@@ -110,6 +111,11 @@ def _permuted(index: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
     return pd.Series(permute(index.to_numpy(), n.to_numpy(), key.to_numpy()))
 
 
+# else the planner calls it a second time, in a filter for blocks that are not NULL, and every
+# task holds two Python workers
+_permuted = _permuted.asNondeterministic()
+
+
 def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFrame:
     """Each document's start in its source's sequence of words.
 
@@ -167,8 +173,8 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         slots = int(passes) * blocks + min(blocks, round(rest / block))
         sources.append({"src": i, "source": name, "source_size": size, "target": goal[i],
                         "block": block, "blocks": blocks, "slots": slots})
-    names = spark.createDataFrame([(s["src"], s["source"], s["block"], s["blocks"]) for s in sources],
-                                  "src int, source_name string, block_len int, blocks long")
+    names = local_rows(spark, [(s["src"], s["source"], s["block"], s["blocks"]) for s in sources],
+                       src=pa.int32(), source_name=pa.string(), block_len=pa.int32(), blocks=pa.int64())
     spans = materialize(pack(sized, names, sum(r[2] for r in per_source), seed), "mix-spans")
 
     # whole blocks of a source, cut into the parts that each document holds
@@ -182,10 +188,8 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
              .select("src", "block", "doc_id", "start", (first - F.col("start")).alias("first_word"),
                      (end - first).alias("n_words")))
 
-    schema = StructType([StructField("shard", IntegerType()), StructField("src", IntegerType()),
-                         StructField("first", LongType()), StructField("n", LongType())])
-    plan = spark.createDataFrame(
-        draw_shards([s["slots"] for s in sources], shards, seed), schema)
+    plan = local_rows(spark, draw_shards([s["slots"] for s in sources], shards, seed),
+                      shard=pa.int32(), src=pa.int32(), first=pa.int64(), n=pa.int64())
     # a stated number of tasks: without one the few plan rows are merged into one before they expand
     tasks = max(1, math.ceil(sum(s["slots"] for s in sources) / SLOT_TASK))
     slots = (plan.withColumn("run", F.explode(F.expr(f"sequence(0L, n - 1, {SLOT_RUN}L)")))
@@ -205,9 +209,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def taken_per_document(mix: Mix) -> DataFrame:
     """doc_id, key, src, size, source_size, target, taken: the mix summed up by document."""
     spark = mix.spans.sparkSession
-    table = F.broadcast(spark.createDataFrame(
-        [(s["src"], s["source_size"], float(s["target"])) for s in mix.sources],
-        "src int, source_size long, target double"))
+    table = F.broadcast(local_rows(
+        spark, [(s["src"], s["source_size"], float(s["target"])) for s in mix.sources],
+        src=pa.int32(), source_size=pa.int64(), target=pa.float64()))
     taken = mix.pieces.groupBy(F.col("src").alias("in_src"), F.col("start").alias("at")).agg(
         F.sum("n_words").alias("words"))
     has_words: Column = F.col("size") > 0  # (src, start) names a document that has words
@@ -228,8 +232,8 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     digest = taken_per_document(mix).groupBy("key", "src").agg(
         F.max("size").alias("m_size"), F.max("source_size").alias("m_source_size"),
         F.max("target").alias("m_target"), F.avg("taken").cast("long").alias("m_taken"))
-    names = docs.sparkSession.createDataFrame([(s["src"], s["source"]) for s in mix.sources],
-                                              "m_src int, m_source string")
+    names = local_rows(docs.sparkSession, [(s["src"], s["source"]) for s in mix.sources],
+                       m_src=pa.int32(), m_source=pa.string())
     taken = materialize(digest.join(F.broadcast(names), F.col("src") == F.col("m_src"))
                         .withColumnRenamed("key", "m_key").drop("src", "m_src"), "mix-digest")
     rows = docs.select(keep_columns(docs), row_key(id_col, text_col).alias("key"),

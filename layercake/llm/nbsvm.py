@@ -20,11 +20,11 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -33,8 +33,8 @@ from ..names import col as named
 from .common import id_crc, materialize
 
 BITS = 20
-#: Words whose numbers a task remembers.
-REMEMBERED = 100_000
+#: Words whose numbers a task remembers, texts it holds as Python objects at once.
+REMEMBERED, SLICE = 100_000, 256
 #: Shares of the words from which a shape counts as a level of its own.
 LEVELS = (0.02, 0.1, 0.3, 0.6)
 RUNS = re.compile(r"(.)\1+", re.S)
@@ -80,6 +80,13 @@ def features(text: str | None, known: dict[str, int]) -> np.ndarray:
     return np.unique(np.r_[np.int32(0), hashed.astype(np.int32)])
 
 
+def slices(batches: Iterable) -> Iterator:
+    """Arrow batches or arrays, SLICE rows at a time: so many texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.slice(at, SLICE)
+
+
 @dataclass
 class Model:
     """``weight`` per feature (log-count ratio times model weight), ``ratio``, logistic a, b."""
@@ -177,15 +184,16 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     rows = docs.select(named(id_col).alias("doc_id"), named(text_col).alias("text")).join(
         F.broadcast(picked), F.col("doc_id") == F.col("label_id")).select("label_id", "label", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["label_id"], "label": pdf["label"], "ids": [
-                features(t, known).astype(np.int32).tobytes() for t in pdf["text"]]})
+        for part in slices(batches):
+            label_id, label, texts = part.columns
+            ids = pa.array([features(t, known).tobytes() for t in texts.to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([label_id.cast(pa.int64()), label.cast(pa.int32()), ids], ["id", "label", "ids"])
 
     # written in parallel, then read file by file: the driver holds the features once, in one
     # array; the order of the rows is that of (id, label, content)
-    found = materialize(rows.mapInPandas(run, "id long, label int, ids binary"), "nb-sample")
+    found = materialize(rows.mapInArrow(run, "id long, label int, ids binary"), "nb-sample")
     flat, spans = array("i"), []
     for r in found.toLocalIterator():
         spans.append((r.id, r.label, zlib.crc32(r.ids), len(flat), len(flat) + len(r.ids) // 4))
@@ -198,13 +206,14 @@ def score_column(model: Model, text: Column, spark) -> Column:
     """The score of a text column; the model has a fixed size and is broadcast."""
     shared = spark.sparkContext.broadcast((model.weight, model.ratio, model.a, model.b))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, model = {}, Model(*shared.value)
         for texts in batches:
-            yield pd.Series([model.score(features(t, known)) for t in texts], dtype="float64")
+            scores = [model.score(features(t, known)) for part in slices([texts]) for t in part.to_pylist()]
+            yield pa.array(scores, pa.float64())
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, DoubleType())(F.coalesce(text, F.lit("")))
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, DoubleType())(F.coalesce(text, F.lit("")))
 
 
 def scored(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

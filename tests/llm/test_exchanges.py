@@ -4,8 +4,9 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
-from layercake.llm import bayes_minhash, common, context_mixing
+from layercake.llm import bayes_minhash, common, context_mixing, mix_weights, nbsvm
 
 
 def test_sifted_keeps_every_key_and_few_others(spark):
@@ -102,3 +103,24 @@ def test_gathered_stretches_are_those_of_one_gather(monkeypatch):
     assert context_mixing.gathered(data, start, size).tolist() == [
         x for a, n in zip(start, size) for x in range(a, a + n)]
     assert not len(context_mixing.gathered(data, start[:0], size[:0]))
+
+
+def test_rows_of_the_driver_need_no_python_worker(spark, odd_docs):
+    docs = common.materialize(odd_docs, "test-docs")
+    mix = mix_weights.mix_sources(docs)
+    for df in (mix.pieces, mix_weights.taken_per_document(mix), mix_weights.mixed_documents(docs)):
+        plan = df._jdf.queryExecution().toString()
+        assert "LocalTableScan" in plan or "LocalRelation" in plan or "Scan parquet" in plan
+        assert "ExistingRDD" not in plan  # rows that Python workers unpickle
+    assert mix.pieces._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    kinds = {"a": pa.int32(), "b": pa.string()}
+    assert [tuple(r) for r in common.local_rows(spark, [(1, None), (2, "é")], **kinds).collect()] == [(1, None), (2, "é")]
+    assert common.local_rows(spark, [], **kinds).dtypes == [("a", "int"), ("b", "string")]
+    assert not common.local_rows(spark, [], **kinds).collect()
+
+
+def test_classifier_takes_texts_slice_by_slice(monkeypatch):
+    monkeypatch.setattr(nbsvm, "SLICE", 3)
+    rows = pa.record_batch({"x": list(range(8))})
+    assert [p.num_rows for p in nbsvm.slices([rows, rows.slice(0, 0)])] == [3, 3, 2]
+    assert [p.to_pylist() for p in nbsvm.slices([pa.array([1, None, 3, 4])])] == [[1, None, 3], [4]]
