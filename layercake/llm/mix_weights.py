@@ -201,7 +201,8 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                  F.expr("slot % blocks"), F.col("blocks"),
                  F.expr(f"(src * 1048576L + slot div blocks) * 1000003L + {seed}")))
              .select("shard", "src", "slot", "block"))
-    pieces = slots.join(parts, ["src", "block"]).select(
+    # the planner takes rows that expand for the few they come from and would broadcast all slots
+    pieces = slots.hint("merge").join(parts, ["src", "block"]).select(
         "shard", "slot", "src", "block", "doc_id", "start", "first_word", "n_words")
     return Mix(sources, spans, pieces)
 

@@ -8,6 +8,8 @@ import pyarrow as pa
 
 from layercake.llm import bayes_minhash, common, context_mixing, mix_weights, nbsvm
 
+from ..conftest import plan_text, session_conf
+
 
 def test_sifted_keeps_every_key_and_few_others(spark):
     keys = common.materialize(spark.range(0, 40_000, 7).withColumnRenamed("id", "key"), "test-keys")
@@ -119,6 +121,14 @@ def test_rows_of_the_driver_need_no_python_worker(spark, odd_docs):
     assert not common.local_rows(spark, [], **kinds).collect()
 
 
+def test_slots_of_few_sources_are_not_broadcast(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat('word ', 40) AS text", "'a' AS source")
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "10m"}):
+        plan = plan_text(mix_weights.mix_sources(docs).pieces)
+    joins = [line for line in plan.split("\n") if "Join" in line.split("(")[0]]
+    assert joins and "SortMergeJoin" in joins[0]
+
+
 def test_classifier_takes_texts_slice_by_slice(monkeypatch):
     monkeypatch.setattr(nbsvm, "SLICE", 3)
     rows = pa.record_batch({"x": list(range(8))})
