@@ -8,11 +8,13 @@ source is mapped through that source's pseudorandom permutation of block indexes
 Edge cases: NULL or word-free texts have size 0 and are in no block; a NULL source
 is a source of its own, ordered last; repeated rows are packed one after another
 (each is a document); an empty table gives an empty mix; extra columns are ignored.
+There may be as many sources as documents: they stay in tables, the driver holds sums.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,53 +34,84 @@ BUCKET_DOCS = 1024
 SLOT_RUN = 8192
 #: Slots made by one task, and documents numbered by one.
 SLOT_TASK, DOC_TASK = 65_536, 100_000
+#: Groups of neighbouring sources to which the driver deals shards; up to as many sources, each is one.
+GROUPS = 1024
+#: Sources whose groups one task deals out, and sources sent to every executor instead of shuffled.
+SOURCE_TASK, SENT_SOURCES = 8192, 10_000
 
 
 @dataclass
 class Mix:
-    """``sources``: list of dicts (src, source, source_size, target, block, blocks, slots);
-    ``spans``: one row per document (row id columns, src, size, start);
+    """``source_rows``: one row per source, ``n_sources`` of them
+    (src, source, source_size, target, block, blocks, slots);
+    ``spans``: one row per document (row id columns, src, size, start and, of its source,
+    block_len, source_size, target);
     ``pieces``: one row per document part of every slot
     (shard, slot, src, block, doc_id, start, first_word, n_words)."""
 
-    sources: list[dict]
+    source_rows: DataFrame
+    n_sources: int
     spans: DataFrame
     pieces: DataFrame
 
+    @property
+    def sources(self) -> Iterator[dict]:
+        """The sources as dicts, of which the driver holds a partition at a time."""
+        return (r.asDict() for r in self.source_rows.toLocalIterator())
 
-def targets(sizes: list[int], weights: list[float], share: float, cap: float) -> list[float]:
+
+def targets(sizes: Sequence[int], weights: Sequence[float], share: float, cap: float,
+            counts: Sequence[int] | None = None) -> list[float]:
     """``share`` of all sizes dealt by weight; a source stops at ``cap`` times its size and
-    the excess is dealt again by weight until none is above."""
-    total = share * sum(sizes)
-    out = [0.0] * len(sizes)
-    open_ = [i for i, n in enumerate(sizes) if n > 0]
-    while open_ and total > 0:
-        unit = total / sum(weights[i] for i in open_)
-        over = [i for i in open_ if unit * weights[i] > cap * sizes[i]]
-        for i in over or open_:
-            out[i] = cap * sizes[i] if over else unit * weights[i]
-        if not over:
+    the excess is dealt again by weight until none is above.
+
+    ``counts``: for how many sources each size and weight stands, one if not given.
+    """
+    size, weight = np.asarray(sizes, dtype=np.int64), np.asarray(weights, dtype=np.float64)
+    n = np.ones_like(size) if counts is None else np.asarray(counts, dtype=np.int64)
+    total = share * int((size * n).sum())
+    out, open_ = np.zeros(len(size)), size > 0
+    while open_.any() and total > 0:
+        unit = total / math.fsum((weight * n)[open_])
+        over = open_ & (unit * weight > cap * size)
+        if not over.any():
+            out[open_] = unit * weight[open_]
             break
-        total -= sum(out[i] for i in over)
-        open_ = [i for i in open_ if i not in set(over)]
-    return out
+        out[over] = cap * size[over]
+        total -= math.fsum((out * n)[over])
+        open_ &= ~over
+    return out.tolist()
 
 
-def draw_shards(slots: list[int], shards: int, seed: int) -> list[tuple[int, int, int, int]]:
-    """(shard, src, first slot, n): each shard draws a multinomial over the slots the
-    sources still owe, so the totals end exactly at ``slots``."""
-    rng, left = np.random.default_rng(seed), np.array(slots, dtype=np.int64)
-    first, rows = np.zeros_like(left), []
-    total = int(left.sum())
+def shard_sizes(total: int, shards: int) -> list[int]:
+    """``total`` slots cut into shards that differ by one at most."""
     edges = [total * s // shards for s in range(shards + 1)]
-    for shard in range(shards):
-        want, got = edges[shard + 1] - edges[shard], np.zeros_like(left)
+    return [b - a for a, b in zip(edges, edges[1:])]
+
+
+def draw_shards(slots: Sequence[int], sizes: Sequence[int], seed: int | list[int]) -> np.ndarray:
+    """Per source its first slot in every shard, and the end: each shard of ``sizes`` draws a
+    multinomial over the slots the sources still owe, so the totals end exactly at ``slots``."""
+    rng, left = np.random.default_rng(seed), np.array(slots, dtype=np.int64)
+    cuts = np.zeros((len(left), len(sizes) + 1), dtype=np.int64)
+    for shard, size in enumerate(sizes):
+        want, got = int(size), np.zeros_like(left)
         while want > 0:
             draw = np.minimum(rng.multinomial(want, left / left.sum()), left)
             left, got, want = left - draw, got + draw, want - int(draw.sum())
-        rows += [(shard, int(i), int(first[i]), int(got[i])) for i in np.flatnonzero(got)]
-        first += got
-    return rows
+        cuts[:, shard + 1] = cuts[:, shard] + got
+    return cuts
+
+
+def group_dealer(sizes: np.ndarray, seed: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    """Deals the slots that a group has in every shard (a row of ``sizes``) to its sources."""
+    def deal(key: tuple, rows: pa.Table) -> pa.Table:
+        group, rows = key[0].as_py(), rows.sort_by("src")
+        cuts = draw_shards(rows["slots"].to_numpy(), sizes[group], [seed, group])
+        ends = np.arange(len(cuts) + 1, dtype=np.int32) * cuts.shape[1]
+        return pa.table({"src": rows["src"], "blocks": rows["blocks"],
+                         "cuts": pa.ListArray.from_arrays(ends, cuts.ravel())})
+    return deal
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -107,8 +140,11 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(LongType())
-def _permuted(index: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-    return pd.Series(permute(index.to_numpy(), n.to_numpy(), key.to_numpy()))
+def _permuted(slot: pd.Series, blocks: pd.Series, src: pd.Series, seed: pd.Series) -> pd.Series:
+    turn, index = np.divmod(slot.to_numpy(), blocks.to_numpy())
+    # arrays wrap around where SQL would fail, which products of many sources reach
+    key = (src.to_numpy().astype(np.int64) * 1048576 + turn) * 1000003 + seed.to_numpy()
+    return pd.Series(permute(index, blocks.to_numpy(), key))
 
 
 # else the planner calls it a second time, in a filter for blocks that are not NULL, and every
@@ -116,6 +152,53 @@ def _permuted(index: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
 _permuted = _permuted.asNondeterministic()
 
 
+def sent(sources: DataFrame, n: int) -> DataFrame:
+    """``n`` rows of sources for a join: few are broadcast, many are shuffled, which lets adaptive
+    execution split the documents of a large source."""
+    return F.broadcast(sources) if n <= SENT_SOURCES else sources.hint("merge")
+
+
+def numbered(sized: DataFrame) -> tuple[DataFrame, int, int]:
+    """The sources (src, source, source_size) numbered in code-point order, NULL last; how many
+    they are, and how many documents.
+
+    Every task of the sort writes a stretch of the order; the driver adds up their lengths.
+    """
+    at = materialize(
+        sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+        .orderBy(F.col("source").asc_nulls_last())
+        .withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    part = F.shiftright("at", 33).cast("int")
+    lengths = {r.part: r for r in at.groupBy(part.alias("part")).agg(
+        F.count("*").alias("sources"), F.sum("n").alias("docs")).collect()}
+    firsts, n = [], 0
+    for p in range(max(lengths, default=0) + 1):
+        firsts.append(n)
+        n += lengths[p].sources if p in lengths else 0
+    first = F.array(*[F.lit(x).cast("long") for x in firsts])
+    src = (F.element_at(first, part + 1) + F.col("at").bitwiseAND((1 << 33) - 1)).cast("int")
+    return at.select(src.alias("src"), "source", "source_size"), n, sum(r.docs for r in lengths.values())
+
+
+def target_of(sources: DataFrame, cycle: Sequence[float], share: float, cap: float) -> Column:
+    """The target of a source by its ``src`` and ``source_size``.
+
+    The driver gets the sizes that sources of one weight have, each once: as sizes of n words
+    in all, these are at most the root of 2 n per weight.  What comes back is one size per
+    weight, up to which sources stop at ``cap`` times their size, and the target of the others.
+    """
+    of = F.col("src") % len(cycle)
+    seen = sources.groupBy(of.alias("of"), "source_size").agg(F.count("*").alias("n")).toArrow()
+    at, size, n = (seen[c].to_numpy() for c in ("of", "source_size", "n"))
+    goal = np.array(targets(size, np.asarray(cycle, dtype=np.float64)[at], share, cap, n))
+    stops = goal == cap * size
+    upto = [max((int(x) for x in size[(at == i) & stops]), default=-1) for i in range(len(cycle))]
+    rest = [max(goal[(at == i) & ~stops].tolist(), default=0.0) for i in range(len(cycle))]
+    return F.when(F.col("source_size") <= F.element_at(F.array(*[F.lit(x).cast("long") for x in upto]), of + 1),
+                  F.lit(float(cap)) * F.col("source_size")).otherwise(
+        F.element_at(F.array(*[F.lit(x) for x in rest]), of + 1))
+
+
 def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFrame:
     """Each document's start in its source's sequence of words.
 
@@ -130,10 +213,11 @@ def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFra
              .repartition(max(1, math.ceil(n_docs / DOC_TASK)), "key", "run")
              .withColumn("copy", F.explode(F.expr(f"sequence(run, least(run + {SLOT_RUN}, n) - 1)"))))
     placed = materialize(
-        dealt.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("source_name")), "inner")
+        dealt.join(sources, F.col("source").eqNullSafe(F.col("source_name")), "inner")
         .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size", "key", "copy"))
         .withColumn("bucket", F.pmod("place", F.lit(buckets)).cast("int"))
-        .select("doc_id", "key", "src", "size", "place", "copy", "bucket"), "mix-sized")
+        .select("doc_id", "key", "src", "size", "place", "copy", "bucket",
+                "block_len", "source_size", "target"), "mix-sized")
     in_order = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size", "key", "copy").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(
@@ -142,7 +226,8 @@ def pack(docs: DataFrame, sources: DataFrame, n_docs: int, seed: int) -> DataFra
     base = sums.withColumn("base", F.sum("words").over(before) - F.col("words")).drop("words")
     inner = placed.withColumn("within", F.sum("size").over(in_order) - F.col("size"))
     return inner.join(base, ["src", "bucket"]).select(
-        "doc_id", "key", "src", "size", (F.col("base") + F.col("within")).alias("start"))
+        "doc_id", "key", "src", "size", (F.col("base") + F.col("within")).alias("start"),
+        "block_len", "source_size", "target")
 
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -153,72 +238,74 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     ``cycle`` gives the weights of the sources in code-point order, repeating.
     ``min_blocks``: a source too small for that many blocks is cut into shorter ones.
-    The driver holds one row per source and ``shards`` x sources slot counts.
+    The driver holds the sizes that sources have and ``shards`` x ``GROUPS`` slot counts.
     """
     spark = docs.sparkSession
     sized = docs.select(
         named(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), named(source_col).cast("string").alias("source"),
         F.size(split_words(named(text_col))).cast("long").alias("size"))
-    per_source = sorted(
-        ((r.source, r.size, r.n) for r in
-         sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()),
-        key=lambda r: (r[0] is None, r[0] or ""))
-    sizes = [r[1] for r in per_source]
-    goal = targets(sizes, [cycle[i % len(cycle)] for i in range(len(sizes))], share, cap)
-    sources = []
-    for i, (name, size, _) in enumerate(per_source):
-        block = max(1, min(block_words, size // min_blocks))
-        blocks = -(-size // block)
-        passes, rest = divmod(goal[i], size) if size else (0, 0.0)
-        slots = int(passes) * blocks + min(blocks, round(rest / block))
-        sources.append({"src": i, "source": name, "source_size": size, "target": goal[i],
-                        "block": block, "blocks": blocks, "slots": slots})
-    names = local_rows(spark, [(s["src"], s["source"], s["block"], s["blocks"]) for s in sources],
-                       src=pa.int32(), source_name=pa.string(), block_len=pa.int32(), blocks=pa.int64())
-    spans = materialize(pack(sized, names, sum(r[2] for r in per_source), seed), "mix-spans")
+    sources, n_sources, n_docs = numbered(sized)
+    size, target = F.col("source_size"), F.col("target")
+    whole = F.rint((target - F.col("rest")) / size).cast("long")  # passes over the source
+    sources = (sources.withColumn("target", target_of(sources, cycle, share, cap))
+               .withColumn("block", F.expr(f"greatest(1, least({block_words}, source_size div {min_blocks}))").cast("int"))
+               .withColumn("blocks", F.expr("(source_size + block - 1) div block"))
+               .withColumn("rest", F.when(size > 0, target % size).otherwise(0.0))
+               .withColumn("slots", F.when(size > 0, whole * F.col("blocks") + F.least(
+                   "blocks", F.rint(F.col("rest") / F.col("block")).cast("long"))).otherwise(0))
+               .drop("rest"))
+    spans = materialize(pack(sized, sent(sources.select(
+        "src", F.col("source").alias("source_name"), F.col("block").alias("block_len"), "source_size", "target"),
+        n_sources), n_docs, seed), "mix-spans")
 
     # whole blocks of a source, cut into the parts that each document holds
-    lens = F.broadcast(names.select("src", "block_len", "blocks"))
     at = F.col("block") * F.col("block_len")
     first = F.greatest(F.col("start"), at)
     end = F.least(F.col("start") + F.col("size"), at + F.col("block_len"))
-    parts = (spans.filter("size > 0").join(lens, "src")
+    parts = (spans.filter("size > 0")
              .withColumn("block", F.explode(F.sequence(
                  F.expr("start div block_len"), F.expr("(start + size - 1) div block_len"))))
              .select("src", "block", "doc_id", "start", (first - F.col("start")).alias("first_word"),
                      (end - first).alias("n_words")))
 
-    plan = local_rows(spark, draw_shards([s["slots"] for s in sources], shards, seed),
-                      shard=pa.int32(), src=pa.int32(), first=pa.int64(), n=pa.int64())
+    # shards are dealt to groups of neighbouring sources, and what a group has of each to its sources
+    width = max(1, math.ceil(n_sources / GROUPS))
+    group = F.expr(f"src div {width}").cast("int").alias("group")
+    owed = [0] * math.ceil(n_sources / width)
+    for r in sources.groupBy(group).agg(F.sum("slots").alias("slots")).collect():
+        owed[r["group"]] = r.slots
+    cuts = draw_shards(owed, shard_sizes(sum(owed), shards), seed)
+    if width == 1:
+        plan = sources.select("src", "blocks").join(F.broadcast(local_rows(
+            spark, list(enumerate(cuts.tolist())), src=pa.int32(), cuts=pa.list_(pa.int64()))), "src")
+    else:
+        plan = (sources.select(group, "src", "slots", "blocks")
+                .repartition(math.ceil(n_sources / SOURCE_TASK), "group").groupBy("group")
+                .applyInArrow(group_dealer(np.diff(cuts), seed), "src int, blocks bigint, cuts array<bigint>"))
     # a stated number of tasks: without one the few plan rows are merged into one before they expand
-    tasks = max(1, math.ceil(sum(s["slots"] for s in sources) / SLOT_TASK))
-    slots = (plan.withColumn("run", F.explode(F.expr(f"sequence(0L, n - 1, {SLOT_RUN}L)")))
-             .repartition(tasks, F.col("shard"), F.col("src"), F.col("run"))
-             .withColumn("slot", F.explode(F.expr(
-                 f"sequence(first + run, first + least(run + {SLOT_RUN}, n) - 1)")))
-             .join(lens, "src")
-             .withColumn("block", _permuted(
-                 F.expr("slot % blocks"), F.col("blocks"),
-                 F.expr(f"(src * 1048576L + slot div blocks) * 1000003L + {seed}")))
-             .select("shard", "src", "slot", "block"))
+    tasks = max(1, math.ceil(sum(owed) / SLOT_TASK))
+    slots = (plan.withColumn("run", F.explode(F.expr(
+                 f"if(cuts[{shards}] > 0, sequence(0L, cuts[{shards}] - 1, {SLOT_RUN}L), array())")))
+             .repartition(tasks, F.col("src"), F.col("run"))
+             .withColumn("of", F.explode(F.expr(f"""filter(transform(sequence(0, {shards - 1}), s -> struct(
+                 s AS shard, greatest(cuts[s], run) AS first, least(cuts[s + 1], run + {SLOT_RUN}) - 1 AS last)),
+                 x -> x.first <= x.last)""")))
+             .withColumn("slot", F.explode(F.expr("sequence(of.first, of.last)")))
+             .withColumn("block", _permuted(F.col("slot"), F.col("blocks"), F.col("src"), F.lit(seed)))
+             .select("of.shard", "src", "slot", "block"))
     # the planner takes rows that expand for the few they come from and would broadcast all slots
     pieces = slots.hint("merge").join(parts, ["src", "block"]).select(
         "shard", "slot", "src", "block", "doc_id", "start", "first_word", "n_words")
-    return Mix(sources, spans, pieces)
+    return Mix(sources, n_sources, spans, pieces)
 
 
 def taken_per_document(mix: Mix) -> DataFrame:
     """doc_id, key, src, size, source_size, target, taken: the mix summed up by document."""
-    spark = mix.spans.sparkSession
-    table = F.broadcast(local_rows(
-        spark, [(s["src"], s["source_size"], float(s["target"])) for s in mix.sources],
-        src=pa.int32(), source_size=pa.int64(), target=pa.float64()))
     taken = mix.pieces.groupBy(F.col("src").alias("in_src"), F.col("start").alias("at")).agg(
         F.sum("n_words").alias("words"))
     has_words: Column = F.col("size") > 0  # (src, start) names a document that has words
     return (mix.spans.join(taken, has_words & (F.col("src") == F.col("in_src"))
                            & (F.col("start") == F.col("at")), "left")
-            .join(table, "src")
             .select("doc_id", "key", "src", "size", "source_size", "target",
                     F.coalesce("words", F.lit(0)).cast("long").alias("taken")))
 
@@ -233,9 +320,8 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     digest = taken_per_document(mix).groupBy("key", "src").agg(
         F.max("size").alias("m_size"), F.max("source_size").alias("m_source_size"),
         F.max("target").alias("m_target"), F.avg("taken").cast("long").alias("m_taken"))
-    names = local_rows(docs.sparkSession, [(s["src"], s["source"]) for s in mix.sources],
-                       m_src=pa.int32(), m_source=pa.string())
-    taken = materialize(digest.join(F.broadcast(names), F.col("src") == F.col("m_src"))
+    names = mix.source_rows.select(F.col("src").alias("m_src"), F.col("source").alias("m_source"))
+    taken = materialize(digest.join(sent(names, mix.n_sources), F.col("src") == F.col("m_src"))
                         .withColumnRenamed("key", "m_key").drop("src", "m_src"), "mix-digest")
     rows = docs.select(keep_columns(docs), row_key(id_col, text_col).alias("key"),
                        named(source_col).cast("string").alias("source"))

@@ -6,6 +6,7 @@ import itertools
 import math
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -110,6 +111,57 @@ def test_mix_of_odd_rows(odd_docs, no_docs):
     assert mix_weights.mixed_documents(no_docs).count() == 0
 
 
+def test_mix_of_many_sources_stays_off_the_driver(spark):
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "repeat('word ', int(70 + id * id % 50)) AS text", "nullif(concat('é', id), 'é7') AS source")
+    tracemalloc.start()
+    try:
+        mix = mix_weights.mix_sources(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10e6  # a row per source and shard took 35 MB
+    sources = list(mix.sources)
+    names = sorted(f"é{i}" for i in range(3000) if i != 7) + [None]
+    assert [(s["src"], s["source"]) for s in sources] == list(enumerate(names))
+    sizes = [s["source_size"] for s in sources]
+    goal = mix_weights.targets(sizes, [(5, 2, 1)[i % 3] for i in range(3000)], 1.5, 2.0)
+    assert [s["target"] for s in sources] == goal
+    for s, n, t in zip(sources, sizes, goal):
+        passes, rest = divmod(t, n)
+        assert (s["block"], s["blocks"], s["slots"]) == (1, n, int(passes) * n + min(n, round(rest)))
+    assert all(r.taken == r.target or abs(r.taken - r.target) <= 1 for r in mix_weights.taken_per_document(mix).collect())
+    shards = collections.Counter(r.shard for r in mix.pieces.select("shard").collect())  # blocks of one word: a piece each
+    assert len(shards) == 64 and max(shards.values()) - min(shards.values()) <= 1
+    assert mix.pieces.select("src", "slot").distinct().count() == sum(s["slots"] for s in sources)
+
+
+def test_mix_is_the_same_with_groups_and_shuffled_sources(spark, sf, odd_docs, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source")
+    docs = docs.union(odd_docs.select("doc_id", "text", "source"))
+
+    def found():
+        mix = mix_weights.mix_sources(docs, shards=5)
+        shards = collections.Counter(tuple(r) for r in mix.pieces.select("shard", "src", "slot").distinct().select("shard").collect())
+        return (sorted(map(tuple, mix_weights.taken_per_document(mix).collect()), key=repr), sorted(shards.items()),
+                sorted(map(repr, mix_weights.mixed_documents(docs, shards=5).collect())), list(mix.sources))
+
+    want = found()
+    monkeypatch.setattr(mix_weights, "GROUPS", 7)
+    monkeypatch.setattr(mix_weights, "SENT_SOURCES", 3)
+    monkeypatch.setattr(mix_weights, "SLOT_RUN", 100)
+    assert found() == want and len(want[3]) > 14
+
+
+def test_targets_of_counted_sizes():
+    rng = np.random.default_rng(4)
+    sizes, weights = rng.integers(0, 40, 500), rng.integers(1, 4, 500)
+    alike = collections.Counter(zip(sizes.tolist(), weights.tolist()))
+    (size, weight), n = zip(*alike), list(alike.values())
+    got = dict(zip(alike, mix_weights.targets(size, weight, 1.5, 2.0, n)))
+    assert [got[x] for x in zip(sizes.tolist(), weights.tolist())] == mix_weights.targets(sizes, weights, 1.5, 2.0)
+
+
 # -- op 2
 def test_rules_base_counts(spark, sf):
     got = by_id(queries.op2_robust_outliers(spark, sf))
